@@ -1,0 +1,122 @@
+"""Tab-separated tables: generic, gene counts, phenotypes, memberships."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.counts import DESC, FAMILY, count_matrix, species_list
+from ..runtime import DataError
+
+
+def read_tsv(spark: SparkSession, path) -> DataFrame:
+    """Header-keyed table; every column is a string."""
+    return spark.read.csv(path, sep="\t", header=True, inferSchema=False)
+
+
+def write_tsv(df: DataFrame, path: str, columns: list[str], mode: str = "errorifexists") -> None:
+    """Write ``columns`` in this order; columns the table lacks and nulls are
+    empty, other columns are left out."""
+    cells = [
+        F.col(f"`{c}`").cast("string").alias(c) if c in df.columns else F.lit("").alias(c)
+        for c in columns
+    ]
+    df.select(*cells).na.fill("").write.mode(mode).csv(
+        path, sep="\t", header=True, lineSep="\n", emptyValue="", nullValue=""
+    )
+
+
+def gene_count_cells(wide: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Unparsed cells ``family_id, species, cell`` of a count table, blank rows
+    left out, and its species; the last column is dropped when it is ``Total``."""
+    family, *species = wide.columns
+    if species and species[-1].strip().lower() == "total":
+        species = species[:-1]
+    if not species:
+        raise DataError("No species columns found")
+    blank = F.lit(True)
+    for c in wide.columns:
+        blank = blank & (F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))) == "")
+    rows = wide.where(~blank).select(
+        F.col(f"`{family}`").alias("family_id"), *[f"`{s}`" for s in species]
+    )
+    cells = rows.unpivot(["family_id"], [F.col(f"`{s}`") for s in species], "species", "cell")
+    return cells, species
+
+
+def parse_count(cell="cell"):
+    """Whole number in a cell, null when it is not one."""
+    c = F.col(cell)
+    return F.when(c.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(c).try_cast("bigint"))
+
+
+def read_gene_counts(spark: SparkSession, path) -> tuple[DataFrame, list[str]]:
+    """``(family_id, species, copies)`` of a count table, and its species.
+
+    A missing or non-integer cell fails the job that meets it, naming family
+    and species; ``operators.checks.validate_counts`` lists them all instead.
+    """
+    wide = read_tsv(spark, path)
+    if len(wide.columns) < 2:
+        raise DataError(f"Gene count table needs an id and a species column: {path}")
+    cells, species = gene_count_cells(wide)
+    problem = F.raise_error(
+        F.concat(F.lit("Non-integer or missing count in family '"), F.col("family_id"),
+                 F.lit("', species '"), F.col("species"), F.lit("'"))
+    )
+    copies = F.coalesce(parse_count(), problem.cast("bigint"))
+    return cells.select("family_id", "species", copies.alias("copies")), species
+
+
+def read_phenotypes(
+    spark: SparkSession, path, id_col: str = "species", pheno_col: str = "phenotype"
+) -> DataFrame:
+    """``species, phenotype`` with ``NA`` and empty labels as null."""
+    table = spark.read.csv(path, sep="\t", header=True, quote="", nullValue="NA")
+    for column in (id_col, pheno_col):
+        if column not in table.columns:
+            raise DataError(f"Column {column!r} not in {path}: {', '.join(table.columns)}")
+    return clean_phenotypes(table, id_col, pheno_col)
+
+
+def clean_phenotypes(table: DataFrame, id_col: str, pheno_col: str) -> DataFrame:
+    def stripped(name: str):
+        text = F.regexp_replace(F.col(f"`{name}`"), r"^\s+|\s+$", "")
+        return F.when((text != "") & (text != "NA"), text)
+
+    labels = table.select(stripped(id_col).alias("species"), stripped(pheno_col).alias("phenotype"))
+    return labels.where("species is not null")
+
+
+def explode_members(families: DataFrame) -> DataFrame:
+    """``family_id, species, gene`` from cells holding comma-separated genes."""
+    genes = F.explode(F.split("genes", r",\s*")).alias("gene")
+    return families.select("family_id", "species", genes).where("gene <> ''")
+
+
+def read_orthogroups(spark: SparkSession, path) -> DataFrame:
+    """``family_id, species, gene`` of a family membership table."""
+    wide = read_tsv(spark, path)
+    family, *species = wide.columns
+    cells = wide.unpivot(
+        [F.col(f"`{family}`").alias("family_id")], [F.col(f"`{s}`") for s in species],
+        "species", "genes",
+    )
+    return explode_members(cells.where("genes is not null"))
+
+
+def read_single_copy(spark: SparkSession, path) -> DataFrame:
+    """``family_id`` from a list with one family per line."""
+    return spark.read.text(path).select(F.trim("value").alias("family_id")).where("family_id <> ''")
+
+
+def write_count_matrix(
+    counts: DataFrame, path: str, species: list[str] | None = None, desc: str = "(null)"
+) -> None:
+    species = species or species_list(counts)
+    write_tsv(count_matrix(counts, species, desc), path, [DESC, FAMILY, *species])
+
+
+def write_stats(stats: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Filter statistics as JSON lines."""
+    stats.write.mode(mode).json(path)
