@@ -504,13 +504,15 @@ def mean_copies_by_phenotype(t: Tables) -> DataFrame:
 x as (select l.family_id, p.r_name as phenotype, l.copies, (l.phenotype = p.r_name)::int as hit
   from labelled l cross join region p where l.phenotype is not null and p.r_name <> 'ASIA')
 select family_id, phenotype,
-  round(avg(copies) filter (where hit = 1) - avg(copies) filter (where hit = 0), 6) as mean_difference,
-  case when max(copies) > min(copies) then round(corr(copies, hit), 6) end as correlation
+  round(avg(copies) filter (where hit = 1) - avg(copies) filter (where hit = 0), 6) + 0.0 as mean_difference,
+  case when max(copies) > min(copies) then round(corr(copies, hit), 6) end + 0.0 as correlation
 from x group by family_id, phenotype having count(*) filter (where hit = 1) > 0""")
 def associate(t: Tables) -> DataFrame:
+    # adding 0.0 turns a rounded -0.0 into 0.0
     return S.associate(labelled_counts(t)).select(
-        "family_id", "phenotype", F.round("mean_difference", 6).alias("mean_difference"),
-        F.round("correlation", 6).alias("correlation"),
+        "family_id", "phenotype",
+        (F.round("mean_difference", 6) + F.lit(0.0)).alias("mean_difference"),
+        (F.round("correlation", 6) + F.lit(0.0)).alias("correlation"),
     )
 
 

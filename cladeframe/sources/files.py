@@ -5,6 +5,8 @@ Only the metadata columns are read unless the content is asked for.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,14 +18,27 @@ FASTA_FILE_ANY = r"(?i:\.(fa|fasta|faa))(\.(gz|bz2))?$"
 
 
 def file_inventory(spark: SparkSession, path, recursive: bool = False) -> DataFrame:
-    """``path, name, length, modified_time`` of every file below ``path``."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
-    return reader.load(path).select(
-        "path",
-        F.regexp_extract("path", r"([^/]*)$", 1).alias("name"),
-        "length",
-        F.col("modificationTime").alias("modified_time"),
+    """``path, name, length, modified_time`` of every file below ``path``.
+
+    Spark's scans leave out files of 0 bytes; these come from its file listing,
+    with length 0 and no time.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
+    seen = files.select("path", "length", F.col("modificationTime").alias("modified_time"))
+    listed = [(_plain_path(p),) for p in files.inputFiles()]
+    empty = spark.createDataFrame(listed, "path string").join(seen, "path", "left_anti").select(
+        "path", F.lit(0).cast("bigint").alias("length"),
+        F.lit(None).cast("timestamp").alias("modified_time"),
     )
+    return seen.unionByName(empty).select(
+        "path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), "length", "modified_time"
+    )
+
+
+def _plain_path(uri: str) -> str:
+    """A listed URI as the ``path`` column of a scan shows it."""
+    text = unquote(uri)
+    return "file:" + text[len("file://"):] if text.startswith("file:///") else text
 
 
 def fasta_inventory(spark: SparkSession, directory: str) -> DataFrame:
