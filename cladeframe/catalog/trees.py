@@ -63,15 +63,16 @@ closure as materialized (
 
 def order_trees(t: Tables) -> DataFrame:
     """One tree per order: the order, its return flags, its lines as tips."""
-    line = t.lineitem.select(
-        F.col("l_orderkey").cast("string").alias("tree_id"),
-        "l_returnflag", "l_linenumber", "l_quantity",
+    # all three levels are grouped by order: one shuffle serves them
+    line = t.lineitem.select("l_orderkey", "l_returnflag", "l_linenumber", "l_quantity").repartition(
+        "l_orderkey"
     )
+    tree_id = F.col("l_orderkey").cast("string").alias("tree_id")
     flag_id = F.ascii("l_returnflag").cast("bigint")
-    tips = line.groupBy("tree_id", "l_returnflag", "l_linenumber").agg(
+    tips = line.groupBy("l_orderkey", "l_returnflag", "l_linenumber").agg(
         F.min("l_quantity").alias("branch_length")
     ).select(
-        "tree_id",
+        tree_id,
         (flag_id * 1000 + F.col("l_linenumber")).alias("node_id"),
         flag_id.alias("parent_id"),
         F.concat(F.col("l_returnflag"), F.col("l_linenumber")).alias("label"),
@@ -79,18 +80,17 @@ def order_trees(t: Tables) -> DataFrame:
         F.lit(True).alias("is_tip"),
         F.col("l_linenumber").cast("int").alias("child_ord"),
     )
-    flags = line.groupBy("tree_id", "l_returnflag").agg(
+    flags = line.groupBy("l_orderkey", "l_returnflag").agg(
         F.count("*").cast("double").alias("branch_length")
     ).select(
-        "tree_id", flag_id.alias("node_id"), F.lit(0).cast("bigint").alias("parent_id"),
+        tree_id, flag_id.alias("node_id"), F.lit(0).cast("bigint").alias("parent_id"),
         F.col("l_returnflag").alias("label"), "branch_length",
         F.lit(False).alias("is_tip"), flag_id.cast("int").alias("child_ord"),
     )
-    roots = line.select("tree_id").distinct().select(
-        "tree_id", F.lit(0).cast("bigint").alias("node_id"),
+    roots = line.groupBy("l_orderkey").agg(F.lit(0).alias("child_ord")).select(
+        tree_id, F.lit(0).cast("bigint").alias("node_id"),
         F.lit(None).cast("bigint").alias("parent_id"), F.lit(None).cast("string").alias("label"),
-        F.lit(None).cast("double").alias("branch_length"), F.lit(False).alias("is_tip"),
-        F.lit(0).alias("child_ord"),
+        F.lit(None).cast("double").alias("branch_length"), F.lit(False).alias("is_tip"), "child_ord",
     )
     return tips.unionByName(flags).unionByName(roots)
 

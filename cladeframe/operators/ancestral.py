@@ -85,10 +85,11 @@ def _sum(columns: list[Column]) -> Column:
 
 
 def _nodes(edges: DataFrame) -> DataFrame:
-    levels = lift(edges).final.select(*NODE, (F.col("hops") - 1).cast("int").alias("level"))
+    final = lift(edges, carry=("parent_id", "branch_length", "is_tip")).final
     return materialize(
-        edges.join(levels, NODE).select(
-            *NODE, "parent_id", "level", "is_tip",
+        final.select(
+            *NODE, "parent_id", "is_tip",
+            (F.col("hops") - 1).cast("int").alias("level"),
             F.coalesce("branch_length", F.lit(0.0)).alias("branch_length"),
         ),
         sort="level",

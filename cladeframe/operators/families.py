@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import global_rank, materialize, spread
+from ..runtime import global_rank, join_counted, materialize, spread
 
 #: Prime modulus of the hash permutations (fixed value, 2**31 - 1).
 PRIME = 2147483647
@@ -109,15 +109,15 @@ def kmer_hits(
     member = bands(sketches, n_perm, rows)
     order = F.struct((-F.col("length")).alias("neg"), F.col("seq_id").alias("id"))
     chosen = (
-        member.groupBy("band", "species").agg(F.min(order).alias("best"))
+        member.groupBy("band", "species").agg(F.min(order).alias("best"), F.count("*").alias("n"))
         # one row per bucket holding at most one id per species
-        .groupBy("band").agg(F.collect_list("best.id").alias("targets"))
+        .groupBy("band").agg(F.collect_list("best.id").alias("targets"), F.sum("n").alias("n"))
     )
+    total = sketches.count() * (n_perm // rows)
     # bucket and candidate pairs carry ids only; sketches are joined for the
     # distinct pairs
     candidates = (
-        member.select("band", F.col("seq_id").alias("query"))
-        .join(chosen, "band")
+        join_counted(member.select("band", F.col("seq_id").alias("query")), chosen, "band", total)
         .select("query", F.explode("targets").alias("target"))
         .where("query <> target")
         .distinct()
@@ -181,13 +181,12 @@ def connected_components(links: DataFrame) -> DataFrame:
     that one task must hold.
     """
     edges = materialize(_oriented(links.select("a", "b")))
-    signature = None
+    signature = _signature(edges)
     while True:
-        edges = materialize(_oriented(_small_star(_large_star(edges))))
-        row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if tuple(row) == signature:
+        edges = materialize(_small_star(*_large_star(edges, signature[0])))
+        before, signature = signature, _signature(edges)
+        if signature == before:
             break
-        signature = tuple(row)
     members = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
     return nodes.join(members, "node", "left").select(
@@ -195,6 +194,11 @@ def connected_components(links: DataFrame) -> DataFrame:
     )
 
 
+def _signature(edges: DataFrame) -> tuple:
+    """Number of links and a hash of them all."""
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+
+
 def _oriented(links: DataFrame) -> DataFrame:
     """Distinct links from the larger node ``a`` to the smaller ``b``."""
     return links.where("a <> b").select(
@@ -202,18 +206,21 @@ def _oriented(links: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n_links: int) -> tuple[DataFrame, int]:
+    """Hang every node's larger neighbours on its smallest one or itself."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    lowest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
-    return both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+    lowest = both.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
+    joined = join_counted(both, lowest, "a", 2 * n_links)
+    hung = joined.where("b > a").select(F.col("b").alias("a"), F.least("low", "a").alias("b"))
+    return _oriented(hung), n_links
 
 
-def _small_star(links: DataFrame) -> DataFrame:
-    edges = _oriented(links)
-    lowest = edges.groupBy("a").agg(F.min("b").alias("low"))
-    joined = edges.join(lowest, "a")
+def _small_star(edges: DataFrame, n_links: int) -> DataFrame:
+    """Hang every node and its smaller neighbours on the smallest of them."""
+    lowest = edges.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
+    joined = join_counted(edges, lowest, "a", n_links)
     hung = joined.select(F.col("b").alias("a"), F.col("low").alias("b"))
-    return hung.unionByName(lowest.select("a", F.col("low").alias("b")))
+    return _oriented(hung.unionByName(lowest.select("a", F.col("low").alias("b"))))
 
 
 def families(links: DataFrame, members: DataFrame | None = None) -> DataFrame:
@@ -229,18 +236,20 @@ def families(links: DataFrame, members: DataFrame | None = None) -> DataFrame:
         parts = parts.unionByName(alone.withColumn("component", F.col("node")))
     parts = materialize(parts)
     sizes = parts.groupBy("component").agg(F.count("*").alias("n"))
+    total = parts.count()
     numbered = global_rank(sizes, [F.col("n").desc(), F.col("component")], "rank")
     digits = F.greatest(F.length(F.col("rank").cast("string")), F.lit(7))
     number = F.lpad(F.col("rank").cast("string"), digits, F.lit("0"))
-    named = numbered.select("component", F.concat(F.lit("OG"), number).alias("family_id"))
-    return parts.join(named, "component").select(F.col("node").alias("seq_id"), "family_id")
+    named = numbered.select("component", "n", F.concat(F.lit("OG"), number).alias("family_id"))
+    return join_counted(parts, named, "component", total).select(F.col("node").alias("seq_id"), "family_id")
 
 
 def bucket_links(sketches: DataFrame, n_perm: int = 16, rows: int = 2) -> DataFrame:
     """Links ``a, b`` from every sequence to the smallest one in each bucket: the
     components of these links are those of all pairs that share a bucket."""
     member = bands(sketches, n_perm, rows).select("band", "seq_id")
-    first = member.groupBy("band").agg(F.min("seq_id").alias("b"))
-    return member.join(first, "band").where("seq_id <> b").select(
+    first = member.groupBy("band").agg(F.min("seq_id").alias("b"), F.count("*").alias("n"))
+    total = sketches.count() * (n_perm // rows)
+    return join_counted(member, first, "band", total).where("seq_id <> b").select(
         F.col("seq_id").alias("a"), "b"
     ).distinct()

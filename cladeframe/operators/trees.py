@@ -37,12 +37,17 @@ class Lifted:
     steps: list[DataFrame] = field(default_factory=list)
 
 
-def lift(edges: DataFrame, sums: dict[str, Column] | None = None,
-         merges: dict[str, tuple[Column, str]] | None = None) -> Lifted:
+def lift(
+    edges: DataFrame,
+    sums: dict[str, Column] | None = None,
+    merges: dict[str, tuple[Column, str]] | None = None,
+    carry: tuple[str, ...] = (),
+) -> Lifted:
     """Pointer doubling over all trees at once.
 
     ``sums`` are per-node values added up over each clade; ``merges`` are
-    values combined with ``min``, ``max`` or ``bit_xor`` instead.
+    values combined with ``min``, ``max`` or ``bit_xor`` instead.  ``carry`` names
+    columns of ``edges`` to keep in ``final``.
     """
     values = {name: (value, "sum") for name, value in (sums or {}).items()}
     values.update(merges or {})
@@ -52,21 +57,31 @@ def lift(edges: DataFrame, sums: dict[str, Column] | None = None,
             F.col("parent_id").alias("anc"),
             F.coalesce("branch_length", F.lit(0.0)).alias("dist"),
             F.lit(1).cast("bigint").alias("hops"),
+            *carry,
             *[value.alias(name) for name, (value, _) in values.items()],
         )
     )
-    steps = []
-    while not state.where("anc is not null").isEmpty():
+    steps, pending = [], state.where("anc is not null")
+    while not pending.isEmpty():
         if len(steps) > MAX_ROUNDS:
             raise DataError("the parent links of a tree form a cycle")
         steps.append(state)
-        state = materialize(_jump(state, values))
+        jumped = _jump(pending, state, [*carry, *values])
+        if values:
+            # clade values of every node change, nodes that are done included
+            moved = jumped.unionByName(state.where("anc is null"))
+            state = materialize(_add_below(moved, pending, values))
+            pending = state.where("anc is not null")
+        else:
+            # nodes that have reached their root are not written again
+            jumped = materialize(jumped)
+            state = jumped.unionByName(state.where("anc is null"))
+            pending = jumped.where("anc is not null")
     return Lifted(state, steps)
 
 
-def _jump(state: DataFrame, values: dict[str, tuple[Column, str]]) -> DataFrame:
-    names = list(values)
-    pending = state.where("anc is not null")
+def _jump(pending: DataFrame, state: DataFrame, kept: list[str]) -> DataFrame:
+    """Move every pending node's pointer to where its ancestor points."""
     above = state.select(
         "tree_id",
         F.col("node_id").alias("anc"),
@@ -74,21 +89,23 @@ def _jump(state: DataFrame, values: dict[str, tuple[Column, str]]) -> DataFrame:
         F.col("dist").alias("above_dist"),
         F.col("hops").alias("above_hops"),
     )
-    jumped = pending.join(above, ["tree_id", "anc"]).select(
+    return pending.join(above, ["tree_id", "anc"]).select(
         *NODE,
         F.col("next_anc").alias("anc"),
         (F.col("dist") + F.col("above_dist")).alias("dist"),
         (F.col("hops") + F.col("above_hops")).alias("hops"),
-        *names,
+        *kept,
     )
-    moved = jumped.unionByName(state.where("anc is null"))
-    if not names:
-        return moved
+
+
+def _add_below(moved: DataFrame, pending: DataFrame, values: dict) -> DataFrame:
+    """Add the values of the nodes that pointed at a node in this round."""
     below = pending.groupBy("tree_id", F.col("anc").alias("node_id")).agg(
         *[_aggregate(kind)(name).alias(f"below_{name}") for name, (_, kind) in values.items()]
     )
+    same = [c for c in moved.columns if c not in values]
     return moved.join(below, NODE, "left").select(
-        *NODE, "anc", "dist", "hops",
+        *same,
         *[
             _combine(kind, F.col(name), F.col(f"below_{name}")).alias(name)
             for name, (_, kind) in values.items()
@@ -121,28 +138,25 @@ def node_depths(edges: DataFrame) -> DataFrame:
 
 def tip_depths(edges: DataFrame) -> DataFrame:
     """Root-to-tip distance of every tip."""
-    tips = edges.where("is_tip").select(*NODE, "label")
-    return tips.join(node_depths(edges), NODE).select(*NODE, "label", "depth")
+    final = lift(edges, carry=("label", "is_tip")).final
+    return final.where("is_tip").select(*NODE, "label", F.col("dist").alias("depth"))
 
 
 def ultrametric_deviation(edges: DataFrame) -> DataFrame:
     """``deviation`` = largest minus smallest tip depth per tree, 0.0 without tips;
     ``height`` = largest."""
-    depths = tip_depths(edges).groupBy("tree_id").agg(
-        F.max("depth").alias("height"), F.min("depth").alias("lowest")
-    )
-    trees = edges.select("tree_id").distinct()
-    return trees.join(depths, "tree_id", "left").select(
-        "tree_id",
-        F.coalesce(F.col("height") - F.col("lowest"), F.lit(0.0)).alias("deviation"),
-        "height",
+    final = lift(edges, carry=("is_tip",)).final
+    depth = F.when(F.col("is_tip"), F.col("dist"))
+    return final.groupBy("tree_id").agg(
+        F.coalesce(F.max(depth) - F.min(depth), F.lit(0.0)).alias("deviation"),
+        F.max(depth).alias("height"),
     )
 
 
 def is_ultrametric(edges: DataFrame, tolerance: float = 1e-3) -> DataFrame:
     """Per tree, whether the deviation is within ``tolerance`` times the height."""
     scale = F.when(F.col("height") > 0, F.col("height")).otherwise(F.lit(1.0))
-    verdict = F.coalesce(F.col("deviation") <= F.lit(tolerance) * scale, F.lit(False))
+    verdict = F.col("deviation") <= F.lit(tolerance) * scale
     verdict = F.when(F.col("height").isNull(), F.lit(False)).otherwise(verdict)
     return ultrametric_deviation(edges).select(
         "tree_id", "deviation", "height", verdict.alias("is_ultrametric")
@@ -186,10 +200,10 @@ def mrca(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     Adds ``mrca`` (node id), ``mrca_depth`` and ``age`` (height of the tree
     minus that depth); all null when a node is unknown.
     """
-    lifted = lift(edges)
+    lifted = lift(edges, carry=("is_tip",))
     steps = [_step(s) for s in lifted.steps]
     levels = lifted.final.select(
-        *NODE, (F.col("hops") - 1).alias("level"), F.col("dist").alias("depth")
+        *NODE, "is_tip", (F.col("hops") - 1).alias("level"), F.col("dist").alias("depth")
     )
 
     work = _lookup(pairs, levels.select(*NODE, "level"), "u", {"level": "lu"})
@@ -229,8 +243,7 @@ def mrca(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     work = work.select(
         "tree_id", "pair_id", F.col("u0").alias("u"), F.col("v0").alias("v"), met.alias("mrca")
     )
-    tips = edges.where("is_tip").select(*NODE)
-    heights = levels.join(tips, NODE).groupBy("tree_id").agg(F.max("depth").alias("height"))
+    heights = levels.where("is_tip").groupBy("tree_id").agg(F.max("depth").alias("height"))
     placed = _lookup(work, levels.select(*NODE, "depth"), "mrca", {"depth": "mrca_depth"})
     return placed.join(heights, "tree_id", "left").select(
         "tree_id", "pair_id", "u", "v", "mrca", "mrca_depth",
@@ -285,10 +298,9 @@ def check_calibrations(
 def root_spanning_taxa(edges: DataFrame) -> DataFrame:
     """One tip from each side of the root: the smallest label below each child."""
     tip = F.when(F.col("is_tip"), F.col("label"))
-    low = lift(edges, merges={"low_tip": (tip, "min")}).final.select(*NODE, "low_tip")
-    roots = edges.where("parent_id is null").select("tree_id", F.col("node_id").alias("parent_id"))
-    sides = edges.join(roots, ["tree_id", "parent_id"]).select(*NODE, "child_ord")
-    return sides.join(low, NODE).select("tree_id", "child_ord", "low_tip")
+    nodes = lift(edges, merges={"low_tip": (tip, "min")}, carry=("child_ord",)).final
+    # the children of the root are the nodes whose path to it has two nodes
+    return nodes.where("hops = 2").select("tree_id", "child_ord", "low_tip")
 
 
 # -- clades, topology and pruning ------------------------------------------------
@@ -352,11 +364,9 @@ def prune(edges: DataFrame, tips: DataFrame, mode: str = "time") -> DataFrame:
         "is_wanted", F.col("is_tip") & F.col("wanted").isNotNull()
     ).drop("wanted")
     count = F.col("is_wanted").cast("bigint")
-    live = (
-        lift(flagged, sums={"n_kept": F.coalesce(count, F.lit(0))})
-        .final.where("n_kept > 0").select(*NODE)
-    )
-    live_edges = flagged.join(live, NODE)
+    carried = ("parent_id", "label", "branch_length", "is_tip", "child_ord")
+    counted = lift(flagged, sums={"n_kept": F.coalesce(count, F.lit(0))}, carry=carried)
+    live_edges = counted.final.where("n_kept > 0").select(*NODE, *carried)
     children = (
         live_edges.where("parent_id is not null")
         .groupBy("tree_id", F.col("parent_id").alias("node_id"))
@@ -372,6 +382,7 @@ def prune(edges: DataFrame, tips: DataFrame, mode: str = "time") -> DataFrame:
         *NODE, "label", "is_tip", "kept", "anc", "child_ord",
         F.col("branch_length").alias("own_length"),
         F.coalesce("branch_length", F.lit(0.0)).alias("span"),
+        F.col("parent_id").isNull().alias("was_root"),
         (F.col("anc").isNull() | F.col("anc_kept")).alias("done"),
     )
     state = materialize(state)
@@ -387,14 +398,13 @@ def prune(edges: DataFrame, tips: DataFrame, mode: str = "time") -> DataFrame:
             F.col("above_ord").alias("child_ord"),
             "own_length",
             (F.col("span") + F.col("above_span")).alias("span"),
+            "was_root",
             F.col("above_done").alias("done"),
         )
         state = materialize(jumped.unionByName(state.where("done")))
-    was_root = edges.where("parent_id is null").select(*NODE, F.lit(True).alias("was_root"))
     length = F.col("span") if mode == "time" else F.col("own_length")
-    result = state.where("kept").join(was_root, NODE, "left")
-    new_root = F.col("anc").isNull() & F.col("was_root").isNull()
-    return result.select(
+    new_root = F.col("anc").isNull() & ~F.col("was_root")
+    return state.where("kept").select(
         *NODE,
         F.col("anc").alias("parent_id"),
         "label",

@@ -19,6 +19,12 @@ from pyspark.sql import functions as F
 MAX_SMALL_ROWS = 100_000
 
 
+#: A key counts as hot when it has more rows than this and more than one row in
+#: ``HOT_SHARE``.
+HOT_ROWS = 1_000_000
+HOT_SHARE = 1000
+
+
 class DataError(ValueError):
     """The input data breaks a documented rule."""
 
@@ -76,6 +82,24 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
 
 
+def join_counted(many: DataFrame, one: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join of ``many`` with ``one``, which has one row per ``key`` and the
+    number ``n`` of rows of ``many`` with it, out of ``total``.
+
+    Keys with more rows than ``HOT_ROWS`` and than one row in ``HOT_SHARE`` are
+    fewer than ``HOT_SHARE``, so their side is broadcast and their rows stay
+    where they are; the other rows are shuffled.  No key is too large for a
+    task, whatever its share.
+    """
+    if total <= HOT_ROWS:
+        return many.join(one.drop("n"), key)
+    limit = max(HOT_ROWS, total // HOT_SHARE)
+    hot = one.where(F.col("n") > limit).drop("n")
+    cold = one.where(F.col("n") <= limit).drop("n")
+    rest = many.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return many.join(F.broadcast(hot), key).unionByName(rest.join(cold, key))
+
+
 def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Add a 0-based position in the total order given by ``order``.
 

@@ -16,6 +16,10 @@ from ..schemas import TREE_EDGES
 _TOKEN = re.compile(r"\[[^\]]*\]|'(?:[^']|'')*'|[(),:;]|[^\s(),:;\[']+")
 
 
+#: Levels of a tree written in one plan.
+CUT_EVERY = 4
+
+
 def parse_newick(text: str) -> list[tuple]:
     """Nodes ``(node_id, parent_id, label, branch_length, is_tip, child_ord)`` of
     one tree, numbered in the order they open; raises ``ValueError``."""
@@ -117,34 +121,29 @@ def edges_to_newick(
     Built level by level from the deepest nodes up, for all trees together: a
     step joins the texts of the children of one node, never a whole tree.
     """
-    levels = lift(edges).final.select(*NODE, (F.col("hops") - 1).alias("level"))
     label = F.col("label") if internal_labels else F.when(F.col("is_tip"), F.col("label"))
     value = F.col(value_col).cast("double")
     suffix = F.when(
         F.col("parent_id").isNotNull() & value.isNotNull(),
         F.concat(F.lit(":"), format_length(value)),
     ).otherwise(F.lit(""))
-    nodes = materialize(
-        edges.join(levels, NODE).select(
-            *NODE, "parent_id", "child_ord", "level", "is_tip",
-            F.concat(F.coalesce(_quoted(label), F.lit("")), suffix).alias("tail"),
-        )
-    )
-    deepest = nodes.agg(F.max("level")).first()[0] or 0
+    tailed = edges.withColumn("tail", F.concat(F.coalesce(_quoted(label), F.lit("")), suffix))
+    nodes = lift(tailed, carry=("parent_id", "child_ord", "tail")).final
+    deepest = nodes.agg(F.max("hops")).first()[0] or 1
     below = None
-    for level in range(deepest, -1, -1):
-        here = nodes.where(F.col("level") == level)
-        if below is None:
-            text = here.withColumn("text", F.col("tail"))
-        else:
+    for hops in range(deepest, 0, -1):
+        text = nodes.where(F.col("hops") == hops).withColumn("text", F.col("tail"))
+        if below is not None:
             inner = below.groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(
                 F.array_sort(F.collect_list(F.struct("child_ord", "text"))).alias("parts")
             ).select(*NODE, F.array_join(F.col("parts.text"), ",").alias("inner"))
             opened = F.concat(F.lit("("), F.col("inner"), F.lit(")"))
-            text = here.join(inner, NODE, "left").withColumn(
+            text = text.join(inner, NODE, "left").withColumn(
                 "text", F.concat(F.coalesce(opened, F.lit("")), F.col("tail"))
             )
-        below = materialize(text.select("tree_id", "parent_id", "child_ord", "text"))
+        below = text.select("tree_id", "parent_id", "child_ord", "text")
+        if (deepest - hops) % CUT_EVERY == CUT_EVERY - 1:
+            below = materialize(below)
     return below.select("tree_id", F.concat("text", F.lit(";")).alias("newick"))
 
 

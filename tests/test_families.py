@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cladeframe import runtime
 from cladeframe.operators import families as E
 from cladeframe.operators import turnover as G
 from cladeframe.plans.families import infer_families
@@ -29,7 +30,11 @@ def components(links):
     [(5, 5), (7, 6), (6, 7)],
     [(random.Random(i).randrange(300), random.Random(i + 999).randrange(300)) for i in range(220)],
 ])
-def test_connected_components(spark, links):
+@pytest.mark.parametrize("hot_rows", [None, 3])
+def test_connected_components(spark, links, hot_rows, monkeypatch):
+    if hot_rows:
+        monkeypatch.setattr(runtime, "HOT_ROWS", hot_rows)
+        monkeypatch.setattr(runtime, "HOT_SHARE", 20)
     got = E.connected_components(spark.createDataFrame(links, "a long, b long"))
     assert {r["node"]: r["component"] for r in got.collect()} == components(links)
 
@@ -78,8 +83,11 @@ def test_families_of_related_proteins(spark):
     assert got.counts.agg(F.sum("copies")).first()[0] == 25
 
 
-def test_hot_bucket_is_compared_with_representatives_only(spark, rows):
-    """A third of all sequences are copies: hits stay linear, families whole."""
+@pytest.mark.parametrize("hot_rows", [None, 5])
+def test_hot_bucket_is_compared_with_representatives_only(spark, hot_rows, monkeypatch):
+    """Half of all sequences are copies: hits stay linear, families whole."""
+    if hot_rows:
+        monkeypatch.setattr(runtime, "HOT_ROWS", hot_rows)
     rng = random.Random(4)
     same = protein(rng)
     data = [(i, f"sp{i % 3}", 120, same) for i in range(60)] + [
