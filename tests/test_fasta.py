@@ -193,7 +193,7 @@ def test_manifest_sizes_and_results(spark, tmp_path):
         put(st / "t.txt", "(a,b);")
         os.utime(st / "t.txt", (when, when))
     assert FS.latest_results(spark, str(root)).endswith("/Results_new")
-    deep = root / "Results_new" / "WorkingDirectory" / "OrthoFinder" / "Results_final"
+    deep = root / "Results_new" / "WorkingDirectory" / "inner" / "Results_final"
     deep.mkdir(parents=True)
     put(deep / "t.txt", "(a,b);")
     assert FS.latest_results(spark, str(root)).endswith("/Results_final")

@@ -141,7 +141,7 @@ def test_solver_logs(spark, tmp_path, rows):
 
 
 def test_turnover_outputs(spark, tmp_path, rows):
-    d = tmp_path / "cafe"
+    d = tmp_path / "turnover"
     d.mkdir()
     put(d / "Base_count.tab", "FamilyID\thuman<1>\t<4>\nOG0\t3\t2\n")
     with pytest.raises(DataError, match="results.txt"):
