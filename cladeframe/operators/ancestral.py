@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rates import ER_DECAY, free_rates, matrix_messages
-from ..runtime import DataError, materialize
+from ..runtime import DataError, join_skewed, materialize
 from .phenotype import class_legend, code_tips, forced_classes, require_classes
 from .trees import NODE, lift
 
@@ -32,12 +32,17 @@ NAN = "double('NaN')"
 
 @dataclass
 class Forward:
-    """Partial likelihoods of the internal nodes, one stored table per level."""
+    """Partial likelihoods of the internal nodes, one stored table per level.
+
+    ``n_tips`` counts the tips of all problems; no level has more nodes, as the
+    nodes of a level have no tip in common.
+    """
 
     levels: dict[int, DataFrame]
     k: int
     keys: list[str]
     rate_col: str
+    n_tips: int
 
     @property
     def all(self) -> DataFrame:
@@ -114,7 +119,8 @@ def forward_liks(
         ),
         sort="level",
     )
-    deepest = tips.agg(F.max("level")).first()[0] or 0
+    found = tips.agg(F.max("level").alias("deepest"), F.count("*").alias("n")).first()
+    deepest = found["deepest"] or 0
     columns = tips.columns
     liks, logs, exps = _lik(k), _lik(k, "s"), _lik(k, "e")
     meet = [F.expr(f"first({rate_col}) as {rate_col}"), F.expr("sum(log_scale) as below")]
@@ -138,7 +144,7 @@ def forward_liks(
             *_each("{} / total as {}", exps, liks), "below + top + ln(total) as log_scale",
         )
         done[level - 1] = materialize(placed.select(*columns))
-    return Forward(done, k, keys, rate_col)
+    return Forward(done, k, keys, rate_col, found["n"])
 
 
 def log_likelihoods(forward: Forward, root_prior: str = "flat") -> DataFrame:
@@ -177,9 +183,9 @@ def marginal_states(forward: Forward) -> DataFrame:
     done = [parent]
     for level in range(1, max(forward.levels) + 1):
         above = parent.selectExpr(*group, "node_id as parent_id", *_each("{} as {}", liks, ups))
+        sent = _messages(forward.levels[level], k, forward.rate_col)
         rest = (
-            _messages(forward.levels[level], k, forward.rate_col)
-            .join(above, [*group, "parent_id"])
+            join_skewed(sent, above, [*group, "parent_id"], forward.n_tips)
             .selectExpr("*", *_each(f"case when {{0}} <> 0 then {{1}} / {{0}} else {NAN} end as {{2}}",
                                     msgs, ups, rests))
         )

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import global_rank, join_counted, materialize, spread
+from ..runtime import global_rank, join_skewed, materialize, spread
 
 #: Prime modulus of the hash permutations (fixed value, 2**31 - 1).
 PRIME = 2147483647
@@ -109,15 +109,15 @@ def kmer_hits(
     member = bands(sketches, n_perm, rows)
     order = F.struct((-F.col("length")).alias("neg"), F.col("seq_id").alias("id"))
     chosen = (
-        member.groupBy("band", "species").agg(F.min(order).alias("best"), F.count("*").alias("n"))
+        member.groupBy("band", "species").agg(F.min(order).alias("best"))
         # one row per bucket holding at most one id per species
-        .groupBy("band").agg(F.collect_list("best.id").alias("targets"), F.sum("n").alias("n"))
+        .groupBy("band").agg(F.collect_list("best.id").alias("targets"))
     )
     total = sketches.count() * (n_perm // rows)
     # bucket and candidate pairs carry ids only; sketches are joined for the
     # distinct pairs
-    candidates = (
-        join_counted(member.select("band", F.col("seq_id").alias("query")), chosen, "band", total)
+    candidates = materialize(
+        join_skewed(member.select("band", F.col("seq_id").alias("query")), chosen, "band", total)
         .select("query", F.explode("targets").alias("target"))
         .where("query <> target")
         .distinct()
@@ -134,9 +134,10 @@ def kmer_hits(
         F.col("sketch").alias("b"),
     )
     equal = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda same: same))
+    # a representative may be the target of a large share of all candidates
+    paired = join_skewed(candidates, right, "target", candidates.count())
     return (
-        candidates.join(left, "query")
-        .join(right, "target")
+        paired.join(left, "query")
         .select("query", "query_species", "target", "target_species", equal.alias("score"))
         .where(F.col("score") >= min_score)
     )
@@ -209,16 +210,16 @@ def _oriented(links: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame, n_links: int) -> tuple[DataFrame, int]:
     """Hang every node's larger neighbours on its smallest one or itself."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    lowest = both.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
-    joined = join_counted(both, lowest, "a", 2 * n_links)
+    lowest = both.groupBy("a").agg(F.min("b").alias("low"))
+    joined = join_skewed(both, lowest, "a", 2 * n_links)
     hung = joined.where("b > a").select(F.col("b").alias("a"), F.least("low", "a").alias("b"))
     return _oriented(hung), n_links
 
 
 def _small_star(edges: DataFrame, n_links: int) -> DataFrame:
     """Hang every node and its smaller neighbours on the smallest of them."""
-    lowest = edges.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
-    joined = join_counted(edges, lowest, "a", n_links)
+    lowest = edges.groupBy("a").agg(F.min("b").alias("low"))
+    joined = join_skewed(edges, lowest, "a", n_links)
     hung = joined.select(F.col("b").alias("a"), F.col("low").alias("b"))
     return _oriented(hung.unionByName(lowest.select("a", F.col("low").alias("b"))))
 
@@ -240,16 +241,16 @@ def families(links: DataFrame, members: DataFrame | None = None) -> DataFrame:
     numbered = global_rank(sizes, [F.col("n").desc(), F.col("component")], "rank")
     digits = F.greatest(F.length(F.col("rank").cast("string")), F.lit(7))
     number = F.lpad(F.col("rank").cast("string"), digits, F.lit("0"))
-    named = numbered.select("component", "n", F.concat(F.lit("OG"), number).alias("family_id"))
-    return join_counted(parts, named, "component", total).select(F.col("node").alias("seq_id"), "family_id")
+    named = numbered.select("component", F.concat(F.lit("OG"), number).alias("family_id"))
+    return join_skewed(parts, named, "component", total).select(F.col("node").alias("seq_id"), "family_id")
 
 
 def bucket_links(sketches: DataFrame, n_perm: int = 16, rows: int = 2) -> DataFrame:
     """Links ``a, b`` from every sequence to the smallest one in each bucket: the
     components of these links are those of all pairs that share a bucket."""
     member = bands(sketches, n_perm, rows).select("band", "seq_id")
-    first = member.groupBy("band").agg(F.min("seq_id").alias("b"), F.count("*").alias("n"))
+    first = member.groupBy("band").agg(F.min("seq_id").alias("b"))
     total = sketches.count() * (n_perm // rows)
-    return join_counted(member, first, "band", total).where("seq_id <> b").select(
+    return join_skewed(member, first, "band", total).where("seq_id <> b").select(
         F.col("seq_id").alias("a"), "b"
     ).distinct()

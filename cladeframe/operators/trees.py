@@ -4,9 +4,9 @@ Nothing walks a tree node by node or gathers a tree in one task.  Questions
 about ancestors and clades use pointer doubling: round ``j`` knows the ancestor
 ``2**j`` steps up, so a tree of depth ``d`` takes about ``log2(d)`` joins,
 ladder-shaped trees included.  Each round holds one row per node and is stored
-(``runtime.materialize``).  The looked-up side of every join has unique keys,
-so a polytomy holding a large share of the nodes makes a skewed join that
-adaptive execution splits, and clade sums are combined map-side.
+(``runtime.materialize``).  The looked-up side of every join has unique keys;
+a polytomy holding a large share of the nodes is joined without a shuffle
+(``runtime.join_skewed``), and clade sums are combined map-side.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import DataError, materialize
+from ..runtime import DataError, join_skewed, materialize
 
 NODE = ["tree_id", "node_id"]
 
@@ -62,11 +62,11 @@ def lift(
         )
     )
     steps, pending = [], state.where("anc is not null")
-    while not pending.isEmpty():
+    while n_pending := pending.count():
         if len(steps) > MAX_ROUNDS:
             raise DataError("the parent links of a tree form a cycle")
         steps.append(state)
-        jumped = _jump(pending, state, [*carry, *values])
+        jumped = _jump(pending, state, [*carry, *values], n_pending)
         if values:
             # clade values of every node change, nodes that are done included
             moved = jumped.unionByName(state.where("anc is null"))
@@ -80,7 +80,7 @@ def lift(
     return Lifted(state, steps)
 
 
-def _jump(pending: DataFrame, state: DataFrame, kept: list[str]) -> DataFrame:
+def _jump(pending: DataFrame, state: DataFrame, kept: list[str], total: int) -> DataFrame:
     """Move every pending node's pointer to where its ancestor points."""
     above = state.select(
         "tree_id",
@@ -89,7 +89,7 @@ def _jump(pending: DataFrame, state: DataFrame, kept: list[str]) -> DataFrame:
         F.col("dist").alias("above_dist"),
         F.col("hops").alias("above_hops"),
     )
-    return pending.join(above, ["tree_id", "anc"]).select(
+    return join_skewed(pending, above, ["tree_id", "anc"], total).select(
         *NODE,
         F.col("next_anc").alias("anc"),
         (F.col("dist") + F.col("above_dist")).alias("dist"),
@@ -386,13 +386,14 @@ def prune(edges: DataFrame, tips: DataFrame, mode: str = "time") -> DataFrame:
         (F.col("anc").isNull() | F.col("anc_kept")).alias("done"),
     )
     state = materialize(state)
-    while not state.where("not done").isEmpty():
+    while n_pending := state.where("not done").count():
         above = state.select(
             "tree_id", F.col("node_id").alias("anc"), F.col("anc").alias("next_anc"),
             F.col("span").alias("above_span"), F.col("child_ord").alias("above_ord"),
             F.col("done").alias("above_done"),
         )
-        jumped = state.where("not done").join(above, ["tree_id", "anc"]).select(
+        pending = state.where("not done")
+        jumped = join_skewed(pending, above, ["tree_id", "anc"], n_pending).select(
             *NODE, "label", "is_tip", "kept",
             F.col("next_anc").alias("anc"),
             F.col("above_ord").alias("child_ord"),

@@ -77,14 +77,16 @@ def require_none(bad: DataFrame, message: str, column: str) -> None:
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Repartition a scan too coarse for the cluster before work that is heavy per
-    row; a scan with enough splits is left alone."""
+    row; a scan with enough splits, or a plan that shuffles anyway, is left alone."""
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     wanted = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
 
 
-def join_counted(many: DataFrame, one: DataFrame, key: str, total: int) -> DataFrame:
-    """Inner join of ``many`` with ``one``, which has one row per ``key`` and the
-    number ``n`` of rows of ``many`` with it, out of ``total``.
+def join_skewed(many: DataFrame, one: DataFrame, key, total: int) -> DataFrame:
+    """Inner join of a stored table ``many`` of at most ``total`` rows with ``one``,
+    which has one row per ``key``.
 
     Keys with more rows than ``HOT_ROWS`` and than one row in ``HOT_SHARE`` are
     fewer than ``HOT_SHARE``, so their side is broadcast and their rows stay
@@ -92,12 +94,13 @@ def join_counted(many: DataFrame, one: DataFrame, key: str, total: int) -> DataF
     task, whatever its share.
     """
     if total <= HOT_ROWS:
-        return many.join(one.drop("n"), key)
-    limit = max(HOT_ROWS, total // HOT_SHARE)
-    hot = one.where(F.col("n") > limit).drop("n")
-    cold = one.where(F.col("n") <= limit).drop("n")
-    rest = many.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return many.join(F.broadcast(hot), key).unionByName(rest.join(cold, key))
+        return many.join(one, key)
+    keys = [key] if isinstance(key, str) else list(key)
+    counted = many.groupBy(*keys).agg(F.count("*").alias("n"))
+    hot = counted.where(F.col("n") > max(HOT_ROWS, total // HOT_SHARE)).select(*keys)
+    rest = many.join(F.broadcast(hot), keys, "left_anti")
+    hot_one = one.join(F.broadcast(hot), keys, "left_semi")
+    return many.join(F.broadcast(hot_one), keys).unionByName(rest.join(one, keys))
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:

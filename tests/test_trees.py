@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cladeframe import runtime
 from cladeframe.operators import checks as V
 from cladeframe.operators import trees as T
 from cladeframe.sources import newick as N
@@ -83,7 +84,10 @@ def chains(rows_):
 
 
 @pytest.mark.parametrize("ladder", [False, True])
-def test_ancestors_mrca_and_pruning_against_walking(trees, spark, ladder):
+def test_ancestors_mrca_and_pruning_against_walking(trees, spark, ladder, monkeypatch):
+    # the hot-key path of the joins, for a tree far below its threshold
+    monkeypatch.setattr(runtime, "HOT_ROWS", 4)
+    monkeypatch.setattr(runtime, "HOT_SHARE", 20)
     rng = random.Random(5)
     e = trees(t=random_tree(40, rng, ladder)).drop("error").cache()
     nodes = e.collect()
@@ -155,6 +159,14 @@ def test_class_and_turnover_checks(trees, table, rows):
     assert ("a", "not_ultrametric") in codes(V.validate_turnover_inputs(cells, trees(a=ADDITIVE)))
 
 
+def test_star_tree_through_the_hot_path(trees, monkeypatch):
+    monkeypatch.setattr(runtime, "HOT_ROWS", 4)
+    monkeypatch.setattr(runtime, "HOT_SHARE", 20)
+    star = "(" + ",".join(f"t{i}:{i + 1}" for i in range(60)) + "):2;"
+    got = {r["label"]: r["depth"] for r in T.tip_depths(trees(s=star)).collect()}
+    assert got == {f"t{i}": i + 3.0 for i in range(60)}
+
+
 def test_cycle_is_an_error(spark):
     from cladeframe.runtime import DataError
 
