@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from cladeframe.catalog.registry import Tables
 
-from . import decontaminate, mixing, quality_rules, url_filter
-from .text import WHITE
+from . import cross_parsing, decontaminate, mixing, quality_rules, sharding, subword_quality, token_files, url_filter
+from .text import whole
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +120,48 @@ SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JO
 def _(t):
     rules = t.spark.createDataFrame(list(RULES), "host string, path string, verdict string")
     return url_filter.judge(t.pages, rules)
+
+
+@query("op1_histogram_sort")
+def _(t):
+    size = F.octet_length(whole(F.col("text"))).cast("long") + 16
+    narrow = t.documents.select(
+        "doc_id", size.alias("size"), F.crc32(whole(F.col("text"))).alias("text_crc32"),
+        F.xxhash64("text").alias("text_hash"),
+    )
+    sharded = sharding.histogram_shards(narrow, ["text_hash", "doc_id"], "size", shards=40)
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def remainder(key, n: int):
+    return F.pmod(F.crc32(F.col(key).cast("string")), F.lit(n))
+
+
+@query("op3_subword_embeddings")
+def _(t):
+    model = subword_quality.fit(t.documents, t.labels, learn=remainder("key", 4) != 2)
+    scored = t.documents.select(
+        "doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        subword_quality.score(F.col("text"), model).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query("op5_orc_files")
+def _(t):
+    import public_tokenizers
+
+    return token_files.encode_and_index(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op8_cross_parsing")
+def _(t):
+    model = cross_parsing.fit(t.documents, learn=remainder("doc_id", 3) != 1)
+    judged = t.documents.select(
+        "doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        cross_parsing.identify(F.col("text"), model).alias("found"),
+    )
+    return judged.select("doc_id", "held_out", "found.lang_pred", "found.score")
