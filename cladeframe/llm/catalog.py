@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cladeframe.catalog.registry import Tables
 
-from . import cross_parsing, decontaminate, mixing, quality_rules, sharding, subword_quality, token_files, url_filter
+from . import cross_parsing, decontaminate, mixing, quality_rules, repeats, sharding, subword_quality, token_files, url_filter
 from .text import whole
 
 QUERIES: dict = {}
@@ -165,3 +165,12 @@ def _(t):
         cross_parsing.identify(F.col("text"), model).alias("found"),
     )
     return judged.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+@query("op10_radix_suffixes")
+def _(t):
+    cut = repeats.remove_repeats(t.documents)
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
