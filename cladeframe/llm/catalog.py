@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cladeframe.catalog.registry import Tables
 
-from . import cross_parsing, decontaminate, mixing, quality_rules, repeats, sharding, subword_quality, token_files, url_filter
+from . import cross_parsing, decontaminate, jaccard_join, mixing, quality_rules, repeats, sharding, subword_quality, token_files, url_filter
 from .text import whole
 
 QUERIES: dict = {}
@@ -174,3 +174,8 @@ def _(t):
         "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op4_token_group_matrix")
+def _(t):
+    return jaccard_join.similar_documents(t.documents)
