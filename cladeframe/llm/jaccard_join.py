@@ -11,7 +11,7 @@ of ``PERCENT`` or more, and returns each document's connected component.
    that must contain a common one (its first fifth in a global order) is in the group's
    union, and the sizes allow it; other groups are bounded out unseen.
 4. Only qualifying groups of others are opened: the members that share the token are
-   compared exactly.
+   bounded by bit maps of their sets, and those that may be similar compared exactly.
 
 The bound is exact for any global order of tokens, so no link between different texts is
 lost.  The order only matters for cost: by hash, but the most frequent tokens last
@@ -210,36 +210,71 @@ def _count_order(texts: DataFrame, n_docs: int) -> _Order:
     return _Order(shift, bits_each, seen, top["hot"].to_numpy(np.int64).view(np.uint64), level)
 
 
+def bit_map(tokens: np.ndarray) -> bytes:
+    """Bits of the tokens of a set, two to four for each token."""
+    k = max(8, (2 * len(tokens)).bit_length())
+    bits = np.zeros(1 << k, np.uint8)
+    bits[tokens >> np.uint64(64 - k)] = 1
+    return np.packbits(bits).tobytes()
+
+
+def most_common(n: int, x: bytes, m: int, y: bytes) -> int:
+    """No more tokens than this are in both of two sets of ``n`` and ``m`` tokens: a bit
+    that only one map has stands for a token that only its set has."""
+    a, b = (np.unpackbits(np.frombuffer(z, np.uint8)) for z in (x, y))
+    if len(a) > len(b):
+        a = a.reshape(len(b), -1).any(axis=1)
+    elif len(b) > len(a):
+        b = b.reshape(len(a), -1).any(axis=1)
+    return min(n - int((a > b).sum()), m - int((b > a).sum()))
+
+
 def _sketch(order: _Order, key_type: str):
     def run(batches):
         for b in batches:
             keys = [b.column(i) for i in range(3)]
-            sizes, sums, xors, tokens = [], [], [], []
+            sizes, sums, xors, tokens, maps = [], [], [], [], []
             for s in _sets(b.column(3).to_pylist()):
                 sizes.append(len(s))
                 sums.append(int(s.sum(dtype=np.uint64)))
                 xors.append(int(np.bitwise_xor.reduce(mix(s + np.uint64(1)))) if len(s) else 0)
                 tokens.append(order.prefix(s).view(np.int64) if len(s) else np.zeros(0, np.int64))
+                maps.append(bit_map(s))
             offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *tokens])))
             digests = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (sums, xors)]
             yield pa.RecordBatch.from_arrays(
-                [*keys, pa.array(sizes, pa.int64()), *digests, lists], names=["k", "h", "key", "n", "d1", "d2", "tokens"]
+                [*keys, pa.array(sizes, pa.int64()), *digests, lists, pa.array(maps, pa.binary())],
+                names=["k", "h", "key", "n", "d1", "d2", "tokens", "map"],
             )
 
-    return run, f"k long, h long, key {key_type}, n long, d1 long, d2 long, tokens array<long>"
+    return run, f"k long, h long, key {key_type}, n long, d1 long, d2 long, tokens array<long>, map binary"
 
 
 def _similar_size(x: str, y: str):
     return (F.least(x, y) * 100 >= F.greatest(x, y) * PERCENT)
 
 
-def _verify(pairs: DataFrame, keys: DataFrame, texts: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     """The stored ``pairs`` (``x, y``) whose sets are similar.
 
-    Sets are made from the texts of the sets in question; each set travels once to each
-    of its pairs.  ``keys`` has the place (``k, h``) of every set's text.
+    ``sets`` has every set's size, bit map and the place (``k, h``) of its text.  Maps
+    rule out most pairs; the sets of the others are made from their texts, and each
+    travels once to each of its pairs.
     """
+    def possible(batches):
+        for b in batches:
+            keep = []
+            for n, x, m, y in zip(*[b.column(i).to_pylist() for i in (2, 3, 4, 5)]):
+                most = most_common(n, x, m, y)
+                keep.append(100 * most >= PERCENT * (n + m - most))
+            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    x = sets.select(F.col("uid").alias("x"), F.col("n").alias("nx"), F.col("map").alias("mx"))
+    y = sets.select(F.col("uid").alias("y"), F.col("n").alias("ny"), F.col("map").alias("my"))
+    bounded = pairs.join(x, "x").join(y, "y").select("x", "y", "nx", "mx", "ny", "my")
+    pairs = materialize(bounded.mapInArrow(possible, "x long, y long"))
+
     def hashed(batches):
         for b in batches:
             ids = b.column(0).to_pylist()
@@ -253,16 +288,15 @@ def _verify(pairs: DataFrame, keys: DataFrame, texts: DataFrame) -> DataFrame:
                 s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
                 both = np.intersect1d(s, t, assume_unique=True).size
                 keep.append(100 * both >= PERCENT * (len(s) + len(t) - both))
-            b = b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-            yield b
+            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     wanted = pairs.select(F.col("x").alias("uid")).unionByName(pairs.select(F.col("y").alias("uid"))).distinct()
-    places = materialize(keys.join(wanted, "uid", "left_semi").select("uid", "k", "h"))
+    places = materialize(sets.join(wanted, "uid", "left_semi").select("uid", "k", "h"))
     bits = bloom(places, "k", "h")
     found = texts.where(passes(bits, "k", "h")).join(places, ["k", "h"]).dropDuplicates(["uid"])
-    sets = materialize(found.select("uid", "text").mapInArrow(hashed, "uid long, tokens binary"))
-    left = pairs.join(sets.select(F.col("uid").alias("x"), F.col("tokens").alias("s")), "x")
-    both = left.join(sets.select(F.col("uid").alias("y"), F.col("tokens").alias("t")), "y")
+    opened = materialize(found.select("uid", "text").mapInArrow(hashed, "uid long, tokens binary"))
+    left = pairs.join(opened.select(F.col("uid").alias("x"), F.col("tokens").alias("s")), "x")
+    both = left.join(opened.select(F.col("uid").alias("y"), F.col("tokens").alias("t")), "y")
     return materialize(both.select("x", "y", "s", "t").mapInArrow(similar, "x long, y long"))
 
 
@@ -279,7 +313,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     same = ["n", "d1", "d2"]
     sets = materialize(rows.where("n > 0").groupBy(*same).agg(F.min("uid").alias("uid"), F.min("key").alias("low")))
     one = rows.join(sets.select("uid"), "uid", "left_semi")
-    one = materialize(one.select("uid", "k", "h", "n", "tokens"))
+    one = materialize(one.select("uid", "k", "h", "n", "tokens", "map"))
 
     # groups: each set is compared with the first set that has one of its tokens
     tokens = one.select("uid", "n", F.explode("tokens").alias("token"))
@@ -323,10 +357,10 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents whose id is their component's, with their columns; of rows with
-    equal ids and texts one stays, rows without words and rows without an id all stay."""
+    """The documents whose id is their component's, with their columns.  Rows with equal
+    ids stay or go together; rows without words and rows without an id stay."""
     found = similar_documents(docs, key, text)
     keep = found.where((F.col(key) == F.col("component_id")) | F.col(key).isNull()).select(F.col(key).alias("k")).distinct()
-    row = docs.select(F.struct("*").alias("row"), F.col(key).alias("k"), whole(F.col(text)).alias("t"))
+    row = docs.select(F.struct("*").alias("row"), F.col(key).alias("k"))
     kept = row.join(keep, row["k"].eqNullSafe(keep["k"]), "left_semi")
     return kept.select("row.*")
