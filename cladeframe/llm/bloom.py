@@ -15,6 +15,8 @@ from .rolling import mix
 
 BITS = 1 << 25
 HASHES = 3
+#: Words of the filter that are packed into one row on their way to the driver.
+BLOCK = 1 << 12
 
 
 def _places(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
@@ -31,10 +33,17 @@ def bloom(keys: DataFrame, a: str, b: str) -> np.ndarray:
             at = np.unique(np.concatenate(_places(d["a"].to_numpy(), d["b"].to_numpy())))
             yield pd.DataFrame({"word": (at >> np.uint64(6)).astype(np.int64), "bits": (np.uint64(1) << (at & np.uint64(63))).view(np.int64)})
 
+    def block(part: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(BLOCK, np.uint64)
+        bits[part["word"].to_numpy() % BLOCK] = part["bits"].to_numpy().view(np.uint64)
+        return pd.DataFrame({"block": [part["word"].iat[0] // BLOCK], "bits": [bits.tobytes()]})
+
     words = keys.select(F.col(a).alias("a"), F.col(b).alias("b")).mapInPandas(place, "word long, bits long")
-    got = words.groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toPandas()  # BITS / 64 rows at most
+    words = words.groupBy("word").agg(F.expr("bit_or(bits)").alias("bits"))
+    blocks = words.groupBy(F.floor(F.col("word") / BLOCK)).applyInPandas(block, "block long, bits binary")
     bits = np.zeros(BITS // 64, np.uint64)
-    bits[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
+    for r in blocks.collect():  # BITS bits in all
+        bits[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["bits"], np.uint64)
     return bits
 
 

@@ -9,7 +9,8 @@ of ``PERCENT`` or more, and returns each document's connected component.
 3. The token-group matrix holds, for each token of a group's union, the group and the
    range of its set sizes.  A set overlaps with a group enough only if one of the tokens
    that must contain a common one (its first fifth in a global order) is in the group's
-   union, and the sizes allow it; other groups are bounded out unseen.
+   union, and the sizes and the number of tokens that it has alone allow it; other groups
+   are bounded out unseen.
 4. Only qualifying groups of others are opened: the members that share the token are
    bounded by bit maps of their sets, and those that may be similar compared exactly.
 
@@ -48,8 +49,6 @@ HOT_TOKENS = 500_000
 FREQUENT = 64
 #: Bits of the map of tokens that occur more than once; it travels to every task.
 SEEN_BITS = 1 << 27
-#: The part of the hash range that is counted, enough for the first fifth of a set.
-COUNTED = int(0.35 * 2**64)
 CHUNK = 1 << 19
 #: Tokens that a task counts before it passes them on.
 FLUSH = 1 << 20
@@ -110,59 +109,45 @@ class _Order:
         self.shift, self.bits_each, self.seen, self.hot, self.level = shift, bits_each, seen, hot, level
 
     def repeated(self, tokens: np.ndarray) -> np.ndarray:
-        """Whether tokens may occur in more than one document."""
-        short = tokens >> np.uint64(14)
+        """Whether tokens may occur in more than one document; False is certain."""
+        short = (tokens >> np.uint64(self.shift - 32)) & np.uint64(0xFFFFFFFF)
         place = (tokens >> np.uint64(self.shift)) * np.uint64(self.bits_each) + short % np.uint64(self.bits_each)
-        place = np.minimum(place, np.uint64(len(self.seen) * 8 - 1))
-        bit = (self.seen[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
-        return (bit > 0) | (tokens >= np.uint64(COUNTED))
+        return ((self.seen[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1) > 0
 
-    def prefix(self, tokens: np.ndarray) -> np.ndarray:
+    def prefix(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         """The tokens of a set of which one is common with any similar set, without
-        those that are in no other set."""
-        n = len(tokens)
-        size = n - -(-PERCENT * n // 100) + 1
-        counted = int(np.searchsorted(tokens, np.uint64(COUNTED)))
-        part = tokens[:counted]
-        maybe = self.repeated(part)
-        hot = np.zeros(counted, bool)
-        if maybe.any() and len(self.hot):
-            some = part[maybe] >> np.uint64(14)
+        those that are in no other set; how many tokens are left from each to the end
+        of the order; and how many of the whole set may be in others."""
+        size = len(tokens) - -(-PERCENT * len(tokens) // 100) + 1
+        maybe = self.repeated(tokens)
+        level = np.zeros(len(tokens), np.int8)
+        if len(self.hot):
+            some = tokens[maybe] >> np.uint64(self.shift - 32)
             at = np.minimum(np.searchsorted(self.hot, some), len(self.hot) - 1)
-            hot[maybe] = self.hot[at] == some
-        cold = np.flatnonzero(~hot)[:size]
-        kept = part[cold][maybe[cold]]
-        left = size - len(cold)
-        if left > 0:
-            rest = tokens[counted : counted + left]
-            left -= len(rest)
-            kept = np.concatenate([kept, rest])
-        if left > 0:
-            some = part[hot]
-            level = self.level[np.searchsorted(self.hot, some >> np.uint64(14))]
-            kept = np.concatenate([kept, some[np.lexsort((some, level))][:left]])
-        return kept
+            level[maybe] = np.where(self.hot[at] == some, self.level[at], 0)
+        first = np.argsort(level, kind="stable")[:size]
+        place = np.flatnonzero(maybe[first])
+        return tokens[first[place]], (len(tokens) - place).astype(np.int32), int(maybe.sum())
 
 
 def _count_order(texts: DataFrame, n_docs: int) -> _Order:
     """Count the tokens of all documents in packed form and derive the order.
 
-    Each task sends, per range of hashes, its distinct tokens (40 bits beyond the
-    range) and their counts; a range is summed in one group of bounded size, as the
+    Each task sends, per range of hashes, its distinct tokens (32 bits beyond those of
+    the range) and their counts; a range is summed in one group of bounded size, as the
     number of ranges follows the number of documents.
     """
     ranges = 1 << min(22, max(6, (n_docs // 256).bit_length()))
     shift = 64 - (ranges.bit_length() - 1)
-    used = (COUNTED >> shift) + 1
-    bits_each = max(8, SEEN_BITS // used // 8 * 8)
+    bits_each = max(8, SEEN_BITS // ranges)
 
     def pack(held: list[np.ndarray]):
-        tokens, counts = np.unique(np.concatenate(held) >> np.uint64(14), return_counts=True)
-        part = (tokens >> np.uint64(shift - 14)).astype(np.int64)
+        tokens, counts = np.unique(np.concatenate(held) >> np.uint64(shift - 32), return_counts=True)
+        part = (tokens >> np.uint64(32)).astype(np.int64)
         cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         ends = np.append(cut[1:], len(part))
         small = np.minimum(counts, 255).astype(np.uint8)
-        low = tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
+        low = tokens.astype("<u4")
         yield pd.DataFrame({
             "part": part[cut],
             "tokens": [low[i:j].tobytes() for i, j in zip(cut, ends)],
@@ -173,7 +158,6 @@ def _count_order(texts: DataFrame, n_docs: int) -> _Order:
         held, total = [], 0
         for b in batches:
             for s in _sets(b.column(0).to_pylist()):
-                s = s[: np.searchsorted(s, np.uint64(COUNTED))]
                 held.append(s)
                 total += len(s)
                 if total >= FLUSH:
@@ -183,24 +167,22 @@ def _count_order(texts: DataFrame, n_docs: int) -> _Order:
             yield from map(pa.RecordBatch.from_pandas, pack(held))
 
     def add_up(part: pd.DataFrame) -> pd.DataFrame:
-        low = np.frombuffer(b"".join(part["tokens"]), np.uint8).reshape(-1, 7)
-        wide = np.zeros((len(low), 8), np.uint8)
-        wide[:, :7] = low
-        tokens = wide.view("<u8").ravel()
+        tokens = np.frombuffer(b"".join(part["tokens"]), "<u4")
         counts = np.frombuffer(b"".join(part["counts"]), np.uint8)
         tokens, where = np.unique(tokens, return_inverse=True)
         counts = np.bincount(where, counts)
         flags = np.zeros(bits_each, np.uint8)
-        flags[tokens[counts > 1] % np.uint64(bits_each)] = 1
+        flags[tokens[counts > 1] % bits_each] = 1
         hot = counts > FREQUENT
+        number = int(part["part"].iat[0])
         return pd.DataFrame({
-            "part": [part["part"].iat[0]], "seen": [np.packbits(flags, bitorder="little").tobytes()],
-            "hot": [tokens[hot].astype(np.int64)], "n": [counts[hot].astype(np.int64)],
+            "part": [number], "seen": [np.packbits(flags, bitorder="little").tobytes()],
+            "hot": [tokens[hot].astype(np.int64) + (number << 32)], "n": [counts[hot].astype(np.int64)],
         })
 
     packed = texts.mapInArrow(count, "part long, tokens binary, counts binary")
     parts = materialize(packed.groupBy("part").applyInPandas(add_up, "part long, seen binary, hot array<long>, n array<long>"))
-    seen = np.zeros(used * bits_each // 8, np.uint8)
+    seen = np.zeros(ranges * bits_each // 8, np.uint8)
     each = bits_each // 8
     for r in parts.select("part", "seen").toLocalIterator():  # SEEN_BITS bits in all
         seen[r["part"] * each : (r["part"] + 1) * each] = np.frombuffer(r["seen"], np.uint8)
@@ -233,26 +215,40 @@ def _sketch(order: _Order, key_type: str):
     def run(batches):
         for b in batches:
             keys = [b.column(i) for i in range(3)]
-            sizes, sums, xors, tokens, maps = [], [], [], [], []
+            sizes, sums, xors, tokens, rests, shared, maps = [], [], [], [], [], [], []
             for s in _sets(b.column(3).to_pylist()):
                 sizes.append(len(s))
                 sums.append(int(s.sum(dtype=np.uint64)))
                 xors.append(int(np.bitwise_xor.reduce(mix(s + np.uint64(1)))) if len(s) else 0)
-                tokens.append(order.prefix(s).view(np.int64) if len(s) else np.zeros(0, np.int64))
+                first, rest, others = order.prefix(s)
+                tokens.append(first.view(np.int64))
+                rests.append(rest)
+                shared.append(others)
                 maps.append(bit_map(s))
             offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *tokens])))
+            flat = np.concatenate([np.zeros(0, np.int64), *tokens]), np.concatenate([np.zeros(0, np.int32), *rests])
+            lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in flat]
             digests = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (sums, xors)]
             yield pa.RecordBatch.from_arrays(
-                [*keys, pa.array(sizes, pa.int64()), *digests, lists, pa.array(maps, pa.binary())],
-                names=["k", "h", "key", "n", "d1", "d2", "tokens", "map"],
+                [*keys, pa.array(sizes, pa.int64()), *digests, *lists, pa.array(shared, pa.int64()), pa.array(maps, pa.binary())],
+                names=["k", "h", "key", "n", "d1", "d2", "tokens", "rests", "v", "map"],
             )
 
-    return run, f"k long, h long, key {key_type}, n long, d1 long, d2 long, tokens array<long>, map binary"
+    return run, f"k long, h long, key {key_type}, n long, d1 long, d2 long, tokens array<long>, rests array<int>, v long, map binary"
 
 
-def _similar_size(x: str, y: str):
-    return (F.least(x, y) * 100 >= F.greatest(x, y) * PERCENT)
+def _may_link(n, v, m, w):
+    """Whether sets of ``n`` and ``m`` tokens, of which ``v`` and ``w`` may be in other
+    sets, can have enough in common."""
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT) & (
+        F.least(v, w) * (100 + PERCENT) >= (F.col(n) + F.col(m)) * PERCENT
+    )
+
+
+def _first_common(n, rest, m, other):
+    """Whether a common token of sets of ``n`` and ``m`` tokens can be their first in
+    the order, with ``rest`` and ``other`` tokens left from it on."""
+    return F.least(rest, other) * (100 + PERCENT) >= (F.col(n) + F.col(m)) * PERCENT
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
@@ -313,30 +309,35 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     same = ["n", "d1", "d2"]
     sets = materialize(rows.where("n > 0").groupBy(*same).agg(F.min("uid").alias("uid"), F.min("key").alias("low")))
     one = rows.join(sets.select("uid"), "uid", "left_semi")
-    one = materialize(one.select("uid", "k", "h", "n", "tokens", "map"))
-
-    # groups: each set is compared with the first set that has one of its tokens
-    tokens = one.select("uid", "n", F.explode("tokens").alias("token"))
-    first = tokens.groupBy("token").agg(F.min(F.struct("uid", "n")).alias("f"), F.count("*").alias("c")).where("c > 1")
+    one = materialize(one.select("uid", "k", "h", "n", "v", "tokens", "rests", "map"))
+
+    # groups: each set is compared with the most common set that has one of its tokens,
+    # the one with the fewest tokens of its own
+    each = F.explode(F.arrays_zip(F.col("tokens").alias("token"), F.col("rests").alias("rest"))).alias("t")
+    tokens = one.select("uid", "n", "v", each).select("uid", "n", "v", "t.*")
+    central = F.struct((1 - F.col("v") / F.col("n")).alias("own"), "uid", "n", "v", "rest")
+    first = tokens.groupBy("token").agg(F.min(central).alias("f"), F.count("*").alias("c")).where("c > 1")
     met = tokens.join(first.select("token", "f"), "token").where(F.col("uid") != F.col("f.uid"))
-    met = met.where(_similar_size("n", "f.n"))
+    met = met.where(_may_link("n", "v", "f.n", "f.v") & _first_common("n", "rest", "f.n", "f.rest"))
     pairs = materialize(met.select(F.col("uid").alias("x"), F.col("f.uid").alias("y")).distinct())
     links = _verify(pairs, one, texts.select("k", "h", "text"))
     grouped = materialize(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))))
 
     # the token-group matrix, over tokens that more than one group has
     group = F.coalesce("component", "uid").alias("g")
-    owned = one.join(grouped.withColumnRenamed("node", "uid"), "uid", "left").select("uid", "n", "tokens", group)
-    owned = materialize(owned).select("uid", "n", "g", F.explode("tokens").alias("token"))
+    owned = one.join(grouped.withColumnRenamed("node", "uid"), "uid", "left").select("uid", "n", "v", "tokens", "rests", group)
+    owned = materialize(owned).select("uid", "n", "v", "g", each).select("uid", "n", "v", "g", "t.*")
     shared = owned.groupBy("token").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a <> b").select("token")
     cells = materialize(owned.join(shared, "token", "left_semi"))
-    matrix = cells.groupBy("token", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    matrix = cells.groupBy("token", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
     q, m = cells.alias("q"), matrix.alias("m")
     reach = (F.col("m.most") * 100 >= F.col("q.n") * PERCENT) & (F.col("m.least") * PERCENT <= F.col("q.n") * 100)
+    reach &= F.col("q.v") * (100 + PERCENT) >= (F.col("q.n") + F.col("m.least")) * PERCENT
+    reach &= _first_common("q.n", "q.rest", "m.least", "m.rest")
     qualify = q.join(m, "token").where((F.col("q.g") != F.col("m.g")) & reach)
-    qualify = qualify.select("token", "q.uid", "q.n", F.col("m.g").alias("g"))
-    s = cells.select("token", "g", F.col("uid").alias("y"), F.col("n").alias("ny"))
-    opened = qualify.join(s, ["token", "g"]).where((F.col("uid") > F.col("y")) & _similar_size("n", "ny"))
+    qualify = qualify.select("token", "q.uid", "q.n", "q.v", "q.rest", F.col("m.g").alias("g"))
+    s = cells.select("token", "g", F.col("uid").alias("y"), F.col("n").alias("ny"), F.col("v").alias("vy"), F.col("rest").alias("ry"))
+    opened = qualify.join(s, ["token", "g"]).where((F.col("uid") > F.col("y")) & _may_link("n", "v", "ny", "vy") & _first_common("n", "rest", "ny", "ry"))
     opened = opened.select(F.col("uid").alias("x"), "y").distinct().join(pairs, ["x", "y"], "left_anti")
     more = _verify(materialize(opened), one, texts.select("k", "h", "text"))
 

@@ -204,8 +204,9 @@ def _sort_out(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     ))
     edge = (F.col("n") == 1) & F.col("own")
     split = classes.groupBy("core").agg(F.sum("n").alias("n"), F.max(edge).alias("edge")).where("n > 1 AND edge")
+    split = materialize(split.select("core"))  # stored, so that the join can divide a core's classes
     at = F.when(edge, F.col("one.at")).otherwise(F.col("one.at").bitwiseOR(WITNESS))
-    following = classes.join(split.select("core"), "core", "left_semi").select("one.k", "one.h", at.alias("at"))
+    following = classes.join(split, "core", "left_semi").select("one.k", "one.h", at.alias("at"))
     done = alive.where(own).join(classes.where("n > 1").select(*pairs), pairs, "left_semi").select(*KEY, "at")
     return materialize(done), materialize(following)
 
