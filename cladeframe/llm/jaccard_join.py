@@ -51,7 +51,7 @@ FREQUENT = 64
 SEEN_BITS = 1 << 27
 CHUNK = 1 << 19
 #: Tokens that a task counts before it passes them on.
-FLUSH = 1 << 20
+FLUSH = 1 << 18
 
 _factors = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _lower = np.arange(256, dtype=np.uint8)
@@ -91,14 +91,16 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return sets
 
 
-def _sets(texts: list[bytes]):
+def _sets(column: pa.Array):
     """The sets of many texts, hashed a chunk at a time."""
-    low = total = 0
-    for i, t in enumerate(texts):
-        total += len(t)
-        if total >= CHUNK or i == len(texts) - 1:
-            yield from shingle_sets(texts[low : i + 1])
-            low, total = i + 1, 0
+    held, total = [], 0
+    for text in column:
+        held.append(text.as_py())
+        total += len(held[-1])
+        if total >= CHUNK:
+            yield from shingle_sets(held)
+            held, total = [], 0
+    yield from shingle_sets(held)
 
 
 class _Order:
@@ -157,7 +159,7 @@ def _count_order(texts: DataFrame, n_docs: int) -> _Order:
     def count(batches):
         held, total = [], 0
         for b in batches:
-            for s in _sets(b.column(0).to_pylist()):
+            for s in _sets(b.column(0)):
                 held.append(s)
                 total += len(s)
                 if total >= FLUSH:
@@ -213,10 +215,10 @@ def most_common(n: int, x: bytes, m: int, y: bytes) -> int:
 
 def _sketch(order: _Order, key_type: str):
     def run(batches):
-        for b in batches:
+        for b in (x.slice(i, 1000) for x in batches for i in range(0, x.num_rows, 1000)):
             keys = [b.column(i) for i in range(3)]
             sizes, sums, xors, tokens, rests, shared, maps = [], [], [], [], [], [], []
-            for s in _sets(b.column(3).to_pylist()):
+            for s in _sets(b.column(3)):
                 sizes.append(len(s))
                 sums.append(int(s.sum(dtype=np.uint64)))
                 xors.append(int(np.bitwise_xor.reduce(mix(s + np.uint64(1)))) if len(s) else 0)
@@ -274,7 +276,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     def hashed(batches):
         for b in batches:
             ids = b.column(0).to_pylist()
-            sets = [s.tobytes() for s in _sets(b.column(1).to_pylist())]
+            sets = [s.tobytes() for s in _sets(b.column(1))]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["uid", "tokens"])
 
     def similar(batches):

@@ -17,13 +17,13 @@ An empty table gives a folder without rows.
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +35,10 @@ STRIDE = 1000
 STRIPE_BYTES = 64 << 20
 #: Distinct pieces a worker remembers before it starts anew; a matter of memory only.
 REMEMBERED = 500_000
-#: White space other than single spaces and line breaks, or the text of a special token.
-IRREGULAR = re.compile(r"\s\s|[^\S \n]|<\|")
+#: White space other than single spaces and line breaks, or the start of a special token.
+IRREGULAR = (
+    r"[ \n][ \n]|[\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|<\|"
+)
 
 
 class Encoder:
@@ -65,13 +67,15 @@ class Encoder:
             self.spaced[piece] = packed[4 * low : 4 * end]
             low = end + 1
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, column: pa.Array) -> list[bytes]:
         """The ids of each whole text."""
+        irregular = pc.match_substring_regex(column, IRREGULAR).to_pylist()
+        texts = column.to_pylist()
         if len(self.spaced) > REMEMBERED:
             self.spaced.clear()
         get, parts, new = self.spaced.get, [], set()
-        for text in texts:
-            if IRREGULAR.search(text):
+        for text, odd in zip(texts, irregular):
+            if odd:
                 parts.append(None)
                 continue
             pieces = text.replace("\n", " \n").split(" ")
@@ -119,7 +123,7 @@ def write_tokens(
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                packed = [ids + end for ids in encoder.encode(part.column(1).to_pylist())]
+                packed = [ids + end for ids in encoder.encode(part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), _lists(packed)], names=["key", "ids"])
 
     rows = docs.select(F.col(key).alias("key"), whole(F.col(text)).alias("text"))
