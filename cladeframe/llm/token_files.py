@@ -54,18 +54,33 @@ class Encoder:
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32).tobytes()
 
-    def learn(self, pieces: list[str]) -> None:
-        """Encode pieces, each with a space before it, in one call: line breaks between
-        them are tokens of their own."""
+    def together(self, pieces: list[str], before: str) -> list[bytes]:
+        """Encode pieces, each with ``before`` before it, in one call: line breaks
+        between them are tokens of their own."""
         if not pieces:
-            return
-        ids = self.tokenizer.encode_batch_fast([" " + "\n ".join(pieces)], add_special_tokens=False)[0].ids
-        ids = np.array(ids, np.int32)
+            return []
+        text = before + f"\n{before}".join(pieces)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
         ends = np.append(np.flatnonzero(ids == np.frombuffer(self.line_break, np.int32)[0]), len(ids))
-        packed, low = ids.tobytes(), 0
-        for piece, end in zip(pieces, ends.tolist()):
-            self.spaced[piece] = packed[4 * low : 4 * end]
+        packed, low, out = ids.tobytes(), 0, []
+        for end in ends.tolist():
+            out.append(packed[4 * low : 4 * end])
             low = end + 1
+        return out
+
+    def learn(self, new: set[str]) -> None:
+        """Encode pieces: a word stands for itself after a space, ``\\n`` and a word for
+        itself after a line break, ``\\n\\n`` and a word for the start of a text."""
+        spaced = [p for p in new if p and p[0] != "\n"]
+        self.spaced.update(zip(spaced, self.together(spaced, " ")))
+        bare = list({p.lstrip("\n") for p in new if p[:1] == "\n"} - {""})
+        ids = dict(zip(bare, self.together(bare, "")), **{"": b""})
+        for p in new:
+            if p[:1] == "\n":
+                start = b"" if p[:2] == "\n\n" else self.line_break
+                self.spaced[p] = start + ids[p.lstrip("\n")]
+        if "" in new:
+            self.spaced[""] = self.ids(" ")  # a space at the end of the text
 
     def encode(self, column: pa.Array) -> list[bytes]:
         """The ids of each whole text."""
@@ -79,17 +94,12 @@ class Encoder:
                 parts.append(None)
                 continue
             pieces = text.replace("\n", " \n").split(" ")
-            pieces[0] = "\0" + pieces[0]  # no space before it
+            pieces[0] = "\n\n" + pieces[0]
             known = list(map(get, pieces))
             if None in known:
                 new.update(p for p, k in zip(pieces, known) if k is None)
             parts.append((pieces, known))
-        self.learn([p for p in new if p[:1] not in ("\n", "\0") and "\0" not in p])
-        for p in new:
-            if p[:1] == "\n":
-                self.spaced[p] = self.line_break + (self.ids(p[1:]) if p[1:] else b"")
-            elif "\0" in p:
-                self.spaced[p] = self.ids(p[1:] if p[0] == "\0" else " " + p)
+        self.learn(new)
         seen = self.spaced
         return [
             self.ids(text) if part is None
