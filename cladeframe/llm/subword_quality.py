@@ -187,91 +187,6 @@ def fit(
     return train([(np.frombuffer(u, np.int32), np.frombuffer(w, np.float32), y) for _, y, u, w in texts])
 
 
-def score(self, texts: list[str | None]) -> list[float]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        parts = [marked(t) for t in texts]
-        new = list(set().union(*[p[0] for p in parts]).difference(self.known))
-        for low in range(0, len(new), 20_000):
-            some = new[low : low + 20_000]
-            self.known.update(zip(some, self.model.of_words(some).tolist()))
-        get, m, out = self.known.__getitem__, self.marks, []
-        for words, again, line_again in parts:
-            odds = sum(map(get, words)) + again * m[AGAIN] + line_again * m[LINE_AGAIN] + m[END]
-            out.append(odds / (len(words) + again + line_again + 1))
-        return (1 / (1 + np.exp(-np.clip(out, -50, 50)))).tolist()
-
-
-def document(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of a text and the weight of each in its average."""
-    words, again, line_again = marked(text)
-    counts = Counter(words)
-    counts.update({mark: n for mark, n in ((AGAIN, again), (LINE_AGAIN, line_again), (END, 1)) if n})
-    bucket, sizes = word_features(list(counts))
-    share = np.array(list(counts.values()), np.float64)
-    used, back = np.unique(bucket, return_inverse=True)
-    weight = np.bincount(back, np.repeat(share / share.sum() / sizes, sizes))
-    return used.astype(np.int32), weight.astype(np.float32)
-
-
-def train(texts: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> Model:
-    """Fit the vectors on ``(buckets, weights, label)`` of each text."""
-    if len({y for _, _, y in texts}) < 2:
-        return Model(np.zeros(BUCKETS, np.float32))
-    random = np.random.default_rng(seed)
-    vectors = random.random((BUCKETS, DIM), np.float32) * np.float32(2 / DIM) - np.float32(1 / DIM)
-    top = np.zeros((DIM, 2), np.float32)
-    steps, done = EPOCHS * len(texts), 0
-    for _ in range(EPOCHS):
-        for k in random.permutation(len(texts)):
-            used, share, y = texts[k]
-            rate = RATE * (1 - done / steps)
-            done += 1
-            hidden = share @ vectors[used]
-            z = hidden @ top
-            p = np.exp(z - z.max())
-            p /= p.sum()
-            p[y] -= 1
-            grad = top @ p
-            top -= rate * np.outer(hidden, p)
-            # a bucket's step does not shrink with the length of the text
-            vectors[used] -= (rate * len(used) ** 0.5) * share[:, None] * grad
-    return Model((vectors @ (top[:, 1] - top[:, 0])).astype(np.float32))
-
-
-def fit(
-    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
-    label: str = "quality", learn: Column | None = None, sample: int = SAMPLE,
-) -> Model:
-    """A model of ``label`` (1 or 0) learned from at most ``sample`` labelled documents;
-    ``learn`` is a condition on the key for rows that may be learned from."""
-    known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
-    allowed = F.lit(True) if learn is None else learn
-    known = known.where(F.col("label").isin(0, 1) & F.col("key").isNotNull() & F.coalesce(allowed, F.lit(False)))
-    chosen = known.orderBy(F.xxhash64("key"), "key", "label").limit(sample)
-    rows = docs.select(F.col(key).alias("key"), whole(F.col(text)).alias("text")).join(chosen, "key")
-    rows = rows.groupBy("key", "label").agg(F.min("text").alias("text"))
-
-    def count(batches):
-        for d in batches:
-            out = []
-            for t in d["text"]:
-                words, again, line_again = marked(t)
-                counts: dict[str, int] = {}
-                for w in words:
-                    counts[w] = counts.get(w, 0) + 1
-                for mark, n in ((AGAIN, again), (LINE_AGAIN, line_again), (END, 1)):
-                    if n:
-                        counts[mark] = counts.get(mark, 0) + n
-                out.append(counts)
-            yield pd.DataFrame({"key": d["key"].astype(str), "label": d["label"], "words": [list(c) for c in out], "n": [list(c.values()) for c in out]})
-
-    got = rows.mapInPandas(count, "key string, label int, words array<string>, n array<int>")
-    # at most ``sample`` documents, as counts of their distinct words
-    texts = sorted((r["key"], dict(zip(r["words"], r["n"])), r["label"]) for r in got.toLocalIterator())
-    return train([(c, y) for _, c, y in texts])
-
-
 def score(text: Column, model: Model) -> Column:
     """The probability of label 1, for every whole text."""
 
