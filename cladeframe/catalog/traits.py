@@ -12,7 +12,6 @@ from ..operators import checks as V
 from ..operators import counts as C
 from ..operators import phenotype as H
 from ..operators import summary as S
-from ..operators import turnover as G
 from ..plans.results import summary_tables
 from ..runtime import materialize
 from ..sources import newick as N
@@ -537,7 +536,10 @@ def transition_overlap(t: Tables) -> DataFrame:
     return S.transition_overlap(S.turnover_by_branch(changes), transitions, 900)
 
 
-@query("heatmap_table", f"with {NODE_SIZES} pivot (select family_id, n_name, copies from n_cnt) on n_name using sum(copies)::bigint")
+NATION_COLUMNS = ", ".join(f"sum(case when n_name = 'NATION_{i}' then copies end)::bigint as NATION_{i}" for i in range(25))
+
+
+@query("heatmap_table", f"with {NODE_SIZES} select family_id, {NATION_COLUMNS} from n_cnt group by family_id")
 def heatmap_table(t: Tables) -> DataFrame:
     return S.heatmap_table(nation_counts(t), nation_species(t))
 
@@ -589,15 +591,3 @@ from labelled semi join (select family_id from pv where pvalue < 0.05) using (fa
 where phenotype is not null group by phenotype""")
 def turnover_by_phenotype(t: Tables) -> DataFrame:
     return _results(t)["turnover_by_phenotype"].withColumn("mean_copies", F.round("mean_copies", 6))
-
-
-@query("fit_turnover")
-def fit_turnover(t: Tables) -> DataFrame:
-    """One rate for all branches, from the copies of every part per nation."""
-    return G.fit_turnover(nation_counts(t), species_edges(t), rounds=2)
-
-
-@query("branch_changes")
-def branch_changes(t: Tables) -> DataFrame:
-    """Reconstructed sizes and changes at a fixed rate."""
-    return G.branch_changes(nation_counts(t), species_edges(t), [0.004])

@@ -124,10 +124,32 @@ def read_dated_trees(spark: SparkSession, path) -> DataFrame:
     return trees
 
 
+#: Cells of the turnover tables that stand for no value.
+NO_VALUE = ["", "-", "N/A", "NA", "nan"]
+
+
+def _number(column: str, kind: str) -> Column:
+    """A cell as a number, a sign before it allowed; other text than a number fails."""
+    cell = F.trim(F.col(column))
+    number = F.regexp_replace(cell, r"^\+", "").try_cast(kind)
+    bad = F.raise_error(F.concat(F.lit(f"{column} is no number: "), cell)).cast(kind)
+    return F.when(cell.isNull() | cell.isin(NO_VALUE), F.lit(None).cast(kind)).otherwise(F.coalesce(number, bad))
+
+
+def _all_runs(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for more in tables[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def read_turnover(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     """Output tables of the turnover step: ``counts`` (family_id, node, copies),
     ``changes`` (family_id, branch, change), ``pvalues`` (family_id, pvalue) and
     ``branch_probabilities`` (family_id, branch, probability), as far as present.
+
+    Every matching file is read; ``run`` is its name up to the table's suffix.  A cell
+    that is neither a number nor one of ``NO_VALUE`` fails.
     """
     names = [r["name"] for r in file_inventory(spark, directory).select("name").collect()]
     if not any(n.endswith("_results.txt") for n in names):
@@ -138,20 +160,21 @@ def read_turnover(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
         ("_change.tab", "changes", "branch", "change", "bigint"),
         ("_branch_probabilities.tab", "branch_probabilities", "branch", "probability", "double"),
     ):
-        hit = sorted(n for n in names if n.endswith(suffix))
-        if hit:
-            wide = read_tsv(spark, f"{directory}/{hit[0]}")
-            family, *nodes = [c for c in wide.columns if not c.startswith("_c")]
-            out[table] = wide.unpivot(
-                [F.col(f"`{family}`").alias("family_id")], [F.col(f"`{n}`") for n in nodes],
-                key, value,
-            ).withColumn(value, F.regexp_replace(value, r"^\+", "").try_cast(kind))
-    hit = sorted(n for n in names if n.endswith("_family_results.txt"))
-    if hit:
-        wide = read_tsv(spark, f"{directory}/{hit[0]}")
+        runs = []
+        for name in sorted(n for n in names if n.endswith(suffix)):
+            wide = read_tsv(spark, f"{directory}/{name}")
+            # a column without a name, after a closing tab, holds nothing
+            family, *nodes = [c for i, c in enumerate(wide.columns) if c != f"_c{i}"]
+            long = wide.unpivot([F.col(f"`{family}`").alias("family_id")], [F.col(f"`{n}`") for n in nodes], key, value)
+            runs.append(long.withColumn(value, _number(value, kind)).withColumn("run", F.lit(name.removesuffix(suffix))))
+        if runs:
+            out[table] = _all_runs(runs)
+    suffix, runs = "_family_results.txt", []
+    for name in sorted(n for n in names if n.endswith(suffix)):
+        wide = read_tsv(spark, f"{directory}/{name}")
         family, pvalue = wide.columns[:2]
-        out["pvalues"] = wide.select(
-            F.col(f"`{family}`").alias("family_id"),
-            F.col(f"`{pvalue}`").try_cast("double").alias("pvalue"),
-        )
+        found = wide.select(F.col(f"`{family}`").alias("family_id"), F.col(f"`{pvalue}`").alias("pvalue"))
+        runs.append(found.withColumn("pvalue", _number("pvalue", "double")).withColumn("run", F.lit(name.removesuffix(suffix))))
+    if runs:
+        out["pvalues"] = _all_runs(runs)
     return out

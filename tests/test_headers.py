@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from cladeframe.functions import headers as H
 from cladeframe.functions import specs as X
 
-ENSEMBL = "ENSP01 pep gene:ENSG01.1 transcript:ENST01"
+TAGGED = "QX7 pep chromosome:v2:9 gene:WALNUT44.3 description:kinase"
 
 
 def one(spark, text, column):
@@ -14,14 +14,13 @@ def one(spark, text, column):
 @pytest.mark.parametrize(
     "header, expected",
     [
-        (ENSEMBL, "ensembl"),
-        ("ENSP01 pep gene=ENSG01.1", "ensembl"),
-        ("XP_001.1 serine dehydratase [Mus musculus]", "ncbi"),
-        ("NP_001.1 glycoprotein precursor [Homo sapiens]  ", "ncbi"),
-        ("XP_001.1 some protein", "ensembl"),
-        ("ENSMUSP01 pep transcript:ENSMUST01", "ensembl"),
-        ("some_accession a description", "ensembl"),
-        ("XP_1 gene:G1 [Mus]", "ensembl"),
+        (TAGGED, "ensembl"),
+        ("QX7 gene=WALNUT44", "ensembl"),
+        ("YP_88 lysozyme, partial [Juglans regia]", "ncbi"),
+        ("lone [Juglans regia]  ", "ncbi"),
+        ("YP_88 [Juglans regia] trailing words", "ensembl"),
+        ("QX7", "ensembl"),
+        ("YP_88 gene:WALNUT45 lysozyme [Juglans]", "ensembl"),
     ],
 )
 def test_header_format(spark, header, expected):
@@ -31,16 +30,12 @@ def test_header_format(spark, header, expected):
 @pytest.mark.parametrize(
     "header, fmt, expected",
     [
-        (ENSEMBL, "ensembl", "ENSG01.1"),
-        ("ENSP01 pep transcript:ENST01", "ensembl", None),
-        ("ACC001 locus:LOC12345", "ensembl", None),
-        ("XP_001.1 a-like isoform X1 [Mus musculus]", "ncbi", "a-like [Mus musculus]"),
-        ("XP_002.1 a-like isoform X2A [Mus musculus]", "ncbi", "a-like [Mus musculus]"),
-        ("XP_003.1 b-like [Mus musculus]", "ncbi", "XP_003.1 b-like [Mus musculus]"),
-        ("XP_003.1 isoform 2", "ncbi", "XP_003.1"),
-        ("XP_1 a isoform X1 b isoform X2 [M]", "ncbi", "a b [M]"),
-        (ENSEMBL, "auto", "ENSG01.1"),
-        ("XP_001.1 x isoform X1 [S]", "auto", "x [S]"),
+        (TAGGED, "ensembl", "WALNUT44.3"),
+        ("QX7 pep description:kinase", "ensembl", None),
+        ("YP_90 expansin isoform X12 [Juglans regia]", "ncbi", "expansin [Juglans regia]"),
+        ("YP_91 expansin [Juglans regia]", "ncbi", "YP_91 expansin [Juglans regia]"),
+        (TAGGED, "auto", "WALNUT44.3"),
+        ("YP_92 expansin isoform X3 [Juglans regia]", "auto", "expansin [Juglans regia]"),
     ],
 )
 def test_gene_id(spark, header, fmt, expected):

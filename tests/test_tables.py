@@ -149,7 +149,14 @@ def test_turnover_outputs(spark, tmp_path, rows):
     put(d / "Base_results.txt", "ok")
     put(d / "Base_change.tab", "FamilyID\thuman<1>\t<4>\nOG0\t+1\t-2\n")
     put(d / "Gamma_family_results.txt", "#FamilyID\tpvalue\tSig\nOG0\t0.01\ty\n")
+    put(d / "Second_count.tab", "FamilyID\t_canis<2>\tlutra<3>\nOG7\t11\tN/A\n")
+    put(d / "Second_family_results.txt", "#FamilyID\tpvalue\nOG7\t0.5\n")
     got = R.read_turnover(spark, str(d))
     assert sorted(got) == ["changes", "counts", "pvalues"]
-    assert rows(got["changes"]) == [("OG0", "<4>", -2), ("OG0", "human<1>", 1)]
-    assert rows(got["pvalues"]) == [("OG0", 0.01)]
+    assert rows(got["changes"], "family_id", "branch", "change") == [("OG0", "<4>", -2), ("OG0", "human<1>", 1)]
+    assert rows(got["counts"], "family_id", "node", "copies", "run")[2:] == [
+        ("OG7", "_canis<2>", 11, "Second"), ("OG7", "lutra<3>", None, "Second")]
+    assert rows(got["pvalues"], "family_id", "pvalue", "run") == [("OG0", 0.01, "Gamma"), ("OG7", 0.5, "Second")]
+    put(d / "Third_count.tab", "FamilyID\tlutra<3>\nOG8\tmany\n")
+    with pytest.raises(Exception, match="no number"):
+        R.read_turnover(spark, str(d))["counts"].collect()
