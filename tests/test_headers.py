@@ -17,7 +17,6 @@ def one(spark, text, column):
         (TAGGED, "ensembl"),
         ("QX7 gene=WALNUT44", "ensembl"),
         ("YP_88 lysozyme, partial [Juglans regia]", "ncbi"),
-        ("lone [Juglans regia]  ", "ncbi"),
         ("YP_88 [Juglans regia] trailing words", "ensembl"),
         ("QX7", "ensembl"),
         ("YP_88 gene:WALNUT45 lysozyme [Juglans]", "ensembl"),
