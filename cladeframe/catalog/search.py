@@ -119,8 +119,8 @@ def busiest_task(t: Tables) -> DataFrame:
 
 @query("throughput", """
 with r as (select floor(l_extendedprice * 100)::bigint as cost, (l_quantity - 1)::double as seconds from lineitem)
-select count(*) as n_runs, sum(cost::double) as total_cost, sum(seconds) as total_seconds,
-  round(sum(cost::double) / sum(seconds), 4) as aggregate_rate,
+select count(*) as n_runs, sum(cost)::bigint as total_cost, sum(seconds) as total_seconds,
+  round(sum(cost)::double / sum(seconds), 4) as aggregate_rate,
   round(min(cost / seconds) filter (where seconds > 0), 6) as min_rate,
   round(quantile_cont(case when seconds > 0 then cost / seconds end, 0.5), 6) as median_rate,
   round(max(cost / seconds) filter (where seconds > 0), 6) as max_rate from r""")
@@ -131,7 +131,7 @@ def throughput(t: Tables) -> DataFrame:
     )
     report = P.throughput(runs)
     return report.select(
-        "n_runs", "total_cost", "total_seconds", F.round("aggregate_rate", 4).alias("aggregate_rate"),
+        "n_runs", F.col("total_cost").cast("bigint").alias("total_cost"), "total_seconds", F.round("aggregate_rate", 4).alias("aggregate_rate"),
         *[F.round(c, 6).alias(c) for c in ("min_rate", "median_rate", "max_rate")],
     )
 

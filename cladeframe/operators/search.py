@@ -124,7 +124,7 @@ def busiest_task(summary: DataFrame) -> DataFrame:
 
 def throughput(runs: DataFrame, cost: str = "cost", seconds: str = "seconds") -> DataFrame:
     """Total cost over total time, and smallest, median and largest rate of the
-    rows that took any time.
+    rows that took any time.  Costs are whole numbers and added exactly.
 
     The exact median is the mean of the two middle positions of the rates in
     order (``global_rank``), so no task holds all of them.
@@ -132,7 +132,7 @@ def throughput(runs: DataFrame, cost: str = "cost", seconds: str = "seconds") ->
     rate = F.when(F.col(seconds) > 0, F.col(cost).cast("double") / F.col(seconds))
     totals = runs.agg(
         F.count("*").alias("n_runs"),
-        F.sum(F.col(cost).cast("double")).alias("total_cost"),
+        F.sum(F.col(cost).cast("decimal(28,0)")).alias("total_cost"),
         F.sum(seconds).alias("total_seconds"),
         F.min(rate).alias("min_rate"),
         F.max(rate).alias("max_rate"),
@@ -145,6 +145,6 @@ def throughput(runs: DataFrame, cost: str = "cost", seconds: str = "seconds") ->
     middle = ranked.where(F.col("pos").isin((n - 1) // 2, n // 2)).agg(F.avg("rate")).first()[0]
     return totals.select(
         "n_runs", "total_cost", "total_seconds",
-        F.try_divide("total_cost", "total_seconds").alias("aggregate_rate"),
+        F.try_divide(F.col("total_cost").cast("double"), F.col("total_seconds").cast("double")).alias("aggregate_rate"),
         "min_rate", F.lit(middle).cast("double").alias("median_rate"), "max_rate",
     )

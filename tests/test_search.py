@@ -114,3 +114,8 @@ def test_global_rank_with_ties(spark):
     got = global_rank(df, [F.col("k").desc(), F.col("id")], "pos").collect()
     expected = sorted(range(5000), key=lambda i: (-(i % 3), i))
     assert {r["id"]: r["pos"] for r in got} == {i: p for p, i in enumerate(expected)}
+
+
+def test_costs_are_added_exactly(table):
+    got = P.throughput(table([(2**53 + 1, 1.0), (2, 3.0)], "cost long, seconds double")).first()
+    assert int(got["total_cost"]) == 2**53 + 3
