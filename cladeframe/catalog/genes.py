@@ -90,7 +90,7 @@ def dedup_first(t: Tables) -> DataFrame:
 
 @query("proteome_set_report", f"""with {RECORDS},
 expected as (select distinct source as species from documents
-             union select 'user' || user_id from events where event_type = 'purchase')
+             union select 'user' || user_id from events)
 select 'ERROR' as severity, 'missing_species' as code, species as subject, 'no proteome' as detail
 from expected where species not in (select species from rec)
 union all
@@ -103,10 +103,8 @@ select 'WARNING', 'header_format', species, count(*)::varchar from rec
 where contains(header, 'gene:') or not contains(header, 'gene:') group by species""")
 def proteome_set_report(t: Tables) -> DataFrame:
     rows = records(t)
-    buyers = t.events.where("event_type = 'purchase'").select(
-        F.concat(F.lit("user"), F.col("user_id")).alias("species")
-    )
-    expected = rows.select("species").union(buyers).distinct()
+    users = t.events.select(F.concat(F.lit("user"), F.col("user_id")).alias("species"))
+    expected = rows.select("species").union(users).distinct()
     return V.validate_proteome_set(rows, expected, "ncbi")
 
 
@@ -365,43 +363,40 @@ def text_sketches(t: Tables) -> DataFrame:
     """Sketches of all documents over runs of five words; the source is the species."""
     from ..runtime import materialize
 
-    seqs = t.documents.select(
-        F.col("doc_id").alias("seq_id"), F.col("source").alias("species"),
-        F.length("text").alias("length"), "text",
-    )
-    tokens = E.word_shingles(F.col("text"), 5)
-    return materialize(E.sketch(seqs, tokens, hashed=E.portable_token_hash))
+    seqs = t.documents.select(F.col("doc_id").alias("seq_id"), F.col("source").alias("species"), "text")
+    return materialize(E.sketch(seqs, E.word_shingles(F.col("text"), 5)))
 
 
 N_PERM, BAND_ROWS, MIN_SCORE = 16, 2, 4
 _MINS = ", ".join(
-    f"min((x * {a} + {b}) % {E.PRIME}) as h_{i}" for i, (a, b) in enumerate(E.permutations(N_PERM))
+    f"min(((x >> 30) * {a} + (x & {E.HALF - 1}) * {b}) % {E.PRIME} * {E.HALF} + (x & {E.HALF - 1})) as h_{i}"
+    for i, (a, b) in enumerate(E.permutations(N_PERM))
 )
+_POSITIONS = ", ".join(f"h_{i}" for i in range(N_PERM))
 _SAME = " + ".join(f"(a.h_{i} = b.h_{i})::int" for i in range(N_PERM))
 _BANDS = "\n  union all ".join(
     f"select '{b // BAND_ROWS}:' || " + " || ':' || ".join(f"h_{i}" for i in range(b, b + BAND_ROWS))
-    + " as band, seq_id, species, length from sk"
+    + " as band, seq_id from reps"
     for b in range(0, N_PERM, BAND_ROWS)
 )
 SKETCH_SQL = rf"""
-words as (select doc_id, source, length(text) as length,
+words as (select doc_id, source,
   string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ') as w from documents),
-toks as (select doc_id, source, length, unnest(
+toks as (select doc_id, source, unnest(
   case when len(w) < 5 then [array_to_string(w, ' ')]
        else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) end) as t from words),
-hashed as (select doc_id, source, length, ('0x' || substr(md5(t), 1, 7))::bigint as x from toks),
-sk as materialized (select doc_id as seq_id, source as species, length, {_MINS}
+hashed as (select doc_id, source, ('0x' || substr(md5(t), 1, 15))::bigint as x from toks),
+sk as materialized (select doc_id as seq_id, source as species, {_MINS}
   from hashed group by all),
+reps as materialized (select min(seq_id) as seq_id, species, {_POSITIONS} from sk group by all),
 member as materialized ({_BANDS})"""
 
 HITS_SQL = f"""{SKETCH_SQL},
-chosen as (select band, seq_id as target from (select *, row_number() over (
-    partition by band, species order by length desc, seq_id) as rn from member) where rn = 1),
-cand as (select distinct seq_id as query, target from member join chosen using (band)
-  where seq_id <> target),
+cand as (select distinct x.seq_id as query, y.seq_id as target from member x join member y using (band)
+  where x.seq_id <> y.seq_id),
 hits as materialized (select query, a.species as query_species, target, b.species as target_species,
     ({_SAME})::int as score
-  from cand join sk a on a.seq_id = query join sk b on b.seq_id = target
+  from cand join reps a on a.seq_id = query join reps b on b.seq_id = target
   where ({_SAME}) >= {MIN_SCORE})"""
 
 
@@ -410,20 +405,24 @@ def kmer_hits(t: Tables) -> DataFrame:
     return E.kmer_hits(text_sketches(t), N_PERM, BAND_ROWS, MIN_SCORE)
 
 
-@query("reciprocal_best", f"""with {HITS_SQL},
+RECIPROCAL_SQL = f"""{HITS_SQL},
 best as (select * from (select *, row_number() over (partition by query, target_species
-    order by score desc, target) as rn from hits where query_species <> target_species) where rn = 1)
-select x.query as a, x.target as b, greatest(x.score, y.score) as score
-from best x join best y on x.query = y.target and x.target = y.query where x.query < x.target""")
+    order by score desc, target) as rn from hits where query_species <> target_species) where rn = 1),
+mutual as (select x.query as a, x.target as b, greatest(x.score, y.score) as score
+  from best x join best y on x.query = y.target and x.target = y.query where x.query < x.target)"""
+
+
+@query("reciprocal_best", f"with {RECIPROCAL_SQL} select * from mutual")
 def reciprocal_best(t: Tables) -> DataFrame:
     from ..runtime import materialize
 
     return E.reciprocal_best(materialize(kmer_hits(t)))
 
 
-@query("families", f"""with recursive {SKETCH_SQL},
-links as materialized (select distinct m.seq_id as a, f.b from member m
-  join (select band, min(seq_id) as b from member group by band) f using (band) where m.seq_id <> f.b),
+@query("families", f"""with recursive {RECIPROCAL_SQL},
+links as materialized (select a, b from mutual
+  union select query, target from hits where query_species = target_species
+  union select seq_id, min(seq_id) over (partition by species, {_POSITIONS}) from sk),
 sym as materialized (select a, b from links union all select b, a from links),
 reach(node, seen) as (select seq_id, seq_id from sk union select r.node, sym.b
   from reach r join sym on r.seen = sym.a),
@@ -432,5 +431,9 @@ ranked as (select component, row_number() over (order by n desc, component) - 1
   from (select component, count(*) as n from comp group by component))
 select seq_id, 'OG' || lpad(rank::varchar, 7, '0') as family_id from comp join ranked using (component)""")
 def families(t: Tables) -> DataFrame:
-    links = E.bucket_links(text_sketches(t), N_PERM, BAND_ROWS)
+    from ..runtime import materialize
+
+    sketches = text_sketches(t)
+    hits = materialize(E.kmer_hits(sketches, N_PERM, BAND_ROWS, MIN_SCORE))
+    links = E.family_links(hits, sketches, N_PERM)
     return E.families(links, t.documents.select(F.col("doc_id").alias("seq_id")))

@@ -134,22 +134,23 @@ def forced_classes(t: Tables) -> DataFrame:
 
 
 @query("class_coverage", f"""with {FORCED},
-used as (select class from classes where parent_id is not null
-  and class = (select integer from legend where category = 'HOME'))
+every as (select category, integer from legend union all select r_name, r_regionkey + 100 from region)
 select 'WARNING' as severity, 'unused_class' as code, category as subject,
   'class ' || integer || ' is on no branch' as detail
-from legend where integer not in (select class from used)""")
+from every where integer not in (select class from classes where parent_id is not null)""")
 def class_coverage(t: Tables) -> DataFrame:
-    """The legend against branches left with one class only."""
+    """The branches against a legend that has the regions as further classes."""
     edges, legend = forced(t)
-    home = legend.where("category = 'HOME'").select(F.col("integer").alias("class"))
-    return H.class_coverage(edges.join(home, "class", "left_semi"), legend)
+    regions = t.region.select(
+        F.col("r_name").alias("category"), (F.col("r_regionkey") + 100).alias("integer")
+    )
+    return H.class_coverage(edges, legend.select("category", "integer").unionByName(regions))
 
 
 @query("class_tree_report", f"""with {FORCED}, {CLOSURE}
-select 'ERROR' as severity, 'tip_mismatch' as code, label as subject, 'only_in_list' as detail
+select 'ERROR' as severity, 'tip_mismatch' as code, label as subject, 'heap: only_in_list' as detail
   from nodes where is_tip and c_acctbal < 0
-union all select 'ERROR', 'tip_mismatch', 'x' || label, 'only_in_tree' from nodes where is_tip and c_acctbal < 0
+union all select 'ERROR', 'tip_mismatch', 'x' || label, 'heap: only_in_tree' from nodes where is_tip and c_acctbal < 0
 union all select 'ERROR', 'non_integer_class', case when is_tip and c_acctbal < 0 then 'x' else '' end || label,
     (class + 0.5)::varchar
   from nodes join (select node_id, class from classes) using (node_id)
@@ -170,15 +171,40 @@ def class_tree_report(t: Tables) -> DataFrame:
 
 
 @query("tip_species_diff", f"""with {HEAP}, s as (select 'Customer#' || lpad(o_custkey::varchar, 9, '0') as name
-  from orders where o_totalprice > 300000 union select 'extra ' || r_name from region)
-select label as name, 'only_in_tree' as side from nodes where is_tip and label not in (select name from s)
-union all select name, 'only_in_list' from s where name not in (select label from nodes where is_tip)""")
+  from orders union select 'extra ' || r_name from region)
+select 'heap' as tree_id, label as name, 'only_in_tree' as side from nodes
+  where is_tip and label not in (select name from s)
+union all select 'heap', name, 'only_in_list' from s where name not in (select label from nodes where is_tip)""")
 def tip_species_diff(t: Tables) -> DataFrame:
-    big = t.orders.where("o_totalprice > 300000").select(
+    buyers = t.orders.select(
         F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("species")
     )
     extra = t.region.select(F.concat(F.lit("extra "), F.col("r_name")).alias("species"))
-    return V.tip_species_diff(heap_edges(t), big.union(extra).distinct())
+    return V.tip_species_diff(heap_edges(t), buyers.union(extra).distinct())
+
+
+@query("tips_of_many_trees", f"""with {ORDER_TIPS},
+own as (select l_orderkey as tree, flag || line as name from tips),
+other as (select xor(l_orderkey, 1) as tree, flag || line as name from tips)
+select tree::varchar as tree_id, name, 'only_in_tree' as side from (from own except from other)
+union all select tree::varchar, name, 'only_in_list' from (from other except from own)""")
+def tips_of_many_trees(t: Tables) -> DataFrame:
+    """The trees of orders, each against the tips of its neighbour."""
+    edges = order_trees(t)
+    neighbour = F.col("tree_id").cast("bigint").bitwiseXOR(F.lit(1)).cast("string")
+    species = edges.where("is_tip").select(neighbour.alias("tree_id"), F.col("label").alias("species"))
+    return V.tip_species_diff(edges, species)
+
+
+@query("tips_missing_per_tree", f"""with {ORDER_TIPS},
+names as (select distinct flag || line as name from tips)
+select l_orderkey::varchar as tree_id, name, 'only_in_list' as side
+from (select distinct l_orderkey from flags) cross join names
+where (l_orderkey, name) not in (select (l_orderkey, flag || line) from tips)""")
+def tips_missing_per_tree(t: Tables) -> DataFrame:
+    """The trees of orders against the tips that any of them has."""
+    edges = order_trees(t)
+    return V.tip_species_diff(edges, edges.where("is_tip").select(F.col("label").alias("species")))
 
 
 # -- ancestral states --------------------------------------------------------------------
@@ -344,16 +370,18 @@ def fit_mk(t: Tables) -> DataFrame:
 
 
 @query("turnover_inputs", r"""
-with cells as (select n_name as species, p_partkey as family_id,
+with cells as (select coalesce(n_name, 'none ' || p_size % 30) as species, p_partkey as family_id,
     case p_partkey % 11 when 0 then 'NA' when 1 then '-' || p_size when 2 then null
       when 3 then ' ' || p_size || ' ' when 4 then p_size || '.5' else p_size::varchar end as cell
-  from part join nation on n_nationkey = p_size % 30)
+  from part left join nation on n_nationkey = p_size % 30)
 select 'ERROR' as severity, case when cell is null or not regexp_matches(cell, '^\s*[+-]?\d+\s*$')
     then 'not_an_integer' else 'negative_count' end as code,
   family_id || '/' || species as subject, coalesce(cell, '(missing)') as detail
 from cells where cell is null or not regexp_matches(cell, '^\s*[+-]?\d+\s*$') or trim(cell)::bigint < 0
-union all select 'ERROR', 'tip_mismatch', n_name, 'only_in_tree' from nation
+union all select 'ERROR', 'tip_mismatch', n_name, 'species: only_in_tree' from nation
   where n_name not in (select species from cells)
+union all select distinct 'ERROR', 'tip_mismatch', species, 'species: only_in_list' from cells
+  where species not in (select n_name from nation)
 union all select 'ERROR', 'not_rooted', 'species', 'root children: 5'
 union all select 'ERROR', 'polytomy', 'species', 'polytomies: ' || (1 + (select count(*) from
   (select n_regionkey from nation group by n_regionkey having count(*) > 2)))""")
@@ -362,8 +390,10 @@ def turnover_inputs(t: Tables) -> DataFrame:
     cells = part_cells(t).drop("species").join(
         t.part.select(F.col("p_partkey").alias("family_id"), "p_size"), "family_id"
     )
-    named = cells.join(t.nation, F.col("n_nationkey") == F.col("p_size") % 30).select(
-        "family_id", F.col("n_name").alias("species"), "cell"
+    place = F.col("p_size") % 30
+    name = F.coalesce("n_name", F.concat(F.lit("none "), place))
+    named = cells.join(t.nation, F.col("n_nationkey") == place, "left").select(
+        "family_id", name.alias("species"), "cell"
     )
     return V.validate_turnover_inputs(named, species_edges(t))
 
@@ -457,13 +487,13 @@ def nation_labels(t: Tables) -> DataFrame:
 
 
 def part_pvalues(t: Tables) -> DataFrame:
-    return t.part.where("p_size > 2").select(
-        F.col("p_partkey").alias("family_id"), (F.col("p_size") / 100.0).cast("double").alias("pvalue")
-    )
+    # the smallest parts have no value
+    value = F.when(F.col("p_size") > 2, (F.col("p_size") / 100.0).cast("double"))
+    return t.part.select(F.col("p_partkey").alias("family_id"), value.alias("pvalue"))
 
 
 LABELLED = f"""{NODE_SIZES},
-pv as (select p_partkey as family_id, p_size / 100.0::double as pvalue from part where p_size > 2),
+pv as (select p_partkey as family_id, case when p_size > 2 then p_size / 100.0::double end as pvalue from part),
 labelled as (select family_id, n.n_name as species, copies, nullif(r_name, 'ASIA') as phenotype
   from n_cnt n join region on r_regionkey = n_regionkey)"""
 

@@ -283,7 +283,7 @@ def age_spec(t: Tables) -> DataFrame:
 select 'ERROR' as severity, 'malformed' as code, coalesce(name, spec) as subject, error as detail
   from cal where error is not null
 union all
-select 'ERROR', 'unknown_taxon', coalesce(name, spec), x.taxon from
+select 'ERROR', 'unknown_taxon', coalesce(name, spec), 'heap: ' || x.taxon from
   (select name, spec, sp1 as taxon from cal union all select name, spec, sp2 from cal) x
 where x.taxon is not null and x.taxon not in (select label from nodes where is_tip)""")
 def validate_calibrations(t: Tables) -> DataFrame:
@@ -395,10 +395,11 @@ n as (select l_orderkey, '' as flag, 0 as line, null::varchar as label, null::do
   union all select l_orderkey, flag, line, flag || line, qty::double, true,
     (row_number() over (partition by l_orderkey, flag order by line) - 1)::int from tips),
 numbered as (select *, row_number() over (partition by l_orderkey order by flag, line) - 1 as node_id from n)
-select x.l_orderkey::varchar as tree_id, x.node_id,
-  case when x.flag = '' then null when x.line = 0 then 0 else p.node_id end as parent_id,
-  x.label, x.len as branch_length, x.tip as is_tip, x.ord as child_ord, null::varchar as error
-from numbered x left join numbered p on p.l_orderkey = x.l_orderkey and p.flag = x.flag and p.line = 0""")
+select l_orderkey::varchar as tree_id, node_id,
+  case when flag = '' then null when line = 0 then 0
+    else min(node_id) over (partition by l_orderkey, flag) end as parent_id,
+  label, len as branch_length, tip as is_tip, ord as child_ord, null::varchar as error
+from numbered""")
 def newick_edges(t: Tables) -> DataFrame:
     """Order trees written as text and read back."""
     return N.newick_to_edges(newick_text(t))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.headers import header_format, species_from_path
+from ..runtime import global_rank
 from ..sources.files import FASTA_FILE, file_inventory
 from ..sources.tables import parse_count
 from .isoforms import duplicate_accessions
@@ -21,6 +22,9 @@ MIN_SPECIES = 4
 MAX_NAME_LENGTH = 200
 NAME_PATTERN = r"^[A-Za-z0-9][A-Za-z0-9._-]*$"
 
+#: Positions of a species list that are compared as one array.
+BLOCK = 1024
+
 
 def report_rows(df: DataFrame, severity: str, code: str, subject: Column, detail) -> DataFrame:
     text = F.lit(detail) if isinstance(detail, str) else detail
@@ -134,12 +138,46 @@ def validate_counts(cells: DataFrame) -> DataFrame:
 
 
 def tip_species_diff(edges: DataFrame, species: DataFrame) -> DataFrame:
-    """``name, side``: tips that are no species (``only_in_tree``) and the reverse."""
-    tips = edges.where("is_tip").select(F.col("label").alias("name")).distinct()
-    listed = species.select(F.col("species").alias("name")).distinct()
-    only_tree = tips.join(listed, "name", "left_anti").withColumn("side", F.lit("only_in_tree"))
-    only_list = listed.join(tips, "name", "left_anti").withColumn("side", F.lit("only_in_list"))
-    return only_tree.unionByName(only_list)
+    """``tree_id, name, side``: per tree, tips that are no species (``only_in_tree``)
+    and the reverse (``only_in_list``).
+
+    Species with a ``tree_id`` are those of that tree; without one they are the list
+    of every tree in ``edges``.
+    """
+    tips = edges.where("is_tip").select("tree_id", F.col("label").alias("name")).distinct()
+    scope = ["tree_id"] if "tree_id" in species.columns else []
+    listed = species.select(*scope, F.col("species").alias("name")).distinct()
+    only_tree = tips.join(listed, [*scope, "name"], "left_anti")
+    if scope:
+        only_list = listed.join(tips, ["tree_id", "name"], "left_anti")
+    else:
+        only_list = _absent(edges.select("tree_id").distinct(), tips, listed)
+    return only_tree.select("tree_id", "name", F.lit("only_in_tree").alias("side")).unionByName(
+        only_list.select("tree_id", "name", F.lit("only_in_list").alias("side"))
+    )
+
+
+def _absent(trees: DataFrame, tips: DataFrame, listed: DataFrame) -> DataFrame:
+    """``tree_id, name`` for every listed name that a tree lacks.
+
+    Names get positions, and a tree is compared with ``BLOCK`` positions at a time, so
+    the work is that of the tips, the blocks and the names missing.
+    """
+    ranked = global_rank(listed, [F.col("name")], "pos")
+    n = ranked.count()
+    first = F.col("slot") * BLOCK
+    slots = trees.select(
+        "tree_id", F.expr(f"explode(sequence(0L, {(n - 1) // BLOCK}L)) as slot")
+    ) if n else trees.select("tree_id", F.lit(0).cast("bigint").alias("slot")).where("false")
+    found = tips.join(ranked, "name").groupBy(
+        "tree_id", F.floor(F.col("pos") / BLOCK).alias("slot")
+    ).agg(F.collect_set("pos").alias("found"))
+    every = F.sequence(first, F.least(first + BLOCK, F.lit(n).cast("bigint")) - 1)
+    none = F.array().cast("array<bigint>")
+    holes = slots.join(found, ["tree_id", "slot"], "left").select(
+        "tree_id", F.explode(F.array_except(every, F.coalesce("found", none))).alias("pos")
+    )
+    return holes.join(ranked, "pos").select("tree_id", "name")
 
 
 def tree_shape(edges: DataFrame) -> DataFrame:
@@ -180,15 +218,16 @@ def validate_tree(edges: DataFrame) -> DataFrame:
 
 
 def validate_class_tree(class_edges: DataFrame, edges: DataFrame, class_col: str = "class") -> DataFrame:
-    """The class tree has the tips of the dated tree and whole-number classes."""
-    tips = edges.where("is_tip").select(F.col("label").alias("species"))
+    """Every class tree has the tips of the dated tree with its ``tree_id``, and
+    whole-number classes."""
+    tips = edges.where("is_tip").select("tree_id", F.col("label").alias("species"))
     diff = tip_species_diff(class_edges, tips)
     value = F.col(class_col).cast("double")
     odd = class_edges.where(
         F.col("parent_id").isNotNull() & (value.isNull() | (value != F.floor(value)))
     )
     return union_reports(
-        report_rows(diff, "ERROR", "tip_mismatch", F.col("name"), F.col("side")),
+        report_rows(diff, "ERROR", "tip_mismatch", F.col("name"), F.concat_ws(": ", "tree_id", "side")),
         report_rows(odd, "ERROR", "non_integer_class",
                     F.coalesce(F.col("label"), F.col("node_id").cast("string")),
                     F.coalesce(value.cast("string"), F.lit("(missing)"))),
@@ -202,7 +241,7 @@ def validate_turnover_inputs(cells: DataFrame, edges: DataFrame, tolerance: floa
     bent = is_ultrametric(edges, tolerance).where("not is_ultrametric")
     return union_reports(
         validate_counts(cells),
-        report_rows(diff, "ERROR", "tip_mismatch", F.col("name"), F.col("side")),
+        report_rows(diff, "ERROR", "tip_mismatch", F.col("name"), F.concat_ws(": ", "tree_id", "side")),
         validate_tree(edges),
         report_rows(bent, "ERROR", "not_ultrametric", F.col("tree_id"),
                     F.concat(F.lit("deviation "), F.round("deviation", 6))),
@@ -213,15 +252,22 @@ def validate_turnover_inputs(cells: DataFrame, edges: DataFrame, tolerance: floa
 
 
 def validate_calibrations(calibrations: DataFrame, edges: DataFrame) -> DataFrame:
-    """Parsed calibrations (``functions.parse_calibrations``) against the tips.
+    """Parsed calibrations (``functions.parse_calibrations``) against the tips of every
+    tree, or of the tree in their ``tree_id``.
 
     Without any calibration the tree is anchored at its root, which is reported
     as information.
     """
-    tips = edges.where("is_tip").select(F.col("label").alias("taxon")).distinct()
+    scope = ["tree_id"] if "tree_id" in calibrations.columns else []
     name = F.coalesce("name", F.col("spec")) if "spec" in calibrations.columns else F.col("name")
-    taxa = calibrations.select(name.alias("name"), F.explode(F.array("sp1", "sp2")).alias("taxon"))
-    unknown = taxa.where("taxon is not null").join(tips, "taxon", "left_anti")
+    taxa = calibrations.select(
+        *scope, name.alias("name"), F.explode(F.array("sp1", "sp2")).alias("taxon")
+    ).where("taxon is not null")
+    absent = tip_species_diff(edges, taxa.select(*scope, F.col("taxon").alias("species")))
+    unknown = taxa.join(
+        absent.where("side = 'only_in_list'").select("tree_id", F.col("name").alias("taxon")),
+        [*scope, "taxon"],
+    )
     malformed = calibrations.where("error is not null")
     undated = calibrations.where(
         "error is null and age is null and min_age is null and max_age is null"
@@ -230,7 +276,8 @@ def validate_calibrations(calibrations: DataFrame, edges: DataFrame) -> DataFram
     return union_reports(
         report_rows(malformed, "ERROR", "malformed", name, F.col("error")),
         report_rows(undated, "ERROR", "no_age", name, "needs an age or a window"),
-        report_rows(unknown, "ERROR", "unknown_taxon", F.col("name"), F.col("taxon")),
+        report_rows(unknown, "ERROR", "unknown_taxon", F.col("name"),
+                    F.concat_ws(": ", "tree_id", "taxon")),
         report_rows(counted, "INFO", "root_anchor", F.lit("tree"),
                     "no calibration: relative time, anchored at the root"),
     )

@@ -1,14 +1,15 @@
 """Gene families from sequence similarity: sketches, hits, best hits, components.
 
-Similarity is estimated on min-hash sketches of the k-mer sets.  Sequences that
-agree on a band of their sketch meet in a bucket, and every bucket names one
-representative per species: its longest member.  A query is compared with the
-representatives of its buckets, never with all members, so a bucket holding a
-large share of all sequences costs one comparison per member and species.
+Similarity is estimated on min-hash sketches of the k-mer sets.  Equal sketches of
+one species are one; different ones that agree on a band meet in a bucket and are
+compared there.  Large buckets are split without losing a hit.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,14 +17,19 @@ from ..runtime import global_rank, join_skewed, materialize, spread
 
 #: Prime modulus of the hash permutations (fixed value, 2**31 - 1).
 PRIME = 2147483647
+#: Values of half a token hash.
+HALF = 2**30
+
+#: Members of a bucket that are compared in one cell.
+BLOCK = 256
 
-# Multipliers and offsets of the permutations: terms of a fixed linear
+# Multipliers of the permutations: terms of a fixed linear
 # congruential sequence, so sketches agree between runs and machines.
 _LCG = (1103515245, 12345, 2**31)
 
 
 def permutations(n: int) -> list[tuple[int, int]]:
-    """``n`` pairs ``(multiplier, offset)`` below the modulus."""
+    """``n`` pairs of multipliers below the modulus."""
     a, c, m = _LCG
     x, out = 1, []
     for _ in range(n):
@@ -35,19 +41,9 @@ def permutations(n: int) -> list[tuple[int, int]]:
 
 
 def token_hash(token: Column) -> Column:
-    """28-bit hash of a token."""
-    return F.xxhash64(token).bitwiseAND(F.lit(2**28 - 1))
-
-
-def portable_token_hash(token: Column) -> Column:
-    """28-bit hash any SQL engine can repeat: the first seven hexadecimal digits
-    of the MD5 sum.  Slower than ``token_hash``."""
-    digits = F.md5(token)
-    value = F.lit(0).cast("bigint")
-    for i in range(1, 8):
-        digit = F.position(F.substring(digits, i, 1), F.lit("0123456789abcdef")) - 1
-        value = value * 16 + digit
-    return value
+    """60-bit hash any SQL engine can repeat: the first fifteen hexadecimal digits of
+    the MD5 sum."""
+    return F.conv(F.substring(F.md5(token), 1, 15), 16, 10).cast("bigint")
 
 
 def kmers(sequence: Column, k: int) -> Column:
@@ -64,83 +60,118 @@ def word_shingles(text: Column, k: int) -> Column:
     return F.when(F.size(found) > 0, found).otherwise(F.array(spaced))
 
 
-def sketch(
-    seqs: DataFrame, tokens: Column, n_perm: int = 16, keep=("species", "length"),
-    hashed=token_hash,
-) -> DataFrame:
+def sketch(seqs: DataFrame, tokens: Column, n_perm: int = 16, keep=("species",)) -> DataFrame:
     """``seq_id, …keep, h_0..h_{n-1}``: smallest value of each permutation over the
     tokens of a sequence.
 
-    The minima are combined map-side: exploded tokens never leave their task.
+    A permutation mixes both halves of the hash into 31 bits and appends the lower
+    half, so equal values mean equal tokens.  The minima are combined map-side:
+    exploded tokens never leave their task.
     """
     hashed = spread(seqs, "seq_id").select(
         "seq_id", *keep, F.explode(tokens).alias("token")
-    ).select("seq_id", *keep, hashed(F.col("token")).alias("x"))
+    ).select("seq_id", *keep, token_hash(F.col("token")).alias("x")).select(
+        "seq_id", *keep, F.shiftright("x", 30).alias("hi"), F.col("x").bitwiseAND(F.lit(HALF - 1)).alias("lo")
+    )
     mins = [
-        F.expr(f"min((x * {a} + {b}) % {PRIME}) as h_{i}")
+        F.expr(f"min((hi * {a} + lo * {b}) % {PRIME} * {HALF} + lo) as h_{i}")
         for i, (a, b) in enumerate(permutations(n_perm))
     ]
     return hashed.groupBy("seq_id", *keep).agg(*mins)
 
 
-def bands(sketches: DataFrame, n_perm: int = 16, rows: int = 2) -> DataFrame:
-    """``seq_id, species, length, sketch, band``: one row per band of ``rows``
-    successive sketch values."""
-    keys = [
-        F.concat_ws(":", F.lit(b // rows), *[F.col(f"h_{i}") for i in range(b, b + rows)])
-        for b in range(0, n_perm - rows + 1, rows)
-    ]
-    packed = F.array(*[F.col(f"h_{i}") for i in range(n_perm)])
-    return sketches.select(
-        "seq_id", "species", "length", packed.alias("sketch"), F.explode(F.array(*keys)).alias("band")
+def _positions(n_perm: int) -> list[str]:
+    return [f"h_{i}" for i in range(n_perm)]
+
+
+def copies(sketches: DataFrame, n_perm: int = 16) -> DataFrame:
+    """``seq_id, representative``: sequences of one species with equal sketches, and the
+    smallest id among them, which stands for all in ``kmer_hits``.  ``sketches`` is a
+    stored table."""
+    # text, so that sequences without a species meet as well
+    kind = F.to_json(F.struct("species")).alias("kind")
+    keyed = sketches.select("seq_id", kind, *_positions(n_perm))
+    keys = ["kind", *_positions(n_perm)]
+    first = keyed.groupBy(*keys).agg(F.min("seq_id").alias("representative"))
+    return (
+        join_skewed(keyed, first, keys, sketches.count())
+        .select("seq_id", "representative")
+        .where("seq_id <> representative")
     )
 
 
+def _sized(members: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key others share, with the number ``n`` of rows of the key."""
+    members = materialize(members)
+    shared = members.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    return join_skewed(members, shared, keys, members.count())
+
+
 def kmer_hits(
-    sketches: DataFrame, n_perm: int = 16, rows: int = 2, min_score: int = 4
+    sketches: DataFrame, n_perm: int = 16, rows: int = 2, min_score: int = 4, block: int = BLOCK
 ) -> DataFrame:
-    """``query, query_species, target, target_species, score``: every query against
-    the representatives of its buckets.
-
-    ``score`` is the number of equal sketch positions (of ``n_perm``); hits below
-    ``min_score`` are left out.  A representative is the longest member of its
-    species in the bucket, the smallest id on ties.
+    """``query, query_species, target, target_species, score``: all pairs, in both
+    directions, of sequences that agree on a band of ``rows`` successive positions and
+    on ``min_score`` positions (the ``score``) in all.
+
+    Sequences of one species with equal sketches are one here, the smallest id
+    (``copies`` has the others).  Members of a band's bucket are compared with each
+    other.  A bucket of more than ``block`` members is first split by every further
+    position: as ``min_score`` is above ``rows``, a hit agrees on one of them at
+    least, so none is lost.  What is still larger is compared in cells of two blocks
+    each, so no task holds a whole group.  A pair counts where it meets first.
     """
-    member = bands(sketches, n_perm, rows)
-    order = F.struct((-F.col("length")).alias("neg"), F.col("seq_id").alias("id"))
-    chosen = (
-        member.groupBy("band", "species").agg(F.min(order).alias("best"))
-        # one row per bucket holding at most one id per species
-        .groupBy("band").agg(F.collect_list("best.id").alias("targets"))
-    )
-    total = sketches.count() * (n_perm // rows)
-    # bucket and candidate pairs carry ids only; sketches are joined for the
-    # distinct pairs
-    candidates = materialize(
-        join_skewed(member.select("band", F.col("seq_id").alias("query")), chosen, "band", total)
-        .select("query", F.explode("targets").alias("target"))
-        .where("query <> target")
-        .distinct()
+    if min_score <= rows:
+        raise ValueError(f"min_score must be above the {rows} positions of a band")
+    distinct = sketches.groupBy("species", *_positions(n_perm)).agg(F.min("seq_id").alias("seq_id"))
+    starts = [F.lit(b) for b in range(0, n_perm - rows + 1, rows)]
+    member = distinct.select(
+        "seq_id", "species", F.array(*_positions(n_perm)).alias("sketch"), F.explode(F.array(*starts)).alias("start")
+    ).withColumn("band", F.slice("sketch", F.col("start") + 1, F.lit(rows)))
+
+    bucket = ["start", "band"]
+    outside = [F.lit(i) for i in range(n_perm)]
+    further = F.filter(F.array(*outside), lambda i: (i < F.col("start")) | (i >= F.col("start") + rows))
+    split = _sized(member, bucket).withColumn(
+        "further", F.explode(F.when(F.col("n") > block, further).otherwise(F.array(F.lit(-1))))
     )
-    packed = sketches.select(
-        "seq_id", "species", F.array(*[F.col(f"h_{i}") for i in range(n_perm)]).alias("sketch")
+    value = F.when(F.col("further") >= 0, F.get("sketch", F.col("further"))).otherwise(F.lit(0))
+    cell = [*bucket, "further", "value"]
+    placed = _sized(split.drop("n").withColumn("value", value), cell).withColumn(
+        "blocks", F.ceil(F.col("n") / block)
+    ).withColumn("own", F.pmod(F.xxhash64("seq_id"), F.col("blocks")))
+    zero = F.lit(0).cast("bigint")
+    left = placed.select(
+        *cell, F.col("own").alias("p"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("q"),
+        F.col("seq_id").alias("query"), F.col("species").alias("query_species"), F.col("sketch").alias("a"),
     )
-    left = packed.select(
-        F.col("seq_id").alias("query"), F.col("species").alias("query_species"),
-        F.col("sketch").alias("a"),
+    right = placed.select(
+        *cell, F.explode(F.sequence(zero, "own")).alias("p"), F.col("own").alias("q"),
+        F.col("seq_id").alias("target"), F.col("species").alias("target_species"), F.col("sketch").alias("b"),
     )
-    right = packed.select(
-        F.col("seq_id").alias("target"), F.col("species").alias("target_species"),
-        F.col("sketch").alias("b"),
-    )
-    equal = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda same: same))
-    # a representative may be the target of a large share of all candidates
-    paired = join_skewed(candidates, right, "target", candidates.count())
-    return (
-        paired.join(left, "query")
-        .select("query", "query_species", "target", "target_species", equal.alias("score"))
-        .where(F.col("score") >= min_score)
+    same = F.zip_with("a", "b", lambda x, y: x == y)
+    met = left.join(right, [*cell, "p", "q"]).where("p < q or query < target").withColumn("same", same)
+
+    def agrees(i: int) -> Column:
+        return F.get("same", F.lit(i))
+
+    first_band = F.coalesce(*[
+        F.when(reduce(and_, [agrees(i) for i in range(b, b + rows)]), F.lit(b))
+        for b in range(0, n_perm - rows + 1, rows)
+    ])
+    in_band = [(F.col("start") <= i) & (F.col("start") + rows > i) for i in range(n_perm)]
+    first_further = F.coalesce(*[F.when(agrees(i) & ~in_band[i], F.lit(i)) for i in range(n_perm)])
+    score = F.size(F.filter("same", lambda x: x))
+    once = met.where(
+        (score >= min_score) & (first_band == F.col("start"))
+        & ((F.col("further") < 0) | (first_further == F.col("further")))
+    ).select("query", "query_species", "target", "target_species", score.alias("score"))
+    back = F.struct(
+        F.col("target").alias("query"), F.col("target_species").alias("query_species"),
+        F.col("query").alias("target"), F.col("query_species").alias("target_species"), "score",
     )
+    there = F.struct("query", "query_species", "target", "target_species", "score")
+    return once.select(F.inline(F.array(there, back)))
 
 
 def best_hits(hits: DataFrame) -> DataFrame:
@@ -245,12 +276,12 @@ def families(links: DataFrame, members: DataFrame | None = None) -> DataFrame:
     return join_skewed(parts, named, "component", total).select(F.col("node").alias("seq_id"), "family_id")
 
 
-def bucket_links(sketches: DataFrame, n_perm: int = 16, rows: int = 2) -> DataFrame:
-    """Links ``a, b`` from every sequence to the smallest one in each bucket: the
-    components of these links are those of all pairs that share a bucket."""
-    member = bands(sketches, n_perm, rows).select("band", "seq_id")
-    first = member.groupBy("band").agg(F.min("seq_id").alias("b"))
-    total = sketches.count() * (n_perm // rows)
-    return join_skewed(member, first, "band", total).where("seq_id <> b").select(
-        F.col("seq_id").alias("a"), "b"
-    ).distinct()
+def family_links(hits: DataFrame, sketches: DataFrame, n_perm: int = 16) -> DataFrame:
+    """Links ``a, b`` of families: copies with their representative, hits within a
+    species, and reciprocal best hits between species."""
+    within = hits.where("query_species = target_species and query < target")
+    return (
+        copies(sketches, n_perm).select(F.col("seq_id").alias("a"), F.col("representative").alias("b"))
+        .unionByName(within.select(F.col("query").alias("a"), F.col("target").alias("b")))
+        .unionByName(reciprocal_best(hits).select("a", "b"))
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.counts import family_counts
-from ..operators.families import families, kmer_hits, kmers, reciprocal_best, sketch
+from ..operators.families import families, family_links, kmer_hits, kmers, sketch
 from ..runtime import materialize
 
 
@@ -27,18 +27,10 @@ def infer_families(
     rows: int = 2,
     min_score: int = 4,
 ) -> GeneFamilies:
-    """Families of ``seq_id, species, length, sequence`` rows.
-
-    Hits within a species join its copies; between species only reciprocal best
-    hits do.
-    """
+    """Families of ``seq_id, species, sequence`` rows, by ``family_links``."""
     tokens = kmers(F.col("sequence"), k) if tokens is None else tokens
     sketches = materialize(sketch(seqs, tokens, n_perm))
     hits = materialize(kmer_hits(sketches, n_perm, rows, min_score))
-    within = hits.where("query_species = target_species").select(
-        F.col("query").alias("a"), F.col("target").alias("b")
-    )
-    links = within.unionByName(reciprocal_best(hits).select("a", "b"))
-    found = families(links, seqs.select("seq_id"))
+    found = families(family_links(hits, sketches, n_perm), seqs.select("seq_id"))
     members = materialize(found.join(seqs.select("seq_id", "species"), "seq_id"))
     return GeneFamilies(hits, members, family_counts(members))

@@ -13,7 +13,9 @@ from ..operators.trees import NODE, lift
 from ..runtime import materialize
 from ..schemas import TREE_EDGES
 
-_TOKEN = re.compile(r"\[[^\]]*\]|'(?:[^']|'')*'|[(),:;]|[^\s(),:;\[']+")
+#: Every character belongs to a token; a lone bracket or quote is one that never closes.
+_TOKEN = re.compile(r"\s+|\[[^\]]*\]|'(?:[^']|'')*'|[(),:;]|[^\s(),:;\[\]']+|[\[\]']")
+_NUMBER = re.compile(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", re.ASCII)
 
 
 #: Levels of a tree written in one plan.
@@ -22,7 +24,7 @@ CUT_EVERY = 4
 
 def parse_newick(text: str) -> list[tuple]:
     """Nodes ``(node_id, parent_id, label, branch_length, is_tip, child_ord)`` of
-    one tree, numbered in the order they open; raises ``ValueError``."""
+    one tree that ends in ``;``, numbered in the order they open; raises ``ValueError``."""
     nodes = [[0, None, None, None, True, 0]]
     fanout = [0]
     current, expects_length, ended = 0, False, False
@@ -35,7 +37,9 @@ def parse_newick(text: str) -> list[tuple]:
         return len(nodes) - 1
 
     for token in _TOKEN.findall(text):
-        if token[0] == "[":
+        if token in ("[", "]", "'"):
+            raise ValueError(f"unclosed {token!r}")
+        if token[0] == "[" or token.isspace():
             continue
         if ended:
             raise ValueError(f"text after the end of the tree: {token!r}")
@@ -51,13 +55,17 @@ def parse_newick(text: str) -> list[tuple]:
                 raise ValueError(f"unbalanced {token!r}")
             current = child_of(parent) if token == "," else parent
         elif token == ":":
+            if nodes[current][3] is not None:
+                raise ValueError("second branch length")
             expects_length = True
         elif token == ";":
             ended = True
         elif expects_length:
+            if not _NUMBER.fullmatch(token):
+                raise ValueError(f"no branch length: {token!r}")
             nodes[current][3] = float(token)
             expects_length = False
-        elif nodes[current][2] is None:
+        elif nodes[current][2] is None and nodes[current][3] is None:
             quoted = token[0] == "'"
             nodes[current][2] = token[1:-1].replace("''", "'") if quoted else token
         else:
@@ -66,6 +74,8 @@ def parse_newick(text: str) -> list[tuple]:
         raise ValueError("unbalanced '('")
     if len(nodes) == 1 and nodes[0][2] is None:
         raise ValueError("empty tree")
+    if not ended:
+        raise ValueError("no ';' at the end")
     return [tuple(n) for n in nodes]
 
 

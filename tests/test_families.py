@@ -47,8 +47,8 @@ def test_tokens(spark):
         ["a b c d e", "b c d e f"], ["a b"]]
     import hashlib
 
-    value = spark.createDataFrame([("abc",)], "s string").select(E.portable_token_hash(F.col("s"))).first()[0]
-    assert value == int(hashlib.md5(b"abc").hexdigest()[:7], 16)
+    value = spark.createDataFrame([("abc",)], "s string").select(E.token_hash(F.col("s"))).first()[0]
+    assert value == int(hashlib.md5(b"abc").hexdigest()[:15], 16)
 
 
 def protein(rng, n=120):
@@ -84,7 +84,7 @@ def test_families_of_related_proteins(spark):
 
 
 @pytest.mark.parametrize("hot_rows", [None, 5])
-def test_hot_bucket_is_compared_with_representatives_only(spark, hot_rows, monkeypatch):
+def test_copies_are_one_in_the_search(spark, hot_rows, monkeypatch):
     """Half of all sequences are copies: hits stay linear, families whole."""
     if hot_rows:
         monkeypatch.setattr(runtime, "HOT_ROWS", hot_rows)
@@ -93,15 +93,62 @@ def test_hot_bucket_is_compared_with_representatives_only(spark, hot_rows, monke
     data = [(i, f"sp{i % 3}", 120, same) for i in range(60)] + [
         (100 + i, f"sp{i % 3}", 120, protein(rng)) for i in range(60)]
     seqs = spark.createDataFrame(data, "seq_id long, species string, length int, sequence string")
-    sk = E.sketch(seqs, E.kmers(F.col("sequence"), 5))
-    hits = E.kmer_hits(sk).collect()
-    assert {h["target"] for h in hits} == {0, 1, 2}
-    assert len(hits) == 3 * 60 - 3
-    found = E.families(E.bucket_links(sk), seqs.select("seq_id"))
+    sk = E.sketch(seqs, E.kmers(F.col("sequence"), 5)).cache()
+    hits = E.kmer_hits(sk).cache()
+    assert sorted((h["query"], h["target"]) for h in hits.collect()) == [
+        (0, 1), (0, 2), (1, 0), (1, 2), (2, 0), (2, 1)]
+    found = E.families(E.family_links(hits, sk), seqs.select("seq_id"))
     sizes = sorted(r["count"] for r in found.groupBy("family_id").count().collect())
     assert sizes == [1] * 60 + [60]
 
 
+def grams(s):
+    return {s[i:i + 5] for i in range(len(s) - 4)}
+
+
+@pytest.mark.parametrize("block", [E.BLOCK, 2])
+def test_hits_against_all_pairs(spark, block):
+    """No hit is lost, however small the blocks; nearly all similar pairs are hits."""
+    rng = random.Random(9)
+    data = []
+    for _ in range(4):
+        ancestor = protein(rng)
+        data += [(len(data) + i, f"sp{i % 3}", mutate(rng, ancestor, i % 9)) for i in range(14)]
+    data += [(len(data), None, data[0][2]), (len(data) + 1, None, data[0][2])]
+    seqs = spark.createDataFrame(data, "seq_id long, species string, sequence string")
+    sk = E.sketch(seqs, E.kmers(F.col("sequence"), 5)).cache()
+    first = {}
+    for r in sorted(sk.collect()):
+        first.setdefault((r["species"], r[2:]), r["seq_id"])
+    reps = {i: (species, values) for (species, values), i in first.items()}
+    expected = set()
+    for a, (sa, x) in reps.items():
+        for b, (sb, y) in reps.items():
+            same = [u == v for u, v in zip(x, y)]
+            if a != b and sum(same) >= 4 and any(same[i] and same[i + 1] for i in range(0, 16, 2)):
+                expected.add((a, sa, b, sb, sum(same)))
+    got = [tuple(r) for r in E.kmer_hits(sk, block=block).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    near = {
+        (a, b) for a in reps for b in reps if a != b
+        and 2 * len(grams(data[a][2]) & grams(data[b][2])) >= len(grams(data[a][2]) | grams(data[b][2]))
+    }
+    found = near & {(g[0], g[2]) for g in got}
+    assert len(near) > 100 and len(found) >= 0.85 * len(near)
+
+
+def test_a_chance_band_does_not_merge(spark):
+    names = ", ".join(f"h_{i} long" for i in range(16))
+    data = [(1, "x", *range(16)), (2, "y", 0, 1, *range(102, 116)), (3, "y", *range(4), *range(204, 216))]
+    sk = spark.createDataFrame(data, f"seq_id long, species string, {names}").cache()
+    hits = E.kmer_hits(sk).cache()
+    assert {(h["query"], h["target"], h["score"]) for h in hits.collect()} == {(1, 3, 4), (3, 1, 4)}
+    links = E.family_links(hits, sk)
+    assert [tuple(r) for r in links.collect()] == [(1, 3)]
+    with pytest.raises(ValueError, match="min_score"):
+        E.kmer_hits(sk, min_score=2)
+
+
 def test_reciprocal_best(spark, rows):
     hits = spark.createDataFrame(
         [(1, "x", 10, "y", 5), (1, "x", 11, "y", 7), (11, "y", 1, "x", 7), (10, "y", 1, "x", 5),

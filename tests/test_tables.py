@@ -7,10 +7,10 @@ from cladeframe.sources import reports as R
 from cladeframe.sources import tables as S
 
 COUNTS = (
-    "Orthogroup\thuman\tcat\tdog\tTotal\n"
-    "OG0000000\t3\t2\t1\t6\n\t\t\t\t\n"
-    "OG0000001\t0\t1\t2\t3\n"
-    "OG0000002\t150\t1\t1\t152\n"
+    "Family\tteal\twren\tibis\tTotal\n"
+    "FAM_a\t4\t0\t7\t11\n\t\t\t\t\n"
+    "FAM_b\t1\t210\t1\t212\n"
+    "FAM_c\t2\t5\t9\t16\n"
 )
 
 
@@ -26,10 +26,10 @@ def lines(folder):
 
 def test_gene_counts_round_trip(spark, tmp_path, rows):
     long, species = S.read_gene_counts(spark, put(tmp_path / "c.tsv", COUNTS))
-    assert species == ["human", "cat", "dog"]
+    assert species == ["teal", "wren", "ibis"]
     assert long.count() == 9
     wide = C.wide_counts(long, species)
-    assert rows(wide) == [("OG0000000", 3, 2, 1), ("OG0000001", 0, 1, 2), ("OG0000002", 150, 1, 1)]
+    assert rows(wide) == [("FAM_a", 4, 0, 7), ("FAM_b", 1, 210, 1), ("FAM_c", 2, 5, 9)]
     assert rows(C.long_counts(wide, species)) == rows(long)
     no_total = put(tmp_path / "n.tsv", "F\ta\ttotal\tb\nx\t1\t2\t3\n")
     assert S.read_gene_counts(spark, no_total)[1] == ["a", "total", "b"]
@@ -54,16 +54,16 @@ def test_bad_counts(spark, tmp_path, rows):
 def test_matrix_and_size_filter(spark, tmp_path, rows):
     long, species = S.read_gene_counts(spark, put(tmp_path / "c.tsv", COUNTS))
     matrix = C.count_matrix(long, species, "fam")
-    assert matrix.columns == ["Desc", "Family ID", "human", "cat", "dog"]
+    assert matrix.columns == ["Desc", "Family ID", "teal", "wren", "ibis"]
     kept, large = C.split_large(matrix, species, 100)
-    assert rows(kept, "Family ID") == [("OG0000000",), ("OG0000001",)]
-    assert rows(large, "Desc", "Family ID") == [("fam", "OG0000002")]
+    assert rows(kept, "Family ID") == [("FAM_a",), ("FAM_c",)]
+    assert rows(large, "Desc", "Family ID") == [("fam", "FAM_b")]
     everything, none = C.split_large(matrix, species)
     assert (everything.count(), none.count()) == (3, 0)
     S.write_count_matrix(long, str(tmp_path / "m"), species)
     written = lines(tmp_path / "m")
-    assert "Desc\tFamily ID\thuman\tcat\tdog" in written
-    assert "(null)\tOG0000001\t0\t1\t2" in written
+    assert "Desc\tFamily ID\tteal\twren\tibis" in written
+    assert "(null)\tFAM_a\t4\t0\t7" in written
 
 
 def test_write_tsv(spark, tmp_path, table):
@@ -84,17 +84,17 @@ def test_totals_and_single_copy(spark, table, rows):
 
 
 def test_memberships(spark, tmp_path, rows):
-    text = "Orthogroup\thuman\tcat\nOG0\tg1, g2\tc1\nOG1\t\tc2\n"
+    text = "Orthogroup\tteal\twren\nOG0\tg1, g2\tc1\nOG1\t\tc2\n"
     got = S.read_orthogroups(spark, put(tmp_path / "o.tsv", text))
-    assert rows(got) == [("OG0", "cat", "c1"), ("OG0", "human", "g1"), ("OG0", "human", "g2"), ("OG1", "cat", "c2")]
+    assert rows(got) == [("OG0", "wren", "c1"), ("OG0", "teal", "g1"), ("OG0", "teal", "g2"), ("OG1", "wren", "c2")]
     assert rows(S.read_single_copy(spark, put(tmp_path / "s.txt", "OG1\nOG2\n\n"))) == [("OG1",), ("OG2",)]
 
 
 def test_phenotype_table(spark, tmp_path, rows):
-    text = "id\ttrait\tx\nhuman\t Omnivore \t1\nfrog\tNA\t2\n\tLost\t3\ncat\t\t4\n"
+    text = "id\ttrait\tx\nteal\t Omnivore \t1\nnewt\tNA\t2\n\tLost\t3\nwren\t\t4\n"
     path = put(tmp_path / "p.tsv", text)
     got = S.read_phenotypes(spark, path, "id", "trait")
-    assert rows(got) == [("cat", None), ("frog", None), ("human", "Omnivore")]
+    assert rows(got) == [("wren", None), ("newt", None), ("teal", "Omnivore")]
     with pytest.raises(DataError, match="nope"):
         S.read_phenotypes(spark, path, "id", "nope")
 
@@ -132,9 +132,9 @@ def test_search_artefacts(spark, tmp_path, rows):
 def test_solver_logs(spark, tmp_path, rows):
     d = tmp_path / "logs"
     d.mkdir()
-    put(d / "a.log", "[banner]\ntree nj = [&R] ((human:0.1,cat:0.12):0.05,dog:0.2);\n[plot]\n"
-        "tree nj = [&R] ((human:47,cat:47):47,dog:94);\n")
-    assert rows(R.read_dated_trees(spark, str(d))) == [("a.log", "((human:47,cat:47):47,dog:94);")]
+    put(d / "a.log", "[banner]\ntree nj = [&R] (ibis:0.31,(teal:0.14,wren:0.22):0.06);\n[plot]\n"
+        "tree nj = [&R] (ibis:60,(teal:25,wren:25):35);\n")
+    assert rows(R.read_dated_trees(spark, str(d))) == [("a.log", "(ibis:60,(teal:25,wren:25):35);")]
     put(d / "b.log", "nothing\n")
     with pytest.raises(DataError, match="b.log"):
         R.read_dated_trees(spark, str(d))
@@ -143,17 +143,17 @@ def test_solver_logs(spark, tmp_path, rows):
 def test_turnover_outputs(spark, tmp_path, rows):
     d = tmp_path / "turnover"
     d.mkdir()
-    put(d / "Base_count.tab", "FamilyID\thuman<1>\t<4>\nOG0\t3\t2\n")
+    put(d / "Base_count.tab", "FamilyID\tteal<1>\t<4>\nOG0\t3\t2\n")
     with pytest.raises(DataError, match="results.txt"):
         R.read_turnover(spark, str(d))
     put(d / "Base_results.txt", "ok")
-    put(d / "Base_change.tab", "FamilyID\thuman<1>\t<4>\nOG0\t+1\t-2\n")
+    put(d / "Base_change.tab", "FamilyID\tteal<1>\t<4>\nOG0\t+1\t-2\n")
     put(d / "Gamma_family_results.txt", "#FamilyID\tpvalue\tSig\nOG0\t0.01\ty\n")
     put(d / "Second_count.tab", "FamilyID\t_canis<2>\tlutra<3>\nOG7\t11\tN/A\n")
     put(d / "Second_family_results.txt", "#FamilyID\tpvalue\nOG7\t0.5\n")
     got = R.read_turnover(spark, str(d))
     assert sorted(got) == ["changes", "counts", "pvalues"]
-    assert rows(got["changes"], "family_id", "branch", "change") == [("OG0", "<4>", -2), ("OG0", "human<1>", 1)]
+    assert rows(got["changes"], "family_id", "branch", "change") == [("OG0", "<4>", -2), ("OG0", "teal<1>", 1)]
     assert rows(got["counts"], "family_id", "node", "copies", "run")[2:] == [
         ("OG7", "_canis<2>", 11, "Second"), ("OG7", "lutra<3>", None, "Second")]
     assert rows(got["pvalues"], "family_id", "pvalue", "run") == [("OG0", 0.01, "Gamma"), ("OG7", 0.5, "Second")]

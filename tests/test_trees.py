@@ -8,8 +8,8 @@ from cladeframe.operators import checks as V
 from cladeframe.operators import trees as T
 from cladeframe.sources import newick as N
 
-ADDITIVE = "((human:0.10,cat:0.12)0.98:0.05,dog:0.20)1.0:0.0;"
-DATED = "((human:47,cat:47):47,dog:94);"
+ADDITIVE = "(ibis:0.31,(teal:0.14,wren:0.220)0.77:0.06)0.9:0.0;"
+DATED = "(ibis:60,(teal:25,wren:25):35);"
 
 
 def codes(report):
@@ -21,45 +21,69 @@ def test_parse_and_write(trees, rows):
     assert e.where("error is not null").count() == 0
     text = dict(rows(N.edges_to_newick(e)))
     assert text["b"] == DATED
-    assert text["a"] == "((human:0.1,cat:0.12):0.05,dog:0.2);"
+    assert text["a"] == "(ibis:0.31,(teal:0.14,wren:0.22):0.06);"
     labelled = dict(rows(N.edges_to_newick(e, internal_labels=True)))
-    assert labelled["a"] == "((human:0.1,cat:0.12)0.98:0.05,dog:0.2)1.0;"
+    assert labelled["a"] == "(ibis:0.31,(teal:0.14,wren:0.22)0.77:0.06)0.9;"
     assert labelled["q"].startswith("('it''s x':1,")
 
 
-@pytest.mark.parametrize("text", ["((a,b);", "(a,b));", "(a:,b);", "(a:x,b);", "", "(a b);", "(a,b);c"])
+@pytest.mark.parametrize("text", [
+    "(p,(q,r);", "(p,q)),r;", "(p:,q);", "(p:long,q);", "", ";", "(p q);", "(p,q);r", "([p,q);", "('p,q);",
+    "(p]x,q);", "(p,q)", "(p,q)[unclosed;", "(p:nan,q:1);", "(p:1_0,q:1);", "(p:1:2,q);", "(p,q:1 r);",
+])
 def test_unreadable_trees(trees, text):
-    bad = trees(t=text, ok="(a:1,b:1);")
+    bad = trees(t=text, ok="(p:1,q[x]:.5e1[]) ;")
     assert [r["tree_id"] for r in bad.where("error is not null").collect()] == ["t"]
     assert codes(V.validate_tree(bad)) == [("t", "unreadable_tree")]
 
 
 def test_shape(trees):
-    e = trees(good=DATED, poly="((a:1,b:1,c:1):1,d:2);", tri="(a:1,b:1,c:1);", unary="((a:1):1,b:2);")
+    e = trees(good=DATED, poly="(p:5,(q:2,r:2,s:2):3);", tri="(p:4,q:4,r:4);", unary="(p:6,(q:5):1);")
     assert codes(V.validate_tree(e)) == [("poly", "polytomy"), ("tri", "not_rooted"), ("tri", "polytomy")]
     info = V.validate_tree(e).where("code = 'unary_nodes'").collect()
     assert [r["subject"] for r in info] == ["unary"]
 
 
 def test_ultrametric(trees):
-    e = trees(a=ADDITIVE, b=DATED, near="((a:47,b:47):47,c:94.01);", far="((a:47,b:47):47,c:150);")
+    e = trees(a=ADDITIVE, b=DATED, near="(p:60.01,(q:25,r:25):35);", far="(p:90,(q:25,r:25):35);")
     got = {r["tree_id"]: r for r in T.is_ultrametric(e).collect()}
     assert {k: r["is_ultrametric"] for k, r in got.items()} == {"a": False, "b": True, "near": True, "far": False}
-    assert got["b"]["deviation"] == 0.0 and got["far"]["deviation"] == 56.0
+    assert got["b"]["deviation"] == 0.0 and got["far"]["deviation"] == 30.0
     depths = {r["label"]: r["depth"] for r in T.tip_depths(e.where("tree_id = 'a'")).collect()}
-    assert depths == pytest.approx({"human": 0.15, "cat": 0.17, "dog": 0.2})
-    rooted = trees(r="(a:1,b:1):5;")
-    assert {r["depth"] for r in T.tip_depths(rooted).collect()} == {6.0}
+    assert depths == pytest.approx({"ibis": 0.31, "teal": 0.2, "wren": 0.28})
+    rooted = trees(r="(p:3,q:3):8;")
+    assert {r["depth"] for r in T.tip_depths(rooted).collect()} == {11.0}
 
 
 def test_tips_and_support(trees, table, rows):
-    e = trees(t="((human:47,cat:47):47,frog:94);")
-    species = table([("human",), ("cat",), ("dog",)], "species string")
-    assert rows(V.tip_species_diff(e, species)) == [("dog", "only_in_list"), ("frog", "only_in_tree")]
+    e = trees(t="(newt:60,(teal:25,wren:25):35);")
+    species = table([("teal",), ("wren",), ("ibis",)], "species string")
+    assert rows(V.tip_species_diff(e, species), "name", "side") == [
+        ("ibis", "only_in_list"), ("newt", "only_in_tree")]
     stripped = T.strip_support(trees(a=ADDITIVE))
-    assert {r["label"] for r in stripped.collect()} == {None, "human", "cat", "dog"}
+    assert {r["label"] for r in stripped.collect()} == {None, "ibis", "teal", "wren"}
     sides = {r["low_tip"] for r in T.root_spanning_taxa(trees(b=DATED)).collect()}
-    assert sides == {"cat", "dog"}
+    assert sides == {"ibis", "teal"}
+
+
+def test_tips_are_compared_tree_by_tree(trees, table, rows, monkeypatch):
+    one = trees(x="(p:1,q:1);", y="(r:1,s:1);")
+    swapped = trees(x="(r:1,s:1);", y="(p:1,q:1);").withColumnRenamed("branch_length", "class")
+    assert rows(V.validate_class_tree(one.withColumnRenamed("branch_length", "class"), one)) == []
+    report = V.validate_class_tree(swapped, one)
+    assert rows(report, "subject", "detail") == [
+        ("p", "x: only_in_list"), ("p", "y: only_in_tree"), ("q", "x: only_in_list"), ("q", "y: only_in_tree"),
+        ("r", "x: only_in_tree"), ("r", "y: only_in_list"), ("s", "x: only_in_tree"), ("s", "y: only_in_list")]
+    # one list for all trees, in blocks smaller than the list
+    monkeypatch.setattr(V, "BLOCK", 2)
+    listed = table([(c,) for c in "oprst"], "species string")
+    assert rows(V.tip_species_diff(one, listed)) == [
+        *[("x", c, "only_in_list") for c in "or"], ("x", "q", "only_in_tree"),
+        *[("x", c, "only_in_list") for c in "st"], *[("y", c, "only_in_list") for c in "opt"]]
+    assert rows(V.tip_species_diff(one, listed.where("false")), "tree_id", "name") == [
+        ("x", "p"), ("x", "q"), ("y", "r"), ("y", "s")]
+    unread = trees(z="(p,q")
+    assert rows(V.tip_species_diff(unread, listed.where("species < 'q'")), "name") == [("o",), ("p",)]
 
 
 def random_tree(n, rng, ladder=False):
@@ -122,39 +146,44 @@ def test_ancestors_mrca_and_pruning_against_walking(trees, spark, ladder, monkey
 
 
 def test_topology(trees, rows):
-    a = trees(x="((a:1,b:1):1,c:2);", y="((a,b),c);", z="((a,b),c);")
-    b = trees(x="(c:5,(b:9,a:9):9);", y="((a,c),b);", z="((a,b),d);")
+    a = trees(x="(r:2,(p:7,q:7):1);", y="(r,(p,q));", z="(r,(p,q));")
+    b = trees(x="((q:3,p:3):3,r:8);", y="(p,(r,q));", z="(s,(p,q));")
     assert rows(T.same_topology(a, b)) == [("x", True), ("y", False), ("z", False)]
 
 
 def test_calibrations_against_tree(trees, table, rows):
     e = trees(t=DATED)
     cals = table(
-        [("t", "hc", "human", "cat", 47.0, None, None), ("t", "root", "human", "dog", None, 100.0, 120.0),
-         ("t", "wide", "cat", "dog", None, 90.0, None), ("t", "frog", "human", "frog", 1.0, None, None)],
+        [("t", "tw", "teal", "wren", 25.0, None, None), ("t", "root", "teal", "ibis", None, 70.0, 85.0),
+         ("t", "wide", "wren", "ibis", None, 55.0, None), ("t", "odd", "teal", "newt", 3.0, None, None)],
         "tree_id string, name string, sp1 string, sp2 string, age double, min_age double, max_age double")
     got = T.check_calibrations(e, cals)
     assert rows(got, "name", "tree_age", "status") == [
-        ("frog", None, "unknown taxon"), ("hc", 47.0, "ok"), ("root", 94.0, "violated"), ("wide", 94.0, "ok")]
+        ("odd", None, "unknown taxon"), ("root", 60.0, "violated"), ("tw", 25.0, "ok"), ("wide", 60.0, "ok")]
     from cladeframe.functions.specs import parse_calibrations
 
-    specs = table([("hc:human,cat:94",), ("x:human,frog:10",), ("y:human:1",)], "spec string")
+    specs = table([("tw:teal,wren:60",), ("x:teal,newt:12",), ("y:teal:3",)], "spec string")
     report = V.validate_calibrations(parse_calibrations(specs), e)
     assert rows(report, "code", "subject", "detail") == [
-        ("malformed", "y:human:1", "not two taxa"), ("unknown_taxon", "x", "frog")]
+        ("malformed", "y:teal:3", "not two taxa"), ("unknown_taxon", "x", "t: newt")]
+    both = trees(t=DATED, u="(newt:1,teal:1);")
+    own = parse_calibrations(specs.where("spec like 'x%'"))
+    assert rows(V.validate_calibrations(own, both), "detail") == [("t: newt",)]
+    scoped = own.withColumn("tree_id", F.lit("u"))
+    assert V.validate_calibrations(scoped, both).count() == 0
     none = V.validate_calibrations(parse_calibrations(specs.where("false")), e)
     assert [r["code"] for r in none.collect()] == ["root_anchor"]
 
 
 def test_class_and_turnover_checks(trees, table, rows):
     t = trees(t=DATED)
-    good = trees(t="((human:1,cat:1):1,dog:2);").withColumnRenamed("branch_length", "class")
+    good = trees(t="(ibis:2,(teal:1,wren:1):1);").withColumnRenamed("branch_length", "class")
     assert V.validate_class_tree(good, t).count() == 0
-    half = trees(t="((human:1.5,cat:1):1,dog:2);").withColumnRenamed("branch_length", "class")
-    assert rows(V.validate_class_tree(half, t), "code", "subject") == [("non_integer_class", "human")]
-    frog = trees(t="((human:1,cat:1):1,frog:2);").withColumnRenamed("branch_length", "class")
-    assert rows(V.validate_class_tree(frog, t), "subject") == [("dog",), ("frog",)]
-    cells = table([("f", s, "1") for s in ("human", "cat", "dog")], "family_id string, species string, cell string")
+    half = trees(t="(ibis:2,(teal:1.25,wren:1):1);").withColumnRenamed("branch_length", "class")
+    assert rows(V.validate_class_tree(half, t), "code", "subject") == [("non_integer_class", "teal")]
+    other = trees(t="(newt:2,(teal:1,wren:1):1);").withColumnRenamed("branch_length", "class")
+    assert rows(V.validate_class_tree(other, t), "subject") == [("ibis",), ("newt",)]
+    cells = table([("f", s, "1") for s in ("ibis", "teal", "wren")], "family_id string, species string, cell string")
     assert not V.has_errors(V.validate_turnover_inputs(cells, t))
     assert ("a", "not_ultrametric") in codes(V.validate_turnover_inputs(cells, trees(a=ADDITIVE)))
 
