@@ -20,6 +20,8 @@ from __future__ import annotations
 import uuid
 import zlib
 from functools import lru_cache
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ from .text import whole
 
 STRIDE = 1000
 STRIPE_BYTES = 64 << 20
-#: Distinct pieces a worker remembers before it starts anew; a matter of memory only.
+#: Distinct pieces a worker remembers; a matter of memory only.
 REMEMBERED = 500_000
 #: White space other than single spaces and line breaks, or the start of a special token.
 IRREGULAR = (
@@ -41,6 +43,10 @@ IRREGULAR = (
 )
 
 
+#: A space as byte-level vocabularies write it (fixed value).
+SPACE = "\u0120"
+
+
 class Encoder:
     """A tokenizer file with the ids of the pieces it has met, as bytes of int32."""
 
@@ -49,32 +55,49 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.line_break = self.ids("\n")
+        vocabulary = self.tokenizer.get_vocab()
+        self.has_space = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.has_space[[i for token, i in vocabulary.items() if token[:1] == SPACE]] = True
         self.spaced: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32).tobytes()
 
-    def together(self, pieces: list[str], before: str) -> list[bytes]:
-        """Encode pieces, each with ``before`` before it, in one call: line breaks
-        between them are tokens of their own."""
+    def _all(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+
+    def together(self, pieces: list[str]) -> list[bytes]:
+        """Encode pieces in one call: line breaks between them are tokens of their own."""
         if not pieces:
             return []
-        text = before + f"\n{before}".join(pieces)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
-        ends = np.append(np.flatnonzero(ids == np.frombuffer(self.line_break, np.int32)[0]), len(ids))
-        packed, low, out = ids.tobytes(), 0, []
-        for end in ends.tolist():
-            out.append(packed[4 * low : 4 * end])
-            low = end + 1
-        return out
+        ids = self._all("\n".join(pieces))
+        ends = 4 * np.append(np.flatnonzero(ids == np.frombuffer(self.line_break, np.int32)[0]), len(ids))
+        packed, ends = ids.tobytes(), ends.tolist()
+        return [packed[low:end] for low, end in zip([0, *[e + 4 for e in ends]], ends)]
+
+    def after_spaces(self, pieces: list[str]) -> list[bytes]:
+        """Encode pieces, each with a space before it, in one call: only the first id of
+        a piece holds a space."""
+        if not pieces:
+            return []
+        ids = self._all(" " + " ".join(pieces))
+        starts = 4 * np.flatnonzero(self.has_space[ids])
+        if len(starts) != len(pieces):
+            return [self.ids(f" {p}") for p in pieces]
+        packed, starts = ids.tobytes(), starts.tolist()
+        return [packed[low:end] for low, end in zip(starts, [*starts[1:], len(packed)])]
 
     def learn(self, new: set[str]) -> None:
         """Encode pieces: a word stands for itself after a space, ``\\n`` and a word for
         itself after a line break, ``\\n\\n`` and a word for the start of a text."""
+        again = {p: self.older[p] for p in new if p in self.older}
+        self.spaced.update(again)
+        new = new.difference(again)
         spaced = [p for p in new if p and p[0] != "\n"]
-        self.spaced.update(zip(spaced, self.together(spaced, " ")))
+        self.spaced.update(zip(spaced, self.after_spaces(spaced)))
         bare = list({p.lstrip("\n") for p in new if p[:1] == "\n"} - {""})
-        ids = dict(zip(bare, self.together(bare, "")), **{"": b""})
+        ids = dict(zip(bare, self.together(bare)), **{"": b""})
         for p in new:
             if p[:1] == "\n":
                 start = b"" if p[:2] == "\n\n" else self.line_break
@@ -86,8 +109,9 @@ class Encoder:
         """The ids of each whole text."""
         irregular = pc.match_substring_regex(column, IRREGULAR).to_pylist()
         texts = column.to_pylist()
-        if len(self.spaced) > REMEMBERED:
-            self.spaced.clear()
+        if len(self.spaced) > REMEMBERED // 2:
+            # pieces that come again are taken over, the others go with the next turn
+            self.older, self.spaced = self.spaced, {}
         get, parts, new = self.spaced.get, [], set()
         for text, odd in zip(texts, irregular):
             if odd:
@@ -96,16 +120,20 @@ class Encoder:
             pieces = text.replace("\n", " \n").split(" ")
             pieces[0] = "\n\n" + pieces[0]
             known = list(map(get, pieces))
-            if None in known:
-                new.update(p for p, k in zip(pieces, known) if k is None)
-            parts.append((pieces, known))
+            open_at = list(compress(range(len(known)), map(is_, known, repeat(None))))
+            new.update(map(pieces.__getitem__, open_at))
+            parts.append((pieces, known, open_at))
         self.learn(new)
-        seen = self.spaced
-        return [
-            self.ids(text) if part is None
-            else b"".join([seen[p] if k is None else k for p, k in zip(*part)])
-            for text, part in zip(texts, parts)
-        ]
+        out = []
+        for text, part in zip(texts, parts):
+            if part is None:
+                out.append(self.ids(text))
+                continue
+            pieces, known, open_at = part
+            for i in open_at:
+                known[i] = self.spaced[pieces[i]]
+            out.append(b"".join(known))
+        return out
 
 
 @lru_cache(maxsize=1)
