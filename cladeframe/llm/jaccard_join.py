@@ -18,10 +18,17 @@ The bound is exact for any global order of tokens, so no link between different
 lost.  The order only matters for cost: by hash, but the most frequent tokens last
 (``HOT_TOKENS`` of them, a fixed size, counted over all documents), so that passages
 shared by many documents do not make candidates.  Sets already in one group are not
-compared again, so a large group of near copies costs a star and not all its pairs.
+compared again to find the components, so a large group of near copies costs a star there.
 
-Defined results: a document without words has an empty set, its own component and no
-links; fewer than five words make one shingle of the whole sequence.  Rows with equal
+Links are counted afterwards, as all of them are inside components: the sets of a component
+go into classes by size, of which only equal and neighbouring ones can be similar, and the
+classes into blocks of bounded size.  Every two blocks meet in a task of their own, which
+counts the common tokens of all pairs exactly and passes on one sum for each set.
+
+Defined results: ``n_links`` is the number of other sets, that is of different texts, that
+are similar to the row's; copies have the same number and no links to each other.  A
+document without words has an empty set, its own component and no links; fewer than five
+words make one shingle of the whole sequence.  Rows with equal
 ids are rows of their own with the smallest id as usual; a missing id is no smallest id
 unless all ids of the component are missing.  Shingles are 64-bit hashes.
 """
@@ -52,6 +59,13 @@ SEEN_BITS = 1 << 27
 CHUNK = 1 << 19
 #: Tokens that a task counts before it passes them on.
 FLUSH = 1 << 18
+#: Sets and tokens of about one block of a component; two blocks meet in a task.
+BLOCK_SETS = 1024
+BLOCK_TOKENS = 1 << 19
+#: Tokens in more sets of two blocks than this are counted by products of matrices.
+DENSE = 16
+COLUMNS = 1 << 12
+CELLS = "array<struct<x:struct<class:int,block:int>,y:struct<class:int,block:int>>>"
 
 _factors = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _lower = np.arange(256, dtype=np.uint8)
@@ -216,9 +230,9 @@ def most_common(n: int, x: bytes, m: int, y: bytes) -> int:
 def _sketch(order: _Order, key_type: str):
     def run(batches):
         for b in (x.slice(i, 1000) for x in batches for i in range(0, x.num_rows, 1000)):
-            keys = [b.column(i) for i in range(3)]
+            keys = [b.column(i) for i in range(4)]
             sizes, sums, xors, tokens, rests, shared, maps = [], [], [], [], [], [], []
-            for s in _sets(b.column(3)):
+            for s in _sets(b.column(4)):
                 sizes.append(len(s))
                 sums.append(int(s.sum(dtype=np.uint64)))
                 xors.append(int(np.bitwise_xor.reduce(mix(s + np.uint64(1)))) if len(s) else 0)
@@ -233,10 +247,10 @@ def _sketch(order: _Order, key_type: str):
             digests = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (sums, xors)]
             yield pa.RecordBatch.from_arrays(
                 [*keys, pa.array(sizes, pa.int64()), *digests, *lists, pa.array(shared, pa.int64()), pa.array(maps, pa.binary())],
-                names=["k", "h", "key", "n", "d1", "d2", "tokens", "rests", "v", "map"],
+                names=["uid", "k", "h", "key", "n", "d1", "d2", "tokens", "rests", "v", "map"],
             )
 
-    return run, f"k long, h long, key {key_type}, n long, d1 long, d2 long, tokens array<long>, rests array<int>, v long, map binary"
+    return run, f"uid long, k long, h long, key {key_type}, n long, d1 long, d2 long, tokens array<long>, rests array<int>, v long, map binary"
 
 
 def _may_link(n, v, m, w):
@@ -253,6 +267,21 @@ def _first_common(n, rest, m, other):
     return F.least(rest, other) * (100 + PERCENT) >= (F.col(n) + F.col(m)) * PERCENT
 
 
+def _opened(sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """``uid, tokens`` of the sets, made from their texts."""
+
+    def hashed(batches):
+        for b in batches:
+            ids = b.column(0).to_pylist()
+            sets = [s.tobytes() for s in _sets(b.column(1))]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["uid", "tokens"])
+
+    places = materialize(sets.select("uid", "k", "h"))
+    bits = bloom(places, "k", "h")
+    found = texts.where(passes(bits, "k", "h")).join(places, ["k", "h"]).dropDuplicates(["uid"])
+    return materialize(found.select("uid", "text").mapInArrow(hashed, "uid long, tokens binary"))
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     """The stored ``pairs`` (``x, y``) whose sets are similar.
 
@@ -273,12 +302,6 @@ def _verify(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     bounded = pairs.join(x, "x").join(y, "y").select("x", "y", "nx", "mx", "ny", "my")
     pairs = materialize(bounded.mapInArrow(possible, "x long, y long"))
 
-    def hashed(batches):
-        for b in batches:
-            ids = b.column(0).to_pylist()
-            sets = [s.tobytes() for s in _sets(b.column(1))]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["uid", "tokens"])
-
     def similar(batches):
         for b in batches:
             keep = []
@@ -289,25 +312,134 @@ def _verify(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     wanted = pairs.select(F.col("x").alias("uid")).unionByName(pairs.select(F.col("y").alias("uid"))).distinct()
-    places = materialize(sets.join(wanted, "uid", "left_semi").select("uid", "k", "h"))
-    bits = bloom(places, "k", "h")
-    found = texts.where(passes(bits, "k", "h")).join(places, ["k", "h"]).dropDuplicates(["uid"])
-    opened = materialize(found.select("uid", "text").mapInArrow(hashed, "uid long, tokens binary"))
+    opened = _opened(sets.join(wanted, "uid", "left_semi"), texts)
     left = pairs.join(opened.select(F.col("uid").alias("x"), F.col("tokens").alias("s")), "x")
     both = left.join(opened.select(F.col("uid").alias("y"), F.col("tokens").alias("t")), "y")
     return materialize(both.select("x", "y", "s", "t").mapInArrow(similar, "x long, y long"))
 
 
+def count_links(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """How many sets of ``b`` are similar to each of ``a`` and the other way round; without
+    ``b``, how many others of ``a``."""
+    every = a + (b or [])
+    low, n = (len(a) if b else 0), len(every)
+    sizes = np.array([len(x) for x in every], np.int64)
+    row = np.repeat(np.arange(n), sizes)
+    _, token, held = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
+    both = np.zeros((len(a), n - low), np.float32)
+    # tokens in many sets
+    dense = held > DENSE
+    number = np.cumsum(dense) - 1
+    at = np.flatnonzero(dense[token])
+    column, of = number[token[at]], row[at]
+    order = np.argsort(column, kind="stable")
+    column, of = column[order], of[order]
+    for first in range(0, int(dense.sum()), COLUMNS):
+        i, j = np.searchsorted(column, [first, first + COLUMNS])
+        part = np.zeros((n, COLUMNS), np.float32)
+        part[of[i:j], column[i:j] - first] = 1
+        both += part[: len(a)] @ part[low:].T
+    # tokens in few: every two sets that have one
+    at = np.flatnonzero(((held > 1) & ~dense)[token])
+    at = at[np.argsort(token[at], kind="stable")]
+    token, row = token[at], row[at]
+    for step in range(1, DENSE):
+        same = np.flatnonzero(token[step:] == token[:-step])
+        if not len(same):
+            break
+        x, y = row[same], row[same + step]
+        if b:
+            across = (x < low) & (y >= low)
+            np.add.at(both, (x[across], y[across] - low), 1)
+        else:
+            np.add.at(both, (x, y), 1)
+            np.add.at(both, (y, x), 1)
+    both = both.astype(np.int64)
+    similar = 100 * both >= PERCENT * (sizes[: len(a), None] + sizes[None, low:] - both)
+    if not b:
+        np.fill_diagonal(similar, False)
+    return similar.sum(axis=1), similar.sum(axis=0)
+
+
+def _count_all(found: DataFrame, one: DataFrame, texts: DataFrame) -> DataFrame:
+    """``uid, n_links`` of every set of the components ``found`` (``node, component``).
+
+    Components that fit into one block are counted many in a task; the others in cells of
+    two blocks.  Two sets in a component are linked to each other.
+    """
+    base = np.log(100 / PERCENT) + 0.01  # a little wider, so that rounding cannot part similar sizes
+    members = one.select("uid", "k", "h", "n").join(found.withColumnRenamed("node", "uid"), "uid")
+    members = materialize(members.withColumn("class", F.floor(F.log("n") / base).cast("int")))
+    need = F.greatest(F.ceil(F.sum("sets") / BLOCK_SETS), F.ceil(F.sum("tokens") / BLOCK_TOKENS))
+    classes = members.groupBy("component", "class").agg(F.count("*").alias("sets"), F.sum("n").alias("tokens"))
+    blocks = classes.groupBy("component", "class").agg(need.cast("int").alias("blocks"))
+    per_class = F.map_from_entries(F.collect_list(F.struct("class", "blocks"))).alias("blocks")  # a class is a power of a size
+    total = classes.groupBy("component").agg(F.sum("sets").alias("sets"), need.alias("need"))
+    total = total.join(blocks.groupBy("component").agg(per_class), "component").where("sets > 2")
+    total = materialize(total)
+    bins = total.where("need = 1").join(classes, "component").agg(F.sum("tokens")).first()[0] or 0
+    bins = -(-bins // BLOCK_TOKENS) + 1
+
+    own = F.pmod(F.xxhash64("uid"), F.col("blocks")[F.col("class")]).cast("int")
+    held = members.join(total, "component").withColumn("block", F.when(F.col("need") > 1, own).otherwise(0))
+    here = F.struct("class", "block")
+    cell = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+
+    def others(step: int):
+        number = F.coalesce(F.try_element_at("blocks", F.col("class") + step), F.lit(0))
+        there = lambda j: F.struct((F.col("class") + step).alias("class"), j.cast("int").alias("block"))
+        side = lambda j: cell(F.least(here, there(j)), F.greatest(here, there(j)))
+        return F.when(number > 0, F.transform(F.sequence(F.lit(0), number - 1), side)).otherwise(F.array().cast(CELLS))
+
+    cells = F.concat(others(0), others(-1), others(1))
+    alone = F.array(F.struct(*[F.struct(F.lit(0).alias("class"), F.lit(0).alias("block")).alias(x) for x in "xy"]))
+    small = F.col("need") == 1
+    held = held.select(
+        "uid", "component", F.when(small, 0).otherwise(F.col("class")).alias("class"), "block",
+        F.when(small, F.pmod(F.xxhash64("component"), F.lit(bins))).alias("bin"), F.when(small, alone).otherwise(cells).alias("cells"),
+    )
+    opened = _opened(members.join(total, "component", "left_semi"), texts)
+    dealt = opened.join(held, "uid").select("uid", "component", "class", "block", "bin", "tokens", F.explode("cells").alias("cell"))
+    sides = [F.col(f"cell.{x}.{y}").alias(f"{x}_{y}") for x in "xy" for y in ("class", "block")]
+    dealt = dealt.select("uid", "component", "class", "block", "bin", "tokens", *sides)
+
+    def count(part: pd.DataFrame) -> pd.DataFrame:
+        uids, links = [], []
+        for _, g in part.groupby("component"):
+            cell = g.iloc[0]
+            alone = cell["x_class"] == cell["y_class"] and cell["x_block"] == cell["y_block"]
+            sets = [np.frombuffer(t, np.uint64) for t in g["tokens"]]
+            first = ((g["class"] == g["x_class"]) & (g["block"] == g["x_block"])).to_numpy()
+            a = [s for s, f in zip(sets, first) if f]
+            b = [s for s, f in zip(sets, first) if not f]
+            if not a or not b and not alone:
+                continue
+            of_a, of_b = count_links(a, b or None)
+            uids += [g["uid"].to_numpy()[first]] + ([g["uid"].to_numpy()[~first]] if b else [])
+            links += [of_a] + ([of_b] if b else [])
+        none = [np.zeros(0, np.int64)]
+        return pd.DataFrame({"uid": np.concatenate(none + uids), "n_links": np.concatenate(none + links)})
+
+    owner = F.when(F.col("bin").isNull(), F.col("component")).otherwise(F.col("bin"))
+    task = [F.col("bin").isNull(), owner, "x_class", "x_block", "y_class", "y_block"]
+    counted = dealt.groupBy(*task).applyInPandas(count, "uid long, n_links long")
+    counted = counted.groupBy("uid").agg(F.sum("n_links").alias("n_links"))
+    pairs = members.join(total, "component", "left_anti").select("uid", F.lit(1).cast("long").alias("n_links"))
+    return counted.unionByName(pairs)
+
+
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, n_shingles, component_id, n_links`` of every row; ``n_links`` counts the
-    links that were found to hold its set in its component."""
+    """``key, n_shingles, component_id, n_links`` of every row."""
     body = whole(F.col(text))
     kind = docs.schema[key].dataType
     place = F.xxhash64(F.col(key).cast("string"), body)
-    texts = docs.select(place.alias("k"), F.crc32(body).alias("h"), F.col(key).alias("key"), F.encode(body, "utf-8").alias("text"))
+    texts = docs.select(
+        F.monotonically_increasing_id().alias("uid"), place.alias("k"), F.crc32(body).alias("h"),
+        F.col(key).alias("key"), F.encode(body, "utf-8").alias("text"),
+    )
     order = _count_order(texts.select("text"), docs.count())
     run, schema = _sketch(order, kind.simpleString())
-    rows = materialize(texts.select("k", "h", "key", "text").mapInArrow(run, schema).withColumn("uid", F.monotonically_increasing_id()))
+    rows = materialize(texts.mapInArrow(run, schema))
     same = ["n", "d1", "d2"]
     sets = materialize(rows.where("n > 0").groupBy(*same).agg(F.min("uid").alias("uid"), F.min("key").alias("low")))
     one = rows.join(sets.select("uid"), "uid", "left_semi")
@@ -345,8 +477,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     every = links.unionByName(more).select(F.col("x").alias("a"), F.col("y").alias("b"))
     found = materialize(components(every))
-    degree = every.unionByName(every.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = degree.groupBy("a").agg(F.count("*").alias("n_links")).withColumnRenamed("a", "uid")
+    degree = _count_all(found, one, texts.select("k", "h", "text"))
     named = sets.join(found.withColumnRenamed("node", "uid"), "uid", "left").join(degree, "uid", "left")
     named = materialize(named.withColumn("component", F.coalesce("component", "uid")))
     low = named.groupBy("component").agg(F.min("low").alias("component_id"))

@@ -247,6 +247,32 @@ def test_components_with_hot_tokens_last(spark, monkeypatch):
     assert sorted(map(tuple, got), key=key) == brute_components(near_copies())
 
 
+def brute_links(rows):
+    """Similar texts other than the row's own; copies are one."""
+    texts = {s for s in (shingles(t) for _, t in rows) if s}
+    near = lambda s, t: s != t and 100 * len(s & t) >= 80 * len(s | t)
+    links = {s: sum(near(s, t) for t in texts) for s in texts}
+    return sorted(((k, links.get(shingles(t), 0)) for k, t in rows), key=key)
+
+
+def sizes_in_a_chain():
+    """Texts that grow by a twelfth: neighbours are similar, over several classes of sizes."""
+    words = prose(13, 900).split()
+    rows = [(i, " ".join(words[: int(40 * 1.08**i)])) for i in range(40)]
+    return rows + [(50 + i, " ".join(words[:200]) + f" tail{i}") for i in range(20)] + [(80, rows[30][1])]
+
+
+@pytest.mark.parametrize("block, dense", [(1024, 16), (7, 3)])
+def test_links(spark, clashing, monkeypatch, block, dense):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", block)
+    monkeypatch.setattr(jaccard_join, "DENSE", dense)
+    monkeypatch.setattr(jaccard_join, "COLUMNS", 50)
+    for rows in (near_copies() + [(300 + i, t) for i, t in sizes_in_a_chain()], [r[:2] for r in odd_rows()]):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = jaccard_join.similar_documents(df).select("doc_id", "n_links").collect()
+        assert sorted(map(tuple, got), key=key) == brute_links(rows)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.text("aB \t\n\x0bé", max_size=40), min_size=1, max_size=5))
 def test_shingle_sets(texts):
