@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cladeframe.runtime import materialize
+
 from .text import n_words
 
 #: Hexadecimal digits of the hash that name a bucket: 4096 buckets in each source.
@@ -89,9 +91,11 @@ def plan(
     factor: float = 1.5,
     cap: float = 2.0,
     tilt: float = 0.5,
+    row: str | None = None,
 ) -> DataFrame:
     """One row per document: its size, its source's size and target, and the training
-    positions (in words of the whole stream) of the copies that the mix takes.
+    positions (in words of the whole stream) of the copies that the mix takes.  ``row``
+    is a column with a number for each row; it is passed on and settles ties.
 
     A document whose middle lies before the end of the source's demand is taken, so a
     source misses its target by at most half a document.
@@ -99,7 +103,7 @@ def plan(
     name = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
     d = docs.select(
         F.col(key).alias("id"), F.col(source).alias("source"), source_key(F.col(source)).alias("src"),
-        n_words(F.col(text)).alias("size"), name.alias("name"),
+        n_words(F.col(text)).alias("size"), name.alias("name"), *([F.col(row).alias("row")] if row else []),
     ).withColumn("bucket", F.substring("name", 1, BUCKET_DIGITS))
 
     buckets = d.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
@@ -115,7 +119,8 @@ def plan(
     earlier = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = buckets.withColumn("start", F.coalesce(F.sum("words").over(earlier), F.lit(0))).join(sources, "src")
 
-    inside = Window.partitionBy("src", "bucket").orderBy("name", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    ties = ["row"] if row else []
+    inside = Window.partitionBy("src", "bucket").orderBy("name", "id", "size", *ties).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     d = d.join(starts.drop("words", "rank", "weight"), ["src", "bucket"])
     offset = (F.col("start") + F.col("inside")).cast("double")
@@ -131,6 +136,7 @@ def plan(
     return d.select(
         F.col("id").alias(key), "source", "size", "source_size", "target",
         (F.col("size") * F.col("copies")).alias("taken"), positions.alias("positions"),
+        *([F.col("row").alias(row)] if row else []),
     )
 
 
@@ -140,15 +146,14 @@ def training_order(planned: DataFrame, key: str = "doc_id") -> DataFrame:
     return copies.orderBy("position", key, "copy")
 
 
-def mixed(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The documents of the mix in training order, a document taken twice as two rows.
 
-    Rows are matched by ``key``; with repeated keys each row is taken as often as the
-    plan takes the key on the whole, its rows counted once.
+    Rows are stored with a number first, so that each is repeated by its own positions,
+    whatever other rows have its key.
     """
-    planned = plan(docs, key, **options).select(F.col(key).alias("mix_key"), "positions")
-    planned = planned.groupBy("mix_key").agg(F.min("positions").alias("positions"))
-    row = docs.select(F.col(key).alias("mix_key"), F.struct("*").alias("row"))
-    hit = row.alias("r").join(planned.alias("p"), F.col("r.mix_key").eqNullSafe(F.col("p.mix_key")))
-    copies = hit.select("r.row", F.explode("p.positions").alias("position"))
+    stored = materialize(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("__row")))
+    narrow = stored.select(F.col("row")[key].alias(key), F.col("row")[text].alias(text), F.col("row")[source].alias(source), "__row")
+    planned = plan(narrow, key, text, source, row="__row", **options).select("__row", "positions")
+    copies = stored.join(planned.where(F.size("positions") > 0), "__row").select("row", F.explode("positions").alias("position"))
     return copies.orderBy("position").select("row.*")

@@ -116,6 +116,29 @@ def test_mixed_repeats_rows(odd):
     assert all(got[k] == n for k, n in want.items())
 
 
+def repeated_ids():
+    """Repeated and missing ids in several sources; every text is of one row only."""
+    rows = [(5 if i % 3 else None, f"t{i} " + "w " * (i % 7), "en", f"s{i % 3}") for i in range(90)]
+    rows += [(100 + i, f"u{i} w w", "en", f"s{i % 3}") for i in range(30)]
+    return [(*r, len(r[1])) for r in rows]
+
+
+def test_mixed_takes_rows_one_by_one(spark):
+    rows = repeated_ids()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    target = {r.source: r.target for r in mixing.plan(df).collect()}
+    taken, copies = Counter(), Counter()
+    for r in mixing.mixed(df).collect():
+        taken[r.source] += len(split(r.text))
+        copies[r.text] += 1
+    largest = max(len(split(r[1])) for r in rows)
+    assert all(abs(taken[x] - target[x]) <= largest / 2 + 1e-6 for x in target)
+    for x in target:
+        n = [copies[r[1]] for r in rows if r[3] == x]
+        assert max(n) - min(n) <= 1
+    assert {r[0] for r in rows if copies[r[1]] > 0} >= {5, None}
+
+
 # quality classifier and language
 
 
