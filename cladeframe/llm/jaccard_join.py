@@ -38,7 +38,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cladeframe.runtime import materialize
@@ -428,20 +428,25 @@ def _count_all(found: DataFrame, one: DataFrame, texts: DataFrame) -> DataFrame:
     return counted.unionByName(pairs)
 
 
-def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, n_shingles, component_id, n_links`` of every row."""
-    body = whole(F.col(text))
-    kind = docs.schema[key].dataType
-    place = F.xxhash64(F.col(key).cast("string"), body)
-    texts = docs.select(
-        F.monotonically_increasing_id().alias("uid"), place.alias("k"), F.crc32(body).alias("h"),
-        F.col(key).alias("key"), F.encode(body, "utf-8").alias("text"),
-    )
-    order = _count_order(texts.select("text"), docs.count())
+def _located(key: Column, text: Column, uid: Column) -> list[Column]:
+    """Number, place, key and bytes of a row's text."""
+    body = whole(text)
+    place = F.xxhash64(key.cast("string"), body)
+    return [uid.alias("uid"), place.alias("k"), F.crc32(body).alias("h"), key.alias("key"), F.encode(body, "utf-8").alias("text")]
+
+
+def _components(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The stored rows of ``texts`` (see ``_located``); one row for each set; the sets in
+    components of more than one; and each set's component with the first of its rows
+    (smallest key, a missing one last, then smallest number) as ``first``."""
+    kind = texts.schema["key"].dataType
+    order = _count_order(texts.select("text"), texts.count())
     run, schema = _sketch(order, kind.simpleString())
     rows = materialize(texts.mapInArrow(run, schema))
     same = ["n", "d1", "d2"]
-    sets = materialize(rows.where("n > 0").groupBy(*same).agg(F.min("uid").alias("uid"), F.min("key").alias("low")))
+    sets = materialize(rows.where("n > 0").groupBy(*same).agg(
+        F.min("uid").alias("uid"), F.min(F.struct(F.col("key").isNull().alias("missing"), "key", F.col("uid").alias("row"))).alias("low")
+    ))
     one = rows.join(sets.select("uid"), "uid", "left_semi")
     one = materialize(one.select("uid", "k", "h", "n", "v", "tokens", "rests", "map"))
 
@@ -477,11 +482,19 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     every = links.unionByName(more).select(F.col("x").alias("a"), F.col("y").alias("b"))
     found = materialize(components(every))
-    degree = _count_all(found, one, texts.select("k", "h", "text"))
-    named = sets.join(found.withColumnRenamed("node", "uid"), "uid", "left").join(degree, "uid", "left")
+    named = sets.join(found.withColumnRenamed("node", "uid"), "uid", "left")
     named = materialize(named.withColumn("component", F.coalesce("component", "uid")))
-    low = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = named.join(low, "component").select(*same, "component_id", "n_links")
+    low = named.groupBy("component").agg(F.min("low").alias("first"))
+    return rows, one, found, named.drop("low").join(low, "component")
+
+
+def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, n_shingles, component_id, n_links`` of every row."""
+    texts = docs.select(*_located(F.col(key), F.col(text), F.monotonically_increasing_id()))
+    rows, one, found, named = _components(texts)
+    degree = _count_all(found, one, texts.select("k", "h", "text"))
+    same = ["n", "d1", "d2"]
+    named = named.join(degree, "uid", "left").select(*same, F.col("first.key").alias("component_id"), "n_links")
     out = rows.select("key", *same).join(named, same, "left")
     return out.select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"),
@@ -491,10 +504,10 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents whose id is their component's, with their columns.  Rows with equal
-    ids stay or go together; rows without words and rows without an id stay."""
-    found = similar_documents(docs, key, text)
-    keep = found.where((F.col(key) == F.col("component_id")) | F.col(key).isNull()).select(F.col(key).alias("k")).distinct()
-    row = docs.select(F.struct("*").alias("row"), F.col(key).alias("k"))
-    kept = row.join(keep, row["k"].eqNullSafe(keep["k"]), "left_semi")
-    return kept.select("row.*")
+    """One row of each component with its columns: of those with the smallest id one, of a
+    component without ids any one.  Rows without words stay.  Rows are stored with a
+    number first, so that repeated and missing ids are rows of their own."""
+    stored = materialize(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("uid")))
+    rows, _, _, named = _components(stored.select(*_located(F.col("row")[key], F.col("row")[text], F.col("uid"))))
+    keep = named.select(F.col("first.row").alias("uid")).distinct().unionByName(rows.where("n = 0").select("uid"))
+    return stored.join(keep, "uid", "left_semi").select("row.*")

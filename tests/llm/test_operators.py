@@ -263,6 +263,19 @@ def test_keep_one(clashing):
     assert ids[0] == 1 and not ids[1] and ids[3] == ids[4] == ids[5] == 1 and ids[8] == 1 and not ids[9]
 
 
+def test_keep_one_row_of_each_component(spark):
+    x, y, z = prose(21, 120), prose(22, 120), prose(23, 120)
+    near = lambda t, i: t + f" more{i}"
+    rows = [(None, x), (None, near(x, 1)), (None, near(x, 2)), (3, x), (5, near(x, 3)), (5, y), (5, y), (5, near(y, 1)), (7, y),
+            (None, z), (None, z), (None, near(z, 1)), (None, ""), (None, None), (9, " "), (9, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [tuple(r) for r in jaccard_join.keep_one(df).collect()]
+    left = [r for r in got if split(r[1])]
+    assert sorted((k, t.split()[:120]) for k, t in left if k) == sorted([(3, x.split()), (5, y.split())])
+    assert [t.split()[:120] for k, t in left if k is None] == [z.split()]
+    assert sorted((r for r in got if not split(r[1])), key=key) == sorted([(None, ""), (None, None), (9, " "), (9, " ")], key=key)
+
+
 def test_components_with_hot_tokens_last(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "FREQUENT", 5)
     got = jaccard_join.similar_documents(spark.createDataFrame(near_copies(), "doc_id long, text string"))
