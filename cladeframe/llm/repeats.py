@@ -21,8 +21,8 @@ moved only for documents with items at an edge or with something to remove.
 
 Defined results: a missing or empty text has no bytes; texts under ``LENGTH`` bytes lose
 nothing; a row that occurs twice loses every byte, as its windows also start elsewhere.
-Rows are told apart by key and text; a missing key is a key of its own.  Hashes are of
-128 bits (core and hull).
+Rows are told apart by key and 64 bits of hash of the text; a missing key is a key of its
+own.  Hashes are of 128 bits (core and hull).
 """
 
 from __future__ import annotations
@@ -216,7 +216,7 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     number = F.col(key).cast("long") if kind in ("byte", "short", "integer", "long") else F.xxhash64(F.col(key))
     body = whole(F.col(text))
     return docs.select(
-        F.coalesce(number, F.lit(-(2**63))).alias("k"), F.crc32(body).alias("h"),
+        F.coalesce(number, F.lit(-(2**63))).alias("k"), F.xxhash64(body).alias("h"),
         F.encode(body, "utf-8").alias("text"), F.col(key).alias("key"),
     )
 

@@ -487,3 +487,23 @@ def test_repeats(spark, clashing, empty, monkeypatch, chunk):
         got = repeats.remove_repeats(df).select("doc_id", "n_bytes", "n_removed", F.size("starts"), F.sha2("kept", 256)).collect()
         assert sorted(map(tuple, got), key=key) == brute_removed(rows)
     assert repeats.remove_repeats(empty).count() == 0
+
+
+def same_crc32(a, b):
+    """Both texts with endings that give them the same crc32."""
+    ends = [" " + hashlib.md5(b"%d" % i).hexdigest() for i in range(300_000)]
+    seen = {zlib.crc32(e.encode(), zlib.crc32(a.encode())): e for e in ends}
+    last = zlib.crc32(b.encode())
+    other = next(e for e in ends if zlib.crc32(e.encode(), last) in seen)
+    return a + seen[zlib.crc32(other.encode(), last)], b + other
+
+
+def test_repeats_of_texts_with_one_crc32(spark):
+    again = prose(71, 90)
+    for k in (None, 4):
+        x, y = same_crc32(prose(72, 80) + again + prose(73, 50), prose(74, 300))
+        assert x != y and zlib.crc32(x.encode()) == zlib.crc32(y.encode())
+        rows = [(k, x), (k, y), (1, prose(75, 60) + again + prose(76, 60))]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = repeats.remove_repeats(df).select("doc_id", "n_bytes", "n_removed", F.size("starts"), F.sha2("kept", 256)).collect()
+        assert sorted(map(tuple, got), key=key) == brute_removed(rows)
