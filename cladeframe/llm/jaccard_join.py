@@ -6,11 +6,11 @@ of ``PERCENT`` or more, and returns each document's connected component.
 1. Equal sets are one set, by 128 bits of digest; copies are never compared.
 2. Similar documents are partitioned into groups: every set is compared with the first
    set that shares one of its rare tokens, and linked sets form a group.
-3. The token-group matrix holds, for each token of a group's union, the group and the
-   range of its set sizes.  A set overlaps with a group enough only if one of the tokens
-   that must contain a common one (its first fifth in a global order) is in the group's
-   union, and the sizes and the number of tokens that it has alone allow it; other groups
-   are bounded out unseen.
+3. The token-group matrix holds, for each token of the prefixes of a group's sets (their
+   first fifth in a global order), the group and the range of its set sizes; not the union
+   of all their tokens, and overlaps with a group are not summed.  A set can be similar to
+   one of a group only if their prefixes share a token, and the sizes and the number of
+   tokens that it has alone allow it; other groups are bounded out unseen.
 4. Only qualifying groups of others are opened: the members that share the token are
    bounded by bit maps of their sets, and those that may be similar compared exactly.
 
