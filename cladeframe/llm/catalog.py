@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and the SQL that checks them."""
+"""The registered queries of the operators and the SQL that checks them."""
 
 from __future__ import annotations
 
@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from cladeframe.catalog.registry import Tables
 
-from . import cross_parsing, decontaminate, jaccard_join, mixing, quality_rules, repeats, sharding, subword_quality, token_files, url_filter
+from . import (
+    cross_parsing, decontaminate, jaccard_join, mixing, packing, prefix_trie, quality_rules, repeats, sharding,
+    subword_quality, token_alignment, token_files, url_filter,
+)
 from .text import whole
 
 QUERIES: dict = {}
@@ -179,3 +182,54 @@ def _(t):
 @query("op4_token_group_matrix")
 def _(t):
     return jaccard_join.similar_documents(t.documents)
+
+
+@query("op11_run_skipping")
+def _(t):
+    import public_tokenizers
+
+    return token_alignment.alignment_statistics(
+        t.documents, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
+#: CRC-32 of a decimal number, bit by bit.
+CRC32 = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ord(x)::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)))"""
+
+
+@query("op12_ternary_trees", rf"""
+WITH c AS (SELECT conv_id, {CRC32} % 6 AS h FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+t AS (
+  SELECT conv_id, sha256(coalesce(role, '')) || sha256(coalesce(text, '')) AS turn_key, length(coalesce(text, '')) AS chars,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p FROM conversations WHERE conv_id IS NOT NULL),
+r AS (
+  SELECT c.conv_id, 0 AS part, p, turn_key, chars FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND p <= h
+  UNION ALL SELECT c.conv_id, 1, p, turn_key, chars FROM c JOIN t ON t.conv_id = c.conv_id AND p > h),
+s AS (
+  SELECT c.conv_id, coalesce(keys, []) AS keys, coalesce(sizes, []) AS sizes FROM c LEFT JOIN (
+    SELECT conv_id, list(turn_key ORDER BY part, p) AS keys, list(chars ORDER BY part, p) AS sizes FROM r GROUP BY conv_id) USING (conv_id)),
+d AS (SELECT conv_id, keys, sizes, unnest(range(0, len(keys) + 1)) AS depth FROM s),
+m AS (
+  SELECT conv_id, depth, sha256(array_to_string(keys[1:depth], '')) AS node, CASE WHEN depth > 0 THEN sha256(array_to_string(keys[1:depth - 1], '')) END AS parent,
+    CASE WHEN depth > 0 THEN sizes[depth] ELSE 0 END AS chars, depth = len(keys) AS ends FROM d),
+n AS (
+  SELECT node, parent, depth, chars, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM m GROUP BY node, parent, depth, chars),
+k AS (SELECT n.*, coalesce(n_children, 0) AS n_children, up.conv_id AS parent_conv_id FROM n
+  LEFT JOIN (SELECT parent, count(*) AS n_children FROM n GROUP BY parent) AS below ON below.parent = n.node
+  LEFT JOIN (SELECT node, conv_id FROM n) AS up ON up.node = n.parent),
+a AS (SELECT DISTINCT x.node AS above, y.node FROM m AS x JOIN m AS y ON x.conv_id = y.conv_id AND x.depth <= y.depth),
+u AS (SELECT above, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * chars) AS BIGINT) AS saved_tokens FROM a JOIN k USING (node) GROUP BY above)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 FROM k JOIN u ON above = node""")
+def _(t):
+    return prefix_trie.rebuilt_trie(t.conversations)
+
+
+@query("op13_exact_complements")
+def _(t):
+    import public_tokenizers
+
+    pieces = packing.encode_pieces(t.documents, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
+    return packing.pack(pieces)
