@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 #: Bytes of text and rows that are worked on at once.
 BATCH_BYTES = 8 << 20
 BATCH_ROWS = 8192
+#: Characters of the longest piece that is remembered.
+LONG = 100
 
 
 def batches(batch: pa.RecordBatch, text: int, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
@@ -52,13 +54,15 @@ class Known:
             # pieces that come again are taken over, the others go with the next turn
             self.older, self.now = self.now, {}
         new = [p for p in pieces if p not in self.now]
-        if new:
-            again = [p for p in new if p in self.older]
-            self.now.update((p, self.older[p]) for p in again)
-            if len(again) < len(new):
-                new = [p for p in new if p not in self.now]
-                self.now.update(zip(new, self.learn(new)))
-        return list(map(self.now.__getitem__, pieces))
+        if not new:
+            return list(map(self.now.__getitem__, pieces))
+        found = {p: self.older[p] for p in new if p in self.older}
+        if len(found) < len(new):
+            new = [p for p in new if p not in found]
+            found.update(zip(new, self.learn(new)))
+        # whole texts and other long pieces hardly come again
+        self.now.update((p, x) for p, x in found.items() if len(p) <= LONG)
+        return [found[p] if p in found else self.now[p] for p in pieces]
 
 
 def flat(parts: list[bytes], kind: type) -> tuple[np.ndarray, np.ndarray]:

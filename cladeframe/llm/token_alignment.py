@@ -48,7 +48,7 @@ from .text import whole
 #: Bytes of text in a block.
 BLOCK_BYTES = 6 << 20
 #: Distinct pieces a worker remembers; a matter of memory only.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 #: Links of a group from which on equal ids are put together before pairs are made.
 LARGE_GROUP = 1 << 12
 #: White space other than single spaces and line breaks inside, and the mark that B has
@@ -117,19 +117,16 @@ def links(
     return np.concatenate(keys), np.concatenate(times), np.concatenate(owners)
 
 
-class Aligned(NamedTuple):
-    """The tokens and groups of a piece; arrays are packed as bytes."""
+class Pieces(NamedTuple):
+    """Tokens and groups of distinct pieces, one after another."""
 
-    a: bytes  # int32 ids
-    b: bytes
-    many_a: bytes  # int32 tokens of each group
-    many_b: bytes
-    groups: str
-    keys: bytes  # int64 linked pairs
-    times: bytes  # int64
-
-
-EMPTY = Aligned(b"", b"", b"", b"", "", b"", b"")
+    a: np.ndarray  # ids
+    b: np.ndarray
+    n_a: np.ndarray  # tokens of each piece
+    n_b: np.ndarray
+    many_a: np.ndarray  # tokens of each group
+    many_b: np.ndarray
+    groups: np.ndarray  # groups of each piece
 
 
 def _byte_of() -> dict[str, int]:
@@ -164,81 +161,71 @@ class Aligner:
         ]
         self.sizes_a = np.array(list(map(len, self.bytes_a)))
         self.sizes_b = np.array(list(map(len, self.bytes_b)))
+        # ids as text, by what follows them in a group: another of the same side, the other
+        # side, another group
+        self.text_a = [np.array([f"{i}{c}" for i in range(len(self.bytes_a))], object) for c in ",|"]
+        self.text_b = [np.array([f"{i}{c}" for i in range(len(self.bytes_b))], object) for c in ",;"]
         self.known = Known(self.learn, REMEMBERED)
 
-    def _ids_a(self, words: list[str]) -> list[list[int]]:
+    def _ids_a(self, words: list[str]) -> list[bytes]:
         """Ids of words after a space: in one call, as only first tokens hold a space."""
-        ids = self.a.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids
-        starts = np.flatnonzero(self.has_space[ids]).tolist() if ids else []
+        ids = np.array(self.a.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, np.int32)
+        starts = 4 * np.flatnonzero(self.has_space[ids])
         if len(starts) != len(words):
-            return [e.ids for e in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
-        return [ids[i:j] for i, j in zip(starts, [*starts[1:], len(ids)])]
-
-    def learn(self, pieces: list[str]) -> list[Aligned]:
-        """Align pieces: a word after a space; ``\\n`` and a word right after the word
-        before; or, with a space in front, a whole text."""
+            found = self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)
+            return [array("i", e.ids).tobytes() for e in found]
+        packed, starts = ids.tobytes(), starts.tolist()
+        return [packed[i:j] for i, j in zip(starts, [*starts[1:], len(packed)])]
+
+    def learn(self, pieces: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of pieces: a word after a space; ``\n`` and a word right after the word
+        before; or, with a space in front, a whole text.  None for a piece that the tokens
+        of either don't spell."""
+        ids_a: dict[str, bytes] = {}
         words = [p for p in pieces if p[0] not in " \n"]
-        ids_a: dict[str, list[int]] = {}
         for low in range(0, len(words), 2000):
             some = words[low : low + 2000]
             ids_a.update(zip(some, self._ids_a(some)))
         other = [p for p in pieces if p[0] in " \n"]
         found = self.a.encode_batch_fast([p if p[0] == " " else f" {p}" for p in other], add_special_tokens=False)
-        ids_a.update((p, e.ids[p[0] == "\n" :]) for p, e in zip(other, found))
-        ids_b = [
-            ids[p[0] == "\n" :]
-            for p, ids in zip(pieces, self.b.encode([p[p[0] == " " :] for p in pieces], num_threads=1))
-        ]
-        return self.aligned(pieces, [ids_a[p] for p in pieces], ids_b)
-
-    def aligned(self, pieces: list[str], ids_a: list[list[int]], ids_b: list[list[int]]) -> list[Aligned]:
+        ids_a.update((p, array("i", e.ids[p[0] == "\n" :]).tobytes()) for p, e in zip(other, found))
+        lists = self.b.encode([p[1:] if p[0] == " " else p for p in pieces], num_threads=1)
+        ids = [(ids_a[p], array("i", x[1:] if p[0] == "\n" else x).tobytes()) for p, x in zip(pieces, lists)]
         spelled = [(p if p[0] in " \n" else f" {p}").encode() for p in pieces]
-        good = [
-            s == b"".join(map(self.bytes_a.__getitem__, a)) == b"".join(map(self.bytes_b.__getitem__, b))
-            for s, a, b in zip(spelled, ids_a, ids_b)
-        ]
-        a, n_a = flat([array("i", x if g else ()).tobytes() for g, x in zip(good, ids_a)], np.int32)
-        b, n_b = flat([array("i", x if g else ()).tobytes() for g, x in zip(good, ids_b)], np.int32)
-        # one array of ends for all pieces: each piece ends at an offset of its own
+        if self._spell(ids) == (b"".join(spelled),) * 2:
+            return ids
+        return [x if self._spell([x]) == (s, s) else None for s, x in zip(spelled, ids)]
+
+    def _spell(self, ids: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
+        a = np.frombuffer(b"".join([x for x, _ in ids]), np.int32).tolist()
+        b = np.frombuffer(b"".join([x for _, x in ids]), np.int32).tolist()
+        return b"".join(map(self.bytes_a.__getitem__, a)), b"".join(map(self.bytes_b.__getitem__, b))
+
+    def align(self, ids: list[tuple[bytes, bytes]]) -> Pieces:
+        """Align distinct pieces: in one array of ends, as each piece ends where both end."""
+        a, n_a = flat([x for x, _ in ids], np.int32)
+        b, n_b = flat([x for _, x in ids], np.int32)
         stops = align(np.cumsum(self.sizes_a[a]).tolist(), np.cumsum(self.sizes_b[b]).tolist())
         stop_a, stop_b = (np.array(s, np.int64) for s in stops)
-        many_a, many_b = np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0)
-        low = np.concatenate([[0], np.searchsorted(stop_a, np.cumsum(n_a), "right")])
-        keys, times, group = links(a, b, many_a, many_b)
-        # groups of many links come last: bring the pairs of a piece together
-        owner = np.searchsorted(low, group, "right") - 1
-        order = np.argsort(owner, kind="stable")
-        keys, times, owner = keys[order], times[order], owner[order]
-        cut = np.searchsorted(owner, np.arange(len(pieces) + 1)).tolist()
-        texts = self._texts(a, b, stop_a.tolist(), stop_b.tolist())
-        many_a, many_b = many_a.astype(np.int32), many_b.astype(np.int32)
-        low, out = low.tolist(), []
-        end_a, end_b = np.cumsum(n_a).tolist(), np.cumsum(n_b).tolist()
-        for k, g in enumerate(good):
-            if not g:
-                out.append(None)
-                continue
-            i, j = low[k], low[k + 1]
-            out.append(Aligned(
-                a[end_a[k] - n_a[k] : end_a[k]].tobytes(), b[end_b[k] - n_b[k] : end_b[k]].tobytes(),
-                many_a[i:j].tobytes(), many_b[i:j].tobytes(), ";".join(texts[i:j]),
-                keys[cut[k] : cut[k + 1]].tobytes(), times[cut[k] : cut[k + 1]].tobytes(),
-            ))
-        return out
-
-    @staticmethod
-    def _texts(a: np.ndarray, b: np.ndarray, stop_a: list[int], stop_b: list[int]) -> list[str]:
-        """Each group as ``a1,a2|b1,b2``."""
-        a, b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        out, i, j = [], 0, 0
-        for k, m in zip(stop_a, stop_b):
-            out.append(",".join(a[i:k]) + "|" + ",".join(b[j:m]))
-            i, j = k, m
-        return out
-
-    def cut(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[Aligned]]:
-        """Codes of the pieces of all texts, where each text starts, and the distinct
-        pieces aligned; a text without tokens has no pieces."""
+        groups = np.diff(np.searchsorted(stop_a, np.cumsum(n_a), "right"), prepend=0)
+        return Pieces(a, b, n_a, n_b, np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0), groups)
+
+    def texts(self, pieces: Pieces) -> list[str]:
+        """The groups of each piece as ``a1,a2|b1,b2;``."""
+        stop_a, stop_b = np.cumsum(pieces.many_a), np.cumsum(pieces.many_b)
+        # tokens in the order of their groups, those of A first
+        at_a = np.arange(len(pieces.a)) + np.repeat(stop_b - pieces.many_b, pieces.many_a)
+        at_b = np.arange(len(pieces.b)) + np.repeat(stop_a, pieces.many_b)
+        out = np.empty(len(at_a) + len(at_b), object)
+        out[at_a], out[at_b] = self.text_a[0][pieces.a], self.text_b[0][pieces.b]
+        out[at_a[stop_a - 1]] = self.text_a[1][pieces.a[stop_a - 1]]
+        out[at_b[stop_b - 1]] = self.text_b[1][pieces.b[stop_b - 1]]
+        parts, ends = out.tolist(), np.cumsum(pieces.n_a + pieces.n_b).tolist()
+        return ["".join(parts[i:j]) for i, j in zip([0, *ends], ends)]
+
+    def cut(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[tuple[bytes, bytes]]]:
+        """Codes of the pieces of all texts, where each text starts, and the ids of the
+        distinct pieces; a text without tokens has no pieces."""
         odd = pc.match_substring_regex(column, IRREGULAR)
         lists = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
         if pc.any(odd).as_py():
@@ -254,7 +241,7 @@ class Aligner:
             keep = np.repeat(~bad_text, np.diff(starts))
             starts = np.concatenate([[0], np.cumsum(np.where(bad_text, 0, np.diff(starts)))])
             codes = codes[keep]
-            found = [EMPTY if b else f for b, f in zip(bad.tolist(), found)]
+            found = [(b"", b"") if b else f for b, f in zip(bad.tolist(), found)]
         return codes, starts, found
 
 
@@ -277,9 +264,9 @@ def aligned_documents(docs: DataFrame, path_a: str, path_b: str, key: str = "doc
         for whole_batch in given:
             for batch in batches(whole_batch, 1):
                 codes, starts, found = aligner.cut(batch.column(1))
+                p = aligner.align(found)
                 out = [batch.column(0)]
-                for field in ("a", "b", "many_a", "many_b"):
-                    values, sizes = flat([getattr(f, field) for f in found], np.int32)
+                for values, sizes in ((p.a, p.n_a), (p.b, p.n_b), (p.many_a, p.groups), (p.many_b, p.groups)):
                     at, many = places(sizes, codes)
                     out.append(_lists(values[at], np.cumsum(sums(many, starts)), pa.int32()))
                 yield pa.RecordBatch.from_arrays(out, names=["key", "a_ids", "b_ids", "group_a", "group_b"])
@@ -295,12 +282,14 @@ def _block(aligner: Aligner, batch: pa.RecordBatch) -> list[pa.Array]:
     block and how many of its documents have each."""
     codes, starts, found = aligner.cut(batch.column(1))
     n = batch.num_rows
-    counts = [
-        np.array([len(f.a), len(f.b), len(f.many_a)], np.int64) // 4 for f in found
-    ]
-    table = np.array(counts, np.int64).reshape(-1, 3)
-    keys, sizes = flat([f.keys for f in found], np.int64)
-    times, _ = flat([f.times for f in found], np.int64)
+    p = aligner.align(found)
+    table = np.stack([p.n_a, p.n_b, p.groups], axis=1)
+    keys, times, group = links(p.a, p.b, p.many_a, p.many_b)
+    # groups of many links come last: bring the pairs of a piece together
+    piece = np.searchsorted(np.cumsum(p.groups), group, "right")
+    order = np.argsort(piece, kind="stable")
+    keys, times = keys[order], times[order]
+    sizes = np.bincount(piece, minlength=len(found))
     pairs, place = np.unique(keys, return_inverse=True)
     at, many = places(sizes, codes)
     owner = np.repeat(np.repeat(np.arange(n), np.diff(starts)), many)
@@ -312,11 +301,9 @@ def _block(aligner: Aligner, batch: pa.RecordBatch) -> list[pa.Array]:
     doc, pair = np.divmod(combined[first], max(1, len(pairs)))
     ends = np.searchsorted(doc, np.arange(n), "right")
     n_links = sums(held, np.concatenate([[0], ends]))
-    texts = [f.groups for f in found]
-    digests = []
-    names = list(map(texts.__getitem__, codes.tolist()))
+    names, digests = list(map(aligner.texts(p).__getitem__, codes.tolist())), []
     for i, j in zip(starts.tolist(), starts[1:].tolist()):
-        digests.append(hashlib.sha256(";".join(names[i:j]).encode()).hexdigest() if j > i else "")
+        digests.append(hashlib.sha256("".join(names[i:j])[:-1].encode()).hexdigest() if j > i else "")
     last = np.concatenate([ends, ends[-1:]])
     whole_row = np.concatenate([np.zeros(n, np.int64), [len(pairs)]])
     out = [pa.concat_arrays([batch.column(0), pa.nulls(1, batch.column(0).type)])]

@@ -86,10 +86,11 @@ def test_pieces_align_as_whole_texts():
     a, b = tokenizers()
     given = [t or "" for t in texts()]
     codes, starts, found = aligner.cut(pa.array(given))
+    told = aligner.texts(aligner.align(found))
     for k, text in enumerate(given):
         if len(text) > 20_000:
             continue
-        parts = [found[c].groups for c in codes[starts[k] : starts[k + 1]]]
+        parts = [told[c][:-1] for c in codes[starts[k] : starts[k + 1]]]
         expected = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in brute_groups(text, a, b))
         assert ";".join(parts) == expected, text[:40]
 
@@ -352,6 +353,8 @@ def test_remembered_pieces_come_and_go():
         assert known.of(some) == [p.upper() for p in some]
         assert len(known.now) <= 6
     assert asked[0] == ["a", "b"] and asked[1] == ["c"]
+    long = "x" * (pieces.LONG + 1)
+    assert known.of([long, "a"]) == [long.upper(), "A"] and long not in known.now
 
 
 def test_batches_hold_bounded_texts():
