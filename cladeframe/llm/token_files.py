@@ -11,7 +11,8 @@ piece is encoded by the tokenizer once per worker; texts with other white space
 encoded whole.
 
 Defined results: a missing text is empty and gets the end id only; a missing document
-id sorts first; rows with equal ids follow one another, in the order of their ids' crc32.
+id sorts first; rows with equal ids follow one another, in the order of their texts' crc32,
+and ``start`` counts the ids that stand before a row in the files.
 An empty table gives a folder without rows.
 """
 
@@ -20,8 +21,6 @@ from __future__ import annotations
 import uuid
 import zlib
 from functools import lru_cache
-from itertools import compress, repeat
-from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +30,15 @@ from pyspark.sql import functions as F
 
 from cladeframe.runtime import checkpoint_root, materialize
 
+from .pieces import Known, batches, coded, flat, places
 from .text import whole
 
 STRIDE = 1000
 STRIPE_BYTES = 64 << 20
+#: The column that tells where in its file a row stands.
+ROW = "row_in_file"
+#: Bytes of text encoded at once.
+BATCH_BYTES = 4 << 20
 #: Distinct pieces a worker remembers; a matter of memory only.
 REMEMBERED = 500_000
 #: White space other than single spaces and line breaks, or the start of a special token.
@@ -58,8 +62,7 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.has_space = np.zeros(max(vocabulary.values()) + 1, bool)
         self.has_space[[i for token, i in vocabulary.items() if token[:1] == SPACE]] = True
-        self.spaced: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = Known(self.learn, REMEMBERED)
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32).tobytes()
@@ -88,52 +91,39 @@ class Encoder:
         packed, starts = ids.tobytes(), starts.tolist()
         return [packed[low:end] for low, end in zip(starts, [*starts[1:], len(packed)])]
 
-    def learn(self, new: set[str]) -> None:
-        """Encode pieces: a word stands for itself after a space, ``\\n`` and a word for
-        itself after a line break, ``\\n\\n`` and a word for the start of a text."""
-        again = {p: self.older[p] for p in new if p in self.older}
-        self.spaced.update(again)
-        new = new.difference(again)
-        spaced = [p for p in new if p and p[0] != "\n"]
-        self.spaced.update(zip(spaced, self.after_spaces(spaced)))
+    def learn(self, new: list[str]) -> list[bytes]:
+        """Encode pieces: a word stands for itself after a space, ``\n`` and a word for
+        itself after a line break, ``\n\n`` and a word for the start of a text, a space
+        and a text for a whole text."""
+        spaced = [p for p in new if p and p[0] not in "\n "]
+        found = dict(zip(spaced, self.after_spaces(spaced)))
         bare = list({p.lstrip("\n") for p in new if p[:1] == "\n"} - {""})
         ids = dict(zip(bare, self.together(bare)), **{"": b""})
         for p in new:
             if p[:1] == "\n":
                 start = b"" if p[:2] == "\n\n" else self.line_break
-                self.spaced[p] = start + ids[p.lstrip("\n")]
+                found[p] = start + ids[p.lstrip("\n")]
+            elif p[:1] == " ":
+                found[p] = self.ids(p[1:])
         if "" in new:
-            self.spaced[""] = self.ids(" ")  # a space at the end of the text
-
-    def encode(self, column: pa.Array) -> list[bytes]:
-        """The ids of each whole text."""
-        irregular = pc.match_substring_regex(column, IRREGULAR).to_pylist()
-        texts = column.to_pylist()
-        if len(self.spaced) > REMEMBERED // 2:
-            # pieces that come again are taken over, the others go with the next turn
-            self.older, self.spaced = self.spaced, {}
-        get, parts, new = self.spaced.get, [], set()
-        for text, odd in zip(texts, irregular):
-            if odd:
-                parts.append(None)
-                continue
-            pieces = text.replace("\n", " \n").split(" ")
-            pieces[0] = "\n\n" + pieces[0]
-            known = list(map(get, pieces))
-            open_at = list(compress(range(len(known)), map(is_, known, repeat(None))))
-            new.update(map(pieces.__getitem__, open_at))
-            parts.append((pieces, known, open_at))
-        self.learn(new)
-        out = []
-        for text, part in zip(texts, parts):
-            if part is None:
-                out.append(self.ids(text))
-                continue
-            pieces, known, open_at = part
-            for i in open_at:
-                known[i] = self.spaced[pieces[i]]
-            out.append(b"".join(known))
-        return out
+            found[""] = self.ids(" ")  # a space at the end of the text
+        return [found[p] for p in new]
+
+    def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all whole texts one after another, ``end_id`` after each, and where each
+        starts."""
+        odd = pc.match_substring_regex(column, IRREGULAR)
+        lines = pc.binary_join_element_wise("\n\n", pc.replace_substring(column, "\n", " \n"), "")
+        lists = pc.split_pattern(lines, " ")
+        if pc.any(odd).as_py():
+            offsets = pa.array(np.arange(len(column) + 1), pa.int32())
+            one = pa.ListArray.from_arrays(offsets, pc.binary_join_element_wise(" ", column, ""))
+            lists = pc.if_else(odd, one, lists)
+        codes, starts, distinct = coded(lists)
+        ids, sizes = flat([*self.known.of(distinct), np.int32(end_id).tobytes()], np.int32)
+        at, many = places(sizes, np.insert(codes, starts[1:], len(distinct)))
+        ends = np.concatenate([[0], np.cumsum(many)])
+        return ids[at], ends[starts + np.arange(len(starts))]
 
 
 @lru_cache(maxsize=1)
@@ -141,12 +131,6 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _lists(packed: list[bytes]) -> pa.ListArray:
-    sizes = np.array([len(p) // 4 for p in packed], np.int64)
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
-
-
 def write_tokens(
     docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text: str = "text",
     end_id: int = 0, name: str = "key",
@@ -154,22 +138,23 @@ def write_tokens(
     """Encode every whole text and write ``key, ids`` as ORC, in ascending key order
     over the files and inside them.  ``tokenizer`` is a tokenizer file that every
     executor has; ``end_id`` is appended to each document."""
-    end = np.array([end_id], np.int32).tobytes()
 
-    def encode(batches):
-        encoder = _encoder(tokenizer)
-        for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                packed = [ids + end for ids in encoder.encode(part.column(1))]
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists(packed)], names=["key", "ids"])
+    def encode(rows):
+        encoder, row = _encoder(tokenizer), 0
+        for whole_batch in rows:
+            for part in batches(whole_batch, 1, BATCH_BYTES):
+                ids, starts = encoder.encode(part.column(1), end_id)
+                lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
+                places_ = pa.array(np.arange(row, row + part.num_rows))
+                row += part.num_rows
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, places_], names=["key", "ids", ROW])
 
     rows = docs.select(F.col(key).alias("key"), whole(F.col(text)).alias("text"))
     # equal keys are spread by text; rows equal in both may be split anywhere
     ranged = rows.repartitionByRange(F.col("key").asc_nulls_first(), F.crc32("text"), F.monotonically_increasing_id())
     ranged = ranged.sortWithinPartitions(F.col("key").asc_nulls_first(), F.crc32("text"))
     kind = docs.schema[key].dataType.simpleString()
-    encoded = ranged.mapInArrow(encode, f"key {kind}, ids array<int>")
+    encoded = ranged.mapInArrow(encode, f"key {kind}, ids array<int>, {ROW} long")
     (
         encoded.withColumnRenamed("key", name)
         .write.option("compression", "zstd")
@@ -185,7 +170,7 @@ def write_tokens(
 def read_tokens(spark: SparkSession, path: str, keys: list[int] | None = None, name: str = "key") -> DataFrame:
     """The stored ``key, ids``; with ``keys``, only those documents, other stripes and
     row groups being skipped by their metadata."""
-    stored = spark.read.orc(path)
+    stored = spark.read.orc(path).drop(ROW)
     return stored if keys is None else stored.where(F.col(name).isin(keys))
 
 
@@ -207,20 +192,20 @@ def index_tokens(spark: SparkSession, path: str, name: str = "key") -> DataFrame
             starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
             crc = [zlib.crc32(ids[i:j].tobytes()) for i, j in zip(starts, ends)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(ends - starts), pa.array(crc, pa.int64()), b.column(2)],
-                names=["key", "n_tokens", "ids_crc32", "file"],
+                [b.column(0), pa.array(ends - starts), pa.array(crc, pa.int64()), b.column(2), b.column(3)],
+                names=["key", "n_tokens", "ids_crc32", ROW, "file"],
             )
 
     file = F.element_at(F.split(F.input_file_name(), "/"), -1)
-    rows = materialize(stored.select(F.col(name).alias("key"), "ids", file.alias("file")).mapInArrow(
-        digest, f"key {kind}, n_tokens long, ids_crc32 long, file string"
+    rows = materialize(stored.select(F.col(name).alias("key"), "ids", ROW, file.alias("file")).mapInArrow(
+        digest, f"key {kind}, n_tokens long, ids_crc32 long, {ROW} long, file string"
     ))
     files = rows.groupBy("file").agg(
         F.sum("n_tokens").alias("held"), F.min(F.struct(F.col("key").isNotNull(), "key")).alias("low")
     )
     before = Window.orderBy("low", "file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"))
-    earlier = Window.partitionBy("file").orderBy(F.col("key").asc_nulls_first(), "ids_crc32", "n_tokens")
+    earlier = Window.partitionBy("file").orderBy(ROW)
     inside = F.sum("n_tokens").over(earlier.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
     return rows.withColumn("inside", inside).join(files, "file").select(
         F.col("key").alias(name), (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
