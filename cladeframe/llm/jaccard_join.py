@@ -6,11 +6,13 @@ of ``PERCENT`` or more, and returns each document's connected component.
 1. Equal sets are one set, by 128 bits of digest; copies are never compared.
 2. Similar documents are partitioned into groups: every set is compared with the first
    set that shares one of its rare tokens, and linked sets form a group.
-3. The token-group matrix holds, for each token of the prefixes of a group's sets (their
-   first fifth in a global order), the group and the range of its set sizes; not the union
-   of all their tokens, and overlaps with a group are not summed.  A set can be similar to
-   one of a group only if their prefixes share a token, and the sizes and the number of
-   tokens that it has alone allow it; other groups are bounded out unseen.
+3. The token-group matrix has two parts.  Its index holds, for each token of the prefixes
+   of a group's sets (their first fifth in a global order), the group and the range of its
+   set sizes: a set can be similar to one of a group only if their prefixes share a token,
+   and the sizes and the number of tokens that it has alone allow it.  For the groups that
+   a set meets there, the union of all tokens of the group is stored as a bit map; the
+   set's tokens in it are counted, no fewer than there are, and the group qualifies if they
+   are enough for its smallest set.
 4. Only qualifying groups of others are opened: the members that share the token are
    bounded by bit maps of their sets, and those that may be similar compared exactly.
 
@@ -45,7 +47,7 @@ from cladeframe.runtime import materialize
 
 from .bloom import bloom, passes
 from .components import components
-from .rolling import Prefix, joined, mix
+from .rolling import joined, mix, word_hashes
 from .text import whole
 
 WORDS = 5
@@ -57,6 +59,8 @@ FREQUENT = 64
 #: Bits of the map of tokens that occur more than once; it travels to every task.
 SEEN_BITS = 1 << 27
 CHUNK = 1 << 19
+#: Rows worked on at once.
+ROWS = 500
 #: Tokens that a task counts before it passes them on.
 FLUSH = 1 << 18
 #: Sets and tokens of about one block of a component; two blocks meet in a task.
@@ -86,7 +90,7 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     first = first & (np.concatenate([[True], gap[:-2]]) | fresh[:-1]) if len(data) else first
     last = last & (gap[1:] | fresh[1:])
     at, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
-    word = mix(Prefix(data).of(at, stop))
+    word = word_hashes(data, at, stop)
     low = np.searchsorted(at, starts)
     n = max(0, len(word) - WORDS + 1)
     shingle = np.zeros(n, np.uint64)
@@ -105,6 +109,13 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return sets
 
 
+def _few(batches):
+    """Batches of at most ``ROWS`` rows: sets and texts of few rows are held at once."""
+    for b in batches:
+        for i in range(0, b.num_rows, ROWS):
+            yield b.slice(i, ROWS)
+
+
 def _sets(column: pa.Array):
     """The sets of many texts, hashed a chunk at a time."""
     held, total = [], 0
@@ -227,9 +238,69 @@ def most_common(n: int, x: bytes, m: int, y: bytes) -> int:
     return min(n - int((a > b).sum()), m - int((b > a).sum()))
 
 
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """A map of fewer bits: one that stands for several is set if any of them is."""
+    return bits if len(bits) == size else bits.reshape(size, -1).any(axis=1)
+
+
+def joined_maps(maps: list[bytes]) -> bytes:
+    """The map of the union of sets, as coarse as the coarsest of theirs."""
+    bits = [np.unpackbits(np.frombuffer(m, np.uint8)) for m in maps]
+    size = min(map(len, bits))
+    out = np.zeros(size, bool)
+    for b in bits:
+        out |= folded(b, size).astype(bool)
+    return np.packbits(out).tobytes()
+
+
+def most_in_union(n: int, own: bytes, union: bytes) -> int:
+    """No more of a set's ``n`` tokens than this are in a union of sets: a bit of the set's
+    map that the union's lacks stands for a token that no set of it has."""
+    a, b = (np.unpackbits(np.frombuffer(z, np.uint8)) for z in (own, union))
+    size = min(len(a), len(b))
+    return n - int((folded(a, size) > folded(b, size)).sum())
+
+
+def _unions(members: DataFrame) -> DataFrame:
+    """``g, union``: the map of all tokens of each group, of rows ``g, map``.  Maps are joined
+    in the tasks that hold them first, so a large group is a row a task."""
+
+    def partly(batches):
+        for b in batches:
+            held: dict[int, list[bytes]] = {}
+            for g, m in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                held.setdefault(g, []).append(m)
+            yield pa.RecordBatch.from_pydict(
+                {"g": pa.array(held.keys(), pa.int64()), "union": pa.array(map(joined_maps, held.values()), pa.binary())}
+            )
+
+    def wholly(part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"g": [part["g"].iat[0]], "union": [joined_maps(list(part["union"]))]})
+
+    parts = members.select("g", "map").mapInArrow(partly, "g long, union binary")
+    return parts.groupBy("g").applyInPandas(wholly, "g long, union binary")
+
+
+def _qualifying(pairs: DataFrame, one: DataFrame, members: DataFrame) -> DataFrame:
+    """Of ``uid, g, least`` (the smallest set of the group), those whose set can have enough
+    tokens in the union of the group to be similar to any set of it."""
+
+    def enough(batches):
+        for b in _few(batches):
+            keep = []
+            for least, n, own, union in zip(*[b.column(i).to_pylist() for i in (2, 3, 4, 5)]):
+                keep.append(most_in_union(n, own, union) * (100 + PERCENT) >= (n + least) * PERCENT)
+            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    wanted = pairs.select("g").distinct()
+    unions = _unions(members.join(wanted, "g", "left_semi"))
+    both = pairs.join(one.select("uid", "n", "map"), "uid").join(unions, "g")
+    return both.select("uid", "g", "least", "n", "map", "union").mapInArrow(enough, "uid long, g long")
+
+
 def _sketch(order: _Order, key_type: str):
     def run(batches):
-        for b in (x.slice(i, 1000) for x in batches for i in range(0, x.num_rows, 1000)):
+        for b in _few(batches):
             keys = [b.column(i) for i in range(4)]
             sizes, sums, xors, tokens, rests, shared, maps = [], [], [], [], [], [], []
             for s in _sets(b.column(4)):
@@ -271,7 +342,7 @@ def _opened(sets: DataFrame, texts: DataFrame) -> DataFrame:
     """``uid, tokens`` of the sets, made from their texts."""
 
     def hashed(batches):
-        for b in batches:
+        for b in _few(batches):
             ids = b.column(0).to_pylist()
             sets = [s.tobytes() for s in _sets(b.column(1))]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["uid", "tokens"])
@@ -290,7 +361,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     travels once to each of its pairs.
     """
     def possible(batches):
-        for b in batches:
+        for b in _few(batches):
             keep = []
             for n, x, m, y in zip(*[b.column(i).to_pylist() for i in (2, 3, 4, 5)]):
                 most = most_common(n, x, m, y)
@@ -303,7 +374,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     pairs = materialize(bounded.mapInArrow(possible, "x long, y long"))
 
     def similar(batches):
-        for b in batches:
+        for b in _few(batches):
             keep = []
             for s, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
                 s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
@@ -464,8 +535,9 @@ def _components(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Data
 
     # the token-group matrix, over tokens that more than one group has
     group = F.coalesce("component", "uid").alias("g")
-    owned = one.join(grouped.withColumnRenamed("node", "uid"), "uid", "left").select("uid", "n", "v", "tokens", "rests", group)
-    owned = materialize(owned).select("uid", "n", "v", "g", each).select("uid", "n", "v", "g", "t.*")
+    owned = one.join(grouped.withColumnRenamed("node", "uid"), "uid", "left").select("uid", "n", "v", "tokens", "rests", "map", group)
+    members = materialize(owned)
+    owned = members.select("uid", "n", "v", "g", each).select("uid", "n", "v", "g", "t.*")
     shared = owned.groupBy("token").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a <> b").select("token")
     cells = materialize(owned.join(shared, "token", "left_semi"))
     matrix = cells.groupBy("token", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
@@ -474,7 +546,10 @@ def _components(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Data
     reach &= F.col("q.v") * (100 + PERCENT) >= (F.col("q.n") + F.col("m.least")) * PERCENT
     reach &= _first_common("q.n", "q.rest", "m.least", "m.rest")
     qualify = q.join(m, "token").where((F.col("q.g") != F.col("m.g")) & reach)
-    qualify = qualify.select("token", "q.uid", "q.n", "q.v", "q.rest", F.col("m.g").alias("g"))
+    qualify = materialize(qualify.select("token", "q.uid", "q.n", "q.v", "q.rest", F.col("m.g").alias("g"), "m.least"))
+    # of the groups met, those whose union has enough of a set's tokens
+    met = qualify.groupBy("uid", "g").agg(F.min("least").alias("least"))
+    qualify = qualify.drop("least").join(_qualifying(met, one, members), ["uid", "g"], "left_semi")
     s = cells.select("token", "g", F.col("uid").alias("y"), F.col("n").alias("ny"), F.col("v").alias("vy"), F.col("rest").alias("ry"))
     opened = qualify.join(s, ["token", "g"]).where((F.col("uid") > F.col("y")) & _may_link("n", "v", "ny", "vy") & _first_common("n", "rest", "ny", "ry"))
     opened = opened.select(F.col("uid").alias("x"), "y").distinct().join(pairs, ["x", "y"], "left_anti")

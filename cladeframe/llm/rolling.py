@@ -57,6 +57,75 @@ class Prefix:
         return (self.sums[n:] - self.sums[:m]) * self.inverses[:m]
 
 
+#: Prime modulus (fixed value, 2**31 - 1) and two random bases below it.
+_PRIME = 2**31 - 1
+_PRIME_BASES = tuple(int(b) for b in _random.integers(2**20, _PRIME, 2))
+_PRIME_BYTES = _random.integers(1, _PRIME, (2, 256), dtype=np.int64)
+_prime_powers: list[list[np.ndarray]] = [[np.ones(1, np.int64)] * 2, [np.ones(1, np.int64)] * 2]
+
+
+def _powers_of(base: int, size: int) -> np.ndarray:
+    """Powers of ``base`` modulo the prime, doubling what is known."""
+    out = np.ones(1, np.int64)
+    while len(out) < size:
+        step = pow(base, len(out), _PRIME)
+        out = np.concatenate([out, out * step % _PRIME])
+    return out
+
+
+class PrimePrefix:
+    """Prefix hashes modulo a prime, for two bases: 62 bits that have nothing in common
+    with those of ``Prefix``."""
+
+    def __init__(self, data: np.ndarray):
+        self.sums, self.inverses = [], []
+        for k, base in enumerate(_PRIME_BASES):
+            if len(_prime_powers[k][0]) <= len(data):
+                size = max(2 * len(data), 1 << 16)
+                _prime_powers[k] = [_powers_of(base, size), _powers_of(pow(base, -1, _PRIME), size)]
+            powers, inverses = _prime_powers[k]
+            sums = np.zeros(len(data) + 1, np.int64)
+            np.cumsum(_PRIME_BYTES[k][data] * powers[: len(data)] % _PRIME, out=sums[1:])
+            self.sums.append(sums)
+            self.inverses.append(inverses)
+
+    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Hashes of the substrings from ``start`` up to ``stop``."""
+        high, low = (
+            (sums[stop] - sums[start]) % _PRIME * inverses[start] % _PRIME
+            for sums, inverses in zip(self.sums, self.inverses)
+        )
+        return (high << 31 | low).astype(np.uint64)
+
+
+#: Bytes at the first places of a word that have their random numbers in a table.
+TABLE = 64
+
+
+def _at_place(place: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    return mix(mix((place.astype(np.uint64) << np.uint64(8)) + byte + np.uint64(_SEED)) + np.uint64(_BASE))
+
+
+_places = _at_place(*(x.ravel() for x in np.meshgrid(np.arange(TABLE), np.arange(256, dtype=np.uint64), indexing="ij")))
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hashes of words that ascend and don't overlap: sums of a random number for each
+    byte and place in the word.  No product of a base is in them, so that no pattern of
+    bytes cancels out."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    size = stop - start
+    place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    byte = data[place + np.repeat(start, size)].astype(np.int64)
+    numbers = _places[np.minimum(place, TABLE - 1) * 256 + byte]
+    far = np.flatnonzero(place >= TABLE)
+    numbers[far] = _at_place(place[far], byte[far].astype(np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(numbers, dtype=np.uint64)])
+    ends = np.cumsum(size)
+    return mix(sums[ends] - sums[ends - size])
+
+
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The bytes one after another and where each text starts, the end last."""
     data = np.frombuffer(b"".join(texts), np.uint8)

@@ -171,10 +171,57 @@ def test_word_features_are_plain_hashes():
     assert sizes[1] == 1 + sum(max(0, 7 - n + 1) for n in subword_quality.GRAMS)
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.text("abc", max_size=30), st.lists(st.text("abcd", max_size=12), max_size=6))
-def test_phrases_are_greedy_longest_matches(body, words):
-    model = cross_parsing.build({"x": [body], "y": ["b a c"]})
+def test_score_is_softmax_of_the_average(spark):
+    """The score of a text from its own average of word vectors, taken word by word."""
+    docs = spark.createDataFrame(labelled(200), SCHEMA)
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    model = subword_quality.fit(docs, labels)
+    texts = [r[1] for r in odd_rows()] + ["again again more", "one line\none line\nother", "x"]
+    scored = subword_quality.Scorer(model).score(texts)
+    for text, got in zip(texts, scored):
+        words = (text or "").split()
+        lines, seen, marks = [x for x in (text or "").split("\n") if x.strip()], set(), []
+        for x in lines:
+            marks += [subword_quality.LINE_AGAIN] * (len(x.split()) if x in seen else 0)
+            seen.add(x)
+        marks += [subword_quality.AGAIN for a, b in zip(words, words[1:]) if a == b] + [subword_quality.END]
+        vectors = []
+        for w in [*words, *marks]:
+            buckets, _ = subword_quality.word_features([w])
+            vectors.append(np.mean([model.odds[b] for b in buckets.tolist()], dtype=np.float64))
+        z = float(np.mean(vectors))
+        assert got == pytest.approx(np.exp(z) / (1 + np.exp(z)), abs=1e-6)
+
+
+def test_large_alphabets_take_little_memory():
+    """A script of thousands of characters beside one of ten letters."""
+    many = "".join(chr(0x4E00 + (i * i * 7 + i) % 6000) + (" " if i % 5 == 0 else "") for i in range(24_000))
+    model = cross_parsing.build({"han": [many], "few": ["abcdefghij " * 1000]})
+    held = [a.keys.nbytes + a.to.nbytes + (a.table.nbytes if a.table is not None else 0) for a in model.automata]
+    assert max(held) < 32 << 20 and model.automata[0].width != model.automata[1].width
+    words = many.split()[40:60]
+    counts = model.phrases([*words, "abcdefghij"])
+    assert counts[:20, 1].tolist() == [1] * 20 and (counts[:20, 0] > 1).all() and counts[20, 0] == 1
+
+
+def test_every_drawn_text_is_learned(spark):
+    """One very long text is no language's whole model."""
+    rows = [(i, f"word{'abcdefghij'[i % 10]} " * 30, "en", "s", 1) for i in range(60)] + [(99, "long " * 100_000, "en", "s", 1)]
+    model = cross_parsing.fit(spark.createDataFrame(rows, SCHEMA))
+    tails = {c for c in "abcdefghij" if model.phrases([f"word{c}"])[0, 0] == 1}
+    assert len(tails) == 10
+
+
+@pytest.mark.parametrize("dense", [1 << 22, 0])
+@settings(max_examples=40, deadline=None)
+@given(body=st.text("abc", max_size=30), words=st.lists(st.text("abcd", max_size=12), max_size=6))
+def test_phrases_are_greedy_longest_matches(dense, body, words):
+    kept = cross_parsing.DENSE
+    cross_parsing.DENSE = dense
+    try:
+        model = cross_parsing.build({"x": [body], "y": ["b a c"]})
+    finally:
+        cross_parsing.DENSE = kept
     text = "".join(" " + w for w in body.split())
 
     def count(word):
@@ -246,6 +293,28 @@ def near_copies():
     return rows
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=60), min_size=2, max_size=6))
+def test_union_maps_bound_the_overlap(sets):
+    own, *group = [np.sort(np.array(list(s), np.uint64)) for s in sets]
+    union = jaccard_join.joined_maps([jaccard_join.bit_map(g) for g in group])
+    common = len(np.intersect1d(own, np.concatenate(group)))
+    assert common <= jaccard_join.most_in_union(len(own), jaccard_join.bit_map(own), union) <= len(own)
+    # an element that is in the union costs nothing
+    whole_map = jaccard_join.joined_maps([union, jaccard_join.bit_map(own)])
+    assert jaccard_join.most_in_union(len(own), jaccard_join.bit_map(own), whole_map) == len(own)
+
+
+def test_words_that_cancel_out_are_told_apart(spark):
+    """Words of two letters by the parity of ones in the place and its complement, of which
+    polynomial hashes modulo a power of two are equal."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, one), (2, other), (3, one + " and more words here"), (4, other + " and more words here")]
+    got = jaccard_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r.doc_id, r.component_id) for r in got.collect()} == {(i, i) for i in range(1, 5)}
+
+
 def test_components(spark, clashing, empty):
     for df, rows in (
         (spark.createDataFrame(near_copies(), "doc_id long, text string"), near_copies()),
@@ -351,8 +420,26 @@ def test_pieces_are_encoded_as_the_whole(texts):
     import public_tokenizers
 
     known = token_files._encoder(public_tokenizers.path("byte_bpe_50k.json"))
-    for text, ids in zip(texts, known.encode(pa.array(texts))):
-        assert ids == known.ids(text)
+    ids, starts = known.encode(pa.array(texts), 0)
+    for k, text in enumerate(texts):
+        assert ids[starts[k] : starts[k + 1]].tolist() == [*np.frombuffer(known.ids(text), np.int32).tolist(), 0]
+
+
+def test_starts_follow_the_rows_of_the_files(spark, tmp_path):
+    """Rows with one id, or none, stand in the files in the order of their starts."""
+    import public_tokenizers
+
+    rows = [(3, f"text {i} " + "w " * (i % 11)) for i in range(300)] + [(None, f"none {i}") for i in range(50)] + [(9, "last")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = token_files.encode_and_index(df, public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path / "t")).collect()
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    names = sorted(p for p in (tmp_path / "t").iterdir() if p.name.startswith("part-"))
+    stored = [r for p in names for r in spark.read.orc(str(p)).orderBy(token_files.ROW).collect()]
+    crc = [zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in stored]
+    assert crc == [r.ids_crc32 for r in sorted(got, key=lambda r: r.start)]
 
 
 # decontamination
