@@ -6,8 +6,10 @@ per character wins.  A phrase never goes on over a word's start (the space befor
 belongs to it), so the phrases of a word are counted once per worker and language, and a
 text's count is the sum over its words, whole texts of any length included.
 
-Each language is learned from a bounded sample: about ``SAMPLE`` documents chosen by the
-hash of their id, and of those, in that order, up to ``CHARS`` characters.
+Each language is learned from a bounded sample: at most ``SAMPLE`` documents chosen by the
+hash of their id, each of which gives the same share of ``CHARS`` characters, a passage
+that starts at a place drawn by the hash; a document shorter than its share is learned
+whole.  Scored texts are parsed over their whole length.
 
 Defined results: ``und`` with score 0 for a text that is missing or has no letter, and
 for all texts when no language is known.  Ties go to the language first by code point.
@@ -29,6 +31,8 @@ from cladeframe.runtime import small_rows
 #: Documents and characters that a language is learned from at most.
 SAMPLE = 64
 CHARS = 24_000
+#: Cells of an automaton's table of all codes.
+DENSE = 1 << 22
 #: Languages that one model may hold.
 MAX_LANGUAGES = 1000
 #: Words a worker remembers before it starts anew; a matter of memory only.
@@ -40,46 +44,76 @@ def letters(word: str) -> str:
     return word if word.isalpha() else "".join(filter(str.isalpha, word))
 
 
-def suffix_automaton(text: str, symbols: dict[str, int]) -> np.ndarray:
-    """Transitions of the automaton of all substrings, one row per state; 0 is the
-    start, -1 no transition.  Symbol 0 stands for characters not in ``symbols``."""
-    width = len(symbols) + 1
-    following = np.full((2 * len(text) + 2, width), -1, np.int32)
-    length, link = [0], [-1]
-    last = 0
-    for ch in text:
-        c = symbols.get(ch, 0)
-        new = len(length)
-        length.append(length[last] + 1)
-        link.append(0)
-        p = last
-        while p != -1 and following[p, c] == -1:
-            following[p, c] = new
-            p = link[p]
-        if p != -1:
-            q = int(following[p, c])
-            if length[p] + 1 == length[q]:
-                link[new] = q
-            else:
-                twin = len(length)
-                length.append(length[p] + 1)
-                link.append(link[q])
-                following[twin] = following[q]
-                while p != -1 and following[p, c] == q:
-                    following[p, c] = twin
-                    p = link[p]
-                link[q] = link[new] = twin
-        last = new
-    table = following[: len(length)].copy()
-    table[:, 0] = -1  # an unknown character matches nothing
-    return table
+class Automaton:
+    """The automaton of all substrings of a text: state 0 is the start, -1 no transition.
+
+    Codes of characters are those of the text's own alphabet, from 1; 0 stands for all
+    others.  Transitions are a sorted array of ``state * width + code``, so that memory
+    grows with the text and not with the number of its characters times its alphabet;
+    a table of all codes is kept besides where it is as small (``DENSE`` cells).
+    """
+
+    def __init__(self, text: str):
+        self.symbols = {ch: i + 1 for i, ch in enumerate(sorted(set(text)))}
+        self.width = len(self.symbols) + 1
+        following: list[dict[int, int]] = [{}]
+        length, link, last = [0], [-1], 0
+        for ch in text:
+            c = self.symbols[ch]
+            new = len(length)
+            length.append(length[last] + 1)
+            link.append(0)
+            following.append({})
+            p = last
+            while p != -1 and c not in following[p]:
+                following[p][c] = new
+                p = link[p]
+            if p != -1:
+                q = following[p][c]
+                if length[p] + 1 == length[q]:
+                    link[new] = q
+                else:
+                    twin = len(length)
+                    length.append(length[p] + 1)
+                    link.append(link[q])
+                    following.append(dict(following[q]))
+                    while p != -1 and following[p].get(c) == q:
+                        following[p][c] = twin
+                        p = link[p]
+                    link[q] = link[new] = twin
+            last = new
+        self.states = len(following)
+        steps = sorted((s * self.width + c, to) for s, out in enumerate(following) for c, to in out.items())
+        self.keys = np.array([k for k, _ in steps], np.int64)
+        self.to = np.array([t for _, t in steps], np.int32)
+        self.table = None
+        if self.states * self.width <= DENSE:
+            self.table = np.full(self.states * self.width, -1, np.int32)
+            self.table[self.keys] = self.to
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Where each state goes with each code."""
+        key = state.astype(np.int64) * self.width + code
+        if self.table is not None:
+            return self.table[key]
+        if not len(self.keys):
+            return np.full(len(key), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.to[at], np.int32(-1))
+
+    def codes(self, points: np.ndarray) -> np.ndarray:
+        """Codes of characters given as code points."""
+        own = np.array([ord(ch) for ch in self.symbols], np.int64)
+        if not len(own):
+            return np.zeros(len(points), np.int64)
+        at = np.minimum(np.searchsorted(own, points), len(own) - 1)
+        return np.where(own[at] == points, at + 1, 0)
 
 
 @dataclass
 class Model:
     languages: list[str]
-    symbols: dict[str, int]
-    automata: list[np.ndarray]
+    automata: list[Automaton]
 
     def phrases(self, words: list[str]) -> np.ndarray:
         """Phrases of `` word`` for each word and language: greedy longest matches, a
@@ -93,27 +127,22 @@ class Model:
         text = [" " + words[i] if words[i] else "" for i in order]
         sizes = np.array([len(t) for t in text], np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else sizes
-        codes = np.frombuffer("".join(text).encode("utf-32-le", "surrogatepass"), np.uint32)
-        table = np.zeros(0x110000, np.uint16) if not hasattr(self, "_table") else self._table
-        if not hasattr(self, "_table"):
-            for ch, i in self.symbols.items():
-                table[ord(ch)] = i
-            self._table = table
-        symbols = table[codes]
+        points = np.frombuffer("".join(text).encode("utf-32-le", "surrogatepass"), np.uint32)
         out = np.zeros((len(words), len(self.languages)), np.int32)
-        for k, step in enumerate(self.automata):
+        for k, automaton in enumerate(self.automata):
+            codes = automaton.codes(points)
             state = np.zeros(len(text), np.int32)
             count = np.zeros(len(text), np.int32)
             live = len(text)
             for i in range(int(sizes[0]) if len(sizes) else 0):
                 live = int(np.searchsorted(-sizes[:live], -i, side="left"))
-                c = symbols[starts[:live] + i]
+                c = codes[starts[:live] + i]
                 s = state[:live]
-                to = step[s, c]
+                to = automaton.step(s, c)
                 ended = to < 0
                 if ended.any():
                     count[:live] += ended & (s > 0)
-                    again = step[0, c]
+                    again = automaton.step(np.zeros(live, np.int32), c)
                     count[:live] += ended & (again < 0)
                     to = np.where(ended, np.maximum(again, 0), to)
                 state[:live] = to
@@ -154,12 +183,11 @@ class Identifier:
         return names, scores
 
 
-def build(texts: dict[str, list[str]], chars: int = CHARS) -> Model:
-    """Automata of the texts of each language, up to ``chars`` characters of each."""
+def build(texts: dict[str, list[str]]) -> Model:
+    """Automata of the texts of each language."""
     languages = sorted(texts)
-    bodies = ["".join([" " + w for t in texts[x] for w in map(letters, t.lower().split()) if w])[:chars] for x in languages]
-    symbols = {ch: i + 1 for i, ch in enumerate(sorted(set("".join(bodies))))}
-    return Model(languages, symbols, [suffix_automaton(b, symbols) for b in bodies])
+    bodies = ["".join([" " + w for t in texts[x] for w in map(letters, t.lower().split()) if w]) for x in languages]
+    return Model(languages, [Automaton(b) for b in bodies])
 
 
 def fit(
@@ -175,21 +203,23 @@ def fit(
     counted = known.groupBy("lang").agg(F.count("*").alias("n"))
     sizes = small_rows(counted, "languages", MAX_LANGUAGES)
     if not sizes:
-        return Model([], {}, [])
+        return Model([], [])
     limit = F.lit(None).cast("double")
     for r in sizes:  # the hash below which about ``sample`` rows of the language lie
         part = min(1.0, sample / r["n"])
         limit = F.when(F.col("lang") == r["lang"], F.lit((2 * part - 1) * 2.0**63)).otherwise(limit)
     drawn = known.where(F.col("draw").cast("double") <= limit)
+    # every drawn document gives its share of the characters, from any place in it
+    share = max(1, chars // sample)
+    start = F.pmod(F.xxhash64("draw"), F.greatest(F.length("text") - share, F.lit(0)) + 1)
+    drawn = drawn.select("lang", "draw", F.substring("text", (start + 1).cast("int"), F.lit(share)).alias("text"))
     order = Window.partitionBy("lang").orderBy("draw", "text")
-    # a learned document is cut to what the automaton takes at most
-    drawn = drawn.select("lang", "draw", F.substring("text", 1, chars).alias("text"))
-    drawn = drawn.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= 2 * sample)
-    rows = drawn.orderBy("lang", "nth").collect()  # 2 * sample texts of chars characters per language
+    drawn = drawn.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample)
+    rows = drawn.orderBy("lang", "nth").collect()  # sample texts of a share of characters per language
     texts: dict[str, list[str]] = {}
     for r in rows:
         texts.setdefault(r["lang"], []).append(r["text"])
-    return build(texts, chars)
+    return build(texts)
 
 
 def identify(text: Column, model: Model) -> Column:
