@@ -51,11 +51,17 @@ def item_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text"
     return b.select("item", "len", mark.alias("mark"), F.array_join("w", " ").alias("window")).distinct()
 
 
-def _spots(n: int, listed: list[int] | None) -> Column:
-    """The windows of ``n`` words of a row, all or those whose mark is listed."""
-    places = F.sequence(F.lit(0), F.size("h") - n)
-    if listed is not None:
-        places = F.filter(places, lambda i: _mark("h", i, n).isin(listed))
+def _places(n: int) -> Column:
+    """All windows of ``n`` words of a row, without their words."""
+    spot = F.transform(F.sequence(F.lit(0), F.size("h") - n), lambda i: F.struct(
+        F.lit(n).alias("len"), i.alias("pos"), _mark("h", i, n).alias("mark")))
+    none = F.array().cast("array<struct<len:int,pos:int,mark:bigint>>")
+    return F.when(F.size("h") >= n, spot).otherwise(none)
+
+
+def _spots(n: int, listed: list[int]) -> Column:
+    """The windows of ``n`` words of a row whose mark is listed."""
+    places = F.filter(F.sequence(F.lit(0), F.size("h") - n), lambda i: _mark("h", i, n).isin(listed))
     spot = F.transform(places, lambda i: F.struct(
         F.lit(n).alias("len"), i.alias("pos"), _mark("h", i, n).alias("mark"),
         F.array_join(F.slice("w", i + 1, n), " ").alias("window")))
@@ -89,10 +95,15 @@ def scan(
         rows = materialize(d.select(*row, reduce(F.concat, spots, none).alias("spots")))
         found = rows.select("uid", F.explode("spots").alias("s")).select("uid", "s.*")
     else:
-        # the other way: the marks of all windows, shuffled to those of the benchmark
+        # the other way: the marks of all windows, shuffled to those of the benchmark; only
+        # hits go back to their documents for the words
         rows = materialize(d.select(*row, "w", "h"))
-        spots = F.explode(F.concat(*[_spots(n, None) for n in lengths]))
-        found = rows.select("uid", spots.alias("s")).select("uid", "s.*").join(marks, ["len", "mark"], "left_semi")
+        places = F.explode(F.concat(*[_places(n) for n in lengths]))
+        hit = rows.select("uid", places.alias("s")).select("uid", "s.*").join(marks, ["len", "mark"], "left_semi")
+        at = hit.groupBy("uid").agg(F.collect_list(F.struct("len", "pos", "mark")).alias("at"))  # of one document
+        found = rows.join(at, "uid").select("uid", "w", F.explode("at").alias("s")).select(
+            "uid", "s.*", F.array_join(F.slice("w", F.col("s.pos") + 1, F.col("s.len")), " ").alias("window")
+        )
     hits = found.join(windows.select("item", "len", "window"), ["len", "window"])
     spans = hits.groupBy("uid").agg(
         F.collect_set(F.struct("pos", "len")).alias("spans"), F.collect_set("item").alias("items")
