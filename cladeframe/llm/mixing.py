@@ -6,8 +6,9 @@ inverting that at a document's offset in its source's own stream gives the time
 which the document is due, and so its training position.  Documents are then sorted by
 position in ranges.
 
-Offsets come from sums per (source, bucket of the document's hash): a hot source is
-spread over all buckets, and no task sees a whole source.  Everything is a DataFrame
+Offsets come from sums per (source, bucket of the document's hash), and in a bucket per
+id, size and part of the text's hash: a hot source is spread over all buckets, a hot or
+missing id over sizes and parts, and no task sees a whole source or a whole id.  Everything is a DataFrame
 operation.
 
 Defined results: a missing text has size 0; a missing source is a source of its own,
@@ -27,6 +28,8 @@ from .text import n_words
 
 #: Hexadecimal digits of the hash that name a bucket: 4096 buckets in each source.
 BUCKET_DIGITS = 3
+#: Parts of the rows that agree in id and size.
+TIES = 256
 
 
 def source_key(source: Column) -> Column:
@@ -103,7 +106,8 @@ def plan(
     name = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
     d = docs.select(
         F.col(key).alias("id"), F.col(source).alias("source"), source_key(F.col(source)).alias("src"),
-        n_words(F.col(text)).alias("size"), name.alias("name"), *([F.col(row).alias("row")] if row else []),
+        n_words(F.col(text)).alias("size"), name.alias("name"), F.col(key).isNotNull().alias("named"),
+        F.pmod(F.xxhash64(F.col(text)), F.lit(TIES)).alias("tie"), *([F.col(row).alias("row")] if row else []),
     ).withColumn("bucket", F.substring("name", 1, BUCKET_DIGITS))
 
     buckets = d.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
@@ -119,11 +123,16 @@ def plan(
     earlier = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = buckets.withColumn("start", F.coalesce(F.sum("words").over(earlier), F.lit(0))).join(sources, "src")
 
-    ties = ["row"] if row else []
-    inside = Window.partitionBy("src", "bucket").orderBy("name", "id", "size", *ties).rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    d = d.join(starts.drop("words", "rank", "weight"), ["src", "bucket"])
-    offset = (F.col("start") + F.col("inside")).cast("double")
+    # rows in the order of the hash, the id, the size and the text's hash: sums over rows
+    # that agree in all of these come first, so that one id's rows are divided as well
+    same = ["src", "bucket", "name", "named", "size", "tie"]
+    groups = d.groupBy(*same).agg(F.sum("size").alias("words"))
+    before = Window.partitionBy("src", "bucket").orderBy(*same[2:]).rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.withColumn("ahead", F.coalesce(F.sum("words").over(before), F.lit(0))).drop("words")
+    groups = groups.join(starts.drop("words", "rank", "weight"), ["src", "bucket"])
+    inside = Window.partitionBy(*same).orderBy("row" if row else "tie").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(groups, same)
+    offset = (F.col("start") + F.col("ahead") + F.col("inside")).cast("double")
     whole_copies = F.floor(F.col("target") / F.col("source_size")).cast("int")
     rest = F.col("target") - F.col("source_size") * whole_copies
     extra = (offset + F.col("size") / 2 < rest).cast("int")
