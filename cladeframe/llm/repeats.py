@@ -22,7 +22,8 @@ moved only for documents with items at an edge or with something to remove.
 Defined results: a missing or empty text has no bytes; texts under ``LENGTH`` bytes lose
 nothing; a row that occurs twice loses every byte, as its windows also start elsewhere.
 Rows are told apart by key and 64 bits of hash of the text; a missing key is a key of its
-own.  Hashes are of 128 bits (core and hull).
+own.  A range is known by its core, 64 bits modulo a power of two, and its hull, 62 bits
+modulo a prime with other bases; for ranges of one start both are the window itself.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from cladeframe.runtime import materialize
 
 from .bloom import bloom, passes
-from .rolling import Prefix, joined, mix
+from .rolling import Prefix, PrimePrefix, joined, mix
 from .text import whole
 
 LENGTH = 400
@@ -83,24 +84,31 @@ def anchors(prefix: Prefix, starts: np.ndarray):
     return text, place - starts[text], place - first[last], place - first[new]
 
 
-def hashes(prefix: Prefix, low, high, place, r0, r1):
-    """Hashes of the core and the hull of the ranges ``r0`` to ``r1``; ``low`` and
-    ``high`` are the text's bounds, ``place`` counts from the chunk's start."""
-    core = prefix.of(np.maximum(place - r0, low), np.minimum(place - r1 + LENGTH, high))
-    begin, end = np.maximum(place - r1, low), np.minimum(place - r0 + LENGTH, high)
-    hull = mix(prefix.of(begin, end)) + ((place - begin) * 1024 + (end - place)).astype(np.uint64)
-    tag = (r0 * 1024 + r1).astype(np.uint64)
-    return mix(core + tag).view(np.int64), mix(hull ^ tag).view(np.int64)
+class Hashes:
+    """Both kinds of prefix hashes of a chunk."""
+
+    def __init__(self, data: np.ndarray):
+        self.prefix, self.prime = Prefix(data), PrimePrefix(data)
+
+    def of(self, low, high, place, r0, r1):
+        """Hashes of the core, modulo a power of two, and of the hull, modulo a prime, of
+        the ranges ``r0`` to ``r1``; ``low`` and ``high`` are the text's bounds, ``place``
+        counts from the chunk's start."""
+        core = self.prefix.of(np.maximum(place - r0, low), np.minimum(place - r1 + LENGTH, high))
+        begin, end = np.maximum(place - r1, low), np.minimum(place - r0 + LENGTH, high)
+        hull = mix(self.prime.of(begin, end)) + ((place - begin) * 1024 + (end - place)).astype(np.uint64)
+        tag = (r0 * 1024 + r1).astype(np.uint64)
+        return mix(core + tag).view(np.int64), mix(hull ^ tag).view(np.int64)
 
 
 def first_items(texts: list[bytes]):
     """Text number, packed place and range, core and hull of all anchors of texts."""
     data, starts = joined(texts)
-    prefix = Prefix(data)
-    text, place, near, far = anchors(prefix, starts)
+    found = Hashes(data)
+    text, place, near, far = anchors(found.prefix, starts)
     low, high = starts[text], starts[text + 1]
     zero = np.zeros_like(place)
-    core, hull = hashes(prefix, low, high, place + low, zero, zero + SPAN)
+    core, hull = found.of(low, high, place + low, zero, zero + SPAN)
     return text, pack(place, near, far), core, hull
 
 
@@ -128,8 +136,8 @@ def piecewise(text: bytes, place, r0, r1):
     while i < len(place):
         j = int(np.searchsorted(place, place[i] + CHUNK, side="right"))
         low, high = max(0, int(place[i]) - LENGTH), min(len(text), int(place[j - 1]) + LENGTH)
-        prefix = Prefix(np.frombuffer(text[low:high], np.uint8))
-        core[i:j], hull[i:j] = hashes(prefix, 0, high - low, place[i:j] - low, r0[i:j], r1[i:j])
+        found = Hashes(np.frombuffer(text[low:high], np.uint8))
+        core[i:j], hull[i:j] = found.of(0, high - low, place[i:j] - low, r0[i:j], r1[i:j])
         i = j
     return core, hull
 
@@ -230,7 +238,7 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     found = [done]
     for step in STEPS:
         bits = bloom(edge, *KEY)
-        places = edge.groupBy(*KEY).agg(F.collect_list("at").alias("places"))  # of one text
+        places = edge.groupBy(*KEY).agg(F.collect_set("at").alias("places"))  # of one text
         texts = long_enough.where(passes(bits, *KEY)).join(places, KEY).dropDuplicates(KEY)
         items = materialize(texts.mapInArrow(_next_pass(step), ITEMS))
         done, edge = _sort_out(items)
@@ -278,7 +286,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     kind = docs.schema[key].dataType.simpleString()
     none = F.array().cast("array<bigint>")
     clean = keyed.where(~F.col("hit")).select("key", F.col("text").alias("kept"), F.lit(0).cast("long").alias("n_removed"), none.alias("starts"), none.alias("stops"))
-    places = ranges.groupBy(*KEY).agg(F.collect_list("at").alias("places"))  # of one text
+    # of one text: equal rows have the same places, once
+    places = ranges.groupBy(*KEY).agg(F.collect_set("at").alias("places"))
     hit = keyed.where("hit").join(places, KEY, "left").select("key", "text", "places")
     cut = hit.mapInArrow(_cut, f"key {kind}, kept binary, n_removed long, starts array<long>, stops array<long>")
     both = clean.unionByName(cut)
