@@ -40,8 +40,10 @@ DIM = 8
 EPOCHS = 4
 RATE = 0.5
 GRAMS = (3, 4, 5)
-#: Words a worker remembers before it starts anew; a matter of memory only.
-REMEMBERED = 500_000
+#: Words a worker remembers before it starts anew, and texts it cuts into words at once;
+#: matters of memory only.
+REMEMBERED = 100_000
+SLICE = 128
 #: Marks, which hold no word's characters.
 AGAIN, LINE_AGAIN, END = "\x02", "\x03", "\x04"
 
@@ -193,6 +195,8 @@ def score(text: Column, model: Model) -> Column:
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(model)
         for texts in batches:
-            yield pd.Series(scorer.score(texts.to_list()), dtype="float64")
+            # the words of few texts are held at once, however many rows Arrow brings
+            parts = [scorer.score(texts.iloc[i : i + SLICE].to_list()) for i in range(0, len(texts), SLICE)]
+            yield pd.Series([s for part in parts for s in part], dtype="float64")
 
     return F.pandas_udf(scored, "double")(text)

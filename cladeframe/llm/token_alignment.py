@@ -46,9 +46,9 @@ from .pieces import Known, batches, coded, flat, places, sums
 from .text import whole
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 #: Distinct pieces a worker remembers; a matter of memory only.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Links of a group from which on equal ids are put together before pairs are made.
 LARGE_GROUP = 1 << 12
 #: White space other than single spaces and line breaks inside, and the mark that B has
