@@ -2,6 +2,10 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns the documents that the next one
 gets, with the columns of ``documents``; the last returns the index of the token files.
+
+Defined results, for every stage: other columns are passed on and their names matter
+nothing; rows are told apart as rows, so that a missing or repeated id is no reason to
+drop or merge any; an empty table gives an empty one; texts are taken whole, however long.
 """
 
 from __future__ import annotations
@@ -18,29 +22,36 @@ QUALITY = 0.7
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts."""
+    """Documents that the classifier accepts.  A missing or empty text has a score like any
+    other; equal texts have equal scores.  Without labels all scores are 0.5: none stays."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = subword_quality.fit(docs, labels, learn=remainder("doc_id", 4) != 2)
     return docs.where(subword_quality.score(F.col("text"), model) >= QUALITY)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones."""
+    """One document of each group of similar ones: a row with its smallest id, any one of
+    them where several rows have it or none has an id.  Documents without words are in
+    no group and stay."""
     return jaccard_join.keep_one(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without too much of the benchmark in them."""
+    """Documents without too much of the benchmark in them.  A missing or empty text has no
+    words and stays; equal texts stay or go together."""
     return decontaminate.drop_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in training order, as often as the curriculum takes them."""
+    """Documents in training order, as often as the curriculum takes them.  A missing text
+    has size 0, a missing source is a source; ties are settled by row, so repeated rows are
+    taken one by one."""
     return mixing.mixed(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The index of the token files written from the documents."""
+    """The index of the token files written from the documents, in the order of ids, a
+    missing one first.  A missing or empty text has the end id only."""
     import public_tokenizers
 
     return token_files.encode_and_index(docs, public_tokenizers.path("byte_bpe_50k.json"))
