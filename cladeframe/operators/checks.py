@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.headers import header_format, species_from_path
 from ..runtime import global_rank
-from ..sources.files import FASTA_FILE, file_inventory
+from ..sources.files import FASTA_FILE, file_heads, file_inventory
 from ..sources.tables import parse_count
 from .isoforms import duplicate_accessions
 from .trees import is_ultrametric
@@ -53,20 +53,8 @@ def validate_proteomes(spark: SparkSession, directory: str) -> DataFrame:
     of files."""
     files = file_inventory(spark, directory).where(F.col("name").rlike(FASTA_FILE))
     stem = species_from_path("path")
-    starts = (
-        spark.read.text(directory, lineSep=">", pathGlobFilter="*")
-        .select(F.col("_metadata.file_name").alias("raw"),
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("seq"), F.length("value").alias("n"))
-        .where("block = 0")
-        .groupBy("raw")
-        .agg(F.min_by("n", "seq").alias("before_first"))
-        .select(
-            F.url_decode(F.replace("raw", F.lit("+"), F.lit("%2B"))).alias("name"),
-            "before_first",
-        )
-    )
-    opened = files.where("length > 0").join(starts, "name", "left")
+    heads = file_heads(spark, directory).select("name", "head")
+    opened = files.where("length > 0").join(heads, "name", "left")
     counted = files.agg(F.count("*").alias("n"))
     few = counted.where((F.col("n") > 0) & (F.col("n") < MIN_SPECIES))
     clash = files.groupBy(stem.alias("stem")).count().where("count > 1")
@@ -82,7 +70,7 @@ def validate_proteomes(spark: SparkSession, directory: str) -> DataFrame:
         report_rows(files.where(~stem.rlike(NAME_PATTERN)), "WARNING", "unusual_name", name,
                     "use letters, digits, dots, hyphens and underscores"),
         report_rows(files.where("length = 0"), "ERROR", "empty_file", name, "0 bytes"),
-        report_rows(opened.where("before_first > 0"), "ERROR", "not_fasta", name,
+        report_rows(opened.where("head not like '3e%'"), "ERROR", "not_fasta", name,
                     "does not start with a header"),
         report_rows(clash, "ERROR", "duplicate_species", F.col("stem"),
                     "each species needs exactly one file"),
@@ -124,10 +112,13 @@ def alignment_width(records: DataFrame, group: str = "species") -> DataFrame:
 
 
 def validate_counts(cells: DataFrame) -> DataFrame:
-    """Cells ``family_id, species, cell`` that are not whole numbers of 0 or more."""
+    """Cells ``family_id, species, cell`` that are not whole numbers of 0 or more, with
+    their ``line`` where the cells have one."""
     count = parse_count()
     subject = F.concat_ws("/", "family_id", "species")
     shown = F.coalesce(F.col("cell"), F.lit("(missing)"))
+    if "line" in cells.columns:
+        shown = F.concat(F.lit("line "), F.col("line"), F.lit(": "), shown)
     return union_reports(
         report_rows(cells.where(count.isNull()), "ERROR", "not_an_integer", subject, shown),
         report_rows(cells.where(count < 0), "ERROR", "negative_count", subject, shown),

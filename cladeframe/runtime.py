@@ -77,9 +77,7 @@ def require_none(bad: DataFrame, message: str, column: str) -> None:
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Repartition a scan too coarse for the cluster before work that is heavy per
-    row; a scan with enough splits, or a plan that shuffles anyway, is left alone."""
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
+    row; one with enough partitions is left alone."""
     wanted = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
 

@@ -1,181 +1,92 @@
 """FASTA scan and sink.
 
-Plain files are split by Spark's text source at ``"\\n>"``, so one large file
-is read by many tasks; gzip and bzip2 files are decoded by the built-in codecs
-by suffix.  Files whose content and suffix disagree are handled by ``sniff``.
+The scan is a data source of its own (``fasta_source``): one plan over all files, cut into
+byte ranges at records, bzip2 files between blocks; formats are told by content.  The
+sink writes named files that appear only when all tasks have succeeded.
 """
 
 from __future__ import annotations
 
-import bz2
-import gzip
-import io
-from collections.abc import Iterator
-from functools import reduce
+import json
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.headers import accession, species_from_path
 from ..runtime import require_none
-from .files import FASTA_FILE_ANY, fasta_inventory, file_inventory
-
-# Leading bytes of the two compressed formats.
-GZIP_MAGIC = "1F8B"
-BZ2_MAGIC = "425A68"
+from .fasta_source import SPLIT_BYTES, register
+from .files import FASTA_FILE_ANY, fasta_inventory
 
 #: Line width of written sequences (fixed value).
 LINE_WIDTH = 60
 
 RECORD_COLUMNS = ["species", "file", "ord", "header", "accession", "sequence", "length"]
 
-
-def _finish(raw: DataFrame, species: str | None, file_idx: int) -> DataFrame:
-    """``path, block, seq, body`` rows to records; ``body`` is header and lines."""
-    header = F.regexp_extract("body", r"^([^\r\n]*)", 1)
-    rest = F.regexp_replace("body", r"^[^\r\n]*", "")
-    name: Column = F.lit(species) if species is not None else species_from_path("path")
-    file_name = F.regexp_extract("path", r"([^/]*)$", 1)
-    return raw.select(
-        name.alias("species"),
-        file_name.alias("file"),
-        F.struct(
-            F.lit(file_idx).alias("file_idx"),
-            file_name.alias("file"),
-            F.col("block").alias("block"),
-            F.col("seq").alias("seq"),
-        ).alias("ord"),
-        header.alias("header"),
-        accession(header).alias("accession"),
-        F.regexp_replace(rest, r"\s+", "").alias("sequence"),
-    ).withColumn("length", F.length("sequence"))
-
-
-def _scan(spark: SparkSession, path) -> DataFrame:
-    """One row per fragment between record marks."""
-    return (
-        spark.read.option("lineSep", "\n>")
-        .text(path)
-        .select(
-            F.url_decode(
-                F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-            ).alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("seq"),
-            F.col("value").alias("body"),
-        )
-    )
+#: Names of written files by compression.
+SUFFIX = {None: ".fa", "gzip": ".fa.gz", "bzip2": ".fa.bz2"}
 
 
-def _bodies(fragments: DataFrame) -> DataFrame:
-    """Drop what precedes the first record of each file, and its mark."""
-    first = (
-        fragments.where("block = 0").groupBy("path").agg(F.min("seq").alias("first_seq"))
-    )
-    placed = fragments.join(first, "path", "left")
-    is_first = (F.col("block") == 0) & (F.col("seq") == F.col("first_seq"))
-    starts = F.col("body").startswith(">")
-    return placed.where(~is_first | starts).withColumn(
-        "body", F.when(is_first, F.substring("body", 2, 2147483647)).otherwise(F.col("body"))
+def scan_fasta(spark: SparkSession, paths: list[str], pattern: str = "", split_bytes: int = SPLIT_BYTES, recursive: bool = False) -> DataFrame:
+    """``path, file_idx, block, seq, header, sequence`` of all records of the files, and of
+    those files of folders whose names match ``pattern``."""
+    register(spark)
+    return (
+        spark.read.format("cladeframe_fasta")
+        .option("paths", json.dumps(list(paths)))
+        .option("pattern", pattern)
+        .option("splitBytes", str(split_bytes))
+        .option("recursive", str(recursive).lower())
+        .load()
     )
 
 
-def _clean_bodies(fragments: DataFrame) -> DataFrame:
-    return fragments.withColumn("body", F.regexp_replace("body", "^>", ""))
-
-
-def _inflate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Fragments of whole files whose suffix does not tell their format."""
-    for batch in batches:
-        for path, magic, content in zip(batch["path"], batch["magic"], batch["content"]):
-            stream = io.BytesIO(content)
-            if magic.startswith(GZIP_MAGIC):
-                stream = gzip.GzipFile(fileobj=stream)
-            elif magic == BZ2_MAGIC:
-                stream = bz2.BZ2File(stream)
-            text = io.TextIOWrapper(stream, encoding="utf-8").read()
-            bodies = text.split("\n>")
-            yield pd.DataFrame(
-                {"path": path, "block": 0, "seq": range(len(bodies)), "body": bodies}
-            )
-
-
-def _mislabelled(spark: SparkSession, path) -> DataFrame:
-    """Files whose first bytes and suffix disagree, with their content."""
-    magic = F.hex(F.substring("content", 1, 3))
-    kind = (
-        F.when(F.col("magic").startswith(GZIP_MAGIC), "gz")
-        .when(F.col("magic") == BZ2_MAGIC, "bz2")
-        .otherwise("")
-    )
-    return (
-        spark.read.format("binaryFile")
-        .load(path)
-        .select("path", magic.alias("magic"), "content")
-        .where(F.regexp_extract("path", r"\.(gz|bz2)$", 1) != kind)
+def _records(scan: DataFrame, species: Column) -> DataFrame:
+    file_name = F.regexp_extract("path", r"([^/]*)$", 1)
+    return scan.select(
+        species.alias("species"),
+        file_name.alias("file"),
+        F.struct("file_idx", file_name.alias("file"), "block", "seq").alias("ord"),
+        "header",
+        accession("header").alias("accession"),
+        "sequence",
+        F.length("sequence").alias("length"),
     )
 
 
-def read_fasta(
-    spark: SparkSession,
-    path,
-    species: str | None = None,
-    sniff: bool = False,
-    assume_clean: bool = False,
-) -> DataFrame:
+def read_fasta(spark: SparkSession, path, species: str | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Records of one FASTA file, of a folder of them, or of a list of files.
 
     A list is one species whose files follow each other in the given order
-    (``species`` names it).  ``sniff`` recognises compressed files by their
+    (``species`` names it).  Plain, gzip and bzip2 files are recognised by their
     first bytes, whatever their name.  Text before the first record of a file
-    is dropped, which takes a second look at the files; ``assume_clean`` skips
-    it for files known to start with ``>``.
+    is dropped.  Files are cut into ranges of ``split_bytes``.
     """
-    if isinstance(path, (list, tuple)):
-        if species is None:
-            raise ValueError("a list of files needs the species they belong to")
-        parts = [
-            _read_one(spark, p, species, i, sniff, assume_clean) for i, p in enumerate(path)
-        ]
-        return reduce(DataFrame.unionByName, parts)
-    return _read_one(spark, path, species, 0, sniff, assume_clean)
-
-
-def _read_one(spark, path, species, file_idx, sniff, assume_clean) -> DataFrame:
-    bodies = _clean_bodies if assume_clean else _bodies
-    if not sniff:
-        return _finish(bodies(_scan(spark, path)), species, file_idx)
-    odd = _mislabelled(spark, path)
-    inflated = odd.mapInPandas(_inflate, "path string, block bigint, seq bigint, body string")
-    named = [r["path"] for r in odd.select("path").collect()]
-    regular = [
-        r["path"] for r in file_inventory(spark, path).select("path").collect()
-        if r["path"] not in set(named)
-    ]
-    out = _finish(bodies(inflated), species, file_idx)
-    if regular:
-        out = out.unionByName(_finish(bodies(_scan(spark, regular)), species, file_idx))
-    return out
-
-
-def read_fasta_directory(spark: SparkSession, directory: str, **options) -> DataFrame:
+    if isinstance(path, (list, tuple)) and species is None:
+        raise ValueError("a list of files needs the species they belong to")
+    name = F.lit(species) if species is not None else species_from_path("path")
+    paths = path if isinstance(path, (list, tuple)) else [path]
+    return _records(scan_fasta(spark, paths, split_bytes=split_bytes), name)
+
+
+def read_fasta_directory(spark: SparkSession, directory: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Every FASTA file directly in ``directory``; each one is a species."""
     names = fasta_inventory(spark, directory)
     clash = names.groupBy("species").count().where("count > 1")
     require_none(clash, "Several FASTA files for one species", "species")
-    paths = [r["path"] for r in names.select("path").collect()]
-    if not paths:
+    if names.isEmpty():
         raise FileNotFoundError(
             f"No FASTA files found in {directory}; expected names like {FASTA_FILE_ANY}"
         )
-    return read_fasta_paths(spark, paths, **options)
+    # Python has the flag for the whole pattern only
+    pattern = "(?i)" + FASTA_FILE_ANY.replace("(?i:", "(?:")
+    return _records(scan_fasta(spark, [directory], pattern, split_bytes), species_from_path("path"))
 
 
-def read_fasta_paths(spark: SparkSession, paths: list[str], **options) -> DataFrame:
-    """Several files in one scan, each its own species."""
-    bodies = _clean_bodies if options.get("assume_clean") else _bodies
-    return _finish(bodies(_scan(spark, paths)), None, 0)
+def read_fasta_sink(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Records that ``write_fasta`` has written by species; ``ord`` is their order there."""
+    scan = scan_fasta(spark, [path], split_bytes=split_bytes, recursive=True)
+    species = F.regexp_extract("path", r"/species=([^/]*)/", 1)
+    return _records(scan, species)
 
 
 def fasta_text(header="header", sequence="sequence") -> Column:
@@ -184,18 +95,32 @@ def fasta_text(header="header", sequence="sequence") -> Column:
     return F.concat(F.lit(">"), F.col(header), F.lit("\n"), wrapped)
 
 
-def write_fasta(kept: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One folder per species: genes by gene id, then records without one in
-    input order.  Part files in name order hold the records in that order; a
-    large species is spread over several of them.
+def write_lines(rows: DataFrame, path: str, exact: bool = False, compression: str | None = None, suffix: str = "") -> None:
+    """Write rows ``file, value``, sorted by file in each partition, as lines of files below
+    the new folder ``path``.  ``exact``: one file of that name, which only one partition may
+    have; otherwise a folder of that name with a part file for each partition.  Nothing
+    is there to see until all is written, and nothing of a run that fails."""
+    spark = rows.sparkSession
+    register(spark)
+    writer = rows.select(F.col("file").cast("string"), F.col("value").cast("string")).write.format("cladeframe_lines")
+    writer.mode("append").options(
+        path=path, naming="exact" if exact else "parts", compression=compression or "", suffix=suffix
+    ).save()
+
+
+def write_fasta(
+    kept: DataFrame, path: str, one_file: bool = False, compression: str | None = None
+) -> None:
+    """Genes by gene id, then records without one in input order, for each species.
+
+    A species is the folder ``species=<name>`` of part files that hold the records in
+    that order in the order of their names, so that a large species is spread over several
+    tasks; or, with ``one_file``, the file ``<name>.fa``, written by one task as its
+    records come.  ``compression`` is ``gzip`` or ``bzip2``.
     """
     order = ["species", "sort_rank", "gene_id", "ord"]
-    (
-        kept.select(*order, fasta_text().alias("value"))
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select("species", "value")
-        .write.mode(mode)
-        .partitionBy("species")
-        .text(path)
-    )
+    rows = kept.select(*order, fasta_text().alias("value"))
+    rows = rows.repartition("species") if one_file else rows.repartitionByRange(*order)
+    name = F.col("species") if one_file else F.concat(F.lit("species="), F.col("species"))
+    lines = rows.sortWithinPartitions(*order).select(name.alias("file"), "value")
+    write_lines(lines, path, exact=one_file, compression=compression, suffix=SUFFIX[compression])

@@ -1,10 +1,8 @@
-"""File inventories and manifests, from Spark's ``binaryFile`` source.
-
-Only the metadata columns are read unless the content is asked for.
-"""
+"""File inventories, from the metadata of Spark's ``binaryFile`` source, and manifests."""
 
 from __future__ import annotations
 
+import json
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,21 +77,37 @@ def latest_results(spark: SparkSession, root: str) -> str:
     return newest["folder"]
 
 
+def _digests(spark: SparkSession, paths, **options: str) -> DataFrame:
+    from .fasta_source import register
+
+    register(spark)
+    listed = [paths] if isinstance(paths, str) else list(paths)
+    return spark.read.format("cladeframe_digests").options(paths=json.dumps(listed), **options).load()
+
+
 def file_manifest(spark: SparkSession, paths) -> DataFrame:
-    """``path, md5, size_bytes, modified_time`` of the given files or folders."""
-    return (
-        spark.read.format("binaryFile")
-        .load(paths)
-        .select(
-            "path",
-            F.md5("content").alias("md5"),
-            F.col("length").alias("size_bytes"),
-            F.col("modificationTime").alias("modified_time"),
-        )
-    )
+    """``path, md5, size_bytes, modified_time`` of the given files or folders; a file is
+    read by one task in steps and never held."""
+    return _digests(spark, paths).select("path", "md5", "size_bytes", "modified_time")
+
+
+def tree_manifest(spark: SparkSession, paths, chunk_bytes: int = 64 << 20) -> DataFrame:
+    """``path, tree_md5, n_chunks, size_bytes`` of the given files or folders: the MD5 of
+    the MD5 sums (lower-case hex, in order) of their chunks, which all tasks read."""
+    chunks = _digests(spark, paths, chunkBytes=str(chunk_bytes))
+    held = F.sort_array(F.collect_list(F.struct("chunk", "md5")))
+    return chunks.groupBy("path", "size_bytes").agg(
+        F.md5(F.array_join(held["md5"], "")).alias("tree_md5"), F.count("*").alias("n_chunks")
+    ).select("path", "tree_md5", "n_chunks", "size_bytes")
+
+
+def file_heads(spark: SparkSession, paths) -> DataFrame:
+    """``path, name, head, size_bytes``: the first bytes of files as hex, nothing else of
+    them being read; empty files are left out."""
+    return _digests(spark, paths, headOnly="true").select("path", "name", "head", "size_bytes")
 
 
 __all__ = [
-    "FASTA_FILE", "FASTA_FILE_ANY", "fasta_inventory", "file_inventory",
-    "file_manifest", "latest_results", "proteome_sizes",
+    "FASTA_FILE", "FASTA_FILE_ANY", "fasta_inventory", "file_heads", "file_inventory",
+    "file_manifest", "latest_results", "proteome_sizes", "tree_manifest",
 ]
