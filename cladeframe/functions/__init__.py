@@ -10,4 +10,11 @@ from .headers import (  # noqa: F401
     sanitize_name,
     species_from_path,
 )
-from .specs import merge_labels, pair_cost, parse_age, parse_calibrations  # noqa: F401
+from .specs import (  # noqa: F401
+    calibrations_from_config,
+    calibrations_from_lists,
+    merge_labels,
+    pair_cost,
+    parse_age,
+    parse_calibrations,
+)

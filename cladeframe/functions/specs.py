@@ -85,6 +85,33 @@ def pairs_to_calibrations(df: DataFrame, pair="pair", age="age_spec") -> DataFra
     return parse_calibrations(df.withColumn("spec", spec), "spec")
 
 
+def calibrations_from_lists(spark, pairs: list[str], ages: list[str]) -> DataFrame:
+    """Calibrations from a list of ``'SP1,SP2'`` and one of age tokens of equal length."""
+    if len(pairs) != len(ages):
+        raise ValueError(f"each pair needs an age: got {len(pairs)} pairs and {len(ages)} ages")
+    rows = spark.createDataFrame(list(zip(pairs, ages)), "pair string, age_spec string")
+    return pairs_to_calibrations(rows)
+
+
+def calibrations_from_config(entries: DataFrame) -> DataFrame:
+    """Configured entries ``name, taxa array<string>, age, min_age, max_age`` to the columns of
+    ``parse_calibrations``; a missing name is made from the taxa."""
+    two = F.size("taxa") == 2
+    given = F.coalesce("age", "min_age", "max_age").isNotNull()
+    blank = F.coalesce(F.col("name"), F.lit("")) == ""
+    name = F.when(blank, F.concat_ws("_", "taxa")).otherwise(F.col("name"))
+    error = F.when(~F.coalesce(two, F.lit(False)), F.lit("not two taxa")).when(~given, F.lit("no age"))
+    good = error.isNull()
+    values = {
+        "name": sanitize_name(name), "sp1": F.get("taxa", F.lit(0)), "sp2": F.get("taxa", F.lit(1)),
+        "age": F.col("age").cast("double"), "min_age": F.col("min_age").cast("double"), "max_age": F.col("max_age").cast("double"),
+    }
+    return entries.select(
+        F.concat_ws(":", name, F.concat_ws(",", "taxa")).alias("spec"),
+        *[F.when(good, value).alias(column) for column, value in values.items()], error.alias("error"),
+    )
+
+
 def pair_cost(query_bytes, db_bytes) -> Column:
     """Exact product of two sizes."""
     wide = "decimal(19,0)"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import DataError, require_none
 from .files import file_inventory
-from .tables import read_tsv
+from .lines import numbered_lines
 
 # What marks a real search command, and the tokens that carry
 # its species pair.
@@ -67,8 +67,9 @@ def parse_search_pairs(lines: DataFrame) -> DataFrame:
 
 
 def read_search_pairs(spark: SparkSession, path) -> DataFrame:
-    """``line_index, qid, did, error, value``; ``line_index`` orders the lines."""
-    lines = spark.read.text(path).withColumn("line_index", F.monotonically_increasing_id())
+    """``line_index, qid, did, error, value``; ``line_index`` is the position of the line in
+    its file, from 0."""
+    lines = numbered_lines(spark, path).withColumn("line_index", F.col("line") - 1)
     return parse_search_pairs(lines).select("line_index", "qid", "did", "error", "value")
 
 
@@ -136,11 +137,24 @@ def _number(column: str, kind: str) -> Column:
     return F.when(cell.isNull() | cell.isin(NO_VALUE), F.lit(None).cast(kind)).otherwise(F.coalesce(number, bad))
 
 
-def _all_runs(tables: list[DataFrame]) -> DataFrame:
-    out = tables[0]
-    for more in tables[1:]:
-        out = out.unionByName(more)
-    return out
+def _runs(spark: SparkSession, directory: str, suffix: str) -> DataFrame:
+    """``run, family_id, column, cell`` of all tables whose names end in ``suffix``, from
+    one scan; ``run`` is the rest of the name.  A table's first line has its columns; one
+    without a name, after a closing tab, holds nothing."""
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    lines = spark.read.option("pathGlobFilter", f"*{suffix}").text(directory).select(
+        F.left(name, F.length(name) - len(suffix)).alias("run"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq")).alias("at"),
+        F.split(F.regexp_replace("value", r"\r$", ""), "\t").alias("cells"),
+    )
+    heads = lines.groupBy("run").agg(F.min(F.struct("at", "cells")).alias("head"))
+    placed = lines.join(heads, "run").where(F.col("at") != F.col("head.at"))
+    cells = placed.where(F.col("cells")[0] != "").select(
+        "run", F.col("cells")[0].alias("family_id"), F.posexplode(F.col("head.cells")).alias("place", "column"), "cells"
+    )
+    return cells.where("place > 0 and trim(column) <> ''").select(
+        "run", "family_id", "place", "column", F.get("cells", F.col("place")).alias("cell")
+    )
 
 
 def read_turnover(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
@@ -148,33 +162,30 @@ def read_turnover(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     ``changes`` (family_id, branch, change), ``pvalues`` (family_id, pvalue) and
     ``branch_probabilities`` (family_id, branch, probability), as far as present.
 
-    Every matching file is read; ``run`` is its name up to the table's suffix.  A cell
-    that is neither a number nor one of ``NO_VALUE`` fails.
+    Every matching file is read, in one scan a table; ``run`` is its name up to the
+    table's suffix.  A cell that is neither a number nor one of ``NO_VALUE`` fails.
     """
-    names = [r["name"] for r in file_inventory(spark, directory).select("name").collect()]
-    if not any(n.endswith("_results.txt") for n in names):
+    name = F.col("name")
+    kinds = {
+        "_count.tab": ("counts", "node", "copies", "bigint"),
+        "_change.tab": ("changes", "branch", "change", "bigint"),
+        "_branch_probabilities.tab": ("branch_probabilities", "branch", "probability", "double"),
+        "_family_results.txt": ("pvalues", None, "pvalue", "double"),
+    }
+    seen = file_inventory(spark, directory).agg(
+        F.count_if(name.endswith("_results.txt")).alias("results"),
+        *[F.count_if(name.endswith(suffix)).alias(suffix) for suffix in kinds],
+    ).first()
+    if not seen["results"]:
         raise DataError(f"No *_results.txt in {directory}")
     out = {}
-    for suffix, table, key, value, kind in (
-        ("_count.tab", "counts", "node", "copies", "bigint"),
-        ("_change.tab", "changes", "branch", "change", "bigint"),
-        ("_branch_probabilities.tab", "branch_probabilities", "branch", "probability", "double"),
-    ):
-        runs = []
-        for name in sorted(n for n in names if n.endswith(suffix)):
-            wide = read_tsv(spark, f"{directory}/{name}")
-            # a column without a name, after a closing tab, holds nothing
-            family, *nodes = [c for i, c in enumerate(wide.columns) if c != f"_c{i}"]
-            long = wide.unpivot([F.col(f"`{family}`").alias("family_id")], [F.col(f"`{n}`") for n in nodes], key, value)
-            runs.append(long.withColumn(value, _number(value, kind)).withColumn("run", F.lit(name.removesuffix(suffix))))
-        if runs:
-            out[table] = _all_runs(runs)
-    suffix, runs = "_family_results.txt", []
-    for name in sorted(n for n in names if n.endswith(suffix)):
-        wide = read_tsv(spark, f"{directory}/{name}")
-        family, pvalue = wide.columns[:2]
-        found = wide.select(F.col(f"`{family}`").alias("family_id"), F.col(f"`{pvalue}`").alias("pvalue"))
-        runs.append(found.withColumn("pvalue", _number("pvalue", "double")).withColumn("run", F.lit(name.removesuffix(suffix))))
-    if runs:
-        out["pvalues"] = _all_runs(runs)
+    for suffix, (table, key, value, kind) in kinds.items():
+        if not seen[suffix]:
+            continue
+        cells = _runs(spark, directory, suffix).withColumnRenamed("cell", value)
+        if key is None:
+            cells = cells.where("place = 1").select("family_id", value, "run")
+        else:
+            cells = cells.select("family_id", F.col("column").alias(key), value, "run")
+        out[table] = cells.withColumn(value, _number(value, kind))
     return out

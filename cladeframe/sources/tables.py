@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.counts import DESC, FAMILY, count_matrix, species_list
 from ..runtime import DataError
+from .lines import numbered_lines
 
 
 def read_tsv(spark: SparkSession, path) -> DataFrame:
@@ -26,24 +27,54 @@ def write_tsv(df: DataFrame, path: str, columns: list[str], mode: str = "errorif
     )
 
 
-def gene_count_cells(wide: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Unparsed cells ``family_id, species, cell`` of a count table, blank rows
-    left out, and its species; the last column is dropped when it is ``Total``."""
-    family, *species = wide.columns
+def _count_species(columns: list[str]) -> list[str]:
+    """Species columns of a count table; the last one is dropped when it is ``Total``."""
+    species = columns[1:]
     if species and species[-1].strip().lower() == "total":
         species = species[:-1]
     if not species:
         raise DataError("No species columns found")
+    return species
+
+
+def gene_count_cells(wide: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Unparsed cells ``family_id, species, cell`` of a count table, blank rows
+    left out, and its species; the last column is dropped when it is ``Total``."""
+    species = _count_species(wide.columns)
     blank = F.lit(True)
     for c in wide.columns:
         blank = blank & (F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))) == "")
     rows = wide.where(~blank).select(
-        F.col(f"`{family}`").alias("family_id"), *[f"`{s}`" for s in species]
+        F.col(f"`{wide.columns[0]}`").alias("family_id"), *[f"`{s}`" for s in species]
     )
     cells = rows.unpivot(["family_id"], [F.col(f"`{s}`") for s in species], "species", "cell")
     return cells, species
 
 
+def read_count_cells(spark: SparkSession, path) -> tuple[DataFrame, list[str]]:
+    """Unparsed cells ``file, line, family_id, species, cell`` of count table files with
+    the same columns, and their species.  ``line`` counts all lines from 1, the header and
+    blank ones too; a cell that its line lacks is null."""
+    lines = numbered_lines(spark, path).withColumn("value", F.regexp_replace("value", r"\r$", ""))
+    heads = lines.where("line = 1").select("value").distinct().take(2)
+    if not heads:
+        raise DataError(f"Gene count table needs a header: {path}")
+    if len(heads) > 1:
+        raise DataError(f"Gene count tables with different columns: {path}")
+    columns = heads[0]["value"].split("\t")
+    if len(columns) < 2:
+        raise DataError(f"Gene count table needs an id and a species column: {path}")
+    species = _count_species(columns)
+    split = F.split("value", "\t")
+    rows = lines.where((F.col("line") > 1) & (F.regexp_replace("value", r"\s+", "") != "")).select(
+        "file", "line", split[0].alias("family_id"), split.alias("cells")
+    )
+    names = F.array(*[F.lit(s) for s in species])
+    each = rows.select("file", "line", "family_id", "cells", F.posexplode(names).alias("place", "species"))
+    cell = F.get("cells", F.col("place") + 1)
+    return each.select("file", "line", "family_id", "species", F.when(cell != "", cell).alias("cell")), species
+
+
 def parse_count(cell="cell"):
     """Whole number in a cell, null when it is not one."""
     c = F.col(cell)
@@ -53,15 +84,12 @@ def parse_count(cell="cell"):
 def read_gene_counts(spark: SparkSession, path) -> tuple[DataFrame, list[str]]:
     """``(family_id, species, copies)`` of a count table, and its species.
 
-    A missing or non-integer cell fails the job that meets it, naming family
+    A missing or non-integer cell fails the job that meets it, naming line, family
     and species; ``operators.checks.validate_counts`` lists them all instead.
     """
-    wide = read_tsv(spark, path)
-    if len(wide.columns) < 2:
-        raise DataError(f"Gene count table needs an id and a species column: {path}")
-    cells, species = gene_count_cells(wide)
+    cells, species = read_count_cells(spark, path)
     problem = F.raise_error(
-        F.concat(F.lit("Non-integer or missing count in family '"), F.col("family_id"),
+        F.concat(F.lit("Non-integer or missing count at line "), F.col("line"), F.lit(", family '"), F.col("family_id"),
                  F.lit("', species '"), F.col("species"), F.lit("'"))
     )
     copies = F.coalesce(parse_count(), problem.cast("bigint"))

@@ -6,12 +6,22 @@ from cladeframe.runtime import DataError
 from cladeframe.sources import reports as R
 from cladeframe.sources import tables as S
 
-COUNTS = (
-    "Family\tteal\twren\tibis\tTotal\n"
-    "FAM_a\t4\t0\t7\t11\n\t\t\t\t\n"
-    "FAM_b\t1\t210\t1\t212\n"
-    "FAM_c\t2\t5\t9\t16\n"
-)
+SPECIES = ["moa", "emu", "kiwi", "rhea", "gull"]
+#: Copies by rule: eight families, of which the third and the seventh have many copies in
+#: several species, and none has one copy in all.
+COPIES = {
+    f"F{f}": [(f * f + 3 * s) % 6 + (90 * (s + 1) if f % 4 == 3 and s % 2 == 0 else 0) for s in range(5)] for f in range(1, 9)
+}
+
+
+def count_table():
+    """The table with totals, and a blank row in it."""
+    lines = ["\t".join(["Family", *SPECIES, "Total"])]
+    for family, copies in COPIES.items():
+        lines.append("\t".join(map(str, [family, *copies, sum(copies)])))
+        if family == "F4":
+            lines.append("\t" * 6)
+    return "\n".join(lines) + "\n"
 
 
 def put(path, text):
@@ -25,14 +35,15 @@ def lines(folder):
 
 
 def test_gene_counts_round_trip(spark, tmp_path, rows):
-    long, species = S.read_gene_counts(spark, put(tmp_path / "c.tsv", COUNTS))
-    assert species == ["teal", "wren", "ibis"]
-    assert long.count() == 9
+    long, species = S.read_gene_counts(spark, put(tmp_path / "c.tsv", count_table()))
+    assert species == SPECIES
+    assert rows(long) == sorted(((f, s, n) for f, c in COPIES.items() for s, n in zip(SPECIES, c)), key=repr)
     wide = C.wide_counts(long, species)
-    assert rows(wide) == [("FAM_a", 4, 0, 7), ("FAM_b", 1, 210, 1), ("FAM_c", 2, 5, 9)]
+    assert rows(wide) == sorted(((f, *c) for f, c in COPIES.items()), key=repr)
     assert rows(C.long_counts(wide, species)) == rows(long)
-    no_total = put(tmp_path / "n.tsv", "F\ta\ttotal\tb\nx\t1\t2\t3\n")
-    assert S.read_gene_counts(spark, no_total)[1] == ["a", "total", "b"]
+    # only the last column can be the total
+    inner = put(tmp_path / "n.tsv", "F\ta\ttotal\tb\tc\nx\t1\t2\t3\t4\n")
+    assert S.read_gene_counts(spark, inner)[1] == ["a", "total", "b", "c"]
 
 
 def test_bad_counts(spark, tmp_path, rows):
@@ -51,19 +62,22 @@ def test_bad_counts(spark, tmp_path, rows):
         S.read_gene_counts(spark, put(tmp_path / "t.tsv", "F\tTotal\nx\t1\n"))
 
 
-def test_matrix_and_size_filter(spark, tmp_path, rows):
-    long, species = S.read_gene_counts(spark, put(tmp_path / "c.tsv", COUNTS))
+@pytest.mark.parametrize("limit", [100, 300, None])
+def test_matrix_and_size_filter(spark, tmp_path, rows, limit):
+    long, species = S.read_gene_counts(spark, put(tmp_path / "c.tsv", count_table()))
     matrix = C.count_matrix(long, species, "fam")
-    assert matrix.columns == ["Desc", "Family ID", "teal", "wren", "ibis"]
-    kept, large = C.split_large(matrix, species, 100)
-    assert rows(kept, "Family ID") == [("FAM_a",), ("FAM_c",)]
-    assert rows(large, "Desc", "Family ID") == [("fam", "FAM_b")]
-    everything, none = C.split_large(matrix, species)
-    assert (everything.count(), none.count()) == (3, 0)
+    assert matrix.columns == ["Desc", "Family ID", *SPECIES]
+    kept, large = C.split_large(matrix, species, *([limit] if limit else []))
+    big = {f for f, c in COPIES.items() if limit and max(c) >= limit}
+    assert {r[0] for r in rows(large, "Family ID")} == big
+    assert {r[0] for r in rows(kept, "Family ID")} == set(COPIES) - big
+
+
+def test_written_matrix(spark, tmp_path):
+    long, species = S.read_gene_counts(spark, put(tmp_path / "c.tsv", count_table()))
     S.write_count_matrix(long, str(tmp_path / "m"), species)
-    written = lines(tmp_path / "m")
-    assert "Desc\tFamily ID\tteal\twren\tibis" in written
-    assert "(null)\tFAM_a\t4\t0\t7" in written
+    expected = {"\t".join(map(str, ["(null)", f, *c])) for f, c in COPIES.items()}
+    assert set(lines(tmp_path / "m")) == expected | {"\t".join(["Desc", "Family ID", *SPECIES])}
 
 
 def test_write_tsv(spark, tmp_path, table):
@@ -132,9 +146,11 @@ def test_search_artefacts(spark, tmp_path, rows):
 def test_solver_logs(spark, tmp_path, rows):
     d = tmp_path / "logs"
     d.mkdir()
-    put(d / "a.log", "[banner]\ntree nj = [&R] (ibis:0.31,(teal:0.14,wren:0.22):0.06);\n[plot]\n"
-        "tree nj = [&R] (ibis:60,(teal:25,wren:25):35);\n")
-    assert rows(R.read_dated_trees(spark, str(d))) == [("a.log", "(ibis:60,(teal:25,wren:25):35);")]
+    dated = ["((a:1,b:1):3,(c:2,d:2):2);", "(((a:1,b:1):1,c:2):5,(d:4,e:4):3);"]
+    put(d / "a.log", "[banner]\ntree first = [&R] ((a:.1,b:.2):.3,(c:.1,d:.7):.1);\nlines\n"
+        f"TREE second = [&U] {dated[1]}\n  tree third = {dated[0]}  \nno tree here;\n")
+    put(d / "c.log", f"tree only = [&r] {dated[1]}\n")
+    assert rows(R.read_dated_trees(spark, str(d))) == [("a.log", dated[0]), ("c.log", dated[1])]
     put(d / "b.log", "nothing\n")
     with pytest.raises(DataError, match="b.log"):
         R.read_dated_trees(spark, str(d))
