@@ -186,6 +186,26 @@ def ancestors(t: Tables) -> DataFrame:
     return T.ancestors(heap_edges(t))
 
 
+@query("interval_labels", f"""with {HEAP}, {CLOSURE},
+sizes as (select anc as node_id, count(*) as size from closure group by anc),
+steps as (select node_id, case when parent_id is null then 0 else 1 + coalesce(sum(size) over
+    (partition by parent_id order by child_ord, node_id rows between unbounded preceding and 1 preceding), 0) end as step
+  from nodes join sizes using (node_id))
+select 'heap' as tree_id, c.node_id, sum(step)::bigint as entry, any_value(size) as size,
+  (count(*) - 1)::bigint as level
+from closure c join steps s on s.node_id = c.anc join sizes z on z.node_id = c.node_id group by c.node_id""")
+def interval_labels(t: Tables) -> DataFrame:
+    return T.interval_labels(heap_edges(t)).select("tree_id", "node_id", "entry", "size", "level")
+
+
+@query("ancestor_pairs", f"""with {HEAP}, {CLOSURE},
+pairs as (select distinct o_orderkey as pair_id, o_custkey + 1 as u, (o_custkey + 1) // 3 + 1 as v from orders)
+select 'heap' as tree_id, pair_id, u, v, a.anc is not null as u_above, b.anc is not null as v_above
+from pairs left join closure a on a.node_id = v and a.anc = u left join closure b on b.node_id = u and b.anc = v""")
+def ancestor_pairs(t: Tables) -> DataFrame:
+    return T.ancestor_pairs(heap_edges(t), order_pairs(t).distinct())
+
+
 MRCA_SQL = f"""{HEAP}, {CLOSURE},
 height as (select max(depth) as height from nodes join deep using (node_id) where is_tip)"""
 

@@ -1,7 +1,8 @@
 """Phylogenies as edge tables (``schemas.TREE_EDGES``), any number at a time.
 
-Nothing walks a tree node by node or gathers a tree in one task.  Questions
-about ancestors and clades use pointer doubling: round ``j`` knows the ancestor
+Nothing walks a tree node by node or gathers a tree in one task.  Ancestry and
+common ancestors are questions about intervals of entry numbers (``interval_labels``,
+``mrca``).  These numbers and sums over clades use pointer doubling: round ``j`` knows the ancestor
 ``2**j`` steps up, so a tree of depth ``d`` takes about ``log2(d)`` joins,
 ladder-shaped trees included.  Each round holds one row per node and is stored
 (``runtime.materialize``).  The looked-up side of every join has unique keys;
@@ -12,14 +13,22 @@ a polytomy holding a large share of the nodes is joined without a shuffle
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import DataError, join_skewed, materialize
 
 NODE = ["tree_id", "node_id"]
 
+#: Levels up to which a node's whole path to the root is kept in its row.
+SHALLOW = 64
+#: Nodes in a block of the range-minimum index.
+BLOCK = 256
+#: Places of siblings that are summed up by one task.
+SIBLINGS = 4096
+
 #: More doubling rounds than any real depth needs.
 MAX_ROUNDS = 50
 
@@ -192,67 +201,218 @@ def ancestors(edges: DataFrame) -> DataFrame:
     return closure
 
 
-def mrca(edges: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Most recent common ancestor of node pairs ``(tree_id, pair_id, u, v)``.
-
-    The deeper node is lifted to the other's level, then both are lifted
-    together from the longest step to the shortest as long as they differ.
-    Adds ``mrca`` (node id), ``mrca_depth`` and ``age`` (height of the tree
-    minus that depth); all null when a node is unknown.
+def root_paths(edges: DataFrame, limit: int | None = None) -> DataFrame | None:
+    """``tree_id, node_id, path``: the nodes from the root to each node, itself included, as
+    ``struct<ord, node, length>``; none if a path has more than ``limit`` nodes
+    (``SHALLOW``)."""
+    limit = SHALLOW if limit is None else limit
+    own = F.array(F.struct(
+        F.col("child_ord").cast("int").alias("ord"), F.col("node_id").alias("node"),
+        F.coalesce("branch_length", F.lit(0.0)).alias("length"),
+    ))
+    state = materialize(edges.select(*NODE, F.col("parent_id").alias("anc"), own.alias("path")))
+    measure = [F.count("anc").alias("n"), F.max(F.size("path")).alias("longest")]
+    pending = state.where("anc is not null")
+    found = state.agg(*measure).first()
+    done = [state.where("anc is null")]
+    while found["n"]:
+        if found["longest"] > limit:
+            return None
+        above = state.select("tree_id", F.col("node_id").alias("anc"), F.col("anc").alias("next"), F.col("path").alias("above"))
+        jumped = materialize(
+            join_skewed(pending, above, ["tree_id", "anc"], found["n"]).select(
+                *NODE, F.col("next").alias("anc"), F.concat("above", "path").alias("path")
+            )
+        )
+        done.append(jumped.where("anc is null"))
+        # nodes that have reached their root are not written again
+        state = reduce(DataFrame.unionByName, [jumped, *done[:-1]])
+        pending = jumped.where("anc is not null")
+        found = jumped.agg(*measure).first()
+    if (found["longest"] or 0) > limit:
+        return None
+    return reduce(DataFrame.unionByName, done).select(*NODE, "path")
+
+
+def _before(df: DataFrame, keys: list[str], place: Column, value: str, name: str) -> DataFrame:
+    """Add the sum of ``value`` over the rows before each one among those with equal
+    ``keys``, in order of ``place`` (an integer) and node.
+
+    Places are taken ``SIBLINGS`` at a time, so that a node with any number of children
+    is summed up by many tasks.
+    """
+    piece = F.floor(place / SIBLINGS)
+    rows = df.withColumn("__place", place).withColumn("__piece", piece)
+    earlier = Window.unboundedPreceding, -1
+    pieces = rows.groupBy(*keys, "__piece").agg(F.sum(value).alias("__sum"))
+    ahead = F.sum("__sum").over(Window.partitionBy(*keys).orderBy("__piece").rowsBetween(*earlier))
+    pieces = pieces.select(*keys, "__piece", F.coalesce(ahead, F.lit(0)).alias("__ahead"))
+    inside = Window.partitionBy(*keys, "__piece").orderBy("__place", "node_id").rowsBetween(*earlier)
+    rows = rows.withColumn(name, F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    rows = rows.join(pieces, [*keys, "__piece"])
+    return rows.withColumn(name, F.col(name) + F.col("__ahead")).drop("__ahead", "__place", "__piece")
+
+
+def interval_labels(edges: DataFrame) -> DataFrame:
+    """``tree_id, node_id, entry, size, level, depth`` and what ``edges`` has of
+    ``parent_id, is_tip``: ``entry`` numbers the nodes of a tree from 0 in the order of a
+    walk that takes children by ``child_ord``, ``size`` counts the nodes of the clade, and
+    ``is_first`` tells the first children.
+
+    A node's clade is the interval from ``entry`` up to ``entry + size``, so ancestry
+    is a comparison of numbers (``is_above``).
     """
-    lifted = lift(edges, carry=("is_tip",))
-    steps = [_step(s) for s in lifted.steps]
-    levels = lifted.final.select(
-        *NODE, "is_tip", (F.col("hops") - 1).alias("level"), F.col("dist").alias("depth")
+    own = lift(
+        edges, sums={"size": F.lit(1).cast("bigint")}, carry=("parent_id", "child_ord", "is_tip")
+    ).final.withColumn("parent", F.col("parent_id"))
+    placed = _before(
+        own.where("parent_id is not null"), ["tree_id", "parent"], F.col("child_ord").cast("bigint"), "size", "earlier"
     )
-
-    work = _lookup(pairs, levels.select(*NODE, "level"), "u", {"level": "lu"})
-    work = _lookup(work, levels.select(*NODE, "level"), "v", {"level": "lv"})
-    swap = F.col("lu") < F.col("lv")
-    work = work.select(
-        "tree_id", "pair_id",
-        F.col("u").alias("u0"), F.col("v").alias("v0"),
-        F.when(swap, F.col("v")).otherwise(F.col("u")).alias("u"),
-        F.when(swap, F.col("u")).otherwise(F.col("v")).alias("v"),
-        F.abs(F.col("lu") - F.col("lv")).alias("gap"),
+    # a node comes one after its parent and what is below the siblings before it
+    moved = placed.withColumn("step", F.col("earlier") + 1).unionByName(
+        own.where("parent_id is null").withColumn("earlier", F.lit(0).cast("bigint")).withColumn("step", F.lit(0).cast("bigint"))
     )
-    for j, step in enumerate(steps):
-        lift_it = F.shiftright("gap", j).bitwiseAND(F.lit(1)) == 1
-        work = _lookup(work, step, "u", {"up": "up_u"}).withColumn(
-            "u", F.when(lift_it, F.col("up_u")).otherwise(F.col("u"))
-        ).drop("up_u")
-    work = materialize(work)
-    for step in reversed(steps):
-        work = _lookup(_lookup(work, step, "u", {"up": "up_u"}), step, "v", {"up": "up_v"})
-        # a null step leaves the tree; two equal steps are a common ancestor
-        apart = F.col("up_u") != F.col("up_v")
-        work = work.select(
-            "tree_id", "pair_id", "u0", "v0", "gap",
-            F.when(apart, F.col("up_u")).otherwise(F.col("u")).alias("u"),
-            F.when(apart, F.col("up_v")).otherwise(F.col("v")).alias("v"),
-        )
-    if steps:
-        work = _lookup(work, steps[0], "u", {"up": "parent"})
-    else:
-        work = work.withColumn("parent", F.lit(None).cast("bigint"))
-    met = (
-        F.when(F.col("gap").isNull(), F.lit(None))
-        .when(F.col("u") == F.col("v"), F.col("u"))
-        .otherwise(F.col("parent"))
+    stepped = moved.select(
+        *NODE, "parent_id", F.col("step").cast("double").alias("branch_length"), "is_tip", "size",
+        F.col("dist").alias("depth"), (F.col("earlier") == 0).alias("is_first"),
     )
-    work = work.select(
-        "tree_id", "pair_id", F.col("u0").alias("u"), F.col("v0").alias("v"), met.alias("mrca")
+    walked = lift(stepped, carry=("parent_id", "is_tip", "size", "depth", "is_first")).final
+    return walked.select(
+        *NODE, "parent_id", "is_tip", "is_first", F.col("dist").cast("bigint").alias("entry"), "size",
+        (F.col("hops") - 1).alias("level"), "depth",
     )
-    heights = levels.where("is_tip").groupBy("tree_id").agg(F.max("depth").alias("height"))
-    placed = _lookup(work, levels.select(*NODE, "depth"), "mrca", {"depth": "mrca_depth"})
-    return placed.join(heights, "tree_id", "left").select(
+
+
+def is_above(upper: str, lower: str) -> Column:
+    """Whether the node with the columns ``<upper>_entry`` and ``<upper>_size`` is the one
+    with ``<lower>_entry`` or an ancestor of it."""
+    low, at = F.col(f"{upper}_entry"), F.col(f"{lower}_entry")
+    return (at >= low) & (at < low + F.col(f"{upper}_size"))
+
+
+def with_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Node pairs ``tree_id, u, v`` with the interval of both, null for an unknown node."""
+    out = pairs
+    for node in ("u", "v"):
+        out = _lookup(out, labels.select(*NODE, "entry", "size"), node, {"entry": f"{node}_entry", "size": f"{node}_size"})
+    return out
+
+
+def ancestor_pairs(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Node pairs with ``u_above`` and ``v_above``: whether one is an ancestor of the other
+    (of itself, too), by interval labels; null for an unknown node."""
+    found = with_labels(pairs, interval_labels(edges))
+    return found.select(*pairs.columns, is_above("u", "v").alias("u_above"), is_above("v", "u").alias("v_above"))
+
+
+def _range_minimum(values: DataFrame, longest: int) -> list[DataFrame]:
+    """Blocks of ``values`` (``tree_id, pos, value``, positions from 0 without gaps) as
+    ``tree_id, block, held``, then blocks of the blocks' minima, up to one block a tree."""
+    out = []
+    while True:
+        held = F.sort_array(F.collect_list(F.struct("pos", "value")))
+        blocks = materialize(
+            values.groupBy("tree_id", F.floor(F.col("pos") / BLOCK).alias("block"))
+            .agg(F.transform(held, lambda x: x["value"]).alias("held"))
+        )
+        out.append(blocks)
+        longest = -(-longest // BLOCK)
+        if longest <= 1:
+            return out
+        values = blocks.select("tree_id", F.col("block").alias("pos"), F.array_min("held").alias("value"))
+
+
+def _minimum_between(ranges: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """``best``: the smallest value of each range ``low`` to ``high`` of positions; at every
+    level a range takes from its two outer blocks and goes on with the blocks between."""
+    kept = [c for c in ranges.columns if c not in ("low", "high")]
+    work = ranges.withColumn("best", F.lit(None).cast(dict(levels[0].dtypes)["held"][6:-1]))
+    for number, blocks in enumerate(levels):
+        first, last = F.floor(F.col("low") / BLOCK), F.floor(F.col("high") / BLOCK)
+        work = work.withColumn("first", F.when(F.col("low") <= F.col("high"), first))
+        work = work.withColumn("last", F.when((F.col("low") <= F.col("high")) & (last > first), last))
+        inner = F.when(F.col("last").isNull(), F.col("high") - F.col("low") + 1).otherwise(F.lit(BLOCK)).cast("int")
+        from_first = F.array_min(F.slice("held", (F.col("low") % BLOCK + 1).cast("int"), inner))
+        from_last = F.array_min(F.slice("held", F.lit(1), (F.col("high") % BLOCK + 1).cast("int")))
+        for key, found in (("first", from_first), ("last", from_last)):
+            side = blocks.withColumnRenamed("block", key)
+            work = work.join(side, ["tree_id", key], "left").withColumn("best", F.least("best", found)).drop("held")
+        work = work.select(
+            *kept, "best", (F.col("first") + 1).alias("low"), (F.coalesce("last", "first") - 1).alias("high")
+        )
+        if number + 1 < len(levels):
+            work = materialize(work)
+    return work.drop("low", "high")
+
+
+def mrca(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Most recent common ancestor of node pairs ``(tree_id, pair_id, u, v)``.
+
+    In trees of at most ``SHALLOW`` levels it is the last node that the paths of both to
+    the root have in common.  In deeper ones, of the nodes entered after ``u`` up to
+    ``v``, the one with the highest parent is a child of the common ancestor: a minimum
+    over a range of entry numbers, answered from blocks of ``BLOCK`` nodes, blocks of
+    blocks, and so on.  No pair walks up a tree and none meets the root.  Adds ``mrca``
+    (node id), ``mrca_depth`` and ``age`` (height of the tree minus that depth); all null
+    when a node is unknown.
+    """
+    paths = root_paths(edges)
+    met, heights = _met_by_entry(edges, pairs) if paths is None else _met_by_path(edges, paths, pairs)
+    return met.join(heights, "tree_id", "left").select(
         "tree_id", "pair_id", "u", "v", "mrca", "mrca_depth",
         (F.col("height") - F.col("mrca_depth")).alias("age"),
     )
 
 
-def _step(state: DataFrame) -> DataFrame:
-    return state.where("anc is not null").select(*NODE, F.col("anc").alias("up"))
+def _depth(path: Column) -> Column:
+    # from the node up, as sums along pointers go
+    return F.aggregate(F.reverse(path), F.lit(0.0), lambda total, x: total + x["length"])
+
+
+def _met_by_path(edges: DataFrame, paths: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    tips = edges.where("is_tip").select(*NODE)
+    heights = paths.join(tips, NODE, "left_semi").groupBy("tree_id").agg(F.max(_depth(F.col("path"))).alias("height"))
+    found = pairs.select("tree_id", "pair_id", "u", "v")
+    for node in ("u", "v"):
+        found = _lookup(found, paths, node, {"path": f"{node}_path"})
+    both = F.zip_with("u_path", "v_path", lambda x, y: F.coalesce(x["node"] == y["node"], F.lit(False)))
+    # nodes of two paths are equal up to the last common one
+    shared = F.size(F.filter(both, lambda same: same))
+    known = F.col("u_path").isNotNull() & F.col("v_path").isNotNull()
+    common = F.when(known, F.slice("u_path", F.lit(1), shared))
+    return found.withColumn("common", common).select(
+        "tree_id", "pair_id", "u", "v", F.element_at("common", -1)["node"].alias("mrca"),
+        F.when(F.col("common").isNotNull(), _depth(F.col("common"))).alias("mrca_depth"),
+    ), heights
+
+
+def _met_by_entry(edges: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    labels = materialize(interval_labels(edges))
+    n = labels.count()
+    parents = labels.select("tree_id", F.col("node_id").alias("parent_id"), F.col("depth").alias("parent_depth"))
+    inner = labels.where("parent_id is not null")
+    above = join_skewed(inner, parents, ["tree_id", "parent_id"], n).select(
+        "tree_id", F.col("entry").alias("pos"),
+        F.struct((F.col("level") - 1).alias("level"), F.col("parent_id").alias("node"), F.col("parent_depth").alias("depth")).alias("value"),
+    )
+    # the root, at position 0, is in no range
+    blank = F.struct(F.lit(2**62).alias("level"), F.lit(None).cast("bigint").alias("node"), F.lit(None).cast("double").alias("depth"))
+    roots = labels.where("parent_id is null").select("tree_id", F.col("entry").alias("pos"), blank.alias("value"))
+    longest = labels.agg(F.max("size")).first()[0] or 1
+    levels = _range_minimum(above.unionByName(roots), longest)
+
+    heights = labels.where("is_tip").groupBy("tree_id").agg(F.max("depth").alias("height"))
+    found = pairs.select("tree_id", "pair_id", "u", "v")
+    for node in ("u", "v"):
+        found = _lookup(found, labels.select(*NODE, "entry", "depth"), node, {"entry": f"{node}_at", "depth": f"{node}_depth"})
+    ranges = found.withColumn("low", F.least("u_at", "v_at") + 1).withColumn("high", F.greatest("u_at", "v_at"))
+    ranges = ranges.withColumn("known", F.col("u_at").isNotNull() & F.col("v_at").isNotNull())
+    ranges = ranges.withColumn("high", F.when(F.col("known"), F.col("high")))
+    met = _minimum_between(materialize(ranges), levels)
+    same = F.col("u") == F.col("v")
+    met = met.withColumn("mrca", F.when(F.col("known"), F.when(same, F.col("u")).otherwise(F.col("best.node"))))
+    met = met.withColumn("mrca_depth", F.when(F.col("known"), F.when(same, F.col("u_depth")).otherwise(F.col("best.depth"))))
+    return met.select("tree_id", "pair_id", "u", "v", "mrca", "mrca_depth"), heights
 
 
 def _lookup(df: DataFrame, table: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:

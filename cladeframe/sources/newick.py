@@ -1,104 +1,124 @@
-"""Newick text to edge rows and back."""
+"""Newick text to edge rows and back, in DataFrame operations.
 
-from __future__ import annotations
+Reading is a balanced-bracket scan: texts become token rows, the depth of a token is a
+prefix sum over brackets, and the node that a token belongs to is the last one opened
+at its depth.  A text is one cell, so its tokens stay in one partition: all windows and
+groups of a tree are worked where it is, with sorts that spill.  Writing gives every node a
+place before and a place after its clade and puts the places in the order of a walk: by
+the paths to the root, or by entry numbers where trees are deep.
+"""
 
-import re
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.trees import NODE, lift
-from ..runtime import materialize
-from ..schemas import TREE_EDGES
+from ..operators.trees import NODE, interval_labels, root_paths
 
 #: Every character belongs to a token; a lone bracket or quote is one that never closes.
-_TOKEN = re.compile(r"\s+|\[[^\]]*\]|'(?:[^']|'')*'|[(),:;]|[^\s(),:;\[\]']+|[\[\]']")
-_NUMBER = re.compile(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", re.ASCII)
-
-
-#: Levels of a tree written in one plan.
-CUT_EVERY = 4
-
-
-def parse_newick(text: str) -> list[tuple]:
-    """Nodes ``(node_id, parent_id, label, branch_length, is_tip, child_ord)`` of
-    one tree that ends in ``;``, numbered in the order they open; raises ``ValueError``."""
-    nodes = [[0, None, None, None, True, 0]]
-    fanout = [0]
-    current, expects_length, ended = 0, False, False
-
-    def child_of(parent: int) -> int:
-        nodes[parent][4] = False
-        nodes.append([len(nodes), parent, None, None, True, fanout[parent]])
-        fanout[parent] += 1
-        fanout.append(0)
-        return len(nodes) - 1
-
-    for token in _TOKEN.findall(text):
-        if token in ("[", "]", "'"):
-            raise ValueError(f"unclosed {token!r}")
-        if token[0] == "[" or token.isspace():
-            continue
-        if ended:
-            raise ValueError(f"text after the end of the tree: {token!r}")
-        if expects_length and token in "(),:;":
-            raise ValueError("missing branch length")
-        if token == "(":
-            if fanout[current] or nodes[current][2] is not None:
-                raise ValueError("unexpected '('")
-            current = child_of(current)
-        elif token in ",)":
-            parent = nodes[current][1]
-            if parent is None:
-                raise ValueError(f"unbalanced {token!r}")
-            current = child_of(parent) if token == "," else parent
-        elif token == ":":
-            if nodes[current][3] is not None:
-                raise ValueError("second branch length")
-            expects_length = True
-        elif token == ";":
-            ended = True
-        elif expects_length:
-            if not _NUMBER.fullmatch(token):
-                raise ValueError(f"no branch length: {token!r}")
-            nodes[current][3] = float(token)
-            expects_length = False
-        elif nodes[current][2] is None and nodes[current][3] is None:
-            quoted = token[0] == "'"
-            nodes[current][2] = token[1:-1].replace("''", "'") if quoted else token
-        else:
-            raise ValueError(f"unexpected {token!r}")
-    if current != 0:
-        raise ValueError("unbalanced '('")
-    if len(nodes) == 1 and nodes[0][2] is None:
-        raise ValueError("empty tree")
-    if not ended:
-        raise ValueError("no ';' at the end")
-    return [tuple(n) for n in nodes]
+TOKEN = r"\s+|\[[^\]]*\]|'(?:[^']|'')*'|[(),:;]|[^\s(),:;\[\]']+|[\[\]']"
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
+def _tokens(df: DataFrame, tree_id: str, newick: str) -> DataFrame:
+    """``tree, tree_id, at, token, before, before2, after`` of the tokens that count, after
+    an empty one at -1 that stands for the root; ``tree`` tells rows with equal ids apart.
+    All rows of a tree are in one partition from here on."""
+    rows = df.select(F.col(tree_id).cast("string").alias("tree_id"), F.col(newick).alias("newick"))
+    rows = rows.withColumn("tree", F.monotonically_increasing_id()).repartition("tree")
+    found = F.regexp_extract_all(F.coalesce("newick", F.lit("")), F.lit(TOKEN), F.lit(0))
+    counted = F.filter(found, lambda t: ~t.rlike(r"^(\s|\[.)"))
+    rows = rows.select("tree", "tree_id", F.concat(F.array(F.lit("")), counted).alias("tokens"))
+    each = rows.select("tree", "tree_id", "tokens", F.posexplode("tokens").alias("place", "token"))
+    return each.select(
+        "tree", "tree_id", (F.col("place") - 1).cast("bigint").alias("at"), "token",
+        F.get("tokens", F.col("place") - 1).alias("before"), F.get("tokens", F.col("place") - 2).alias("before2"),
+        F.get("tokens", F.col("place") + 1).alias("after"),
+    )
+
+
+def _problem() -> Column:
+    """What is wrong with a token, by itself, the tokens around it, and the depth."""
+    token, before, outer = F.col("token"), F.col("before"), F.col("depth") - F.col("turn")
+    structural = token.isin(*"(),:;")
+    is_last = F.col("after").isNull()
+    after_length = (F.col("before2") == ":") & ~before.isin(*"(),:;")
+    opens = before.isin("", "(", ",")
+    alone = (F.col("at") == 0) | ((F.col("at") == 2) & (F.col("before2") == ":"))
+    return (
+        F.when((token == "") & is_last, F.lit("empty tree"))
+        .when(token == "", F.lit(None))
+        .when(token.isin("[", "]", "'"), F.concat(F.lit("unclosed '"), token, F.lit("'")))
+        .when(before == ";", F.concat(F.lit("text after the end of the tree: '"), token, F.lit("'")))
+        .when((before == ":") & structural, F.lit("missing branch length"))
+        .when((before == ":") & ~token.rlike(NUMBER), F.concat(F.lit("no branch length: '"), token, F.lit("'")))
+        .when((token == "(") & ~opens, F.lit("unexpected '('"))
+        .when(token.isin(",", ")") & (outer < 1), F.concat(F.lit("unbalanced '"), token, F.lit("'")))
+        .when((token == ":") & after_length, F.lit("second branch length"))
+        .when((token == ";") & (outer > 0), F.lit("unbalanced '('"))
+        .when(
+            ~structural & (before != ":") & ~opens & (before != ")"),
+            F.concat(F.lit("unexpected '"), token, F.lit("'")),
+        )
+        .when(is_last & (token != ";") & (F.col("depth") > 0), F.lit("unbalanced '('"))
+        .when((token == ";") & alone, F.lit("empty tree"))
+        .when(is_last & (token != ";"), F.lit("no ';' at the end"))
+    )
 
 
 def newick_to_edges(df: DataFrame, tree_id="tree_id", newick="newick") -> DataFrame:
-    """One row per node of every tree, with an ``error`` column: a tree that
-    cannot be read gives one row that holds only its id and the error."""
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["tree_id", "node_id", "parent_id", "label", "branch_length",
-                   "is_tip", "child_ord", "error"]
-        kinds = {"node_id": "Int64", "parent_id": "Int64", "child_ord": "Int32",
-                 "is_tip": "boolean", "branch_length": "Float64"}
-        for batch in batches:
-            out = []
-            for key, text in zip(batch["tree_id"], batch["newick"]):
-                try:
-                    out.extend((key, *node, None) for node in parse_newick(text or ""))
-                except ValueError as problem:
-                    out.append((key, None, None, None, None, None, None, str(problem)))
-            yield pd.DataFrame(out, columns=columns).astype(kinds)
-
-    trees = df.select(F.col(tree_id).cast("string").alias("tree_id"), F.col(newick).alias("newick"))
-    return trees.mapInPandas(rows, TREE_EDGES + ", error string")
+    """One row per node of every tree that ends in ``;``, numbered in the order they open,
+    with an ``error`` column: a tree that cannot be read gives one row that holds only its
+    id and the error, the first one in its text."""
+    token, text = F.col("token"), Window.partitionBy("tree")
+    along = text.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    turn = F.when(token == "(", 1).when(token == ")", -1).otherwise(0)
+    opens = token.isin("(", ",", "")
+    scanned = _tokens(df, tree_id, newick).withColumn("turn", turn)
+    scanned = scanned.withColumns({"depth": F.sum("turn").over(along), "node_id": F.sum(opens.cast("bigint")).over(along) - 1})
+    problem = F.struct("at", _problem().alias("text"))
+    first = F.min(F.when(_problem().isNotNull(), problem)).over(text)
+    scanned = scanned.withColumn("error", first["text"]).where("error is null or at = -1")
+
+    # what a token asks at a depth, or offers there.  A node that opens is offered to all
+    # that come at its depth, and asks one depth further out for its parent; a label or a
+    # length asks for its node
+    good = F.col("error").isNull()
+    blank, nothing = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    inner = F.col("after") == "("
+
+    def role(level: Column, offers: Column, asks: Column, value: Column) -> Column:
+        return F.struct(level.cast("int").alias("level"), offers.alias("offers"), asks.alias("asks"), value.alias("value"))
+
+    node = role(F.col("depth"), F.col("node_id"), blank, nothing)
+    parent = role(F.col("depth") - 1, blank, F.col("node_id"), F.when(inner, F.lit("(")).otherwise(F.lit("")))
+    tells = role(F.col("depth"), blank, blank, token)
+    roles = F.when(~good, F.array(parent)).when(opens, F.array(node, parent)).when(
+        ~token.isin(*"(),:;"), F.array(tells)
+    )
+    is_length = F.coalesce(F.col("before") == ":", F.lit(False)).alias("is_length")
+    placed = scanned.select("tree", "tree_id", "error", "at", is_length, F.inline(roles))
+    # an offer counts for what comes after it
+    at_level = Window.partitionBy("tree", "level").orderBy("at", F.col("offers").isNotNull())
+    owner = F.max("offers").over(at_level.rowsBetween(Window.unboundedPreceding, 0))
+    answered = placed.withColumn("owner", owner).where("offers is null")
+    asked, value = F.col("asks").isNotNull(), F.col("value")
+    quoted = F.replace(F.expr("substring(value, 2, length(value) - 2)"), F.lit("''"), F.lit("'"))
+    label = F.when(value.startswith("'"), quoted).otherwise(value)
+    nodes = answered.groupBy("tree", F.coalesce("asks", "owner").alias("node_id")).agg(
+        F.first("tree_id").alias("tree_id"), F.max("error").alias("error"),
+        F.max(F.when(asked, F.col("owner"))).alias("parent_id"),
+        F.max(F.when(~asked & ~F.col("is_length"), label)).alias("label"),
+        F.max(F.when(~asked & F.col("is_length"), value.try_cast("double"))).alias("branch_length"),
+        F.max(F.when(asked, value)).alias("inner"),
+    )
+    siblings = Window.partitionBy("tree", "parent_id").orderBy("node_id")
+    fine = F.col("error").isNull()
+    rank = F.when(F.col("parent_id").isNull(), 0).otherwise(F.row_number().over(siblings) - 1)
+    return nodes.withColumn("rank", rank).select(
+        "tree_id", F.when(fine, F.col("node_id")).alias("node_id"), "parent_id", "label", "branch_length",
+        F.when(fine, F.col("inner") == "").alias("is_tip"), F.when(fine, F.col("rank")).cast("int").alias("child_ord"), "error",
+    )
 
 
 def read_newick(spark: SparkSession, path) -> DataFrame:
@@ -128,8 +148,9 @@ def edges_to_newick(
     """``tree_id, newick`` with ``value_col`` in the length slot, children in
     ``child_ord`` order and no root edge.
 
-    Built level by level from the deepest nodes up, for all trees together: a
-    step joins the texts of the children of one node, never a whole tree.
+    A node opens before its clade and closes, with its label and length, after it.  In the
+    order of a walk these places are the text of the tree, however deep it is; brackets
+    and commas follow from what stands next to each other.
     """
     label = F.col("label") if internal_labels else F.when(F.col("is_tip"), F.col("label"))
     value = F.col(value_col).cast("double")
@@ -137,24 +158,51 @@ def edges_to_newick(
         F.col("parent_id").isNotNull() & value.isNotNull(),
         F.concat(F.lit(":"), format_length(value)),
     ).otherwise(F.lit(""))
-    tailed = edges.withColumn("tail", F.concat(F.coalesce(_quoted(label), F.lit("")), suffix))
-    nodes = lift(tailed, carry=("parent_id", "child_ord", "tail")).final
-    deepest = nodes.agg(F.max("hops")).first()[0] or 1
-    below = None
-    for hops in range(deepest, 0, -1):
-        text = nodes.where(F.col("hops") == hops).withColumn("text", F.col("tail"))
-        if below is not None:
-            inner = below.groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(
-                F.array_sort(F.collect_list(F.struct("child_ord", "text"))).alias("parts")
-            ).select(*NODE, F.array_join(F.col("parts.text"), ",").alias("inner"))
-            opened = F.concat(F.lit("("), F.col("inner"), F.lit(")"))
-            text = text.join(inner, NODE, "left").withColumn(
-                "text", F.concat(F.coalesce(opened, F.lit("")), F.col("tail"))
-            )
-        below = text.select("tree_id", "parent_id", "child_ord", "text")
-        if (deepest - hops) % CUT_EVERY == CUT_EVERY - 1:
-            below = materialize(below)
-    return below.select("tree_id", F.concat("text", F.lit(";")).alias("newick"))
+    tailed = edges.select(*NODE, F.concat(F.coalesce(_quoted(label), F.lit("")), suffix).alias("tail"))
+    paths = root_paths(edges)
+    parts = _by_path(paths, tailed) if paths is not None else _by_entry(interval_labels(edges), tailed)
+    held = F.sort_array(F.collect_list(F.struct("place", "side", "tail")))
+
+    def told(part: Column, i: Column) -> Column:
+        """A node that opens after one that closed is its sibling, a node that opens before
+        another opens has children, and one that closes after another closed had some."""
+        before, after = F.get("held", i - 1)["side"], F.get("held", i + 1)["side"]
+        return (
+            F.when((part["side"] == 0) & (before == 1) & (after == 0), F.lit(",("))
+            .when((part["side"] == 0) & (before == 1), F.lit(","))
+            .when((part["side"] == 0) & (after == 0), F.lit("("))
+            .when(part["side"] == 0, F.lit(""))
+            .when(before == 1, F.concat(F.lit(")"), part["tail"]))
+            .otherwise(part["tail"])
+        )
+
+    texts = parts.groupBy("tree_id").agg(held.alias("held"))
+    return texts.select("tree_id", F.concat(F.array_join(F.transform("held", told), ""), F.lit(";")).alias("newick"))
+
+
+def _by_path(paths: DataFrame, tailed: DataFrame) -> DataFrame:
+    """Both places of every node in the order of a walk: the ranks and numbers on its path,
+    and the same with what comes after all below it."""
+    step = F.transform("path", lambda x: F.struct(x["ord"].cast("long").alias("ord"), x["node"].alias("node")))
+    last = F.array(F.struct(F.lit(2**62).alias("ord"), F.lit(0).cast("bigint").alias("node")))
+    sides = F.array(
+        F.struct(step.alias("place"), F.lit(0).alias("side"), F.lit("").alias("tail")),
+        F.struct(F.concat(step, last).alias("place"), F.lit(1).alias("side"), F.col("tail").alias("tail")),
+    )
+    return paths.join(tailed, NODE).select("tree_id", F.inline(sides))
+
+
+def _by_entry(labels: DataFrame, tailed: DataFrame) -> DataFrame:
+    """The same for trees of any depth, by entry numbers: a node closes with the last node
+    of its clade, the deepest first."""
+    place = lambda at, side, up: F.struct(at.alias("at"), side.alias("side"), up.alias("up"))
+    none = F.lit(0).cast("bigint")
+    closes = F.col("entry") + F.col("size") - 1
+    sides = F.array(
+        F.struct(place(F.col("entry"), F.lit(0), none).alias("place"), F.lit(0).alias("side"), F.lit("").alias("tail")),
+        F.struct(place(closes, F.lit(1), -F.col("level")).alias("place"), F.lit(1).alias("side"), F.col("tail").alias("tail")),
+    )
+    return labels.join(tailed, NODE).select("tree_id", F.inline(sides))
 
 
 def write_newick(trees: DataFrame, path: str, mode: str = "errorifexists") -> None:

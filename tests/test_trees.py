@@ -8,8 +8,12 @@ from cladeframe.operators import checks as V
 from cladeframe.operators import trees as T
 from cladeframe.sources import newick as N
 
-ADDITIVE = "(ibis:0.31,(teal:0.14,wren:0.220)0.77:0.06)0.9:0.0;"
-DATED = "(ibis:60,(teal:25,wren:25):35);"
+#: Six leaves on two sides, with numbers, a quoted number and a name as inner labels.
+BIRDS = "(((asp:.5,boa:1.250)rank:2,moa:0.75)17:1,(emu:3e-1,(rhea:.2,kiwi:.45)'8 8':1.5):.25);"
+BIRD_DEPTHS = {"asp": 3.5, "boa": 4.25, "moa": 1.75, "emu": 0.55, "rhea": 1.95, "kiwi": 2.2}
+#: Seven leaves, each 30 below the root.
+DATED = "((owl:12,(kite:5,hawk:5):7):18,((eel:3,(ray:2,cod:2):1):9,(newt:8,toad:8):4):18);"
+DATED_LEAVES = ["cod", "eel", "hawk", "kite", "newt", "owl", "ray", "toad"]
 
 
 def codes(report):
@@ -17,16 +21,29 @@ def codes(report):
 
 
 def test_parse_and_write(trees, rows):
-    e = trees(a=ADDITIVE, b=DATED, q="('it''s x':1,b_c[note]:2e-1)r;")
+    e = trees(a=BIRDS, b=DATED, q="('it''s x':1,b_c[note]:2e-1)r;")
     assert e.where("error is not null").count() == 0
     text = dict(rows(N.edges_to_newick(e)))
     assert text["b"] == DATED
-    assert text["a"] == "(ibis:0.31,(teal:0.14,wren:0.22):0.06);"
+    assert text["a"] == "(((asp:0.5,boa:1.25):2,moa:0.75):1,(emu:0.3,(rhea:0.2,kiwi:0.45):1.5):0.25);"
     labelled = dict(rows(N.edges_to_newick(e, internal_labels=True)))
-    assert labelled["a"] == "(ibis:0.31,(teal:0.14,wren:0.22)0.77:0.06)0.9;"
+    assert labelled["a"] == "(((asp:0.5,boa:1.25)rank:2,moa:0.75)17:1,(emu:0.3,(rhea:0.2,kiwi:0.45)'8 8':1.5):0.25);"
     assert labelled["q"].startswith("('it''s x':1,")
 
 
+@pytest.mark.parametrize("shallow", [64, 1])
+def test_texts_of_many_shapes(trees, rows, monkeypatch, shallow):
+    """What is read is what was written, by paths and by entry numbers."""
+    monkeypatch.setattr(T, "SHALLOW", shallow)
+    rng = random.Random(6)
+    texts = {f"r{i}": random_tree(rng.randint(2, 25), rng, i % 2 == 0) for i in range(8)}
+    texts |= {"one": "x;", "unary": "((((a:1)));", "inner": "((a,b)c,(d)e)f;", "star": "(" + ",".join(f"s{i}" for i in range(30)) + ");"}
+    texts["unary"] = "((((a:1))));"
+    e = trees(**texts)
+    assert e.where("error is not null").count() == 0
+    assert dict(rows(N.edges_to_newick(e, internal_labels=True))) == texts
+
+
 @pytest.mark.parametrize("text", [
     "(p,(q,r);", "(p,q)),r;", "(p:,q);", "(p:long,q);", "", ";", "(p q);", "(p,q);r", "([p,q);", "('p,q);",
     "(p]x,q);", "(p,q)", "(p,q)[unclosed;", "(p:nan,q:1);", "(p:1_0,q:1);", "(p:1:2,q);", "(p,q:1 r);",
@@ -45,25 +62,24 @@ def test_shape(trees):
 
 
 def test_ultrametric(trees):
-    e = trees(a=ADDITIVE, b=DATED, near="(p:60.01,(q:25,r:25):35);", far="(p:90,(q:25,r:25):35);")
+    e = trees(a=BIRDS, b=DATED, near="((p:1,q:1):2,(r:.5,s:.503):2.5);", far="((p:1,q:1):2,(r:.5,s:30.5):2.5);")
     got = {r["tree_id"]: r for r in T.is_ultrametric(e).collect()}
     assert {k: r["is_ultrametric"] for k, r in got.items()} == {"a": False, "b": True, "near": True, "far": False}
     assert got["b"]["deviation"] == 0.0 and got["far"]["deviation"] == 30.0
     depths = {r["label"]: r["depth"] for r in T.tip_depths(e.where("tree_id = 'a'")).collect()}
-    assert depths == pytest.approx({"ibis": 0.31, "teal": 0.2, "wren": 0.28})
+    assert depths == pytest.approx(BIRD_DEPTHS)
     rooted = trees(r="(p:3,q:3):8;")
     assert {r["depth"] for r in T.tip_depths(rooted).collect()} == {11.0}
 
 
 def test_tips_and_support(trees, table, rows):
-    e = trees(t="(newt:60,(teal:25,wren:25):35);")
-    species = table([("teal",), ("wren",), ("ibis",)], "species string")
-    assert rows(V.tip_species_diff(e, species), "name", "side") == [
-        ("ibis", "only_in_list"), ("newt", "only_in_tree")]
-    stripped = T.strip_support(trees(a=ADDITIVE))
-    assert {r["label"] for r in stripped.collect()} == {None, "ibis", "teal", "wren"}
-    sides = {r["low_tip"] for r in T.root_spanning_taxa(trees(b=DATED)).collect()}
-    assert sides == {"ibis", "teal"}
+    species = table([(x,) for x in ("asp", "boa", "gull", "rhea", "emu", "tern")], "species string")
+    assert rows(V.tip_species_diff(trees(t=BIRDS), species), "name", "side") == [
+        ("gull", "only_in_list"), ("kiwi", "only_in_tree"), ("moa", "only_in_tree"), ("tern", "only_in_list")]
+    stripped = T.strip_support(trees(a=BIRDS))
+    assert {r["label"] for r in stripped.collect()} == {None, *BIRD_DEPTHS}
+    sides = rows(T.root_spanning_taxa(trees(a=BIRDS, b=DATED)), "tree_id", "low_tip")
+    assert sides == [("a", "asp"), ("a", "emu"), ("b", "cod"), ("b", "hawk")]
 
 
 def test_tips_are_compared_tree_by_tree(trees, table, rows, monkeypatch):
@@ -107,8 +123,9 @@ def chains(rows_):
     return out
 
 
-@pytest.mark.parametrize("ladder", [False, True])
-def test_ancestors_mrca_and_pruning_against_walking(trees, spark, ladder, monkeypatch):
+@pytest.mark.parametrize("ladder, shallow", [(False, 64), (True, 64), (False, 3)])
+def test_ancestors_mrca_and_pruning_against_walking(trees, spark, ladder, shallow, monkeypatch):
+    monkeypatch.setattr(T, "SHALLOW", shallow)
     # the hot-key path of the joins, for a tree far below its threshold
     monkeypatch.setattr(runtime, "HOT_ROWS", 4)
     monkeypatch.setattr(runtime, "HOT_SHARE", 20)
@@ -124,6 +141,15 @@ def test_ancestors_mrca_and_pruning_against_walking(trees, spark, ladder, monkey
     met = {r["pair_id"]: r["mrca"] for r in T.mrca(e, df).collect()}
     assert met == {i: next(a for a in path[u] if a in path[v]) for i, u, v in pairs}
 
+    below = {n: {m for m, p in path.items() if n in p} for n in path}
+    labels = {r["node_id"]: r for r in T.interval_labels(e).collect()}
+    for n, r in labels.items():
+        inside = {m for m, x in labels.items() if r["entry"] <= x["entry"] < r["entry"] + r["size"]}
+        assert inside == below[n] and r["level"] == len(path[n]) - 1
+        assert r["depth"] == pytest.approx(sum(length[x] for x in path[n]))
+    above = {r["pair_id"]: (r["u_above"], r["v_above"]) for r in T.ancestor_pairs(e, df).collect()}
+    assert above == {i: (u in path[v], v in path[u]) for i, u, v in pairs}
+
     tips = [r for r in nodes if r["is_tip"]]
     wanted = [r for r in tips if rng.random() < 0.3] or tips[:2]
     keep = spark.createDataFrame([("t", r["label"]) for r in wanted], "tree_id string, label string")
@@ -145,6 +171,34 @@ def test_ancestors_mrca_and_pruning_against_walking(trees, spark, ladder, monkey
         T.prune(e, keep, "other")
 
 
+def test_mrca_over_many_blocks(trees, spark, monkeypatch):
+    """Three levels of blocks; several trees; unknown nodes; a node with itself."""
+    monkeypatch.setattr(T, "BLOCK", 4)
+    monkeypatch.setattr(T, "SIBLINGS", 3)
+    monkeypatch.setattr(T, "SHALLOW", 1)
+    rng = random.Random(9)
+    star = "(" + ",".join(f"t{i}:{i + 1}" for i in range(30)) + "):2;"
+    texts = {"a": random_tree(30, rng), "b": random_tree(25, rng, True), "star": star, "leaf": "x;"}
+    e = trees(**texts).drop("error").cache()
+    nodes = e.collect()
+    expected, pairs = {}, []
+    for tree in texts:
+        path = chains([r for r in nodes if r["tree_id"] == tree])
+        for u in [*path, None, 999]:
+            for v in rng.sample([*path, 999], min(4, len(path) + 1)):
+                key = len(pairs)
+                pairs.append((tree, key, u, v))
+                known = u in path and v in path
+                expected[key] = next(a for a in path[u] if a in path[v]) if known else None
+    df = spark.createDataFrame(pairs, "tree_id string, pair_id int, u long, v long")
+    got = T.mrca(e, df).collect()
+    assert {r["pair_id"]: r["mrca"] for r in got} == expected
+    assert all((r["mrca"] is None) == (r["mrca_depth"] is None) for r in got)
+    entries = sorted((r["tree_id"], r["entry"]) for r in T.interval_labels(e).collect())
+    sizes = {tree: sum(r["tree_id"] == tree for r in nodes) for tree in texts}
+    assert entries == sorted((tree, i) for tree, n in sizes.items() for i in range(n))
+
+
 def test_topology(trees, rows):
     a = trees(x="(r:2,(p:7,q:7):1);", y="(r,(p,q));", z="(r,(p,q));")
     b = trees(x="((q:3,p:3):3,r:8);", y="(p,(r,q));", z="(s,(p,q));")
@@ -152,40 +206,54 @@ def test_topology(trees, rows):
 
 
 def test_calibrations_against_tree(trees, table, rows):
+    from cladeframe.functions.specs import parse_calibrations
+
     e = trees(t=DATED)
     cals = table(
-        [("t", "tw", "teal", "wren", 25.0, None, None), ("t", "root", "teal", "ibis", None, 70.0, 85.0),
-         ("t", "wide", "wren", "ibis", None, 55.0, None), ("t", "odd", "teal", "newt", 3.0, None, None)],
+        [("t", "raptors", "hawk", "kite", 5.0, None, None), ("t", "birds", "kite", "owl", 11.0, None, None),
+         ("t", "root", "owl", "toad", None, 40.0, 45.0), ("t", "water", "cod", "newt", None, 10.0, None),
+         ("t", "fish", "eel", "ray", None, None, 2.5), ("t", "odd", "eel", "gull", 3.0, None, None)],
         "tree_id string, name string, sp1 string, sp2 string, age double, min_age double, max_age double")
     got = T.check_calibrations(e, cals)
     assert rows(got, "name", "tree_age", "status") == [
-        ("odd", None, "unknown taxon"), ("root", 60.0, "violated"), ("tw", 25.0, "ok"), ("wide", 60.0, "ok")]
-    from cladeframe.functions.specs import parse_calibrations
-
-    specs = table([("tw:teal,wren:60",), ("x:teal,newt:12",), ("y:teal:3",)], "spec string")
+        ("birds", 12.0, "violated"), ("fish", 3.0, "violated"), ("odd", None, "unknown taxon"),
+        ("raptors", 5.0, "ok"), ("root", 30.0, "violated"), ("water", 12.0, "ok")]
+    specs = table([("pair:ray,cod:2",), ("x:eel,gull:12",), ("y:owl:3",), ("z:tern,gull:1-2",)], "spec string")
     report = V.validate_calibrations(parse_calibrations(specs), e)
     assert rows(report, "code", "subject", "detail") == [
-        ("malformed", "y:teal:3", "not two taxa"), ("unknown_taxon", "x", "t: newt")]
-    both = trees(t=DATED, u="(newt:1,teal:1);")
+        ("malformed", "y:owl:3", "not two taxa"), ("unknown_taxon", "x", "t: gull"),
+        ("unknown_taxon", "z", "t: gull"), ("unknown_taxon", "z", "t: tern")]
+    # a calibration belongs to all trees, or to the one it names
+    both = trees(t=DATED, u="((gull:1,eel:1):1,tern:2);")
     own = parse_calibrations(specs.where("spec like 'x%'"))
-    assert rows(V.validate_calibrations(own, both), "detail") == [("t: newt",)]
+    assert rows(V.validate_calibrations(own, both), "detail") == [("t: gull",)]
     scoped = own.withColumn("tree_id", F.lit("u"))
     assert V.validate_calibrations(scoped, both).count() == 0
     none = V.validate_calibrations(parse_calibrations(specs.where("false")), e)
     assert [r["code"] for r in none.collect()] == ["root_anchor"]
 
 
+def classes(*odd):
+    """The dated tree with classes 1 to 3 by leaf name; ``odd`` are exchanged texts."""
+    text = "((owl:3,(kite:1,hawk:1):1):2,((eel:2,(ray:2,cod:2):2):2,(newt:3,toad:1):1):2);"
+    for old, new in odd:
+        text = text.replace(old, new)
+    return text
+
+
 def test_class_and_turnover_checks(trees, table, rows):
     t = trees(t=DATED)
-    good = trees(t="(ibis:2,(teal:1,wren:1):1);").withColumnRenamed("branch_length", "class")
-    assert V.validate_class_tree(good, t).count() == 0
-    half = trees(t="(ibis:2,(teal:1.25,wren:1):1);").withColumnRenamed("branch_length", "class")
-    assert rows(V.validate_class_tree(half, t), "code", "subject") == [("non_integer_class", "teal")]
-    other = trees(t="(newt:2,(teal:1,wren:1):1);").withColumnRenamed("branch_length", "class")
-    assert rows(V.validate_class_tree(other, t), "subject") == [("ibis",), ("newt",)]
-    cells = table([("f", s, "1") for s in ("ibis", "teal", "wren")], "family_id string, species string, cell string")
+
+    def report(*odd):
+        return V.validate_class_tree(trees(t=classes(*odd)).withColumnRenamed("branch_length", "class"), t)
+
+    assert report().count() == 0
+    assert rows(report(("kite:1", "kite:1.25"), ("toad:1", "toad:2.5")), "code", "subject") == [
+        ("non_integer_class", "kite"), ("non_integer_class", "toad")]
+    assert rows(report(("eel", "gull")), "subject") == [("eel",), ("gull",)]
+    cells = table([("f", s, "1") for s in DATED_LEAVES], "family_id string, species string, cell string")
     assert not V.has_errors(V.validate_turnover_inputs(cells, t))
-    assert ("a", "not_ultrametric") in codes(V.validate_turnover_inputs(cells, trees(a=ADDITIVE)))
+    assert ("a", "not_ultrametric") in codes(V.validate_turnover_inputs(cells, trees(a=BIRDS)))
 
 
 def test_star_tree_through_the_hot_path(trees, monkeypatch):
