@@ -355,6 +355,55 @@ def class_newick(t: Tables) -> DataFrame:
     return N.edges_to_newick(H.forced_classes(edges, tips, 1), "class")
 
 
+#: Rates whose likelihoods are compared.
+GRID = [0.002, 0.01, 0.05, 0.25, 1.25]
+_GRID_MSG = _cols(f"ln(((1 - exp(-{K} * rate * len)) / {K} + exp(-{K} * rate * len) * l{{s}})) as m{{s}}")
+GRID_SQL = f"""{HEAP},
+t as (select d.level, node_id, parent_id, branch_length as len, is_tip, rate, {_HOT}
+  from nodes join deep d using (node_id) cross join (values {', '.join(f'({r}::double)' for r in GRID)}) as g(rate)),
+grid as materialized (
+  with recursive f as (
+    select level, node_id, parent_id, len, rate, 0::double as scale, {_cols('l{s}')} from t
+      where is_tip and level = (select max(level) from t)
+    union all
+    select * from (
+      select any_value(t.level) as level, t.node_id, any_value(t.parent_id) as parent_id, any_value(t.len) as len, t.rate,
+        sum(c.scale) + ln({_cols('exp(sum(c.m{s}))', ' + ')}) as scale,
+        {', '.join(f"exp(sum(c.m{s})) / ({_cols('exp(sum(c.m{s}))', ' + ')}) as l{s}" for s in range(1, K + 1))}
+      from (select *, {_GRID_MSG} from f) c join t on t.node_id = c.parent_id and t.rate = c.rate group by t.node_id, t.rate
+      union all
+      select level, node_id, parent_id, len, rate, 0::double, {_cols('l{s}')} from t
+      where is_tip and level = (select max(level) - 1 from f)))
+  select rate, scale + ln(({_cols('l{s}', ' + ')}) / {K}) as log_likelihood from f where parent_id is null)"""
+
+
+@query("rate_grid", f"""with {GRID_SQL}
+select model, 'segment' as trait_id, 'heap' as tree_id, rate, round(log_likelihood, 4) as log_likelihood,
+  log_likelihood = max(log_likelihood) over () as is_best
+from grid cross join (values ('ER'), ('ARD')) as m(model)""")
+def rate_grid(t: Tables) -> DataFrame:
+    """Likelihoods of a grid of rates, in closed form and as rate matrices of free rates
+    that are all equal, and the best one."""
+    edges, tips = segment_tips(t)
+    coded = H.code_tips(tips, H.class_legend(tips))
+    states = coded.select(F.lit("segment").alias("trait_id"), "tree_id", "node_id", F.col("class").alias("state"))
+    grid = F.posexplode(F.array(*[F.lit(r) for r in GRID])).alias("cand", "rate")
+    problems = t.region.select(F.lit("segment").alias("trait_id"), F.lit("heap").alias("tree_id")).distinct()
+    cands = materialize(problems.select("trait_id", "tree_id", grid))
+    matrices = cands.withColumn("q", B.flat_q(K, "ARD", F.array_repeat("rate", K * (K - 1))))
+    found = [
+        B.score_rates(edges, states, K, rows, column).drop(column).join(cands, ["trait_id", "tree_id", "cand"])
+        .withColumn("model", F.lit(model))
+        for model, rows, column in (("ER", cands, "rate"), ("ARD", matrices, "q"))
+    ]
+    both = materialize(found[0].unionByName(found[1]))
+    top = both.groupBy("model", "trait_id", "tree_id").agg(F.max("log_likelihood").alias("top"))
+    return both.join(top, ["model", "trait_id", "tree_id"]).select(
+        "model", "trait_id", "tree_id", "rate", F.round("log_likelihood", 4).alias("log_likelihood"),
+        (F.col("log_likelihood") == F.col("top")).alias("is_best"),
+    )
+
+
 @query("fit_mk")
 def fit_mk(t: Tables) -> DataFrame:
     """Rate of change of the market segment on the heap tree, by maximum likelihood."""

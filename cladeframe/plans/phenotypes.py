@@ -35,6 +35,8 @@ def build_class_tree(
     rate: float | None = None,
     anc_category: str | None = None,
     matrix: DataFrame | None = None,
+    root_prior: str = "auto",
+    q=None,
 ) -> ClassTree:
     """Merge labels, complete the tips, reconstruct branch classes, check, serialise."""
     shape = validate_tree(edges)
@@ -47,7 +49,7 @@ def build_class_tree(
     tree, tips, matrix = apply_unclassified(
         edges, labels, unclassified, background_label, matrix
     )
-    classes, legend = class_tree(tree, tips, model, rate, anc_category)
+    classes, legend = class_tree(tree, tips, model, rate, anc_category, root_prior, q)
     report = union_reports(
         validate_class_tree(classes, tree), class_coverage(classes, legend)
     )

@@ -1,4 +1,5 @@
 import itertools
+import random
 
 import numpy as np
 import pytest
@@ -63,6 +64,100 @@ def test_message_passing_against_enumeration(spark, trees, model):
         assert [r["l_1"], r["l_2"], r["l_3"]] == pytest.approx(list(posterior[r["node_id"]]), abs=1e-9)
 
 
+def peeled(nodes, states, q):
+    """Likelihoods, posteriors and log-likelihood of one problem by walking the tree."""
+    k = len(q)
+    children = {}
+    for r in nodes:
+        children.setdefault(r["parent_id"], []).append(r)
+    p = {r["node_id"]: X.expm_batch(q, np.array([r["branch_length"] or 0.0]))[0] for r in nodes}
+    lik, scale, order, stack = {}, {}, [], list(children[None])
+    while stack:
+        r = stack.pop()
+        order.append(r)
+        stack += children.get(r["node_id"], [])
+    for r in reversed(order):
+        n = r["node_id"]
+        if r["is_tip"]:
+            state = states.get(r["label"])
+            lik[n], scale[n] = (np.ones(k) if state is None else np.eye(k)[state - 1]), 0.0
+            continue
+        own = np.ones(k)
+        scale[n] = sum(scale[c["node_id"]] for c in children[n])
+        for c in children[n]:
+            own = own * (p[c["node_id"]] @ lik[c["node_id"]])
+            scale[n] += np.log(own.sum())
+            own = own / own.sum()
+        lik[n] = own
+    post = {}
+    for r in order:
+        n = r["node_id"]
+        if r["parent_id"] is None:
+            post[n] = lik[n] / lik[n].sum()
+        elif not r["is_tip"]:
+            step = p[n] * lik[n] / (p[n] @ lik[n])[:, None]
+            post[n] = post[r["parent_id"]] @ step
+    root = children[None][0]["node_id"]
+    return post, scale[root] + np.log(lik[root].sum() / k)
+
+
+def random_newick(n, rng, ladder=False, unary=False):
+    parts = [f"t{i}:{rng.uniform(0.1, 3):.3f}" for i in range(n)]
+    while len(parts) > 2:
+        take = 1 if unary and rng.random() < 0.3 else rng.choice([2, 2, 3])
+        took = [parts.pop(0 if ladder else rng.randrange(len(parts))) for _ in range(min(take, len(parts) - 1))]
+        parts.insert(0 if ladder else rng.randrange(len(parts) + 1), f"({','.join(took)}):{rng.uniform(0.1, 3):.3f}")
+    return f"({','.join(parts)});"
+
+
+@pytest.mark.parametrize("model, shallow", [("ER", 0), ("SYM", 0), ("SYM", 64)])
+def test_messages_against_walking(spark, trees, monkeypatch, model, shallow):
+    """By contraction and by levels: bushy, ladder-shaped and chain trees, two traits, tips without a state."""
+    monkeypatch.setattr(B, "SHALLOW", shallow)
+    rng = random.Random(4)
+    texts = {"bushy": random_newick(30, rng), "ladder": random_newick(25, rng, True), "chains": random_newick(18, rng, unary=True)}
+    e = trees(**texts).drop("error").cache()
+    nodes = e.collect()
+    q = X.er_matrix(3, 0.2) if model == "ER" else X.rate_matrix(3, "SYM", [0.1, 0.4, 0.2])
+    rows_, states = [], {}
+    for trait in ("x", "y"):
+        for r in nodes:
+            if r["is_tip"] and rng.random() < 0.8:
+                state = rng.randint(1, 3)
+                rows_.append((trait, r["tree_id"], r["node_id"], state))
+                states.setdefault((trait, r["tree_id"]), {})[r["label"]] = state
+    tips = spark.createDataFrame(rows_, "trait_id string, tree_id string, node_id long, state int")
+    rated = tips.withColumn("rate", F.lit(0.2)) if model == "ER" else tips.withColumn("q", F.array(*[F.lit(float(x)) for x in q.ravel()]))
+    forward = B.forward_liks(e, rated, 3, ["trait_id"], "rate" if model == "ER" else "q")
+    logs = {(r["trait_id"], r["tree_id"]): r["log_likelihood"] for r in B.log_likelihoods(forward).collect()}
+    got = B.marginal_states(forward).collect()
+    assert len(logs) == 6
+    for (trait, tree), known in states.items():
+        post, log_likelihood = peeled([r for r in nodes if r["tree_id"] == tree], known, q)
+        assert logs[trait, tree] == pytest.approx(log_likelihood, abs=1e-9)
+        mine = {r["node_id"]: [r["l_1"], r["l_2"], r["l_3"]] for r in got if (r["trait_id"], r["tree_id"]) == (trait, tree)}
+        assert mine and set(mine) <= set(post)
+        for n, x in mine.items():
+            assert x == pytest.approx(list(post[n]), abs=1e-9)
+
+
+def test_a_long_ladder_takes_few_rounds(spark, trees, monkeypatch):
+    n, stored = 400, []
+    text = "(" * n + "t0:1" + "".join(f",t{i}:1):1" for i in range(1, n + 1)) + ";"
+    e = trees(t=text).drop("error").cache()
+    states = {f"t{i}": 1 + (i // 7) % 2 for i in range(n + 1)}
+    rated = tip_states(e, spark, states).withColumn("rate", F.lit(0.05))
+    kept = B.materialize
+    monkeypatch.setattr(B, "materialize", lambda df, **k: stored.append(1) or kept(df, **k))
+    forward = B.forward_liks(e, rated, 2)
+    post, log_likelihood = peeled(e.collect(), states, X.er_matrix(2, 0.05))
+    assert B.log_likelihoods(forward).first()["log_likelihood"] == pytest.approx(log_likelihood, abs=1e-8)
+    got = {r["node_id"]: [r["l_1"], r["l_2"]] for r in B.marginal_states(forward).collect()}
+    assert set(got) == set(post)
+    assert all(got[i] == pytest.approx(list(post[i]), abs=1e-9) for i in post)
+    assert len(stored) <= 40  # 400 levels
+
+
 def test_two_tips_and_many_traits(spark, trees, rows):
     e = trees(t="(a:1,b:1);", u="((a:1,b:1):1,c:1);").cache()
     tips = e.where("is_tip")
