@@ -364,10 +364,10 @@ def text_sketches(t: Tables) -> DataFrame:
     from ..runtime import materialize
 
     seqs = t.documents.select(F.col("doc_id").alias("seq_id"), F.col("source").alias("species"), "text")
-    return materialize(E.sketch(seqs, E.word_shingles(F.col("text"), 5)))
+    return materialize(E.sketch(seqs, E.word_shingles(F.col("text"), 5), N_PERM))
 
 
-N_PERM, BAND_ROWS, MIN_SCORE = 16, 2, 4
+N_PERM, BAND_ROWS, MIN_SCORE = E.POSITIONS, E.BAND_ROWS, E.MIN_SCORE
 _MINS = ", ".join(
     f"min(((x >> 30) * {a} + (x & {E.HALF - 1}) * {b}) % {E.PRIME} * {E.HALF} + (x & {E.HALF - 1})) as h_{i}"
     for i, (a, b) in enumerate(E.permutations(N_PERM))

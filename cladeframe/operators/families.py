@@ -23,6 +23,14 @@ HALF = 2**30
 #: Members of a bucket that are compared in one cell.
 BLOCK = 256
 
+#: Positions of a sketch, successive positions of a band, and positions that a hit agrees
+#: on.  Of pairs with a Jaccard similarity s of their tokens, 1 - (1 - s**2)**16 share a
+#: band, and a binomial tail agrees on 8 of 32 positions: together 0.90 at s = 0.4, 0.99
+#: at s = 0.5.
+POSITIONS = 32
+BAND_ROWS = 2
+MIN_SCORE = 8
+
 # Multipliers of the permutations: terms of a fixed linear
 # congruential sequence, so sketches agree between runs and machines.
 _LCG = (1103515245, 12345, 2**31)
@@ -60,7 +68,7 @@ def word_shingles(text: Column, k: int) -> Column:
     return F.when(F.size(found) > 0, found).otherwise(F.array(spaced))
 
 
-def sketch(seqs: DataFrame, tokens: Column, n_perm: int = 16, keep=("species",)) -> DataFrame:
+def sketch(seqs: DataFrame, tokens: Column, n_perm: int = POSITIONS, keep=("species",)) -> DataFrame:
     """``seq_id, …keep, h_0..h_{n-1}``: smallest value of each permutation over the
     tokens of a sequence.
 
@@ -84,7 +92,7 @@ def _positions(n_perm: int) -> list[str]:
     return [f"h_{i}" for i in range(n_perm)]
 
 
-def copies(sketches: DataFrame, n_perm: int = 16) -> DataFrame:
+def copies(sketches: DataFrame, n_perm: int = POSITIONS) -> DataFrame:
     """``seq_id, representative``: sequences of one species with equal sketches, and the
     smallest id among them, which stands for all in ``kmer_hits``.  ``sketches`` is a
     stored table."""
@@ -108,7 +116,7 @@ def _sized(members: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def kmer_hits(
-    sketches: DataFrame, n_perm: int = 16, rows: int = 2, min_score: int = 4, block: int = BLOCK
+    sketches: DataFrame, n_perm: int = POSITIONS, rows: int = BAND_ROWS, min_score: int = MIN_SCORE, block: int = BLOCK
 ) -> DataFrame:
     """``query, query_species, target, target_species, score``: all pairs, in both
     directions, of sequences that agree on a band of ``rows`` successive positions and
@@ -276,7 +284,7 @@ def families(links: DataFrame, members: DataFrame | None = None) -> DataFrame:
     return join_skewed(parts, named, "component", total).select(F.col("node").alias("seq_id"), "family_id")
 
 
-def family_links(hits: DataFrame, sketches: DataFrame, n_perm: int = 16) -> DataFrame:
+def family_links(hits: DataFrame, sketches: DataFrame, n_perm: int = POSITIONS) -> DataFrame:
     """Links ``a, b`` of families: copies with their representative, hits within a
     species, and reciprocal best hits between species."""
     within = hits.where("query_species = target_species and query < target")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.counts import family_counts
-from ..operators.families import families, family_links, kmer_hits, kmers, sketch
+from ..operators.families import BAND_ROWS, MIN_SCORE, POSITIONS, families, family_links, kmer_hits, kmers, sketch
 from ..runtime import materialize
 
 
@@ -23,9 +23,9 @@ def infer_families(
     seqs: DataFrame,
     tokens: Column | None = None,
     k: int = 5,
-    n_perm: int = 16,
-    rows: int = 2,
-    min_score: int = 4,
+    n_perm: int = POSITIONS,
+    rows: int = BAND_ROWS,
+    min_score: int = MIN_SCORE,
 ) -> GeneFamilies:
     """Families of ``seq_id, species, sequence`` rows, by ``family_links``."""
     tokens = kmers(F.col("sequence"), k) if tokens is None else tokens
