@@ -2,4 +2,4 @@
 that checks it."""
 
 from .registry import ORACLES, QUERIES  # noqa: F401
-from . import genes, search, traits, trees  # noqa: F401,E402
+from . import files, genes, search, traits, trees  # noqa: F401,E402

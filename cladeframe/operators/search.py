@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.specs import pair_cost
 from ..runtime import global_rank
 from .checks import report_rows, union_reports
+from .selection import order_statistics
 
 
 def proteome_volume(inventory: DataFrame) -> DataFrame:
@@ -126,8 +127,8 @@ def throughput(runs: DataFrame, cost: str = "cost", seconds: str = "seconds") ->
     """Total cost over total time, and smallest, median and largest rate of the
     rows that took any time.  Costs are whole numbers and added exactly.
 
-    The exact median is the mean of the two middle positions of the rates in
-    order (``global_rank``), so no task holds all of them.
+    The median is exact and found by counting below pivots (``order_statistics``), not
+    by sorting.
     """
     rate = F.when(F.col(seconds) > 0, F.col(cost).cast("double") / F.col(seconds))
     totals = runs.agg(
@@ -137,12 +138,9 @@ def throughput(runs: DataFrame, cost: str = "cost", seconds: str = "seconds") ->
         F.min(rate).alias("min_rate"),
         F.max(rate).alias("max_rate"),
     )
-    rates = runs.select(rate.alias("rate"), F.monotonically_increasing_id().alias("tie"))
-    ranked = global_rank(
-        rates.where("rate is not null"), [F.col("rate"), F.col("tie")], "pos"
-    )
-    n = ranked.count()
-    middle = ranked.where(F.col("pos").isin((n - 1) // 2, n // 2)).agg(F.avg("rate")).first()[0]
+    rates = runs.select(rate.alias("value"), F.lit(1).cast("bigint").alias("n"))
+    medians = order_statistics(rates, [], [0.5]).take(1)
+    middle = medians[0]["q"][0] if medians else None
     return totals.select(
         "n_runs", "total_cost", "total_seconds",
         F.try_divide(F.col("total_cost").cast("double"), F.col("total_seconds").cast("double")).alias("aggregate_rate"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import DataError
+from .selection import order_statistics
 
 
 def significant_families(pvalues: DataFrame, threshold: float = 0.05) -> DataFrame:
@@ -132,16 +133,12 @@ def tree_turnover_table(class_edges: DataFrame, branch_turnover: DataFrame) -> D
 
 
 def phenotype_quantiles(labelled: DataFrame) -> DataFrame:
-    """Box-plot numbers of copy number per phenotype.
-
-    Counts per value come first, so the exact percentiles read one row per
-    distinct copy number.
-    """
-    values = labelled.where("phenotype is not null").groupBy("phenotype", "copies").agg(
+    """Box-plot numbers of copy number per phenotype, exact: equal copy numbers are counted
+    first, ranks are found by counting below pivots (``order_statistics``)."""
+    values = labelled.where("phenotype is not null").groupBy("phenotype", F.col("copies").alias("value")).agg(
         F.count("*").alias("n")
     )
-    q = F.expr("percentile(copies, array(0d, 0.25d, 0.5d, 0.75d, 1d), n)")
-    return values.groupBy("phenotype").agg(q.alias("q")).select(
+    return order_statistics(values, ["phenotype"], [0.0, 0.25, 0.5, 0.75, 1.0]).select(
         "phenotype",
         *[F.get("q", F.lit(i)).alias(name)
           for i, name in enumerate(["low", "q1", "median", "q3", "high"])],
