@@ -271,14 +271,19 @@ def _unions(members: DataFrame) -> DataFrame:
             for g, m in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 held.setdefault(g, []).append(m)
             yield pa.RecordBatch.from_pydict(
-                {"g": pa.array(held.keys(), pa.int64()), "union": pa.array(map(joined_maps, held.values()), pa.binary())}
+                {
+                    "g": pa.array(held.keys(), pa.int64()),
+                    "union": pa.array([m[0] if len(m) == 1 else joined_maps(m) for m in held.values()], pa.binary()),
+                }
             )
 
-    def wholly(part: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"g": [part["g"].iat[0]], "union": [joined_maps(list(part["union"]))]})
+    def wholly(batches):
+        for b in batches:
+            unions = [m[0] if len(m) == 1 else joined_maps(m) for m in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(unions, pa.binary())], names=["g", "union"])
 
     parts = members.select("g", "map").mapInArrow(partly, "g long, union binary")
-    return parts.groupBy("g").applyInPandas(wholly, "g long, union binary")
+    return parts.groupBy("g").agg(F.collect_list("union").alias("maps")).mapInArrow(wholly, "g long, union binary")
 
 
 def _qualifying(pairs: DataFrame, one: DataFrame, members: DataFrame) -> DataFrame:
