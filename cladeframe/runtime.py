@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +50,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Lists that note the tables stored while they are open.
+_NOTED: list[list[str]] = []
+
+
+@contextmanager
+def stored_tables() -> Iterator[list[str]]:
+    """The paths of all tables stored inside the block, for ``drop_tables``."""
+    made: list[str] = []
+    _NOTED.append(made)
+    try:
+        yield made
+    finally:
+        _NOTED.remove(made)
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables that nothing reads any more, and forget their paths."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    while paths:
+        path = hadoop(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, sort: str | None = None) -> DataFrame:
     """Write ``df`` to the checkpoint folder and return the stored table.
 
@@ -56,6 +81,8 @@ def materialize(df: DataFrame, sort: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    for made in _NOTED:
+        made.append(path)
     (df.sortWithinPartitions(sort) if sort else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
