@@ -66,10 +66,10 @@ def parse_search_pairs(lines: DataFrame) -> DataFrame:
     ).drop("i", "j", "q", "d")
 
 
-def read_search_pairs(spark: SparkSession, path) -> DataFrame:
+def read_search_pairs(spark: SparkSession, path, in_parts: bool = False) -> DataFrame:
     """``line_index, qid, did, error, value``; ``line_index`` is the position of the line in
-    its file, from 0."""
-    lines = numbered_lines(spark, path).withColumn("line_index", F.col("line") - 1)
+    its file, from 0.  ``in_parts``: the file is a folder of part files."""
+    lines = numbered_lines(spark, path, in_parts).withColumn("line_index", F.col("line") - 1)
     return parse_search_pairs(lines).select("line_index", "qid", "did", "error", "value")
 
 

@@ -119,3 +119,27 @@ def test_global_rank_with_ties(spark):
 def test_costs_are_added_exactly(table):
     got = P.throughput(table([(2**53 + 1, 1.0), (2, 3.0)], "cost long, seconds double")).first()
     assert int(got["total_cost"]) == 2**53 + 3
+
+
+def test_a_command_list_is_written_by_several_tasks(spark, tmp_path):
+    import glob
+
+    import __spark_entry__ as entry
+    from cladeframe.runtime import checkpoint_root
+
+    spark.range(400).selectExpr(
+        "id as l_orderkey", "cast(id % 7 + 1 as int) as l_linenumber", "id % 50 as l_partkey", "id % 9 as l_suppkey"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen = set(glob.glob(f"{checkpoint_root(spark)}/commands-*"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = entry.queries()["search_command_file"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    folder, = set(glob.glob(f"{checkpoint_root(spark)}/commands-*")) - seen
+    assert len(glob.glob(f"{folder}/commands/part-*")) > 1
+    expected = {i: (i % 50, i % 9) for i in range(400) if i % 7 != 6}
+    assert {r["line_index"]: (r["qid"], r["did"]) for r in got if r["error"] is None} == {
+        i: pair for i, pair in expected.items() if i % 7 not in (4, 5)
+    }
+    assert {r["line_index"] for r in got} == set(expected)
