@@ -5,7 +5,8 @@ prefix sum over brackets, and the node that a token belongs to is the last one o
 at its depth.  A text is one cell, so its tokens stay in one partition: all windows and
 groups of a tree are worked where it is, with sorts that spill.  Writing gives every node a
 place before and a place after its clade and puts the places in the order of a walk: by
-the paths to the root, or by entry numbers where trees are deep.
+the paths to the root, or by entry numbers where trees are deep.  The paths of small trees
+are found inside one row a tree.
 """
 
 from __future__ import annotations
@@ -14,6 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.trees import NODE, interval_labels, root_paths
+from ..runtime import DataError, materialize
+
+#: Nodes up to which a tree is written from one row.
+SMALL = 64
+#: Characters of texts that are read by one task; a tree is never cut.
+TEXT_CHARS = 1 << 20
 
 #: Every character belongs to a token; a lone bracket or quote is one that never closes.
 TOKEN = r"\s+|\[[^\]]*\]|'(?:[^']|'')*'|[(),:;]|[^\s(),:;\[\]']+|[\[\]']"
@@ -25,7 +32,10 @@ def _tokens(df: DataFrame, tree_id: str, newick: str) -> DataFrame:
     an empty one at -1 that stands for the root; ``tree`` tells rows with equal ids apart.
     All rows of a tree are in one partition from here on."""
     rows = df.select(F.col(tree_id).cast("string").alias("tree_id"), F.col(newick).alias("newick"))
-    rows = rows.withColumn("tree", F.monotonically_increasing_id()).repartition("tree")
+    # a character takes hundreds of bytes as rows of tokens, so tasks are made by length
+    rows = materialize(rows.withColumn("tree", F.monotonically_increasing_id()))
+    total = rows.agg(F.sum(F.length("newick"))).first()[0] or 0
+    rows = rows.repartition(max(1, -(-total // TEXT_CHARS)), "tree")
     found = F.regexp_extract_all(F.coalesce("newick", F.lit("")), F.lit(TOKEN), F.lit(0))
     counted = F.filter(found, lambda t: ~t.rlike(r"^(\s|\[.)"))
     rows = rows.select("tree", "tree_id", F.concat(F.array(F.lit("")), counted).alias("tokens"))
@@ -158,15 +168,24 @@ def edges_to_newick(
         F.col("parent_id").isNotNull() & value.isNotNull(),
         F.concat(F.lit(":"), format_length(value)),
     ).otherwise(F.lit(""))
-    tailed = edges.select(*NODE, F.concat(F.coalesce(_quoted(label), F.lit("")), suffix).alias("tail"))
-    paths = root_paths(edges)
-    parts = _by_path(paths, tailed) if paths is not None else _by_entry(interval_labels(edges), tailed)
-    held = F.sort_array(F.collect_list(F.struct("place", "side", "tail")))
+    tail = F.concat(F.coalesce(_quoted(label), F.lit("")), suffix).alias("tail")
+    kept = [*NODE, "parent_id", "child_ord", "branch_length", "is_tip"]
+    nodes = materialize(edges.where("tree_id is not null").select(*kept, tail))
+    sizes = nodes.groupBy("tree_id").agg(F.count("*").alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= SMALL:
+        return _small_trees(nodes)
+    large = materialize(sizes.where(F.col("n") > SMALL).select("tree_id"))
+    small = _small_trees(nodes.join(large, "tree_id", "left_anti"))
+    return small.unionByName(_large_trees(nodes.join(large, "tree_id", "left_semi")))
+
+
+def _text(places: Column) -> Column:
+    """The text of a tree from the places ``place, side, tail`` of its nodes, sorted."""
 
-    def told(part: Column, i: Column) -> Column:
+    def told(held: Column, part: Column, i: Column) -> Column:
         """A node that opens after one that closed is its sibling, a node that opens before
         another opens has children, and one that closes after another closed had some."""
-        before, after = F.get("held", i - 1)["side"], F.get("held", i + 1)["side"]
+        before, after = F.get(held, i - 1)["side"], F.get(held, i + 1)["side"]
         return (
             F.when((part["side"] == 0) & (before == 1) & (after == 0), F.lit(",("))
             .when((part["side"] == 0) & (before == 1), F.lit(","))
@@ -176,8 +195,50 @@ def edges_to_newick(
             .otherwise(part["tail"])
         )
 
-    texts = parts.groupBy("tree_id").agg(held.alias("held"))
-    return texts.select("tree_id", F.concat(F.array_join(F.transform("held", told), ""), F.lit(";")).alias("newick"))
+    # in an array of one, so that the sorted places are made once
+    told_all = F.transform(F.array(places), lambda held: F.array_join(F.transform(held, lambda part, i: told(held, part, i)), ""))
+    return F.concat(F.get(told_all, F.lit(0)), F.lit(";"))
+
+
+def _large_trees(nodes: DataFrame) -> DataFrame:
+    tailed, paths = nodes.select(*NODE, "tail"), root_paths(nodes)
+    parts = _by_path(paths, tailed) if paths is not None else _by_entry(interval_labels(nodes), tailed)
+    held = F.sort_array(F.collect_list(F.struct("place", "side", "tail")))
+    return parts.groupBy("tree_id").agg(held.alias("held")).select("tree_id", _text(F.col("held")).alias("newick"))
+
+
+def _small_trees(nodes: DataFrame) -> DataFrame:
+    """Texts of trees of at most ``SMALL`` rows, each from one row that holds its nodes:
+    the joins of ``root_paths`` and ``_by_path`` within an array."""
+    held = F.collect_list(F.struct("node_id", "parent_id", F.col("child_ord").cast("long").alias("ord"), "tail"))
+    rows = nodes.groupBy("tree_id").agg(held.alias("held"))
+    own = F.transform("held", lambda x: F.struct(
+        x["node_id"].alias("node"), x["parent_id"].alias("anc"),
+        F.array(F.struct(x["ord"].alias("ord"), x["node_id"].alias("node"))).alias("path"),
+    ))
+
+    def jumped(state: Column) -> Column:
+        """Every node's path joined to that of the node its pointer shows."""
+        return F.flatten(F.transform(state, lambda x: F.when(x["anc"].isNull(), F.array(x)).otherwise(
+            F.transform(F.filter(state, lambda y: y["node"] == x["anc"]), lambda y: F.struct(
+                x["node"].alias("node"), y["anc"].alias("anc"), F.concat(y["path"], x["path"]).alias("path"),
+            ))
+        )))
+
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size("held"))).cast("int"))
+    rows = rows.select("tree_id", "held", F.aggregate(rounds, own, lambda state, _: jumped(state)).alias("paths"))
+    last = F.array(F.struct(F.lit(2**62).alias("ord"), F.lit(0).cast("bigint").alias("node")))
+    sides = F.flatten(F.flatten(F.transform("paths", lambda p: F.transform(
+        F.filter("held", lambda x: x["node_id"] == p["node"]), lambda x: F.array(
+            F.struct(p["path"].alias("place"), F.lit(0).alias("side"), F.lit("").alias("tail")),
+            F.struct(F.concat(p["path"], last).alias("place"), F.lit(1).alias("side"), x["tail"].alias("tail")),
+        )
+    ))))
+    cyclic = F.exists("paths", lambda x: x["anc"].isNotNull())
+    texts = materialize(rows.select("tree_id", cyclic.alias("cyclic"), F.when(F.size(sides) > 0, _text(F.sort_array(sides))).alias("newick")))
+    if not texts.where("cyclic").isEmpty():
+        raise DataError("the parent links of a tree form a cycle")
+    return texts.where("newick is not null").select("tree_id", "newick")
 
 
 def _by_path(paths: DataFrame, tailed: DataFrame) -> DataFrame:

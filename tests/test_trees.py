@@ -276,3 +276,30 @@ def test_cycle_is_an_error(spark):
             T.lift(e)
     finally:
         T.MAX_ROUNDS = T_rounds
+
+
+def test_small_and_large_trees_are_written_alike(spark, trees, rows, monkeypatch):
+    """In one row, by joins, and mixed; a cycle is an error in all."""
+    from cladeframe.runtime import DataError
+
+    rng = random.Random(11)
+    texts = {f"r{i}": random_tree(rng.randint(2, 20), rng, i % 2 == 0) for i in range(6)} | {"one": "x;"}
+    edges = trees(**texts)
+    twice = edges.unionByName(edges.where("node_id = 1 and tree_id = 'r1'"))
+    lost = edges.where("node_id <> 2 or tree_id <> 'r2'")
+    ring = spark.createDataFrame([("t", 1, 2, "a"), ("t", 2, 1, "b")], "tree_id string, node_id long, parent_id long, label string")
+    ring = ring.selectExpr("*", "0.0D as branch_length", "0 as child_ord", "false as is_tip")
+    with pytest.raises(DataError, match="cycle"):
+        N.edges_to_newick(ring).collect()
+    written = [rows(N.edges_to_newick(e)) for e in (twice, lost)]
+    monkeypatch.setattr(N, "SMALL", 10)
+    assert dict(rows(N.edges_to_newick(edges, internal_labels=True))) == texts
+    monkeypatch.setattr(N, "SMALL", 0)
+    assert [rows(N.edges_to_newick(e)) for e in (twice, lost)] == written
+
+
+def test_texts_are_read_by_tasks_of_bounded_length(spark, rows, monkeypatch):
+    monkeypatch.setattr(N, "TEXT_CHARS", 64)
+    texts = spark.range(40).selectExpr("cast(id as string) as tree_id", "'(a:1,(b:2,c:3)d:4);' as newick")
+    assert N._tokens(texts, "tree_id", "newick").rdd.getNumPartitions() == -(-40 * 19 // 64)
+    assert N.newick_to_edges(texts).count() == 40 * 5
