@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.headers import header_format, species_from_path
-from ..runtime import global_rank
+from ..runtime import by_rows, global_rank, materialize_even
 from ..sources.files import FASTA_FILE, file_heads, file_inventory
 from ..sources.tables import parse_count
 from .isoforms import duplicate_accessions
@@ -135,19 +135,32 @@ def tip_species_diff(edges: DataFrame, species: DataFrame) -> DataFrame:
     Species with a ``tree_id`` are those of that tree; without one they are the list
     of every tree in ``edges``.
     """
-    tips = edges.where("is_tip").select("tree_id", F.col("label").alias("name")).distinct()
-    scope = ["tree_id"] if "tree_id" in species.columns else []
-    listed = species.select(*scope, F.col("species").alias("name")).distinct()
-    only_tree = tips.join(listed, [*scope, "name"], "left_anti")
-    if scope:
-        only_list = listed.join(tips, ["tree_id", "name"], "left_anti")
-    else:
-        only_list = _absent(edges.select("tree_id").distinct(), tips, listed)
+    tips = edges.where("is_tip").select("tree_id", F.col("label").alias("name"))
+    if "tree_id" in species.columns:
+        return _sides(tips, species.select("tree_id", F.col("species").alias("name")))
+    tips = materialize_even(tips.distinct())
+    listed = materialize_even(species.select(F.col("species").alias("name")).distinct())
+    only_tree = tips.join(listed, ["name"], "left_anti")
+    only_list = _absent(materialize_even(edges.select("tree_id").distinct()), tips, listed)
     return only_tree.select("tree_id", "name", F.lit("only_in_tree").alias("side")).unionByName(
         only_list.select("tree_id", "name", F.lit("only_in_list").alias("side"))
     )
 
 
+def _sides(tips: DataFrame, listed: DataFrame) -> DataFrame:
+    """Distinct ``tree_id, name`` that one of two tables lacks, met in one shuffle; a null
+    equals nothing."""
+    both = tips.withColumn("place", F.lit(1)).unionByName(listed.withColumn("place", F.lit(2)))
+    places = both.groupBy("tree_id", "name").agg(F.bit_or("place").alias("places"))
+    unknown = F.col("tree_id").isNull() | F.col("name").isNull()
+    sides = F.array(
+        F.when((F.col("places") == 1) | (unknown & (F.col("places") == 3)), F.lit("only_in_tree")),
+        F.when((F.col("places") == 2) | (unknown & (F.col("places") == 3)), F.lit("only_in_list")),
+    )
+    found = places.select("tree_id", "name", F.explode(F.array_compact(sides)).alias("side"))
+    return materialize_even(found)
+
+
 def _absent(trees: DataFrame, tips: DataFrame, listed: DataFrame) -> DataFrame:
     """``tree_id, name`` for every listed name that a tree lacks.
 
@@ -160,9 +173,9 @@ def _absent(trees: DataFrame, tips: DataFrame, listed: DataFrame) -> DataFrame:
     slots = trees.select(
         "tree_id", F.expr(f"explode(sequence(0L, {(n - 1) // BLOCK}L)) as slot")
     ) if n else trees.select("tree_id", F.lit(0).cast("bigint").alias("slot")).where("false")
-    found = tips.join(ranked, "name").groupBy(
-        "tree_id", F.floor(F.col("pos") / BLOCK).alias("slot")
-    ).agg(F.collect_set("pos").alias("found"))
+    placed = tips.join(ranked, "name").select("tree_id", "pos", F.floor(F.col("pos") / BLOCK).alias("slot"))
+    placed = by_rows(placed, ["tree_id", "slot"], tips.count())
+    found = placed.groupBy("tree_id", "slot").agg(F.collect_set("pos").alias("found"))
     every = F.sequence(first, F.least(first + BLOCK, F.lit(n).cast("bigint")) - 1)
     none = F.array().cast("array<bigint>")
     holes = slots.join(found, ["tree_id", "slot"], "left").select(
@@ -173,16 +186,19 @@ def _absent(trees: DataFrame, tips: DataFrame, listed: DataFrame) -> DataFrame:
 
 def tree_shape(edges: DataFrame) -> DataFrame:
     """Per tree: children of the root, nodes with more than two, and with one."""
-    fanout = edges.where("parent_id is not null").groupBy(
-        "tree_id", F.col("parent_id").alias("node_id")
-    ).agg(F.count("*").alias("n"))
-    roots = edges.where("parent_id is null").select("tree_id", "node_id", F.lit(True).alias("root"))
-    nodes = fanout.join(roots, ["tree_id", "node_id"], "full_outer")
-    n = F.coalesce("n", F.lit(0).cast("bigint"))
+    is_root = F.col("parent_id").isNull()
+    node = F.coalesce("parent_id", "node_id").alias("node_id")
+    told = edges.select("tree_id", node, (~is_root).cast("bigint").alias("n"), is_root.cast("bigint").alias("roots"))
+    nodes = told.groupBy("tree_id", "node_id").agg(F.sum("n").alias("n"), F.sum("roots").alias("roots"))
+    # a null id is no tree whose root could be found; a root given twice counts twice
+    known, n = F.col("tree_id").isNotNull(), F.col("n")
+    times = F.when(known, F.greatest("roots", F.lit(1).cast("bigint"))).otherwise(F.lit(1).cast("bigint"))
+    children = F.when(F.col("roots") > 0, F.when(known, n).otherwise(F.lit(0).cast("bigint")))
+    zero = F.lit(0).cast("bigint")
     return nodes.groupBy("tree_id").agg(
-        F.coalesce(F.max(F.when(F.col("root"), n)), F.lit(0)).alias("root_children"),
-        F.count_if(n > 2).alias("polytomies"),
-        F.count_if(n == 1).alias("unary_nodes"),
+        F.coalesce(F.max(children), zero).alias("root_children"),
+        F.coalesce(F.sum(F.when(n > 2, times)), zero).alias("polytomies"),
+        F.coalesce(F.sum(F.when(n == 1, times)), zero).alias("unary_nodes"),
     )
 
 
@@ -196,7 +212,7 @@ def validate_tree(edges: DataFrame) -> DataFrame:
         reports.append(report_rows(edges.where("error is not null"), "ERROR", "unreadable_tree",
                                    tree, F.col("error")))
         readable = edges.where("error is null")
-    shape = tree_shape(readable)
+    shape = materialize_even(tree_shape(readable))
     reports += [
         report_rows(shape.where("root_children <> 2"), "ERROR", "not_rooted", tree,
                     F.concat(F.lit("root children: "), F.col("root_children"))),
@@ -251,6 +267,8 @@ def validate_calibrations(calibrations: DataFrame, edges: DataFrame) -> DataFram
     """
     scope = ["tree_id"] if "tree_id" in calibrations.columns else []
     name = F.coalesce("name", F.col("spec")) if "spec" in calibrations.columns else F.col("name")
+    # read by several checks
+    calibrations = materialize_even(calibrations)
     taxa = calibrations.select(
         *scope, name.alias("name"), F.explode(F.array("sp1", "sp2")).alias("taxon")
     ).where("taxon is not null")
