@@ -303,3 +303,68 @@ def test_texts_are_read_by_tasks_of_bounded_length(spark, rows, monkeypatch):
     texts = spark.range(40).selectExpr("cast(id as string) as tree_id", "'(a:1,(b:2,c:3)d:4);' as newick")
     assert N._tokens(texts, "tree_id", "newick").rdd.getNumPartitions() == -(-40 * 19 // 64)
     assert N.newick_to_edges(texts).count() == 40 * 5
+
+
+def test_small_trees_are_lifted_as_by_joins(spark, rows):
+    made = [("t", 1, None, "r", None, False, 0), ("t", 2, 1, "a", 2.0, True, 0), ("t", 3, 1, "b", None, True, 1)]
+    made += [("u", 1, None, "r", 0.5, True, 0)] + made[1:2] + [(None, 1, None, "r", 1.0, False, 0), (None, 2, 1, "a", 1.0, True, 0)]
+    made += [("lost", 5, 4, "x", 1.0, True, 0)]
+    made += [("deep", n, n - 1 or None, f"n{n}", 1.0, n == 90, 0) for n in range(1, 91)]
+    e = spark.createDataFrame(made, "tree_id string, node_id bigint, parent_id bigint, label string, branch_length double, is_tip boolean, child_ord int")
+    sums = {"n": F.lit(1).cast("bigint")}
+    merges = {"low": (F.col("label"), "min"), "high": (F.col("branch_length"), "max"), "x": (F.xxhash64("label"), "bit_xor")}
+    columns = ["tree_id", "node_id", "anc", "dist", "hops", "label", "n", "low", "high", "x"]
+    for values in ({}, {"sums": sums, "merges": merges}):
+        kept = columns if values else columns[:6]
+        assert rows(T.lifted(e, carry=("label",), **values), *kept) == rows(T.lift(e, carry=("label",), **values).final, *kept)
+    ring = spark.createDataFrame([("t", 1, 2, 1.0), ("t", 2, 1, 1.0)], "tree_id string, node_id bigint, parent_id bigint, branch_length double")
+    with pytest.raises(runtime.DataError):
+        T.lifted(ring)
+
+
+def test_calibrations_are_parsed_once(spark):
+    from cladeframe.functions.specs import parse_calibrations
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(spec):
+        seen.add(1)
+        return spec
+
+    e = spark.createDataFrame([("t", 1, None, "a", True)], "tree_id string, node_id bigint, parent_id bigint, label string, is_tip boolean")
+    specs = spark.createDataFrame([("x:a,b:1",), ("y:a,c:old",)], "spec string").select(counted.asNondeterministic()("spec").alias("spec"))
+    V.validate_calibrations(parse_calibrations(specs), e).collect()
+    assert seen.value == 2
+
+
+def test_tasks_hold_a_share_of_the_rows(spark):
+    same = spark.range(400_000).select((F.col("id") % 1000).alias("key"), F.lit("much the same").alias("text"))
+    dealt = runtime.by_rows(same, ["key"], 400_000, 20_000).groupBy("key").count()
+    assert len(dealt.select(F.spark_partition_id()).distinct().collect()) == 20
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    runtime.materialize_even(dealt)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
+
+
+def test_parsed_arguments_have_no_negative_zero(spark):
+    from types import SimpleNamespace
+
+    from cladeframe.catalog.trees import parsed_specs
+
+    orders = spark.createDataFrame([(3, 7, 60.0), (3, 7, 60.0), (9, 7, 60.0)], "o_orderkey bigint, o_custkey bigint, o_totalprice double")
+    got = parsed_specs(SimpleNamespace(orders=orders)).select(F.col("age").cast("string"), "name").collect()
+    assert set(map(tuple, got)) == {(None, None), ("0.0", "cal_3")} and len(got) == 2
+
+
+def test_pairs_of_unknown_nodes_are_kept_and_not_looked_up(spark, rows, monkeypatch):
+    e = spark.createDataFrame(
+        [("t", 1, None, None, False, 0), ("t", 2, 1, 2.0, True, 0), ("t", 3, 1, 3.0, True, 1)],
+        "tree_id string, node_id bigint, parent_id bigint, branch_length double, is_tip boolean, child_ord int",
+    )
+    made = [("t", 1, 2, 3), ("t", 2, None, 3), ("t", 3, 2, None), ("t", 4, 9, 2), (None, 5, None, None)]
+    pairs = spark.createDataFrame(made, "tree_id string, pair_id bigint, u bigint, v bigint")
+    asked, by_path = [], T._met_by_path
+    monkeypatch.setattr(T, "_met_by_path", lambda edges, paths, p: asked.append(p.count()) or by_path(edges, paths, p))
+    assert rows(T.mrca(e, pairs), "pair_id", "mrca", "age") == [(1, 1, 3.0), (2, None, None), (3, None, None), (4, None, None), (5, None, None)]
+    assert asked == [2]
