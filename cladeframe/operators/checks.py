@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.headers import header_format, species_from_path
-from ..runtime import by_rows, global_rank, materialize_even
+from ..runtime import MAX_SMALL_ROWS, by_rows, global_rank, materialize_even
 from ..sources.files import FASTA_FILE, file_heads, file_inventory
 from ..sources.tables import parse_count
 from .isoforms import duplicate_accessions
@@ -140,13 +140,19 @@ def tip_species_diff(edges: DataFrame, species: DataFrame) -> DataFrame:
         return _sides(tips, species.select("tree_id", F.col("species").alias("name")))
     tips = materialize_even(tips.distinct())
     listed = materialize_even(species.select(F.col("species").alias("name")).distinct())
-    only_tree = tips.join(listed, ["name"], "left_anti")
+    only_tree = tips.join(_sent_whole(listed, listed.count()), ["name"], "left_anti")
     only_list = _absent(materialize_even(edges.select("tree_id").distinct()), tips, listed)
     return only_tree.select("tree_id", "name", F.lit("only_in_tree").alias("side")).unionByName(
         only_list.select("tree_id", "name", F.lit("only_in_list").alias("side"))
     )
 
 
+def _sent_whole(names: DataFrame, n: int) -> DataFrame:
+    """A short list of names goes to every task: a name that many trees have would be
+    one task's otherwise."""
+    return F.broadcast(names) if n <= MAX_SMALL_ROWS else names
+
+
 def _sides(tips: DataFrame, listed: DataFrame) -> DataFrame:
     """Distinct ``tree_id, name`` that one of two tables lacks, met in one shuffle; a null
     equals nothing."""
@@ -169,6 +175,7 @@ def _absent(trees: DataFrame, tips: DataFrame, listed: DataFrame) -> DataFrame:
     """
     ranked = global_rank(listed, [F.col("name")], "pos")
     n = ranked.count()
+    ranked = _sent_whole(ranked, n)
     first = F.col("slot") * BLOCK
     slots = trees.select(
         "tree_id", F.expr(f"explode(sequence(0L, {(n - 1) // BLOCK}L)) as slot")
