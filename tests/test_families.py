@@ -149,6 +149,28 @@ def test_a_chance_band_does_not_merge(spark):
         E.kmer_hits(sk, min_score=2)
 
 
+def test_near_copies_are_not_met_at_every_position(spark):
+    """A large bucket is split only where that leaves fewer pairs."""
+    names = ", ".join(f"h_{i} long" for i in range(32))
+    near = [(n, "x", *[1000 * n + i if i == n % 32 else i for i in range(32)]) for n in range(1, 65)]
+    chance = [(n, "y", 7, 8, *[1000 * n + i for i in range(2, 32)]) for n in range(101, 165)]
+    sk = spark.createDataFrame(near + chance, f"seq_id long, species string, {names}").cache()
+    with runtime.stored_tables() as made:
+        hits = [tuple(r) for r in E.kmer_hits(sk, block=8).collect()]
+        stored = [spark.read.parquet(path).count() for path in made]
+    assert len(hits) == len(set(hits)) == 64 * 63
+    assert {h[4] for h in hits} == {30, 31}
+    assert max(stored) < 64 * 16 * 4  # every position of all near copies: 64 * 16 * 30
+
+
+def test_shingles_of_odd_texts(spark):
+    texts = ["", " ", "a", "a b c d e", " a\tb\n c  d e f ", "é ü 𝄞 ñ ß\u00a0x y", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(E.word_shingles(F.col("t"), 5)).collect()]
+    assert got == [[""], [""], ["a"], ["a b c d e"], ["a b c d e", "b c d e f"],
+                   ["é ü 𝄞 ñ ß\u00a0x", "ü 𝄞 ñ ß\u00a0x y"], [None]]
+
+
 def test_reciprocal_best(spark, rows):
     hits = spark.createDataFrame(
         [(1, "x", 10, "y", 5), (1, "x", 11, "y", 7), (11, "y", 1, "x", 7), (10, "y", 1, "x", 5),
