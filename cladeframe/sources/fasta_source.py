@@ -19,9 +19,11 @@ import gzip
 import hashlib
 import json
 import re
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 from pyarrow import fs
@@ -33,10 +35,14 @@ from .splitting import Chunks, decoded
 from .storage import list_files, read_range, resolve
 
 SPLIT_BYTES = 64 << 20
+#: Ranges smaller than that share tasks, when there would be more tasks than this.
+TASKS = 128
 #: What opening a file counts for when small files are put together.
 OPEN_BYTES = 1 << 20
 #: Bytes of sequence in a batch of records.
 BATCH_BYTES = 4 << 20
+#: Times a staging folder is tried to be deleted.
+DROP_TRIES = 20
 WHITE = b" \t\n\x0b\x0c\r"
 
 RECORDS = "path string, file_idx int, block bigint, seq bigint, header string, sequence string"
@@ -52,23 +58,31 @@ class Range(InputPartition):
 
 def plan_ranges(options: dict[str, str]) -> list[Range]:
     """Ranges of about ``splitbytes`` over all files of the JSON list ``paths``; a folder
-    stands for its files whose names match ``pattern``."""
+    stands for its files whose names match ``pattern``.  Many small ranges that follow each
+    other are one task's work, so that the number of tasks does not grow with the input."""
     split = int(options.get("splitbytes") or SPLIT_BYTES)
     pattern = re.compile(options.get("pattern") or "")
-    out: list[Range] = []
-    held, total = [], 0
+    parts = []
     for index, path in enumerate(json.loads(options["paths"])):
         for info in list_files(path, options.get("recursive") == "true"):
             if info.path != resolve(path)[1] and not pattern.search(info.base_name):
                 continue
             scheme = path[: path.index("://") + 3] if "://" in path and not path.startswith("file:") else ""
-            for start in range(0, info.size, split):
-                end = min(start + split, info.size)
-                if held and total + end - start + OPEN_BYTES > split:
-                    out.append(Range(held))
-                    held, total = [], 0
-                held.append((scheme + info.path, index, start, end, info.size))
-                total += end - start + OPEN_BYTES
+            parts += [
+                (scheme + info.path, index, start, min(start + split, info.size), info.size)
+                for start in range(0, info.size, split)
+            ]
+    limit = max(split, min(SPLIT_BYTES, sum(part[3] - part[2] for part in parts) // TASKS))
+    out: list[Range] = []
+    held, total = [], 0
+    for part in parts:
+        opened = 0 if held and held[-1][:2] == part[:2] else OPEN_BYTES
+        if held and total + part[3] - part[2] + opened > limit:
+            out.append(Range(held))
+            held, total, opened = [], 0, OPEN_BYTES
+        held.append(part)
+        # the first file of a task is opened in any case
+        total += part[3] - part[2] + (opened if len(held) > 1 else 0)
     return out + [Range(held)] if held else out
 
 
@@ -111,18 +125,19 @@ class FastaReader(DataSourceReader):
         schema = pa.schema(list(zip(names, types)))
         rows: list[tuple] = []
         held = 0
-        for path, index, start, end, size in partition.parts:
+        for (path, index), ranges in groupby(partition.parts, lambda part: part[:2]):
             system, plain = resolve(path)
             with system.open_input_file(plain) as handle:
-                for seq, body in enumerate(record_bodies(decoded(handle, start, end, size), start == 0)):
-                    header, _, rest = body.partition(b"\n")
-                    sequence = rest.translate(None, WHITE)
-                    header = header.split(b"\r")[0].decode("utf-8", "replace")
-                    rows.append((path, index, start, seq, header, sequence.decode("utf-8", "replace")))
-                    held += len(sequence) + len(header) + 100
-                    if held >= BATCH_BYTES:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], schema=schema)
-                        rows, held = [], 0
+                for _, _, start, end, size in ranges:
+                    for seq, body in enumerate(record_bodies(decoded(handle, start, end, size), start == 0)):
+                        header, _, rest = body.partition(b"\n")
+                        sequence = rest.translate(None, WHITE)
+                        header = header.split(b"\r")[0].decode("utf-8", "replace")
+                        rows.append((path, index, start, seq, header, sequence.decode("utf-8", "replace")))
+                        held += len(sequence) + len(header) + 100
+                        if held >= BATCH_BYTES:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], schema=schema)
+                            rows, held = [], 0
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], schema=schema)
 
@@ -207,9 +222,14 @@ class LineWriter(DataSourceArrowWriter):
         self.suffix = options.get("suffix") or ""
         self.compression = options.get("compression") or ""
         self.staging = f"{self.target}/_staging-{uuid.uuid4().hex}"
+        # made here only: a task that goes on after the run has failed can't make it anew
+        system, staging = resolve(self.staging)
+        system.create_dir(staging, recursive=True)
 
     def _open(self, system: fs.FileSystem, place: str):
-        system.create_dir(place.rpartition("/")[0], recursive=True)
+        folder = place.rpartition("/")[0]
+        if system.get_file_info(folder).type != fs.FileType.Directory:
+            system.create_dir(folder, recursive=False)
         stream = system.open_output_stream(place)
         if self.compression == "gzip":
             return gzip.GzipFile(fileobj=stream, mode="wb", mtime=0), stream
@@ -259,8 +279,16 @@ class LineWriter(DataSourceArrowWriter):
 
     @staticmethod
     def _drop(system: fs.FileSystem, staging: str) -> None:
-        if system.get_file_info(staging).type == fs.FileType.Directory:
-            system.delete_dir(staging)
+        for attempt in range(DROP_TRIES):
+            if system.get_file_info(staging).type != fs.FileType.Directory:
+                return
+            try:
+                system.delete_dir(staging)
+            except OSError:
+                # a task that has not ended yet has added a file meanwhile
+                if attempt == DROP_TRIES - 1:
+                    raise
+                time.sleep(0.1)
 
 
 def _close(out, raw) -> None:

@@ -25,6 +25,8 @@ END_MARK = 0x177245385090
 MARK_BITS = 48
 
 STEP = 1 << 20
+#: What is read at once beyond a range smaller than ``STEP``, at least.
+LEAST_STEP = 1 << 16
 
 Chunks = Iterator[tuple[bytes, bool]]
 
@@ -43,10 +45,15 @@ def decoded(handle: BinaryIO, start: int, end: int, size: int) -> Chunks:
 def _plain(handle: BinaryIO, start: int, end: int, size: int) -> Chunks:
     for data in read_range(handle, start, end, STEP):
         yield data, True
-    for data in read_range(handle, end, size, STEP):
+    for data in read_range(handle, end, size, _step(start, end)):
         yield data, False
 
 
+def _step(start: int, end: int) -> int:
+    """Bytes to read at once: no more than a small range has, as most of it ends there."""
+    return min(STEP, max(LEAST_STEP, end - start))
+
+
 def _gzip(handle: BinaryIO, size: int) -> Iterator[bytes]:
     """All members of a gzip file."""
     engine = zlib.decompressobj(31)
@@ -84,18 +91,18 @@ def find_marks(data: bytes, mark: int) -> list[int]:
     return found
 
 
-def _marks(handle: BinaryIO, start: int, size: int) -> Iterator[tuple[int, bool]]:
+def _marks(handle: BinaryIO, start: int, size: int, step: int = STEP) -> Iterator[tuple[int, bool]]:
     """Bit positions of marks from byte ``start`` on, and whether each is a block's."""
     at = start
     while at < size:
         # windows overlap so that each mark lies wholly in the one it starts in
         handle.seek(at)
-        data = handle.read(STEP + 7)
+        data = handle.read(step + 7)
         found = [(m, True) for m in find_marks(data, BLOCK_MARK)] + [(m, False) for m in find_marks(data, END_MARK)]
         for m, block in sorted(found):
-            if m < 8 * STEP:
+            if m < 8 * step:
                 yield 8 * at + m, block
-        at += STEP
+        at += step
 
 
 def decode_block(handle: BinaryIO, first: int, last: int) -> bytes:
@@ -112,9 +119,12 @@ def decode_block(handle: BinaryIO, first: int, last: int) -> bytes:
 
 
 def _bzip2(handle: BinaryIO, start: int, end: int, size: int) -> Chunks:
-    """Blocks that start in the range, then those after it."""
-    block = None
-    for position, is_block in _marks(handle, start, size):
+    """Blocks that start in the range, then those after it; nothing where none starts."""
+    block, owns = None, False
+    for position, is_block in _marks(handle, start, size, _step(start, end)):
+        owns = owns or is_block and position < 8 * end
+        if not owns and position >= 8 * end:
+            return
         if block is not None:
             try:
                 yield decode_block(handle, block, position), block < 8 * end

@@ -163,6 +163,49 @@ def test_bzip2_blocks_are_decoded_apart(tmp_path):
             assert got == [b"R%d" % i for i in range(700)]
 
 
+def test_many_small_ranges_share_tasks(tmp_path):
+    """The number of tasks is bounded, the ranges are as asked for."""
+    import json
+
+    path = put(tmp_path / "x.fa", "".join(f">R{i}\n{'M' * (i % 90)}\n" for i in range(4000)))
+    size = (tmp_path / "x.fa").stat().st_size
+    options = {"paths": json.dumps([path]), "splitbytes": "50"}
+    plan = fasta_source.plan_ranges(options)
+    parts = [p for r in plan for p in r.parts]
+    assert [p[2:4] for p in parts] == [(i, min(i + 50, size)) for i in range(0, size, 50)]
+    assert len(parts) > 3 * fasta_source.TASKS >= len(plan) * 2
+    reader = fasta_source.FastaReader(options)
+    got = [h for r in plan for b in reader.read(r) for h in b.column("header").to_pylist()]
+    assert got == [f"R{i}" for i in range(4000)]
+
+
+def test_small_ranges_read_little_beyond_their_end(tmp_path, monkeypatch):
+    """A range without a bzip2 block decodes none, a plain one reads on in small steps."""
+    lines = "".join(f">R{i}\n{random.Random(i).randbytes(900).hex()}\n" for i in range(1400))
+    packed, plain = tmp_path / "x.bz2", tmp_path / "x.fa"
+    packed.write_bytes(bz2.compress(lines.encode(), 9))
+    plain.write_text(lines)
+    decode, decoded = splitting.decode_block, []
+    monkeypatch.setattr(splitting, "decode_block", lambda *a: decoded.append(a) or decode(*a))
+    for path in (packed, plain):
+        size, got = path.stat().st_size, []
+        with open(path, "rb") as handle:
+            for start in range(0, size, 1 << 16):
+                chunks = list(splitting.decoded(handle, start, min(start + (1 << 16), size), size))[:2]
+                assert path == packed or all(len(data) <= 1 << 16 for data, _ in chunks)
+                chunks = splitting.decoded(handle, start, min(start + (1 << 16), size), size)
+                got += [b.split(b"\n")[0] for b in fasta_source.record_bodies(chunks, start == 0)]
+        assert got == [b"R%d" % i for i in range(1400)]
+    empty = [start for start in range(0, packed.stat().st_size, 1 << 16) if not any(
+        8 * start <= first < 8 * (start + (1 << 16)) for first in {a[1] for a in decoded})]
+    assert empty
+    decoded.clear()
+    with open(packed, "rb") as handle:
+        for start in empty:
+            assert list(splitting.decoded(handle, start, start + (1 << 16), packed.stat().st_size)) == []
+    assert not decoded
+
+
 def test_cut_files_fail(spark, tmp_path):
     text, _ = proteome(3, "tagged", genes=40)
     for name, packed in (("g.fa", gzip.compress(text.encode())), ("b.fa", bz2.compress(text.encode()))):
