@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from cladeframe.runtime import checkpoint_root, materialize
 
-from .pieces import Known, batches, coded, flat, places
+from .pieces import LONG, batches, flat, places
 from .text import whole
 
 STRIDE = 1000
@@ -39,7 +39,8 @@ STRIPE_BYTES = 64 << 20
 ROW = "row_in_file"
 #: Bytes of text encoded at once.
 BATCH_BYTES = 4 << 20
-#: Distinct pieces a worker remembers; a matter of memory only.
+#: Distinct pieces a worker remembers before it forgets those that did not come again; a
+#: matter of memory only.
 REMEMBERED = 500_000
 #: White space other than single spaces and line breaks, or the start of a special token.
 IRREGULAR = (
@@ -62,7 +63,9 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.has_space = np.zeros(max(vocabulary.values()) + 1, bool)
         self.has_space[[i for token, i in vocabulary.items() if token[:1] == SPACE]] = True
-        self.known = Known(self.learn, REMEMBERED)
+        # the pieces met lately, their ids one after another, and how many each has
+        self.pieces = pa.array([], pa.string())
+        self.piece_ids, self.sizes, self.long = np.zeros(0, np.int32), np.zeros(0, np.int64), False
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32).tobytes()
@@ -79,35 +82,65 @@ class Encoder:
         packed, ends = ids.tobytes(), ends.tolist()
         return [packed[low:end] for low, end in zip([0, *[e + 4 for e in ends]], ends)]
 
-    def after_spaces(self, pieces: list[str]) -> list[bytes]:
+    def after_spaces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Encode pieces, each with a space before it, in one call: only the first id of
-        a piece holds a space."""
+        a piece holds a space.  Their ids one after another, and how many each has."""
         if not pieces:
-            return []
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         ids = self._all(" " + " ".join(pieces))
-        starts = 4 * np.flatnonzero(self.has_space[ids])
+        starts = np.flatnonzero(self.has_space[ids])
         if len(starts) != len(pieces):
-            return [self.ids(f" {p}") for p in pieces]
-        packed, starts = ids.tobytes(), starts.tolist()
-        return [packed[low:end] for low, end in zip(starts, [*starts[1:], len(packed)])]
+            return flat([self.ids(f" {p}") for p in pieces], np.int32)
+        return ids, np.diff(starts, append=len(ids))
 
-    def learn(self, new: list[str]) -> list[bytes]:
-        """Encode pieces: a word stands for itself after a space, ``\n`` and a word for
-        itself after a line break, ``\n\n`` and a word for the start of a text, a space
-        and a text for a whole text."""
-        spaced = [p for p in new if p and p[0] not in "\n "]
-        found = dict(zip(spaced, self.after_spaces(spaced)))
-        bare = list({p.lstrip("\n") for p in new if p[:1] == "\n"} - {""})
+    def others(self, pieces: list[str]) -> list[bytes]:
+        """Encode pieces that are no words after a space."""
+        bare = list({p.lstrip("\n") for p in pieces if p[:1] == "\n"} - {""})
         ids = dict(zip(bare, self.together(bare)), **{"": b""})
-        for p in new:
+        found = []
+        for p in pieces:
             if p[:1] == "\n":
                 start = b"" if p[:2] == "\n\n" else self.line_break
-                found[p] = start + ids[p.lstrip("\n")]
-            elif p[:1] == " ":
-                found[p] = self.ids(p[1:])
-        if "" in new:
-            found[""] = self.ids(" ")  # a space at the end of the text
-        return [found[p] for p in new]
+                found.append(start + ids[p.lstrip("\n")])
+            else:  # an empty one is a space at the end of the text
+                found.append(self.ids(p[1:] if p else " "))
+        return found
+
+    def learn(self, new: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Encode pieces: a word stands for itself after a space, ``\n`` and a word for
+        itself after a line break, ``\n\n`` and a word for the start of a text, a space
+        and a text for a whole text."""
+        other = np.asarray(pc.match_substring_regex(new, r"\A(?:[\n ]|\z)")).astype(bool)
+        words, rest = np.flatnonzero(~other), np.flatnonzero(other)
+        word_ids, word_sizes = self.after_spaces(new.take(pa.array(words)).to_pylist())
+        rest_ids, rest_sizes = flat(self.others(new.take(pa.array(rest)).to_pylist()), np.int32)
+        ids, sizes = np.concatenate([word_ids, rest_ids]), np.concatenate([word_sizes, rest_sizes])
+        back = np.empty(len(new), np.int64)
+        back[np.concatenate([words, rest])] = np.arange(len(new))
+        at, _ = places(sizes, back)
+        return ids[at], sizes[back]
+
+    def codes(self, pieces: pa.StringArray) -> np.ndarray:
+        """The place of each piece among those known, which the new ones join."""
+        if self.long or len(self.pieces) > REMEMBERED:
+            # whole texts and other long pieces hardly come again; of many, those stay that do
+            keep = pc.less_equal(pc.utf8_length(self.pieces), LONG)
+            if len(self.pieces) > REMEMBERED:
+                keep = pc.and_(keep, pc.is_in(self.pieces, pieces))
+            kept = np.flatnonzero(np.asarray(keep))
+            at, self.sizes = places(self.sizes, kept)
+            self.pieces, self.piece_ids, self.long = self.pieces.take(pa.array(kept)), self.piece_ids[at], False
+        codes = pc.index_in(pieces, self.pieces)
+        if codes.null_count:
+            unknown = np.asarray(pc.is_null(codes))
+            new = pieces.filter(pa.array(unknown)).dictionary_encode()
+            ids, sizes = self.learn(new.dictionary)
+            codes = np.asarray(codes.fill_null(0)).astype(np.int64)
+            codes[unknown] = np.asarray(new.indices).astype(np.int64) + len(self.pieces)
+            self.pieces = pa.concat_arrays([self.pieces, new.dictionary.cast(pa.string())])
+            self.piece_ids, self.sizes = np.concatenate([self.piece_ids, ids]), np.concatenate([self.sizes, sizes])
+            self.long = pc.max(pc.utf8_length(new.dictionary)).as_py() > LONG
+        return np.asarray(codes).astype(np.int64)
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all whole texts one after another, ``end_id`` after each, and where each
@@ -119,9 +152,11 @@ class Encoder:
             offsets = pa.array(np.arange(len(column) + 1), pa.int32())
             one = pa.ListArray.from_arrays(offsets, pc.binary_join_element_wise(" ", column, ""))
             lists = pc.if_else(odd, one, lists)
-        codes, starts, distinct = coded(lists)
-        ids, sizes = flat([*self.known.of(distinct), np.int32(end_id).tobytes()], np.int32)
-        at, many = places(sizes, np.insert(codes, starts[1:], len(distinct)))
+        starts = np.asarray(lists.offsets).astype(np.int64)
+        codes = self.codes(lists.values.slice(starts[0], starts[-1] - starts[0]))
+        starts -= starts[0]
+        ids, sizes = np.append(self.piece_ids, np.int32(end_id)), np.append(self.sizes, 1)
+        at, many = places(sizes, np.insert(codes, starts[1:], len(self.sizes)))
         ends = np.concatenate([[0], np.cumsum(many)])
         return ids[at], ends[starts + np.arange(len(starts))]
 
