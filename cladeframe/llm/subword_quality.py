@@ -184,9 +184,17 @@ def fit(
             })
 
     got = rows.mapInPandas(features, "key string, label int, used binary, share binary")
-    # at most ``sample`` documents, as the weights of their distinct buckets
-    texts = sorted((r["key"], r["label"], bytes(r["used"]), bytes(r["share"])) for r in got.toLocalIterator())
-    return train([(np.frombuffer(u, np.int32), np.frombuffer(w, np.float32), y) for _, y, u, w in texts])
+    # at most ``sample`` documents, as the weights of their distinct buckets; packed one after
+    # another, so that the driver has its memory back when they are learned
+    order, used, share, at = [], bytearray(), bytearray(), 0
+    for r in got.toLocalIterator():
+        used += r["used"]
+        share += r["share"]
+        order.append((r["key"], r["label"], at, len(used) // 4))
+        at = len(used) // 4
+    order.sort()
+    buckets, weights = np.frombuffer(used, np.int32), np.frombuffer(share, np.float32)
+    return train([(buckets[low:high], weights[low:high], y) for _, y, low, high in order])
 
 
 def score(text: Column, model: Model) -> Column:

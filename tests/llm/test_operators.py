@@ -162,6 +162,23 @@ def test_quality(spark, clashing, empty):
     assert {r.s for r in clashing.select(subword_quality.score(F.col("text"), nothing).alias("s")).collect()} == {0.5}
 
 
+def test_learned_texts_are_packed(spark, monkeypatch):
+    """The driver holds them one after another, not as thousands of small parts."""
+    docs = spark.createDataFrame(labelled(100), SCHEMA)
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(100)], "doc_id long, quality int")
+    given = []
+    monkeypatch.setattr(subword_quality, "train", given.extend)
+    subword_quality.fit(docs, labels)
+    assert len(given) == 100 and sum(y for _, _, y in given) == 50
+    for parts in ([t[0] for t in given], [t[1] for t in given]):
+        starts = sorted((p.__array_interface__["data"][0], p.nbytes) for p in parts)
+        assert all(low + n == high for (low, n), (high, _) in zip(starts, starts[1:]))
+    texts = {str(i): t for i, t, *_ in labelled(100)}
+    for (buckets, weights, y), key in zip(given, sorted(texts)):
+        want = subword_quality.document(texts[key])
+        assert np.array_equal(buckets, want[0]) and np.array_equal(weights, want[1]) and y == 1 - int(key) % 2
+
+
 def test_word_features_are_plain_hashes():
     words = ["a", "stone", "süß", "日本語日本語", "a" * 300]
     together, sizes = subword_quality.word_features(words)
@@ -425,6 +442,23 @@ def test_pieces_are_encoded_as_the_whole(texts):
         assert ids[starts[k] : starts[k + 1]].tolist() == [*np.frombuffer(known.ids(text), np.int32).tolist(), 0]
 
 
+def test_remembered_pieces_are_bounded_and_asked_once(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(token_files, "REMEMBERED", 6)
+    known, asked = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json")), []
+    learn = known.learn
+    known.learn = lambda new: asked.append(new.to_pylist()) or learn(new)
+    batches = [["a bb", "bb\nccc a"], ["a bb", None], [f"w{i} a" for i in range(9)], ["a  odd " * 40, "a"], ["a bb"], ["a"]]
+    for texts in batches:
+        ids, starts = known.encode(pa.array([t or "" for t in texts], pa.string()), 0)
+        for k, text in enumerate(texts):
+            assert ids[starts[k] : starts[k + 1]].tolist() == [*np.frombuffer(known.ids(text or ""), np.int32).tolist(), 0]
+    assert asked[0] == ["\n\na", "bb", "\n\nbb", "\nccc", "a"] and asked[1] == ["\n\n"]
+    assert sum("a" in new for new in asked) == 1
+    assert max(map(len, known.pieces.to_pylist())) < 100 and len(known.pieces) <= 6 + 2
+
+
 def test_starts_follow_the_rows_of_the_files(spark, tmp_path):
     """Rows with one id, or none, stand in the files in the order of their starts."""
     import public_tokenizers
