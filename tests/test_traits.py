@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from cladeframe.functions import rates as X
 from cladeframe.operators import ancestral as B
 from cladeframe.operators import phenotype as H
@@ -206,6 +207,87 @@ def test_rate_fit_finds_the_maximum(spark, trees):
         B.fit_mk(e, tip_states(e, spark, states), 2, "JC")
 
 
+def top(likelihood, low, high):
+    """Largest value of a function of one rate: thirds of the best cell of a fine grid."""
+    grid = np.geomspace(low, high, 120)
+    at = int(np.argmax([likelihood(r) for r in grid]))
+    a, b = np.log(grid[max(at - 1, 0)]), np.log(grid[min(at + 1, 119)])
+    for _ in range(40):
+        third = (b - a) / 3
+        a, b = (a + third, b) if likelihood(np.exp(a + third)) < likelihood(np.exp(b - third)) else (a, b - third)
+    return np.exp((a + b) / 2), likelihood(np.exp((a + b) / 2))
+
+
+def test_the_fit_query_goes_on_until_the_maximum(spark, tmp_path):
+    """Segments that change along the tree of customers; before, two grids were scanned, the last
+    in steps of 44 percent of the rate."""
+    rng = random.Random(7)
+    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    own = {1: 0}
+    for n in range(2, 64):
+        own[n] = rng.randrange(5) if rng.random() < 0.12 else own[n // 2]
+    customers = [(n - 1, f"c{n}", 1, 0.0, segments[own[n]]) for n in own]
+    schema = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    spark.createDataFrame(customers, schema).write.parquet(f"{tmp_path}/customer.parquet")
+    nodes = [{"node_id": n, "parent_id": n // 2 or None, "branch_length": ((n - 1) % 7 + 1) * 1.0 if n > 1 else None,
+              "is_tip": n > 31, "label": f"c{n}"} for n in own]
+    states = {f"c{n}": own[n] + 1 for n in own if n > 31}
+
+    def likelihood(rate):
+        post, flat = peeled(nodes, states, X.er_matrix(5, rate))
+        return flat + np.log(5 * (post[1] ** 2).sum())  # the root's states by their likelihoods
+
+    rate, best = top(likelihood, 1e-3, 1.0)
+    got = queries()["fit_mk"](spark, str(tmp_path)).collect()
+    assert len(got) == 1 and got[0]["log_likelihood"] == pytest.approx(best, abs=1e-8)
+    assert got[0]["rates"] == pytest.approx([rate], rel=1e-4)
+    assert got[0]["q"] == pytest.approx(list(X.er_matrix(5, got[0]["rates"][0]).ravel()))
+
+
+def test_every_problem_is_fitted_to_its_own_end(spark, trees):
+    """A trait with a maximum inside, a tip's that says nothing of the rate, and one that never changes."""
+    rng = random.Random(11)
+    e = trees(t=random_newick(12, rng), u="((a:1,b:2):1,c:0.5);").drop("error").cache()
+    nodes = [r for r in e.collect() if r["tree_id"] == "t"]
+    tips = [r for r in nodes if r["is_tip"]]
+    inside = {r["label"]: 1 + (i % 4 == 0) for i, r in enumerate(sorted(tips, key=lambda r: r["node_id"]))}
+    named = spark.createDataFrame([(x, t, label, s) for x, t, states in [
+        ("inside", "t", inside), ("constant", "t", dict.fromkeys(inside, 2)), ("one", "u", {"a": 1}),
+    ] for label, s in states.items()], "trait_id string, tree_id string, label string, state int")
+    states = e.where("is_tip").join(named, ["tree_id", "label"]).select("trait_id", "tree_id", "node_id", "state")
+    got = {r["trait_id"]: r for r in B.fit_mk(e, states, 2, root_prior="flat").collect()}
+    rate, best = top(lambda r: peeled(nodes, inside, X.er_matrix(2, r))[1], 1e-4, 10.0)
+    assert got["inside"]["log_likelihood"] == pytest.approx(best, abs=1e-8)
+    assert got["inside"]["rates"][0] == pytest.approx(rate, rel=1e-3)
+    assert got["constant"]["log_likelihood"] == pytest.approx(np.log(0.5), abs=1e-10)
+    assert got["one"]["log_likelihood"] == pytest.approx(np.log(0.5), abs=1e-12)
+
+
+@pytest.mark.parametrize("likelihood, rate, largest", [
+    (lambda x: -((x - 1.234567) ** 2) - 900, np.exp(1.234567), -900),
+    (lambda x: -np.cosh(3 * (x + 20)), np.exp(-20), -1),  # beyond the grid
+    (lambda x: -np.exp(x), None, 0),  # the smaller, the better
+    (lambda x: -5 - np.exp(-np.exp(x)), None, -5),  # the larger, the better
+    (lambda x: max(-100 - (x + 2) ** 2, -99.5 - 4 * (x - 0.6) ** 2), np.exp(0.6), -99.5),  # the higher one of two, lower on the grid
+    (lambda x: -3.0, 1, -3),  # no rate is better than others
+    (lambda x: float("nan") if x > 2 else -((x - 1) ** 2) - 1, np.exp(1), -1),
+    (lambda x: float("nan"), 1, None),
+])
+def test_rates_are_looked_at_until_the_maximum(likelihood, rate, largest):
+    rates, rounds = np.array([3.0**i for i in range(-6, 7)]), 1
+    while True:
+        found = [likelihood(x) for x in np.log(rates)]
+        at, more = X.next_rates(rates, found)
+        if not len(more):
+            break
+        rates, rounds = np.sort(np.concatenate([rates, more])), rounds + 1
+        assert rounds <= 12
+    if rate is not None:
+        assert rates[at] == pytest.approx(rate, rel=1e-4)
+    if largest is not None:
+        assert found[at] == pytest.approx(largest, rel=1e-10, abs=1e-10)
+
+
 PHENOTYPES = [("human", "Omnivore"), ("cat", "Carnivore"), ("dog", "Carnivore/Piscivore"),
               ("dog", "Carnivore/Piscivore"), ("seal", "Piscivore"), ("frog", None)]
 SPECIES = "(((human:1,cat:1):1,dog:2):1,(seal:1,newt:1):2);"
